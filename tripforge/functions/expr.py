@@ -17,11 +17,12 @@ def col(c) -> Column:
 def round_half_even(c, digits: int = 2) -> Column:
     """pandas/numpy ``.round(d)``: scale, round half to even, unscale.
 
-    Written as ``bround(x * 10^d) / 10^d`` so that the oracle SQL
+    Written as ``rint(x * 10^d) / 10^d`` (``Math.rint`` rounds half to even on
+    the double itself, no BigDecimal per value) so that the oracle SQL
     ``round_even(x * 10^d, 0) / 10^d`` gives bit-identical doubles.
     """
     scale = float(10 ** digits)
-    return F.bround(col(c) * F.lit(scale), 0) / F.lit(scale)
+    return F.rint(col(c) * F.lit(scale)) / F.lit(scale)
 
 
 def sql_round(expr: str, digits: int = 2) -> str:

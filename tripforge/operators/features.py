@@ -56,13 +56,13 @@ def add_scores(df: DataFrame, score_features: Mapping[str, Sequence[str]] = rule
     """
     raws = {s: row_sum_min_count(cols) for s, cols in score_features.items()}
     maxima = global_stats(df, [F.max(r).alias(s) for s, r in raws.items()])
-    out = df
+    new = {}
     for (s, raw), mx in zip(raws.items(), maxima):
         if mx is None or mx == 0:
-            out = out.withColumn(s, F.lit(0.0))
+            new[s] = F.lit(0.0)
         else:
-            out = out.withColumn(s, round_half_even(raw / F.lit(float(mx)) * 100.0, 2))
-    return out
+            new[s] = round_half_even(raw / F.lit(float(mx)) * 100.0, 2)
+    return df.withColumns(new)
 
 
 # ------------------------------------------------------------------------ A3
@@ -72,7 +72,7 @@ def min_max_scores(df: DataFrame, specs: Mapping[str, Column], null_if_degenerat
     Degenerate (constant) column: 0 (A3) or all null (A4, ``null_if_degenerate``).
     """
     stats = global_stats(df, [f(e) for e in specs.values() for f in (F.min, F.max)])
-    out = df
+    new = {}
     for i, (name, e) in enumerate(specs.items()):
         lo, hi = stats[2 * i], stats[2 * i + 1]
         if lo is None or hi is None:
@@ -81,8 +81,8 @@ def min_max_scores(df: DataFrame, specs: Mapping[str, Column], null_if_degenerat
             v = F.lit(None).cast("double") if null_if_degenerate else F.lit(0.0)
         else:
             v = round_half_even((e - F.lit(float(lo))) / F.lit(float(hi - lo)) * 100.0, 2)
-        out = out.withColumn(name, v)
-    return out
+        new[name] = v
+    return df.withColumns(new)
 
 
 # ------------------------------------------------------------------- P4, P5
@@ -115,6 +115,7 @@ def resolve_destination_type(df: DataFrame, overrides: Mapping[str, str] = rules
                           map_lookup(radius_by_type, "destination_type", default_radius).cast("int"))
 
 
+
 # ------------------------------------------------------------------------ P6
 def row_key(df: DataFrame) -> list[str]:
     return ["destination_id"] if "destination_id" in df.columns else list(KEY)

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tripforge import rules
 from tripforge.functions.expr import clamp, fmt1, join_fragments, round_half_even
+from tripforge.session import cut_lineage
 from tripforge.sources.requests import MAX_TOP_N, PREFS
 
 OUTPUT_COLUMNS = [
@@ -165,7 +166,7 @@ def explanation(prefs: Mapping[str, Column], season: Column) -> Column:
     frags = []
     for p, sig in rules.PREFERENCE_COLUMNS.items():
         frags.append(F.when((prefs[p] >= 7) & (F.col(sig) >= 60), F.lit(f"strong {p.replace('_', ' ')} match")))
-    temp, rain = seasonal_value("temp", season), seasonal_value("rain", season)
+    temp, rain = F.col("temp"), F.col("rain")
     frags.append(F.when(F.col("weather_score") >= 75, F.format_string(
         "good %s weather (%sC, %s mm rain/day)", season, fmt1(temp), fmt1(rain))))
     frags.append(F.when(F.col("cluster_profile").isNotNull(),
@@ -202,44 +203,157 @@ def natural_reason(prefs: Mapping[str, Column], season: Column) -> Column:
 
 
 # ------------------------------------------------------------------ R12, T1
-def _signatures(valid: DataFrame) -> DataFrame:
-    return valid.select(*SIGNATURE).distinct()
+# Requests that must rank identically share one canonical signature: the five
+# preferences, season, budget row (unknown -> default row), weather mode
+# (comfort profile, else the beach-driven default) and top_n. Codes are small
+# ints so the (signature x destination) pass compares numbers, not strings.
+MODES = ["warm", "mild", "cool", "default27", "default22"]
+BUDGETS = list(rules.BUDGET_MATCH_MATRIX)
+LEVELS = list(rules.BUDGET_MATCH_MATRIX[rules.DEFAULT_BUDGET])
+PROFILES = [rules.PROFILE_WARM_COASTAL, rules.PROFILE_URBAN, rules.PROFILE_COOL_NATURE]
+CODE_COLS = ["season_code", "budget_code", "mode_code"]
+SIG_COLS = [*PREFS, *CODE_COLS, "top_n"]
+
+
+def _code(c: Column, values: list[str], default: int) -> Column:
+    expr = None
+    for i, v in enumerate(values):
+        expr = F.when(c == v, F.lit(i)) if expr is None else expr.when(c == v, F.lit(i))
+    return expr.otherwise(F.lit(default))
+
+
+def canonical_requests(valid: DataFrame) -> DataFrame:
+    """Valid requests + canonical signature codes and their hash."""
+    mode = F.lower(F.trim(F.col("weather_preference")))
+    mode_code = (F.when(mode == "warm", 0).when(mode == "mild", 1).when(mode == "cool", 2)
+                 .when(F.col("beach") >= 7, 3).otherwise(4))
+    out = valid.select("*", _code(F.col("season"), rules.SEASONS, -1).alias("season_code"),
+                       _code(F.col("budget"), BUDGETS, BUDGETS.index(rules.DEFAULT_BUDGET)).alias("budget_code"),
+                       mode_code.alias("mode_code"))
+    return out.withColumn("sig_hash", F.xxhash64(*SIG_COLS))
+
+
+def destination_seasons(catalog: DataFrame) -> DataFrame:
+    """Destination x season (4 rows per destination) with every request-
+    independent part of the score: the five possible weather scores and the
+    must-have shortfall factor per signal. Weather work is done 4 x D times,
+    not requests x D times."""
+    seasons = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("season_code"), F.col(f"{s}_avg_temp").alias("temp"),
+                 F.col(f"{s}_avg_daily_rain").alias("rain")) for i, s in enumerate(rules.SEASONS)]))
+    base = catalog.select("destination_id", "destination_name", "country",
+                          _code(F.col("cost_level"), LEVELS, len(LEVELS)).alias("level_code"),
+                          _code(F.col("cluster_profile"), PROFILES, len(PROFILES)).alias("profile_code"),
+                          *rules.PREFERENCE_COLUMNS.values(), seasons.alias("__s"))
+    temp, rain = F.col("__s.temp"), F.col("__s.rain")
+    rain_score = clamp(F.lit(100.0) - rain * 20.0)
+    cols = {}
+    for name, prof in rules.WEATHER_COMFORT_PROFILES.items():
+        cols[f"w_{name}"] = round_half_even(
+            0.75 * temperature_comfort_score(temp, prof["ideal_temp"], prof["tolerance"]) + 0.25 * rain_score, 2)
+    for ideal in (27.0, 22.0):
+        linear = clamp(F.lit(100.0) - (F.abs(temp - F.lit(ideal)) / 12.0 * 100.0))
+        cols[f"w_default{int(ideal)}"] = round_half_even(0.7 * linear + 0.3 * rain_score, 2)
+    floor = float(rules.MUST_HAVE_SIGNAL_FLOOR)
+    for p, sig in rules.PREFERENCE_COLUMNS.items():
+        cols[f"m_{p}"] = F.when(F.col(sig) < floor, (F.lit(floor) - F.col(sig)) / floor)
+    return base.select("*", F.col("__s.season_code").alias("season_code"), temp.alias("temp"),
+                       rain.alias("rain"), *[v.alias(k) for k, v in cols.items()]).drop("__s")
+
+
+def request_side(canon: DataFrame) -> DataFrame:
+    """Distinct canonical signatures with weights and flags (r_ prefix)."""
+    sigs = canon.select("sig_hash", *SIG_COLS).distinct()
+    prefs = {p: F.col(p) for p in PREFS}
+    w = preference_weights(prefs)
+    urban_avg = (F.col("food") + F.col("culture") + F.col("nightlife")) / 3
+    return sigs.select(*[F.col(c).alias(f"r_{c}") for c in sigs.columns],
+                       *[w[p].alias(f"r_w_{p}") for p in PREFS], (urban_avg >= 7).alias("r_urban7"))
+
+
+def pair_scores() -> dict[str, Column]:
+    """R2-R8 over a (signature, destination-season) row, same arithmetic as
+    the per-row formulas (bit-identical results)."""
+    pref_score = F.lit(0.0)
+    for p, sig in rules.PREFERENCE_COLUMNS.items():
+        pref_score = pref_score + F.col(sig) * F.col(f"r_w_{p}")
+    mode = F.col("r_mode_code")
+    weather = F.when(mode == 0, F.col("w_warm")).when(mode == 1, F.col("w_mild")).when(
+        mode == 2, F.col("w_cool")).when(mode == 3, F.col("w_default27")).otherwise(F.col("w_default22"))
+    table = [float(rules.BUDGET_MATCH_MATRIX[b][lv]) for b in BUDGETS for lv in LEVELS]
+    lvl = F.col("level_code")
+    budget_score = F.when(lvl >= len(LEVELS), F.lit(float(rules.UNKNOWN_LEVEL_BUDGET_SCORE))).otherwise(
+        F.element_at(F.array(*[F.lit(v) for v in table]), F.col("r_budget_code") * len(LEVELS) + lvl + 1))
+    prof = F.col("profile_code")
+    bonus = (F.when((prof == 0) & (_r("beach") >= 7), F.lit(rules.CLUSTER_BONUS))
+             .when((prof == 1) & F.col("r_urban7"), F.lit(rules.CLUSTER_BONUS))
+             .when((prof == 2) & (_r("nature") >= 7), F.lit(rules.CLUSTER_BONUS))
+             .otherwise(F.lit(0))).cast("double")
+    penalty = F.lit(0.0)
+    for p in rules.PREFERENCE_COLUMNS:
+        m = F.col(f"m_{p}")
+        penalty = penalty + F.when((_r(p) >= rules.MUST_HAVE_THRESHOLD) & m.isNotNull(),
+                                   F.lit(float(rules.MUST_HAVE_PENALTY_SCALE)) * m * (_r(p) / 10.0)).otherwise(F.lit(0.0))
+    penalty = penalty + F.when((_r("beach") >= 7) & (prof != 0), F.lit(float(rules.BEACH_PROFILE_PENALTY))).otherwise(F.lit(0.0))
+    penalty = penalty + F.when((_r("nature") >= 7) & (prof == 1), F.lit(float(rules.NATURE_URBAN_PENALTY))).otherwise(F.lit(0.0))
+    return {"preference_score": pref_score, "weather_score": weather, "budget_match_score": budget_score,
+            "cluster_bonus": bonus, "must_have_penalty": round_half_even(penalty, 2)}
+
+
+def final_score() -> Column:
+    sw = rules.SCORE_WEIGHTS
+    final = round_half_even(F.lit(sw["preference"]) * F.col("preference_score")
+                            + F.lit(sw["weather"]) * F.col("weather_score")
+                            + F.lit(sw["cost"]) * F.col("budget_match_score")
+                            + F.col("cluster_bonus") - F.col("must_have_penalty"), 2)
+    return F.when(final > 100, F.lit(100.0)).otherwise(final)
 
 
-def _pair(catalog: DataFrame, sigs: DataFrame, max_broadcast_rows: int, blocks: int | None) -> DataFrame:
-    renamed = sigs.select(*[F.col(c).alias(f"r_{c}") for c in sigs.columns])
+def _pair(dest_seasons: DataFrame, sigs: DataFrame, max_broadcast_rows: int, blocks: int | None) -> DataFrame:
+    """Each signature meets the destination rows of its own season."""
     n_sigs = sigs.count()
     if n_sigs <= max_broadcast_rows:
-        # Requests are the bounded side: broadcast them, stream the catalogue.
-        return catalog.crossJoin(F.broadcast(renamed))
-    # Too many signatures to broadcast: hash-block the requests, replicate the
-    # catalogue once per block; each block meets the catalogue in its own tasks.
+        # Signatures are the bounded side: broadcast them; the catalogue
+        # streams where it lies.
+        return dest_seasons.join(F.broadcast(sigs), dest_seasons.season_code == sigs.r_season_code)
+    # Too many to broadcast: hash-block the signatures and replicate the
+    # destination rows once per block (a blocked equi-join on season+block).
     n_blocks = blocks or -(-n_sigs // max_broadcast_rows)
-    rb = renamed.withColumn("__block", F.pmod(F.xxhash64(*renamed.columns), F.lit(n_blocks)))
-    cb = catalog.withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    return cb.join(rb, "__block").drop("__block")
+    rb = sigs.withColumn("__block", F.pmod(F.col("r_sig_hash"), F.lit(n_blocks)))
+    cb = dest_seasons.withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+    return cb.join(rb, (cb.season_code == rb.r_season_code) & (cb["__block"] == rb["__block"])).drop("__block")
 
 
 def recommend(valid_requests: DataFrame, catalog: DataFrame, max_broadcast_rows: int = 200_000,
               blocks: int | None = None, with_texts: bool = True) -> DataFrame:
     """Top ``top_n`` destinations per valid request with scores and texts."""
-    sigs = _signatures(valid_requests)
-    cat = catalog.select(*[c for c in dict.fromkeys(SCORING_COLUMNS + [
-        c for c in OUTPUT_COLUMNS if c in catalog.columns and c not in ("explanation", "natural_reason", "reason")])])
-    pairs = _pair(cat, sigs, max_broadcast_rows, blocks)
-    prefs = {p: _r(p) for p in PREFS}
-    scores = score_columns(prefs, _r("season"), _r("budget"), _r("weather_preference"))
-    scored = pairs.select("*", *[v.alias(k) for k, v in scores.items()])
-    sig_cols = [f"r_{c}" for c in SIGNATURE]
-    w = Window.partitionBy(*sig_cols).orderBy(
+    canon = canonical_requests(valid_requests)
+    # Distinct signatures get a unique id, fixed by writing the table (an id
+    # recomputed after a lost executor could otherwise change).
+    sigs = cut_lineage(request_side(canon).withColumn("r_sig_id", F.monotonically_increasing_id()), "signatures")
+    pairs = _pair(destination_seasons(catalog.select(*SCORING_COLUMNS)), sigs, max_broadcast_rows, blocks)
+    scored = pairs.select("destination_id", "destination_name", "country", "temp", "rain",
+                          *rules.PREFERENCE_COLUMNS.values(), "r_sig_id", "r_season_code", "r_top_n", *[f"r_{p}" for p in PREFS],
+                          *[v.alias(k) for k, v in pair_scores().items()])
+    scored = scored.select("*", final_score().alias("recommendation_score"))
+    sig_cols = [f"r_{c}" for c in ["sig_hash", *SIG_COLS]]
+    w = Window.partitionBy("r_sig_id").orderBy(
         F.col("recommendation_score").desc_nulls_last(), "destination_name", "country", "destination_id")
     top = (scored.withColumn("rank", F.row_number().over(w))
            .where((F.col("rank") <= MAX_TOP_N) & (F.col("rank") <= _r("top_n"))))
+    extra = [c for c in OUTPUT_COLUMNS if c in catalog.columns and c not in top.columns]
+    top = top.join(catalog.select("destination_id", *extra), "destination_id")
+    top = top.withColumn("cost_score", F.col("budget_match_score"))
+    top = top.withColumn("r_season", F.element_at(F.array(*[F.lit(s) for s in rules.SEASONS]),
+                                                  F.col("r_season_code") + 1))
     if with_texts:
+        prefs = {p: _r(p) for p in PREFS}
         top = top.select("*", explanation(prefs, _r("season")).alias("explanation"),
                          natural_reason(prefs, _r("season")).alias("natural_reason"),
                          reason_struct().alias("reason"))
     keep = [c for c in OUTPUT_COLUMNS if c in top.columns]
-    top = top.select(*sig_cols, "rank", "cluster_bonus", "must_have_penalty", *keep)
-    req = valid_requests.select("request_id", *[F.col(c).alias(f"r_{c}") for c in SIGNATURE])
-    return req.join(top, sig_cols).drop(*sig_cols)
+    top = top.select("r_sig_id", "rank", "cluster_bonus", "must_have_penalty", *keep)
+    # Exact signature match (hash plus every signature column) -> id -> rows.
+    req = (canon.select("request_id", *[F.col(c).alias(f"r_{c}") for c in ["sig_hash", *SIG_COLS]])
+           .join(sigs.select("r_sig_id", *sig_cols), sig_cols).select("request_id", "r_sig_id"))
+    return req.join(top, "r_sig_id").drop("r_sig_id")

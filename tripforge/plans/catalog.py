@@ -68,7 +68,7 @@ def with_places(spark: SparkSession, sf_dir: str, salt: int = 8) -> DataFrame:
                          cell_m=float(max(standins.STANDIN_TYPE_RADIUS_M.values())))
     # Reliable checkpoint: later global statistics and ranks re-read this
     # small table instead of re-running the radius join and weather scan.
-    return add_scores(cut_lineage(counted))
+    return add_scores(cut_lineage(counted, "with_places"))
 
 
 def build_catalog(spark: SparkSession, sf_dir: str, rank_method: str = "bucketed",
@@ -80,5 +80,5 @@ def build_catalog(spark: SparkSession, sf_dir: str, rank_method: str = "bucketed
     cat = feats.withColumn("cluster_profile", profile_by_rule())
     if persist:
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        cat = cut_lineage(cat.repartition(n, "destination_id"))
+        cat = cut_lineage(cat.repartition(n, "destination_id"), "catalog")
     return cat

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -15,6 +16,10 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # HotSpot does not JIT methods above 8000 bytecodes; let Spark split a
+    # stage whose generated code would exceed that instead of running it
+    # in the bytecode interpreter.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -52,7 +57,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def cut_lineage(df):
-    """Reliable checkpoint (written to the shared checkpoint folder)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df, name: str = "stage"):
+    """Cut lineage by writing a Parquet table into the shared checkpoint
+    folder and reading it back.
+
+    One job (``Dataset.checkpoint`` computes its input twice), the table
+    survives executor loss, and the re-read plan is a small scan whose size
+    statistics the optimizer can use for join choices.
+    """
+    spark = df.sparkSession
+    base = checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

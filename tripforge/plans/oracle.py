@@ -9,7 +9,7 @@ expressions and the rounding formula (``round_even(x * 100, 0) / 100``).
 from __future__ import annotations
 
 from tripforge import rules
-from tripforge.functions.expr import sql_fmt1, sql_haversine_m, sql_round
+from tripforge.functions.expr import sql_fmt1, sql_haversine_m, sql_round  # noqa: F401
 from tripforge.operators.ranking import sql_pct_rank_avg
 from tripforge.sources import standins
 

@@ -124,9 +124,16 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], Callable[[],
 }
 
 
+def _all():
+    from tripforge.plans import registry_reports
+    out = dict(QUERIES)
+    out.update(registry_reports.QUERIES)
+    return out
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: fn for k, (fn, _) in QUERIES.items()}
+    return {k: fn for k, (fn, _) in _all().items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: o() for k, (_, o) in QUERIES.items() if o is not None}
+    return {k: o() for k, (_, o) in _all().items() if o is not None}

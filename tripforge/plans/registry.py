@@ -125,9 +125,10 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], Callable[[],
 
 
 def _all():
-    from tripforge.plans import registry_reports
+    from tripforge.plans import registry_more, registry_reports
     out = dict(QUERIES)
     out.update(registry_reports.QUERIES)
+    out.update(registry_more.QUERIES)
     return out
 
 

@@ -239,6 +239,9 @@ def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.element_at(_arr(COMPANIONS), (k % 4 + 1).cast("int")).alias("companion"),
         F.element_at(_arr(CLIMATE_CHOICES), ((k / 4).cast("long") % 4 + 1).cast("int")).alias("climate_preference"),
         F.col("p_name").alias("trip_description"),
+        F.element_at(_arr(MONTH_NAMES), (k % 12 + 1).cast("int")).alias("month"),
+        F.element_at(_arr(list(rules.BUDGET_MATCH_MATRIX)), (k % 3 + 1).cast("int")).alias("budget"),
+        F.lit(3).alias("top_n"),
     )
 
 

@@ -48,7 +48,8 @@ def keyword_prices(payloads: DataFrame, key: Sequence[str], payload_col: str = "
     -> all-null columns. Also returns the city name and contributors.
     """
     parsed = payloads.select(*key, F.from_json(F.col(payload_col), PRICE_PAYLOAD_SCHEMA).alias("__p"))
-    items = parsed.select(*key, F.explode_outer("__p.prices").alias("__it"))
+    items = parsed.select(*key, F.col("__p.name").alias("__name"), F.col("__p.contributors").alias("__contributors"),
+                          F.explode_outer("__p.prices").alias("__it"))
     name = F.lower(F.coalesce(F.col("__it.item_name"), F.lit("")))
     price = F.col("__it.average_price")
     aggs = []
@@ -58,10 +59,8 @@ def keyword_prices(payloads: DataFrame, key: Sequence[str], payload_col: str = "
             h = name.contains(w.lower())
             hit = h if hit is None else hit | h
         aggs.append(round_half_even(F.avg(F.when(hit & price.isNotNull(), price)), 2).alias(column))
-    prices = items.groupBy(*key).agg(*aggs)
-    meta = parsed.select(*key, F.col("__p.name").alias("numbeo_city_name"),
-                         F.col("__p.contributors").alias("numbeo_contributors"))
-    return meta.join(prices, list(key), "left")
+    aggs += [F.max("__name").alias("numbeo_city_name"), F.max("__contributors").alias("numbeo_contributors")]
+    return items.groupBy(*key).agg(*aggs)
 
 
 # ------------------------------------------------------------------- S7 + A6

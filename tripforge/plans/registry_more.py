@@ -52,3 +52,128 @@ QUERIES = {
     "planner_recommendations": (q_planner_recommendations, None),
     "conversation_text_signals": (q_conversation_signals, None),
 }
+
+
+# ------------------------------------------------------------------- costs
+KEY = ["destination_name", "country"]
+TRAVEL_COLUMNS = ["destination_name", "country", "month", "hotel_search_radius_km", "avg_hotel_price_eur",
+                  "median_hotel_price_eur", "hotel_sample_size", "restaurant_meal_price_eur", "cappuccino_price_eur",
+                  "groceries_basket_price_eur", "local_transport_price_eur", "numbeo_city_name",
+                  "numbeo_contributors", "museum_or_attraction_price_eur", "attraction_price_coverage",
+                  "hotel_price_score", "restaurant_price_score", "cafe_price_score", "groceries_price_score",
+                  "attraction_price_score", "transport_price_score", "travel_cost_index", "travel_cost_level",
+                  "cost_data_coverage"]
+
+
+def q_keyword_prices(spark, sf):
+    from tripforge.operators.costs import keyword_prices
+    return keyword_prices(standins.price_payloads(spark, sf), KEY, keywords=standins.STANDIN_PRICE_KEYWORDS)
+
+
+def q_hotel_stats(spark, sf):
+    from tripforge.operators.costs import hotel_price_stats
+    return hotel_price_stats(standins.hotel_offer_payloads(spark, sf), KEY)
+
+
+def travel_costs(spark, sf):
+    from tripforge.operators.costs import add_travel_cost_index, cost_records
+    dest = standins.destinations(spark, sf)
+    rec = cost_records(dest, q_keyword_prices(spark, sf), q_hotel_stats(spark, sf), KEY, "August", 3.0)
+    return add_travel_cost_index(rec)
+
+
+def q_travel_costs(spark, sf):
+    return travel_costs(spark, sf).select(*TRAVEL_COLUMNS)
+
+
+def q_catalog_travel_levels(spark, sf):
+    from tripforge.operators.costs import add_cost_features
+    cat = _cat(spark, sf).drop("cost_of_living_index", "cost_of_living_level", "cost_level")
+    out = add_cost_features(cat, standins.living_costs(spark, sf), travel_costs(spark, sf))
+    return out.select(*KEY, "cost_of_living_index", "cost_of_living_level", "travel_cost_index",
+                      "travel_cost_level", "cost_data_coverage", "cost_level")
+
+
+def _price_sql():
+    from tripforge.plans.oracle import R
+    cols = []
+    for c, words in standins.STANDIN_PRICE_KEYWORDS.items():
+        hit = " OR ".join(f"contains(item_name, '{w.lower()}')" for w in words)
+        cols.append(f"{R(f'avg(CASE WHEN ({hit}) AND average_price IS NOT NULL THEN average_price END)')} AS {c}")
+    return (f"SELECT destination_name, country, {', '.join(cols)}, max(numbeo_city_name) AS numbeo_city_name, "
+            f"max(numbeo_contributors) AS numbeo_contributors FROM ({standins.PRICE_ITEMS_SQL}) GROUP BY 1, 2")
+
+
+def _hotel_sql():
+    from tripforge.plans.oracle import R
+    return f"""SELECT destination_name, country, {R('avg(total)')} AS avg_hotel_price_eur,
+  {R('CASE WHEN n % 2 = 1 THEN max(CASE WHEN rn = (n + 1) / 2 THEN total END) '
+     'ELSE 0.5 * max(CASE WHEN rn = n / 2 THEN total END) + 0.5 * max(CASE WHEN rn = n / 2 + 1 THEN total END) END')}
+    AS median_hotel_price_eur,
+  CAST(count(total) AS INTEGER) AS hotel_sample_size
+FROM (SELECT *, row_number() OVER (PARTITION BY destination_name, country ORDER BY total) AS rn,
+             count(total) OVER (PARTITION BY destination_name, country) AS n
+      FROM ({standins.HOTEL_OFFERS_SQL}) WHERE hotel_index < 20 AND total IS NOT NULL)
+GROUP BY destination_name, country, n"""
+
+
+def o_keyword_prices():
+    return _price_sql()
+
+
+def o_hotel_stats():
+    return _hotel_sql()
+
+
+def _travel_sql():
+    from tripforge import rules
+    from tripforge.plans.oracle import R
+    sources = rules.TRAVEL_COST_SCORE_SOURCES
+    stats = ", ".join(f"min({src}) AS lo_{s}, max({src}) AS hi_{s}" for s, src in sources.items())
+    scores = ", ".join(
+        f"CASE WHEN mm.lo_{s} IS NULL OR mm.lo_{s} = mm.hi_{s} THEN CAST(NULL AS DOUBLE) "
+        f"ELSE {R(f'({src} - mm.lo_{s}) / (mm.hi_{s} - mm.lo_{s}) * 100.0')} END AS {s}"
+        for s, src in sources.items())
+    num = "(0.0" + "".join(f" + coalesce({s}, 0.0) * {w!r}" for s, w in rules.TRAVEL_COST_WEIGHTS.items()) + ")"
+    den = "(0.0" + "".join(f" + CASE WHEN {s} IS NOT NULL THEN {w!r} ELSE 0.0 END" for s, w in rules.TRAVEL_COST_WEIGHTS.items()) + ")"
+    idx = f"CASE WHEN {den} > 0 THEN {R(f'{num} / {den}')} END"
+    cov = " + ".join(f"CAST({c} IS NOT NULL AS DOUBLE)" for c in
+                     ["median_hotel_price_eur", "restaurant_meal_price_eur", "cappuccino_price_eur",
+                      "groceries_basket_price_eur", "museum_or_attraction_price_eur", "local_transport_price_eur"])
+    return f"""rec AS (
+  SELECT d.destination_name, d.country, 'August' AS month, 3.0 AS hotel_search_radius_km,
+         h.avg_hotel_price_eur, h.median_hotel_price_eur, coalesce(h.hotel_sample_size, 0) AS hotel_sample_size,
+         p.restaurant_meal_price_eur, p.cappuccino_price_eur, p.groceries_basket_price_eur, p.local_transport_price_eur,
+         p.numbeo_city_name, p.numbeo_contributors, CAST(NULL AS DOUBLE) AS museum_or_attraction_price_eur,
+         '{rules.ATTRACTION_COVERAGE_NOTE}' AS attraction_price_coverage
+  FROM ({standins.DESTINATIONS_SQL}) d LEFT JOIN ({_hotel_sql()}) h USING (destination_name, country)
+       LEFT JOIN ({_price_sql()}) p USING (destination_name, country)),
+scored AS (SELECT rec.*, {scores} FROM rec, (SELECT {stats} FROM rec) mm),
+travel AS (SELECT *, {idx} AS travel_cost_index,
+  CASE WHEN ({idx}) IS NULL THEN 'Unknown' WHEN ({idx}) < 35 THEN 'Budget' WHEN ({idx}) <= 65 THEN 'Mid-range' ELSE 'Luxury' END
+    AS travel_cost_level,
+  {R(f'({cov}) / 6')} AS cost_data_coverage FROM scored)"""
+
+
+def o_travel_costs():
+    return f"WITH {_travel_sql()}\nSELECT {', '.join(TRAVEL_COLUMNS)} FROM travel"
+
+
+def o_catalog_travel_levels():
+    col = ("CASE WHEN l.cost_of_living_index IS NULL THEN 'Unknown' WHEN l.cost_of_living_index < 45 THEN 'Budget' "
+           "WHEN l.cost_of_living_index <= 65 THEN 'Mid-range' ELSE 'Luxury' END")
+    return f"""WITH {_travel_sql()}
+SELECT d.destination_name, d.country, l.cost_of_living_index, {col} AS cost_of_living_level, t.travel_cost_index,
+       t.travel_cost_level, t.cost_data_coverage,
+       CASE WHEN t.travel_cost_level IS NOT NULL AND t.travel_cost_level <> 'Unknown'
+                 AND coalesce(t.cost_data_coverage, 0) > 0 THEN t.travel_cost_level ELSE {col} END AS cost_level
+FROM ({standins.DESTINATIONS_SQL}) d LEFT JOIN travel t USING (destination_name, country)
+     LEFT JOIN ({standins.LIVING_COSTS_SQL}) l USING (destination_name, country)"""
+
+
+QUERIES.update({
+    "keyword_price_means": (q_keyword_prices, o_keyword_prices),
+    "hotel_price_stats": (q_hotel_stats, o_hotel_stats),
+    "travel_cost_table": (q_travel_costs, o_travel_costs),
+    "catalog_cost_levels_with_travel": (q_catalog_travel_levels, o_catalog_travel_levels),
+})

@@ -256,3 +256,65 @@ SELECT p_partkey AS answer_id,
        p_name AS trip_description
 FROM part
 """
+
+
+# ------------------------------------------------------- price / hotel payloads
+# Keyword rules for the stand-in items (part names), same shape as the
+# reference's price keyword table.
+STANDIN_PRICE_KEYWORDS = {
+    "restaurant_meal_price_eur": ["ring"],
+    "cappuccino_price_eur": ["widget"],
+    "local_transport_price_eur": ["bolt"],
+    "groceries_basket_price_eur": ["gear", "plate", "rod"],
+}
+
+
+def _dest_key_lineitems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+                                                      "l_quantity", "l_extendedprice")
+    s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    dest = s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey).select(
+        "s_suppkey", F.col("s_name").alias("destination_name"), F.col("n_name").alias("country"))
+    return li.join(dest, li.l_suppkey == dest.s_suppkey)
+
+
+def price_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One price payload JSON per lineitem: the part as an item with its unit price."""
+    li = _dest_key_lineitems(spark, sf_dir)
+    p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    j = li.join(p, li.l_partkey == p.p_partkey)
+    payload = F.to_json(F.struct(
+        F.col("country").alias("name"), F.col("l_linenumber").alias("contributors"),
+        F.array(F.struct(F.col("p_name").alias("item_name"),
+                         (F.col("l_extendedprice") / F.col("l_quantity")).alias("average_price"))).alias("prices")))
+    return j.select("destination_name", "country", payload.alias("payload"))
+
+
+def hotel_offer_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders act as hotels (index = order rank within the supplier), each
+    lineitem an offer; line 7 carries no total (skipped like a missing price)."""
+    from pyspark.sql import Window
+    li = _dest_key_lineitems(spark, sf_dir)
+    total = F.when(F.col("l_linenumber") == 7, F.lit(None).cast("string")).otherwise(
+        F.col("l_extendedprice").cast("string"))
+    payload = F.to_json(F.struct(F.array(F.struct(F.array(F.struct(F.struct(total.alias("total")).alias("price")))
+                                                  .alias("offers"))).alias("data")))
+    w = Window.partitionBy("destination_name", "country").orderBy("l_orderkey")
+    return li.select("destination_name", "country", (F.dense_rank().over(w) - 1).alias("hotel_index"),
+                     payload.alias("payload"))
+
+
+PRICE_ITEMS_SQL = """
+SELECT s_name AS destination_name, n_name AS country, n_name AS numbeo_city_name, l_linenumber AS numbeo_contributors,
+       lower(p_name) AS item_name, l_extendedprice / l_quantity AS average_price
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+     JOIN part ON l_partkey = p_partkey
+"""
+
+HOTEL_OFFERS_SQL = """
+SELECT s_name AS destination_name, n_name AS country,
+       dense_rank() OVER (PARTITION BY s_name, n_name ORDER BY l_orderkey) - 1 AS hotel_index,
+       CASE WHEN l_linenumber = 7 THEN NULL ELSE l_extendedprice END AS total
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+"""

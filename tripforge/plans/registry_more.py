@@ -177,3 +177,95 @@ QUERIES.update({
     "travel_cost_table": (q_travel_costs, o_travel_costs),
     "catalog_cost_levels_with_travel": (q_catalog_travel_levels, o_catalog_travel_levels),
 })
+
+
+# ---------------------------------------------------------------------- ML
+def q_scaled_features(spark, sf):
+    from tripforge import rules
+    from tripforge.functions.expr import round_half_even
+    from tripforge.operators.cluster import standard_scale
+    scaled, _ = standard_scale(_cat(spark, sf))
+    return scaled.select(*KEY, *[(round_half_even(F.col(c), 4) + F.lit(0.0)).alias(c) for c in rules.MODEL_FEATURES])
+
+
+def o_scaled_features():
+    from tripforge import rules
+    from tripforge.plans import oracle
+    cols = ", ".join(
+        f"{oracle.R(f'(CAST({c} AS DOUBLE) - avg(CAST({c} AS DOUBLE)) OVER ()) / stddev_pop(CAST({c} AS DOUBLE)) OVER ()', 4)} + 0.0 AS {c}"
+        for c in rules.MODEL_FEATURES)
+    return f"WITH {oracle.catalog_ctes()}\nSELECT destination_name, country, {cols} FROM catalog"
+
+
+def q_scaling_summary(spark, sf):
+    from tripforge.operators.cluster import scaling_summary
+    return scaling_summary(_cat(spark, sf))
+
+
+def o_scaling_summary():
+    from tripforge import rules
+    from tripforge.plans import oracle
+    parts = []
+    for c in rules.MODEL_FEATURES:
+        x = f"CAST({c} AS DOUBLE)"
+        parts.append(f"SELECT '{c}' AS feature, {oracle.R(f'avg({x})', 4)} + 0.0 AS mean_before_scaling, "
+                     f"{oracle.R(f'stddev_pop({x})', 4)} + 0.0 AS std_before_scaling, "
+                     f"{oracle.R('avg(z)', 4)} + 0.0 AS mean_after_scaling, {oracle.R('stddev_pop(z)', 4)} + 0.0 AS std_after_scaling "
+                     f"FROM (SELECT {c}, ({x} - avg({x}) OVER ()) / stddev_pop({x}) OVER () AS z FROM catalog)")
+    return f"WITH {oracle.catalog_ctes()}\n" + "\nUNION ALL\n".join(parts)
+
+
+def q_embedding_silhouette(spark, sf):
+    from tripforge.operators.cluster import silhouette
+    emb = read_table(spark, sf, "embeddings")
+    val = silhouette(emb, "embedding", "label")
+    return spark.createDataFrame([(val,)], "silhouette_score double")
+
+
+def o_embedding_silhouette():
+    return """WITH p AS (SELECT vec_id, label AS lab, CAST(embedding AS DOUBLE[]) AS x FROM embeddings WHERE embedding IS NOT NULL),
+d AS (SELECT max(len(x)) AS dim FROM p),
+st AS (SELECT lab, count(*) AS n, sum(list_sum(list_transform(x, lambda v: v * v))) AS q FROM p GROUP BY lab),
+el AS (SELECT p.lab, t.i, sum(p.x[t.i]) AS s FROM p, d, range(1, 1 + d.dim) t(i) GROUP BY p.lab, t.i),
+dots AS (SELECT p.vec_id, p.lab AS own, el.lab AS other, sum(p.x[el.i] * el.s) AS dot
+         FROM p JOIN el ON true GROUP BY p.vec_id, p.lab, el.lab),
+dist AS (SELECT dots.vec_id, dots.own, dots.other,
+                list_sum(list_transform(p.x, lambda v: v * v)) - 2.0 * dots.dot / st.n + st.q / st.n AS dd, st.n
+         FROM dots JOIN st ON st.lab = dots.other JOIN p ON p.vec_id = dots.vec_id),
+pt AS (SELECT vec_id, max(CASE WHEN own = other THEN dd * n / (n - 1) END) AS a,
+              min(CASE WHEN own <> other THEN dd END) AS b, max(CASE WHEN own = other THEN n END) AS own_n
+       FROM dist GROUP BY vec_id)
+SELECT round_even(avg(CASE WHEN own_n <= 1 THEN 0.0 WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1 ELSE 0.0 END) * 10000.0, 0) / 10000.0
+       AS silhouette_score FROM pt"""
+
+
+def q_kmeans_sweep(spark, sf):
+    from tripforge.operators.cluster import kmeans_sweep
+    return kmeans_sweep(_cat(spark, sf))
+
+
+def q_clustered_catalog(spark, sf):
+    from tripforge.operators.cluster import clustered_catalog
+    return clustered_catalog(_cat(spark, sf)).select(*KEY, "cluster", "cluster_profile")
+
+
+def q_pca(spark, sf):
+    from tripforge.operators.cluster import pca_2d
+    out, ratio = pca_2d(_cat(spark, sf))
+    return out.select("*", F.lit(ratio[0]).alias("pc1_variance_ratio"), F.lit(ratio[1]).alias("pc2_variance_ratio"))
+
+
+def q_compare_models(spark, sf):
+    from tripforge.operators.cluster import compare_models
+    return compare_models(_cat(spark, sf))
+
+
+QUERIES.update({
+    "ml_scaled_features": (q_scaled_features, o_scaled_features),
+    "ml_scaling_summary": (q_scaling_summary, o_scaling_summary),
+    "embedding_silhouette": (q_embedding_silhouette, o_embedding_silhouette),
+    "kmeans_k_sweep": (q_kmeans_sweep, None),
+    "clustered_catalog_k3": (q_clustered_catalog, None),
+    "pca_2d": (q_pca, None),
+    "clustering_comparison": (q_compare_models, None),
+})

@@ -269,3 +269,21 @@ QUERIES.update({
     "pca_2d": (q_pca, None),
     "clustering_comparison": (q_compare_models, None),
 })
+
+
+# ---------------------------------------------------------------- streaming
+def q_streamed_recommendations(spark, sf):
+    """ST1: the same recommendations, produced by a Structured Streaming query."""
+    import uuid
+    from tripforge.plans.registry import REC_COLUMNS
+    from tripforge.streaming.requests import read_sink, run_to_completion
+    sink = run_to_completion(spark, sf, _cat(spark, sf), f"requests-{uuid.uuid4().hex}")
+    return read_sink(spark, sink).select(*REC_COLUMNS)
+
+
+def o_streamed_recommendations():
+    from tripforge.plans.registry import o_recommend
+    return o_recommend()
+
+
+QUERIES.update({"streamed_recommendations": (q_streamed_recommendations, o_streamed_recommendations)})

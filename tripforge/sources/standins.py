@@ -182,7 +182,12 @@ FROM supplier JOIN nation ON s_nationkey = n_nationkey,
 # -------------------------------------------------------------------- requests
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw recommendation requests (some invalid on purpose: food 11, bad month)."""
-    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    return requests_from_customers(read_table(spark, sf_dir, "customer"))
+
+
+def requests_from_customers(customers: DataFrame) -> DataFrame:
+    """Request columns from customer rows (works on batch and streaming frames)."""
+    c = customers.select("c_custkey", "c_mktsegment")
     k = F.col("c_custkey")
     budget = None
     for seg, b in BUDGET_BY_SEGMENT.items():

@@ -287,3 +287,78 @@ def o_streamed_recommendations():
 
 
 QUERIES.update({"streamed_recommendations": (q_streamed_recommendations, o_streamed_recommendations)})
+
+
+# ------------------------------------------------------------ S4, S8, J9
+def q_geocode(spark, sf):
+    from tripforge.sources.incremental import geocode
+    dest = standins.destinations(spark, sf).drop("latitude", "longitude")
+    return geocode(dest, standins.gazetteer(spark, sf)).select("destination_id", "search_name", "country",
+                                                                "latitude", "longitude")
+
+
+def o_geocode():
+    return f"""WITH g AS ({standins.GAZETTEER_SQL}),
+r AS (SELECT lower(trim(search_name)) AS n, lower(trim(country)) AS c, lat, lon,
+             row_number() OVER (PARTITION BY lower(trim(search_name)), lower(trim(country))
+                                ORDER BY importance DESC, lat ASC, lon ASC) AS rk FROM g)
+SELECT d.destination_id, d.search_name, d.country, r.lat AS latitude, r.lon AS longitude
+FROM ({standins.DESTINATIONS_SQL}) d LEFT JOIN r ON r.rk = 1 AND r.n = lower(trim(d.search_name))
+     AND r.c = lower(trim(d.country))"""
+
+
+def q_incremental_poi_counts(spark, sf):
+    """A stored run made with an older radius table (regions 1500 km)
+    and failed collections for mountains; only those rows are recomputed."""
+    from tripforge import rules
+    from tripforge.operators.features import resolve_destination_type
+    from tripforge.operators.spatial import poi_counts
+    from tripforge.sources.incremental import pending, upsert
+    base = standins.destinations(spark, sf)
+    old_radius = dict(standins.STANDIN_TYPE_RADIUS_M, region=1_500_000)
+    cell = float(max(standins.STANDIN_TYPE_RADIUS_M.values()))
+    prev_dest = resolve_destination_type(base, radius_by_type=old_radius)
+    prev = poi_counts(prev_dest, standins.pois(spark, sf), cell_m=cell)
+    failed = F.col("destination_type") == "mountain"
+    prev = prev.select("destination_id", "destination_type", "search_radius_m",
+                       F.col("latitude").alias("place_latitude"), F.col("longitude").alias("place_longitude"),
+                       *[F.when(failed, F.lit(None).cast("long")).otherwise(F.col(c)).alias(c)
+                         for c in rules.PLACE_COUNT_COLUMNS], F.lit(1).alias("run_id"))
+    cur = resolve_destination_type(base, radius_by_type=standins.STANDIN_TYPE_RADIUS_M)
+    todo = pending(cur, prev)
+    fresh = poi_counts(todo, standins.pois(spark, sf), cell_m=cell).select(
+        "destination_id", "destination_type", "search_radius_m", F.col("latitude").alias("place_latitude"),
+        F.col("longitude").alias("place_longitude"), *rules.PLACE_COUNT_COLUMNS, F.lit(2).alias("run_id"))
+    return upsert(prev, fresh).select("destination_id", "search_radius_m", *rules.PLACE_COUNT_COLUMNS)
+
+
+def o_incremental_poi_counts():
+    from tripforge.plans.registry import o_poi_counts
+    return o_poi_counts()
+
+
+def q_similar(spark, sf):
+    from tripforge.operators.joins import similar_in_group
+    cat = _cat(spark, sf)
+    out = similar_in_group(cat, "cluster_profile", "destination_name", "overall_score", KEY, k=3)
+    return out.select(*KEY, "cluster_profile", F.array_join("similar_destinations", "|").alias("similar_destinations"))
+
+
+def o_similar():
+    from tripforge.plans import oracle
+    return f"""WITH {oracle.catalog_ctes()},
+r AS (SELECT cluster_profile, destination_name,
+             row_number() OVER (PARTITION BY cluster_profile ORDER BY overall_score DESC NULLS LAST, destination_name) AS rk
+      FROM catalog)
+SELECT c.destination_name, c.country, c.cluster_profile,
+       coalesce(array_to_string(list(r.destination_name ORDER BY r.rk)[1:3], '|'), '') AS similar_destinations
+FROM catalog c LEFT JOIN r ON r.cluster_profile = c.cluster_profile AND r.rk <= 4
+     AND r.destination_name <> c.destination_name
+GROUP BY c.destination_name, c.country, c.cluster_profile"""
+
+
+QUERIES.update({
+    "geocode_gazetteer": (q_geocode, o_geocode),
+    "incremental_poi_counts": (q_incremental_poi_counts, o_incremental_poi_counts),
+    "similar_destinations": (q_similar, o_similar),
+})

@@ -323,3 +323,23 @@ SELECT s_name AS destination_name, n_name AS country,
        CASE WHEN l_linenumber = 7 THEN NULL ELSE l_extendedprice END AS total
 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
 """
+
+
+# ------------------------------------------------------------------ gazetteer
+def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidate places: every lineitem proposes a point for its supplier's
+    name (written in upper case with padding, so matching must normalise)."""
+    li = _dest_key_lineitems(spark, sf_dir)
+    return li.select(F.concat(F.lit("  "), F.upper("destination_name"), F.lit(" ")).alias("search_name"),
+                     F.upper("country").alias("country"),
+                     ((F.col("l_orderkey") * 13) % 17000 / 100.0 - 85.0).alias("lat"),
+                     ((F.col("l_orderkey") * 7) % 36000 / 100.0 - 180.0).alias("lon"),
+                     F.col("l_extendedprice").alias("importance"))
+
+
+GAZETTEER_SQL = """
+SELECT '  ' || upper(s_name) || ' ' AS search_name, upper(n_name) AS country,
+       ((l_orderkey * 13) % 17000) / 100.0 - 85.0 AS lat, ((l_orderkey * 7) % 36000) / 100.0 - 180.0 AS lon,
+       l_extendedprice AS importance
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+"""

@@ -362,3 +362,60 @@ QUERIES.update({
     "incremental_poi_counts": (q_incremental_poi_counts, o_incremental_poi_counts),
     "similar_destinations": (q_similar, o_similar),
 })
+
+
+# -------------------------------------------------------------- L1-L4
+def q_enriched(spark, sf):
+    from tripforge.operators.enrich import enrich_recommendations
+    from tripforge.plans.registry import _recs
+    e = enrich_recommendations(_recs(spark, sf), "Solo")
+    facts = F.array_join(F.transform("facts", lambda f: F.concat_ws(":", f.level, f.label, f.detail)), "|")
+    return e.select("request_id", "rank", F.array_join("tags", "|").alias("tags"), facts.alias("facts"),
+                    "travel_story", "rating", "match_percent", "friendly_profile", "best_for")
+
+
+def _level_sql(x, levels, default):
+    arms = " ".join(f"WHEN {x} >= {b} THEN '{lab}'" for b, lab in levels)
+    return f"CASE {arms} ELSE '{default}' END"
+
+
+def o_enriched():
+    from tripforge import rules
+    from tripforge.plans import oracle
+    R = oracle.R
+    rw, rb, rf = R("weather_score"), R("budget_match_score"), R("food_recommendation_signal")
+    rbe, rc = R("beach_recommendation_signal"), R("culture_recommendation_signal")
+    rn, rni = R("nature_recommendation_signal"), R("nightlife_recommendation_signal")
+    tag_list = (f"list_filter([CASE WHEN {rbe} >= 80 THEN 'Excellent beaches' WHEN {rbe} >= 60 THEN 'Beach friendly' END, "
+                f"CASE WHEN {rf} >= 80 THEN 'Amazing food' WHEN {rf} >= 60 THEN 'Great food' END, "
+                f"CASE WHEN {rw} >= 80 THEN 'Excellent weather' WHEN {rw} >= 60 THEN 'Good weather' END, "
+                f"CASE WHEN {rn} >= 80 THEN 'Nature escapes' WHEN {rc} >= 80 THEN 'Culture rich' "
+                f"WHEN {rni} >= 80 THEN 'Nightlife' END], lambda x: x IS NOT NULL)")
+    tags = f"CASE WHEN len({tag_list}) = 0 THEN 'Balanced match' ELSE array_to_string(({tag_list})[1:3], '|') END"
+    beach_lvl = _level_sql("coalesce(nearby_beach_count, 0)", rules.BEACH_ACCESS_LEVELS, rules.BEACH_ACCESS_DEFAULT)
+    km = "(search_radius_m / 1000.0)"
+    radius = (f"CASE WHEN search_radius_m IS NULL OR search_radius_m <= 0 THEN 'adaptive radius' "
+              f"WHEN {km} = floor({km}) THEN printf('within %d km', CAST(floor({km}) AS BIGINT)) "
+              f"ELSE printf('within %s km', {oracle.sql_fmt1(km)}) END")
+    food_lvl = _level_sql(f"coalesce({rf}, 0.0)", rules.SCORE_LEVELS, rules.SCORE_LEVEL_DEFAULT)
+    cult_lvl = _level_sql(f"coalesce({rc}, 0.0)", rules.SCORE_LEVELS, rules.SCORE_LEVEL_DEFAULT)
+    bud_lvl = _level_sql(f"coalesce({rb}, 0.0)", rules.BUDGET_LEVELS, rules.BUDGET_LEVEL_DEFAULT)
+    wx_lvl = _level_sql(f"coalesce({rw}, 0.0)", rules.WEATHER_LEVELS, rules.WEATHER_LEVEL_DEFAULT)
+    facts = (f"{beach_lvl} || ':Beach access:' || {radius} || '|' || {food_lvl} || ':Food scene:restaurants and cafes|' || "
+             f"{cult_lvl} || ':Culture:museums nearby|' || {bud_lvl} || ':Budget fit:' || "
+             f"printf('Destination cost: %s<br>Cost-of-living proxy', coalesce(cost_level, 'Unknown')) || '|' || "
+             f"{wx_lvl} || ':Summer weather:' || printf('%sC, %s mm rain/day', "
+             f"{oracle.sql_fmt1('summer_avg_temp')}, {oracle.sql_fmt1('summer_avg_daily_rain')})")
+    friendly = "CASE " + " ".join(f"WHEN cluster_profile = '{k}' THEN '{v}'" for k, v in rules.FRIENDLY_CLUSTER_LABELS.items()) + " ELSE cluster_profile END"
+    best_for = "CASE " + " ".join(f"WHEN cluster_profile = '{k}' THEN '{v}'" for k, v in rules.BEST_FOR_TEXT.items()) + f" ELSE '{rules.BEST_FOR_DEFAULT}' END"
+    stay = "CASE " + " ".join(f"WHEN destination_name = '{k}' THEN '{v}'" for k, v in rules.GUIDE_STAY.items()) + f" ELSE '{rules.GUIDE_STAY_DEFAULT}' END"
+    story = (f"printf('%s is a strong choice if you want a %s with %s beach access, a %s food scene, and %s seasonal weather. "
+             f"It works especially well for %s travellers who want a trip that feels easy to plan but still has "
+             f"enough variety for %s.', destination_name, lower({friendly}), lower({beach_lvl}), lower({food_lvl}), "
+             f"lower({wx_lvl}), lower('Solo'), {stay})")
+    return (f"WITH {oracle.scored_ctes()}\nSELECT request_id, rank, {tags} AS tags, {facts} AS facts, {story} AS travel_story, "
+            f"4.0 + recommendation_score / 100.0 AS rating, CAST(round_even(recommendation_score, 0) AS INTEGER) AS match_percent, "
+            f"{friendly} AS friendly_profile, {best_for} AS best_for FROM top")
+
+
+QUERIES.update({"recommendation_cards": (q_enriched, o_enriched)})

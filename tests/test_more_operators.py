@@ -129,3 +129,17 @@ def test_registry_contract(spark):
     assert set(sql) <= set(qs)
     df = E.entry(spark)
     assert df.count() > 0 and "recommendation_score" in df.columns
+
+
+def test_explode_daily_and_seasons(spark):
+    from tripforge.operators.features import seasonal_features
+    from tripforge.sources.catalog_io import explode_daily
+    payload = ('{"daily":{"time":["2023-01-01","2023-07-01","2023-07-02","2024-12-31"],'
+               '"temperature_2m_mean":[2.0,25.0,27.0,"NaN"],"precipitation_sum":[1.0,0.0,0.5,2.0]}}')
+    df = spark.createDataFrame([(1, payload)], "destination_id long, payload string")
+    daily = explode_daily(df, ["destination_id"])
+    assert daily.count() == 4
+    s = seasonal_features(daily).first()
+    assert s.summer_avg_temp == 26.0 and s.summer_avg_daily_rain == 0.25
+    assert s.winter_avg_temp == 2.0 and s.winter_avg_daily_rain == 1.5  # NaN temperature -> null, skipped
+    assert s.spring_avg_temp is None

@@ -54,3 +54,23 @@ def write_stage(df: DataFrame, path: str, fmt: str = "parquet",
     else:
         writer.format(fmt).save(path)
     return path
+
+
+WEATHER_PAYLOAD_SCHEMA = T.StructType([T.StructField("daily", T.StructType([
+    T.StructField("time", T.ArrayType(T.StringType())),
+    T.StructField("temperature_2m_mean", T.ArrayType(T.DoubleType())),
+    T.StructField("precipitation_sum", T.ArrayType(T.DoubleType())),
+]))])
+
+
+def explode_daily(payloads: DataFrame, key: list[str], payload_col: str = "payload") -> DataFrame:
+    """Weather payload JSON (parallel arrays) -> one row per day with date
+    and month. Each payload is exploded where it lies (no shuffle)."""
+    from pyspark.sql import functions as F
+    p = payloads.select(*key, F.from_json(F.col(payload_col), WEATHER_PAYLOAD_SCHEMA).alias("__p"))
+    z = p.select(*key, F.explode(F.arrays_zip(F.col("__p.daily.time").alias("time"),
+                                              F.col("__p.daily.temperature_2m_mean").alias("t"),
+                                              F.col("__p.daily.precipitation_sum").alias("r"))).alias("__d"))
+    day = F.to_date(F.col("__d.time"))
+    return z.select(*key, day.alias("day"), F.month(day).alias("month"),
+                    F.col("__d.t").alias("temperature_2m_mean"), F.col("__d.r").alias("precipitation_sum"))

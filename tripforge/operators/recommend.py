@@ -310,13 +310,23 @@ def final_score() -> Column:
 
 
 def _pair(dest_seasons: DataFrame, sigs: DataFrame, max_broadcast_rows: int, blocks: int | None) -> DataFrame:
-    """Each signature meets the destination rows of its own season."""
-    n_sigs = sigs.count()
+    """Each signature meets the destination rows of its own season.
+
+    The smaller side within the broadcast limit is broadcast (both counts are
+    cheap: both inputs are written tables). Broadcasting the destination side
+    keeps the signatures hash-partitioned by id, so the top-N window that
+    follows needs no exchange at all.
+    """
+    n_dest, n_sigs = dest_seasons.count(), sigs.count()
+    on_season = dest_seasons.season_code == sigs.r_season_code
+    if n_dest <= max_broadcast_rows and n_dest <= n_sigs:
+        n_parts = int(sigs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return sigs.repartition(n_parts, "r_sig_id").join(F.broadcast(dest_seasons),
+                                                          sigs.r_season_code == dest_seasons.season_code)
     if n_sigs <= max_broadcast_rows:
-        # Signatures are the bounded side: broadcast them; the catalogue
-        # streams where it lies.
-        return dest_seasons.join(F.broadcast(sigs), dest_seasons.season_code == sigs.r_season_code)
-    # Too many to broadcast: hash-block the signatures and replicate the
+        # Signatures are the bounded side: the catalogue streams where it lies.
+        return dest_seasons.join(F.broadcast(sigs), on_season)
+    # Neither side fits: hash-block the signatures and replicate the
     # destination rows once per block (a blocked equi-join on season+block).
     n_blocks = blocks or -(-n_sigs // max_broadcast_rows)
     rb = sigs.withColumn("__block", F.pmod(F.col("r_sig_hash"), F.lit(n_blocks)))
@@ -331,7 +341,8 @@ def recommend(valid_requests: DataFrame, catalog: DataFrame, max_broadcast_rows:
     # Distinct signatures get a unique id, fixed by writing the table (an id
     # recomputed after a lost executor could otherwise change).
     sigs = cut_lineage(request_side(canon).withColumn("r_sig_id", F.monotonically_increasing_id()), "signatures")
-    pairs = _pair(destination_seasons(catalog.select(*SCORING_COLUMNS)), sigs, max_broadcast_rows, blocks)
+    dest_seasons = cut_lineage(destination_seasons(catalog.select(*SCORING_COLUMNS)), "destination_seasons")
+    pairs = _pair(dest_seasons, sigs, max_broadcast_rows, blocks)
     scored = pairs.select("destination_id", "destination_name", "country", "temp", "rain",
                           *rules.PREFERENCE_COLUMNS.values(), "r_sig_id", "r_season_code", "r_top_n", *[f"r_{p}" for p in PREFS],
                           *[v.alias(k) for k, v in pair_scores().items()])

@@ -61,10 +61,10 @@ def test_price_payload_keywords_and_missing(spark):
     assert out["a"].cappuccino_price_eur is None and out["a"].numbeo_contributors == 3
     assert out["b"].restaurant_meal_price_eur is None
     h = spark.createDataFrame([
-        ("a", 0, '{"data":[{"offers":[{"price":{"total":"100.0"}},{"price":{}}]}]}'),
-        ("a", 1, '{"data":[{"offers":[{"price":{"total":"300"}}]}]}'),
-        ("a", 25, '{"data":[{"offers":[{"price":{"total":"999"}}]}]}'),
-        ("a", 2, "not json")], "k string, hotel_index int, payload string")
+        ("a", 1, '{"data":[{"offers":[{"price":{"total":"100.0"}},{"price":{}}]}]}'),
+        ("a", 2, '{"data":[{"offers":[{"price":{"total":"300"}}]}]}'),
+        ("a", 21, '{"data":[{"offers":[{"price":{"total":"999"}}]}]}'),
+        ("a", 3, "not json")], "k string, hotel_rank int, payload string")
     s = hotel_price_stats(h, ["k"]).first()
     assert (s.avg_hotel_price_eur, s.median_hotel_price_eur, s.hotel_sample_size) == (200.0, 200.0, 2)
 

@@ -65,13 +65,15 @@ def keyword_prices(payloads: DataFrame, key: Sequence[str], payload_col: str = "
 
 # ------------------------------------------------------------------- S7 + A6
 def hotel_price_stats(offers: DataFrame, key: Sequence[str], payload_col: str = "payload",
-                      hotel_index_col: str = "hotel_index", max_hotels: int = rules.MAX_HOTELS) -> DataFrame:
+                      hotel_rank_col: str = "hotel_rank", max_hotels: int = rules.MAX_HOTELS) -> DataFrame:
     """Hotel offer JSON (one row per hotel) -> mean, exact median, sample size.
 
-    Only the first ``max_hotels`` hotels of a destination count; offers without
-    a total are skipped; a malformed record is skipped like a failed hotel call.
+    Only the first ``max_hotels`` hotels (1-based rank) of a destination count;
+    offers without a total are skipped; a malformed record is skipped like a
+    failed hotel call. When the rank comes from a ``dense_rank`` window, the
+    ``<=`` filter lets Spark cut each group to the limit before the shuffle.
     """
-    first = offers.where(F.col(hotel_index_col) < max_hotels)
+    first = offers.where(F.col(hotel_rank_col) <= max_hotels)
     parsed = first.select(*key, F.from_json(F.col(payload_col), HOTEL_OFFERS_SCHEMA).alias("__o"))
     totals = (parsed.select(*key, F.explode_outer("__o.data").alias("__h"))
               .select(*key, F.explode_outer("__h.offers").alias("__of"))

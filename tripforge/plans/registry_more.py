@@ -78,8 +78,10 @@ def q_hotel_stats(spark, sf):
 def travel_costs(spark, sf):
     from tripforge.operators.costs import add_travel_cost_index, cost_records
     dest = standins.destinations(spark, sf)
+    from tripforge.session import cut_lineage
     rec = cost_records(dest, q_keyword_prices(spark, sf), q_hotel_stats(spark, sf), KEY, "August", 3.0)
-    return add_travel_cost_index(rec)
+    # The min-max statistics and the final table both read the written records.
+    return add_travel_cost_index(cut_lineage(rec, "cost_records"))
 
 
 def q_travel_costs(spark, sf):
@@ -113,7 +115,7 @@ def _hotel_sql():
   CAST(count(total) AS INTEGER) AS hotel_sample_size
 FROM (SELECT *, row_number() OVER (PARTITION BY destination_name, country ORDER BY total) AS rn,
              count(total) OVER (PARTITION BY destination_name, country) AS n
-      FROM ({standins.HOTEL_OFFERS_SQL}) WHERE hotel_index < 20 AND total IS NOT NULL)
+      FROM ({standins.HOTEL_OFFERS_SQL}) WHERE hotel_rank <= 20 AND total IS NOT NULL)
 GROUP BY destination_name, country, n"""
 
 

@@ -297,7 +297,7 @@ def price_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hotel_offer_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders act as hotels (index = order rank within the supplier), each
+    """Orders act as hotels (rank = 1-based order rank within the supplier), each
     lineitem an offer; line 7 carries no total (skipped like a missing price)."""
     from pyspark.sql import Window
     li = _dest_key_lineitems(spark, sf_dir)
@@ -306,7 +306,7 @@ def hotel_offer_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     payload = F.to_json(F.struct(F.array(F.struct(F.array(F.struct(F.struct(total.alias("total")).alias("price")))
                                                   .alias("offers"))).alias("data")))
     w = Window.partitionBy("destination_name", "country").orderBy("l_orderkey")
-    return li.select("destination_name", "country", (F.dense_rank().over(w) - 1).alias("hotel_index"),
+    return li.select("destination_name", "country", F.dense_rank().over(w).alias("hotel_rank"),
                      payload.alias("payload"))
 
 
@@ -319,7 +319,7 @@ FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey
 
 HOTEL_OFFERS_SQL = """
 SELECT s_name AS destination_name, n_name AS country,
-       dense_rank() OVER (PARTITION BY s_name, n_name ORDER BY l_orderkey) - 1 AS hotel_index,
+       dense_rank() OVER (PARTITION BY s_name, n_name ORDER BY l_orderkey) AS hotel_rank,
        CASE WHEN l_linenumber = 7 THEN NULL ELSE l_extendedprice END AS total
 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
 """

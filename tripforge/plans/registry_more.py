@@ -421,3 +421,35 @@ def o_enriched():
 
 
 QUERIES.update({"recommendation_cards": (q_enriched, o_enriched)})
+
+
+# ------------------------------------------------------------------------ L7
+CHECK_MEASURES = ["food_recommendation_signal", "beach_recommendation_signal", "culture_recommendation_signal",
+                  "summer_avg_temp", "summer_avg_daily_rain", "cost_of_living_index", "overall_score"]
+
+
+def q_check_report(spark, sf):
+    """Destinations ranked first for at least one request (semi-join, J4)
+    against the whole catalogue (A20)."""
+    from tripforge.operators.reports import cohort_vs_population
+    from tripforge.plans.registry import _recs
+    cat = _cat(spark, sf)
+    top1 = _recs(spark, sf).where(F.col("rank") == 1).select(*KEY).distinct()
+    flagged = cat.join(top1.withColumn("recommended", F.lit(True)), KEY, "left").fillna({"recommended": False})
+    return cohort_vs_population(flagged, F.col("recommended"), CHECK_MEASURES)
+
+
+def o_check_report():
+    from tripforge.plans import oracle
+    parts = []
+    for m in CHECK_MEASURES:
+        c, p = f"avg(CASE WHEN recommended THEN {m} END)", f"avg({m})"
+        parts.append(f"SELECT '{m}' AS measure, {oracle.R(c)} AS cohort_mean, {oracle.R(p)} AS population_mean, "
+                     f"{oracle.R(f'{c} - {p}')} AS difference FROM flagged")
+    return (f"WITH {oracle.scored_ctes()},\n"
+            "flagged AS (SELECT c.*, (c.destination_name, c.country) IN "
+            "(SELECT (destination_name, country) FROM top WHERE rank = 1) AS recommended FROM catalog c)\n"
+            + "\nUNION ALL\n".join(parts))
+
+
+QUERIES.update({"recommendation_check_report": (q_check_report, o_check_report)})

@@ -22,6 +22,8 @@ _CATALOGS: dict[tuple[int, str], DataFrame] = {}
 
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The catalogue is built once per session and input folder (checkpointed)."""
+    from tripforge.session import apply_runtime_defaults
+    apply_runtime_defaults(spark)
     key = (id(spark), sf_dir)
     if key not in _CATALOGS:
         _CATALOGS[key] = build_catalog(spark, sf_dir)

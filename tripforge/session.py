@@ -40,6 +40,21 @@ def build_session(master: str | None = None, app_name: str = "tripforge",
     return spark
 
 
+RUNTIME_DEFAULTS = {
+    # (setting, value we want, Spark's default): only a setting still at its
+    # default is changed, so an explicit choice of the caller is kept.
+    "spark.sql.codegen.hugeMethodLimit": ("8000", "65535"),
+    "spark.sql.adaptive.skewJoin.enabled": ("true", "true"),
+}
+
+
+def apply_runtime_defaults(spark: SparkSession) -> None:
+    """Runtime SQL settings the plans rely on, for sessions we did not build."""
+    for key, (want, spark_default) in RUNTIME_DEFAULTS.items():
+        if spark.conf.get(key, spark_default) == spark_default:
+            spark.conf.set(key, want)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 

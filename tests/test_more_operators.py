@@ -143,3 +143,22 @@ def test_explode_daily_and_seasons(spark):
     assert s.summer_avg_temp == 26.0 and s.summer_avg_daily_rain == 0.25
     assert s.winter_avg_temp == 2.0 and s.winter_avg_daily_rain == 1.5  # NaN temperature -> null, skipped
     assert s.spring_avg_temp is None
+
+
+def test_ward_merge_matches_bruteforce_sse():
+    import itertools
+    from tripforge.operators.cluster import _ward_merge
+    rng = np.random.default_rng(5)
+    pts = rng.normal(0, 1, (7, 2))
+    labels = _ward_merge(pts, [1] * 7, 3)
+    assert len(set(labels)) == 3
+
+    def sse(groups):
+        return sum(((pts[g] - pts[g].mean(0)) ** 2).sum() for g in groups)
+    # greedy Ward: each merge is the cheapest one available (check the first merge)
+    costs = {(i, j): 0.5 * ((pts[i] - pts[j]) ** 2).sum() for i, j in itertools.combinations(range(7), 2)}
+    i, j = min(costs, key=costs.get)
+    assert labels[i] == labels[j]
+    # weighted points: a point of weight 3 behaves like three copies
+    w = _ward_merge([[0.0], [0.1], [5.0], [5.2]], [3, 1, 1, 1], 2)
+    assert w[0] == w[1] and w[2] == w[3] and w[0] != w[2]

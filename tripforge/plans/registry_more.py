@@ -453,3 +453,11 @@ def o_check_report():
 
 
 QUERIES.update({"recommendation_check_report": (q_check_report, o_check_report)})
+
+
+def q_ward(spark, sf):
+    from tripforge.operators.cluster import ward_clusters
+    return ward_clusters(_cat(spark, sf), 3)
+
+
+QUERIES.update({"ward_clusters_k3": (q_ward, None)})

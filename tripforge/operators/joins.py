@@ -50,10 +50,11 @@ def semi_then_attach(df: DataFrame, names: DataFrame, scores: DataFrame, key: Se
     return df.join(names, list(key), "left_semi").join(scores, list(key), "left")
 
 
-def lookup_with_default(df: DataFrame, table: DataFrame, key: str, value: str,
+def lookup_with_default(df: DataFrame, table: DataFrame, key: str, table_key: str, value: str,
                         out: str, default=None, default_col: str | None = None) -> DataFrame:
-    """Broadcast lookup; missing -> literal default or another column."""
-    joined = df.join(F.broadcast(table.select(F.col(key).alias("__lk"), F.col(value).alias("__lv"))),
+    """Lookup in a small rule table (broadcast); missing -> a literal
+    default or another column of ``df``."""
+    joined = df.join(F.broadcast(table.select(F.col(table_key).alias("__lk"), F.col(value).alias("__lv"))),
                      F.col(key) == F.col("__lk"), "left")
     fallback = F.col(default_col) if default_col else F.lit(default)
     return joined.withColumn(out, F.coalesce(F.col("__lv"), fallback)).drop("__lk", "__lv")

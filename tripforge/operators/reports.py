@@ -233,3 +233,9 @@ def ranked_within(df: DataFrame, group: str, order: Sequence[Column], k: int, ra
     """Deterministic top-k inside each group."""
     w = Window.partitionBy(group).orderBy(*order)
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
+
+
+def limit_input(df: DataFrame, n: int | None, key: Sequence[str] = ("destination_name", "country")) -> DataFrame:
+    """T4: the first ``n`` rows by key (row order is undefined in Spark, so
+    'head' is made deterministic by an explicit order)."""
+    return df if not n else df.orderBy(*key).limit(n)

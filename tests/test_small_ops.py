@@ -68,3 +68,23 @@ def test_round_numeric_new_columns_limit(spark):
     assert [x.destination_name for x in limit_input(df, 1).collect()] == ["a"]
     after = df.withColumn("w", F.lit(1.0)).withColumn("flag", F.lit(True))
     assert [(x.column, x.type) for x in new_columns(df, after).collect()] == [("w", "double"), ("flag", "boolean")]
+
+
+def test_catalog_assembly_and_json_output(spark, sample):
+    import json
+    from tripforge.operators.features import add_scores
+    from tripforge.operators.recommend import recommend
+    from tripforge.plans.catalog import assemble_catalog, feature_chain
+    from tripforge.sources.requests import parse_requests, recommendations_to_json
+    places = add_scores(sample.drop("cost_of_living_index", "cluster_profile"))
+    feats = feature_chain(places, sample.select("destination_name", "country", "cost_of_living_index"))
+    cat = assemble_catalog(feats, sample.select("destination_name", "country", "cluster_profile"))
+    cat = cat.withColumn("destination_id", F.xxhash64("destination_name", "country"))
+    assert cat.count() == 20 and cat.where(F.col("cluster_profile").isNull()).count() == 0
+    req = spark.createDataFrame([(1, 8.0, 9.0, 3.0, 6.0, 4.0, "August", None, None, 2)],
+                                "request_id long, food double, beach double, culture double, nature double, "
+                                "nightlife double, month string, budget string, weather_preference string, top_n int")
+    valid, _ = parse_requests(req)
+    doc = json.loads(recommendations_to_json(recommend(valid, cat)).first().json)
+    assert [r["destination_name"] for r in doc["recommendations"]] == ["Mallorca", "Split"]
+    assert doc["recommendations"][0]["reason"]["beach"] == 100.0

@@ -82,3 +82,14 @@ def build_catalog(spark: SparkSession, sf_dir: str, rank_method: str = "bucketed
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
         cat = cut_lineage(cat.repartition(n, "destination_id"), "catalog")
     return cat
+
+
+def assemble_catalog(features: DataFrame, clustered: DataFrame,
+                     key: tuple[str, ...] = ("destination_name", "country"), rank_method: str = "bucketed") -> DataFrame:
+    """When the clustered table lacks the scoring columns, join its cluster
+    labels onto the full feature table (validated one-to-one), then add the
+    recommendation signals. Built once and persisted, not per request."""
+    from tripforge.operators.joins import left_join_1to1
+    labels = clustered.select(*key, *[c for c in ("cluster", "cluster_profile") if c in clustered.columns])
+    base = features.drop(*[c for c in ("cluster", "cluster_profile") if c in features.columns])
+    return add_recommendation_signals(left_join_1to1(base, labels, list(key)), rank_method=rank_method)

@@ -220,8 +220,8 @@ pairs AS (SELECT r.request_id, r.season, r.top_n, r.food AS p_food, r.beach AS p
 scored AS (SELECT *, budget_match_score AS cost_score,
        CASE WHEN {final} > 100 THEN 100.0 ELSE {final} END AS recommendation_score
      FROM pairs),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY recommendation_score DESC NULLS LAST,
-       destination_name, country, destination_id) AS rank FROM scored),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY request_id ORDER BY recommendation_score DESC NULLS LAST,
+       destination_name, country, destination_id) AS INTEGER) AS rank FROM scored),
 top AS (SELECT * FROM ranked WHERE rank <= top_n)"""
 
 

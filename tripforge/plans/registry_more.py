@@ -143,7 +143,7 @@ def _travel_sql():
                      ["median_hotel_price_eur", "restaurant_meal_price_eur", "cappuccino_price_eur",
                       "groceries_basket_price_eur", "museum_or_attraction_price_eur", "local_transport_price_eur"])
     return f"""rec AS (
-  SELECT d.destination_name, d.country, 'August' AS month, 3.0 AS hotel_search_radius_km,
+  SELECT d.destination_name, d.country, 'August' AS month, CAST(3.0 AS DOUBLE) AS hotel_search_radius_km,
          h.avg_hotel_price_eur, h.median_hotel_price_eur, coalesce(h.hotel_sample_size, 0) AS hotel_sample_size,
          p.restaurant_meal_price_eur, p.cappuccino_price_eur, p.groceries_basket_price_eur, p.local_transport_price_eur,
          p.numbeo_city_name, p.numbeo_contributors, CAST(NULL AS DOUBLE) AS museum_or_attraction_price_eur,

@@ -29,3 +29,19 @@ def test_bucketed_equals_window_and_pandas_with_hot_value(spark):
     b = pct_ranks(df, ["k"], specs, method="window").orderBy("k").collect()
     assert [(r.p, r.q) for r in a] == [(r.p, r.q) for r in b]
     assert [r.p for r in a] == _pandas_pct(vals)
+
+
+def test_property_bucketed_equals_pandas(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(st.one_of(st.none(), st.integers(-3, 3).map(float), st.floats(-1e6, 1e6)), min_size=1, max_size=40),
+           st.integers(1, 6))
+    def check(vals, buckets):
+        df = spark.createDataFrame(list(enumerate(vals)), "k long, x double")
+        got = [r.p for r in pct_ranks(df, ["k"], {"p": F.col("x")}, method="bucketed",
+                                      n_buckets=buckets).orderBy("k").collect()]
+        assert got == _pandas_pct(vals)
+
+    check()

@@ -17,14 +17,14 @@ from tripforge.plans.catalog import build_catalog
 from tripforge.sources import standins
 from tripforge.sources.requests import parse_requests
 
-_CATALOGS: dict[tuple[int, str], DataFrame] = {}
+_CATALOGS: dict[tuple[str, str], DataFrame] = {}
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The catalogue is built once per session and input folder (checkpointed)."""
     from tripforge.session import apply_runtime_defaults
     apply_runtime_defaults(spark)
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _CATALOGS:
         _CATALOGS[key] = build_catalog(spark, sf_dir)
     return _CATALOGS[key]

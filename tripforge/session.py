@@ -55,18 +55,24 @@ def apply_runtime_defaults(spark: SparkSession) -> None:
             spark.conf.set(key, want)
 
 
+_LOCAL_CKPT: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting points at shared storage and is used as is.
-    Only when it is unset (local runs, tests) do we create a scratch folder.
+    Only when it is unset (local runs, tests) do we create a scratch folder,
+    remembered per application (the setting itself cannot be changed at
+    runtime).
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="tripforge-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
+        app = spark.sparkContext.applicationId
+        configured = _LOCAL_CKPT.get(app)
+        if configured is None:
+            configured = spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="tripforge-ckpt-")
+            _LOCAL_CKPT[app] = configured
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(configured)
     return configured

@@ -79,8 +79,7 @@ def build_catalog(spark: SparkSession, sf_dir: str, rank_method: str = "bucketed
     feats = add_recommendation_signals(feats, rank_method=rank_method)
     cat = feats.withColumn("cluster_profile", profile_by_rule())
     if persist:
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        cat = cut_lineage(cat.repartition(n, "destination_id"), "catalog")
+        cat = cut_lineage(cat, "catalog")
     return cat
 
 

@@ -88,3 +88,24 @@ def test_catalog_assembly_and_json_output(spark, sample):
     doc = json.loads(recommendations_to_json(recommend(valid, cat)).first().json)
     assert [r["destination_name"] for r in doc["recommendations"]] == ["Mallorca", "Split"]
     assert doc["recommendations"][0]["reason"]["beach"] == 100.0
+
+
+def test_stage_write_optional_read_and_json_requests(spark, tmp_path):
+    from pyspark.sql import types as T
+    from tripforge.sources.catalog_io import read_optional, write_stage
+    from tripforge.sources.requests import parse_requests, requests_from_json
+    schema = T.StructType([T.StructField("destination_name", T.StringType()), T.StructField("v", T.DoubleType())])
+    df = spark.createDataFrame([("a", 1.0), ("b", 2.5)], schema)
+    for fmt, name in (("parquet", "stage"), ("csv", "stage.csv")):
+        path = write_stage(df, str(tmp_path / name), fmt=fmt)
+        back = read_optional(spark, path, schema, fmt=fmt)
+        assert sorted(tuple(r) for r in back.collect()) == [("a", 1.0), ("b", 2.5)]
+    assert read_optional(spark, str(tmp_path / "missing"), schema) is None
+    bodies = spark.createDataFrame([('{"request_id": 1, "food": 8, "beach": 9, "culture": 3, "nature": 6, '
+                                     '"nightlife": 4, "month": "August"}',),
+                                    ('{"request_id": 2, "food": 1, "month": "Nope"}',)], "body string")
+    valid, rejected = parse_requests(requests_from_json(bodies))
+    v = valid.first()
+    assert (v.request_id, v.season, v.budget, v.weather_preference, v.top_n) == (1, "summer", "Medium (Comfort)", "Any", 5)
+    err = rejected.first().error
+    assert "beach must be between 0 and 10" in err and "Invalid month 'Nope'" in err

@@ -39,7 +39,7 @@ from tripforge.llm.common import mix64, place_factors, steps, stored, word_hashe
 from tripforge.llm.components import components
 
 #: Documents whose elements are counted for the order, and elements put last.
-SAMPLE_DOCUMENTS, FREQUENT = 20_000, 500_000
+SAMPLE_DOCUMENTS, FREQUENT = 10_000, 500_000
 #: Bits of a signature, nodes of a block of a shared key.
 BITS, BLOCK = 1024, 2000
 #: Ids up to this number are broadcast (8 bytes each), more are joined.
@@ -189,7 +189,7 @@ def shared_keys(rows: DataFrame, partitions: int) -> DataFrame:
             starts = np.flatnonzero(first)
             centre, size = v[starts], n[starts]
             if given:
-                centre, size = np.concatenate([[c0], centre]), np.concatenate([[m0], size])
+                centre, size = (np.concatenate([np.array([h], x.dtype), x]) for h, x in ((c0, centre), (m0, size)))
             count = np.bincount(run_of, minlength=len(centre))
             several = count > 1
             if given:

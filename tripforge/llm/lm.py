@@ -33,8 +33,8 @@ from tripforge.llm.common import mix64, steps, stored, word_hashes
 #: Logarithmic scale of counts, bits of a region, bits of filter per event, probes per event.
 GROWTH, REGION_BITS, EVENT_BITS, PROBES = 1.25, 1 << 23, 10, 7
 MAX_FILTER_MB = 128
-#: Words whose exact counts are broadcast (16 bytes each).
-FREQUENT_WORDS = 1_000_000
+#: Most words whose exact counts are broadcast (16 bytes each).
+FREQUENT_WORDS = 200_000
 #: Least count of a pair that is kept, and mass kept for unseen pairs by each pair model.
 LEAST_PAIR = 2
 UNSEEN = (0.9, 0.5, 0.1, 0.02)
@@ -214,11 +214,19 @@ def train(texts: DataFrame, max_filter_mb: int = MAX_FILTER_MB) -> tuple[dict, D
     n, v, events = counts.agg(F.sum(F.when(is_word, F.col("c"))), F.count_if(is_word), F.sum(steps_)).first()
     regions = int(max(1, min(max_filter_mb, (events or 0) * EVENT_BITS // REGION_BITS + 1)))
     words = counts.filter(is_word)
-    top = words.orderBy(F.desc("c"), "key").limit(FREQUENT_WORDS).toPandas().sort_values("key")
+    # the least logarithmic step that leaves few enough words
+    step = F.floor(F.log("c") / float(np.log(GROWTH)))
+    least, total = 1 << 62, 0
+    for r in words.groupBy(step.alias("s")).agg(F.count("*").alias("words"), F.min("c").alias("c")).orderBy(F.desc("s")).collect():
+        total += r["words"]
+        if total > FREQUENT_WORDS:
+            break
+        least = r["c"]
+    top = words.filter(F.col("c") >= least).toPandas()
     key = top["key"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(key)
     return {"bits": build_filter(counts, regions), "n": int(n or 0), "v": int(v or 0), "texts": texts.count(),
-            "words": key[order], "counts": top["c"].to_numpy(np.int64)[order], "more": int(v or 0) > FREQUENT_WORDS}, words
+            "words": key[order], "counts": top["c"].to_numpy(np.int64)[order], "more": int(v or 0) > len(key)}, words
 
 
 def score(docs: DataFrame, model: dict, words: DataFrame) -> DataFrame:

@@ -39,7 +39,7 @@ FREQUENT_WORDS = 200_000
 LEAST_PAIR = 2
 UNSEEN = (0.9, 0.5, 0.1, 0.02)
 #: Tokens counted together before a task hands on partial counts.
-FLUSH = 3_000_000
+FLUSH = 1_500_000
 
 _START, _END = np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9E6C63D0876A9A47)
 _ONE = np.uint64(1)
@@ -110,8 +110,13 @@ def count_rows(texts: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------- the filter
-def _slots(keys: np.ndarray, level: int, probe: int) -> np.ndarray:
-    return mix64(keys + np.uint64(level * 0x9FB21C651E98DF25 % 2**64) + np.uint64((probe + 1) * 0xC13FA9A902A6328F % 2**64)) & np.uint64(REGION_BITS - 1)
+def _slots(keys: np.ndarray, level: int):
+    """The slot of each key's event at ``level``, probe after probe (double hashing)."""
+    h = mix64(keys + np.uint64(level * 0x9FB21C651E98DF25 % 2**64))
+    step = (h >> np.uint64(40)) | _ONE
+    for _ in range(PROBES):
+        yield h & np.uint64(REGION_BITS - 1)
+        h = h + step
 
 
 def _region(keys: np.ndarray, regions: int) -> np.ndarray:
@@ -133,8 +138,7 @@ def build_filter(counts: DataFrame, regions: int) -> np.ndarray:
         q = level_of(np.where(k & _ONE, c, c - LEAST_PAIR + 1))
         level = 1
         while len(k):
-            for p in range(PROBES):
-                s = _slots(k, level, p)
+            for s in _slots(k, level):
                 np.bitwise_or.at(bits, (s >> np.uint64(3)).astype(np.int64), np.uint8(1) << (s & np.uint64(7)).astype(np.uint8))
             level += 1
             k, q = k[q >= level], q[q >= level]
@@ -155,12 +159,14 @@ def probe_levels(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
     flat = bits.reshape(-1)
     level = 1
     while len(alive) and level <= len(SCALE):
-        for p in range(PROBES):
-            s = _slots(keys[alive], level, p)
-            hit = flat[base[alive] + (s >> np.uint64(3)).astype(np.int64)] >> (s & np.uint64(7)).astype(np.uint8) & 1
-            alive = alive[hit.astype(bool)]
-            if not len(alive):
-                break
+        h = mix64(keys[alive] + np.uint64(level * 0x9FB21C651E98DF25 % 2**64))
+        step, at = (h >> np.uint64(40)) | _ONE, base[alive]
+        for _ in range(PROBES):
+            s = h & np.uint64(REGION_BITS - 1)
+            hit = (flat[at + (s >> np.uint64(3)).astype(np.int64)] >> (s & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+            if not hit.all():
+                alive, h, step, at = alive[hit], h[hit], step[hit], at[hit]
+            h = h + step
         found[alive] = level
         level += 1
     return found
@@ -200,7 +206,13 @@ def score_texts(texts: list[str | None], model: dict):
     base = per_doc(np.log10(count + 1.0)[at])
     n_known = per_doc(known[at])
     rest = ~known[at]
-    rows = np.unique(np.stack([doc[rest].astype(np.uint64), cur[rest]], 1), axis=0, return_counts=True) if model["more"] and rest.any() else None
+    rows = None
+    if model["more"] and rest.any():
+        d, k = doc[rest], cur[rest]
+        order = np.argsort(k, kind="stable")  # texts stay in order within a key
+        d, k = d[order], k[order]
+        first = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (d[1:] != d[:-1])]))
+        rows = d[first], k[first], np.diff(np.append(first, len(k)))
     return n_tokens, score, base, n_known, rows
 
 
@@ -247,9 +259,9 @@ def score(docs: DataFrame, model: dict, words: DataFrame) -> DataFrame:
                     [rid, key, pa.nulls(hi - lo, pa.int64()), part.column("doc_id"), part.column("held_out"), pa.array(n_tokens.astype(np.int64)),
                      pa.array(n_known.astype(np.int64)), pa.array(base), pa.array(score_)], names)
                 if rows is not None:
-                    (pairs, c), none = rows, len(rows[1])
+                    (d, k, c), none = rows, len(rows[0])
                     yield pa.RecordBatch.from_arrays(
-                        [rid.take(pa.array(pairs[:, 0].astype(np.int64))), pa.array(pairs[:, 1].view(np.int64)), pa.array(c.astype(np.int64)),
+                        [rid.take(pa.array(d)), pa.array(k.view(np.int64)), pa.array(c),
                          pa.nulls(none, part.column("doc_id").type), pa.nulls(none, pa.bool_()), pa.nulls(none, pa.int64()),
                          pa.nulls(none, pa.int64()), pa.nulls(none, pa.float64()), pa.nulls(none, pa.float64())], names)
 

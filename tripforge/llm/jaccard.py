@@ -92,17 +92,18 @@ def links(inter, a, b, percent: int):
 
 # ------------------------------------------------------------------ passes
 def digest_rows(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n (set size), node (null for an empty set)."""
+    """doc_id, n (set size), node and bits (null for an empty set)."""
 
     def run(batches):
         for b in batches:
             sets = element_sets(b.column("text").to_pylist(), words)
             yield pa.RecordBatch.from_pydict({
                 "doc_id": b.column("doc_id"), "n": pa.array([len(s) for s in sets], pa.int64()),
-                "node": pa.array([node_of(s) if len(s) else None for s in sets], pa.int64())})
+                "node": pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()),
+                "bits": pa.array([bitmap(s) if len(s) else None for s in sets], pa.binary())})
 
     d = docs.select("doc_id", "text")
-    return d.mapInArrow(run, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, n long, node long")
+    return d.mapInArrow(run, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, n long, node long, bits binary")
 
 
 def frequent_elements(docs: DataFrame, words: int, rows: int) -> np.ndarray:
@@ -206,35 +207,21 @@ def shared_keys(rows: DataFrame, partitions: int) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, words: int, digests: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node, elements (sorted bytes), bits: once for each of ``nodes``."""
-    n = nodes.count()
+    """node, elements (sorted bytes) of ``nodes``, each from one document that has it."""
+    ids = stored(digests.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "jaccard-ids")
+    some = ids.select(F.col("doc_id").alias("_id")).distinct()
+    if ids.count() <= BROADCAST_IDS:
+        some = F.broadcast(some)
     d = docs.select("doc_id", "text").filter("text is not null")
-    if n <= BROADCAST_IDS:
-        wanted = np.sort(nodes.toPandas()["node"].to_numpy(np.int64))
-    else:
-        wanted = None
-        ids = digests.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
-        d = d.join(ids, d["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
-    shared = docs.sparkSession.sparkContext.broadcast(wanted)
+    d = d.join(some, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
 
     def run(batches):
-        ids = shared.value
         for b in batches:
-            out = {}
-            for s in element_sets(b.column("text").to_pylist(), words):
-                if len(s):
-                    node = node_of(s)
-                    if node not in out and (ids is None or ids[min(np.searchsorted(ids, node), len(ids) - 1)] == node):
-                        out[node] = (s.tobytes(), bitmap(s))
-            yield pa.RecordBatch.from_pydict({"node": pa.array(list(out), pa.int64()), "elements": pa.array([x[0] for x in out.values()], pa.binary()),
-                                              "bits": pa.array([x[1] for x in out.values()], pa.binary())})
+            out = {node_of(s): s for s in element_sets(b.column("text").to_pylist(), words) if len(s)}
+            yield pa.RecordBatch.from_pydict({"node": pa.array(list(out), pa.int64()), "elements": pa.array([s.tobytes() for s in out.values()], pa.binary())})
 
-    if n == 0:
-        return docs.sparkSession.createDataFrame([], "node long, elements binary, bits binary")
-    found = d.mapInArrow(run, "node long, elements binary, bits binary")
-    if wanted is None:
-        found = found.join(nodes, "node", "left_semi")
-    return found.groupBy("node").agg(F.first("elements").alias("elements"), F.first("bits").alias("bits"))
+    found = d.mapInArrow(run, "node long, elements binary").join(nodes, "node", "left_semi")
+    return found.groupBy("node").agg(F.first("elements").alias("elements"))
 
 
 def overlap_bound(a: np.ndarray, b: np.ndarray, na, nb) -> np.ndarray:
@@ -242,9 +229,8 @@ def overlap_bound(a: np.ndarray, b: np.ndarray, na, nb) -> np.ndarray:
     return (na + nb - np.bitwise_count(a ^ b).sum(-1, dtype=np.int64)) // 2
 
 
-def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) that link: bit counts first, then exact intersection."""
-    bits = sets.select("node", "bits")
+def pass_bits(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs`` (a, na, b, nb) whose bit counts allow a link."""
     p = (pairs.join(bits.withColumnsRenamed({"node": "a", "bits": "ba"}), "a")
          .join(bits.withColumnsRenamed({"node": "b", "bits": "bb"}), "b"))
 
@@ -257,6 +243,14 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             ok = links(np.minimum(overlap_bound(p, q, na, nb), np.minimum(na, nb)), na, nb, percent)
             yield pa.RecordBatch.from_arrays([x.column("a").filter(pa.array(ok)), x.column("b").filter(pa.array(ok))], ["a", "b"])
 
+    return p.select("a", "b", "na", "nb", "ba", "bb").mapInArrow(by_bits, "a long, b long")
+
+
+def pass_exact(pairs: DataFrame, docs: DataFrame, words: int, digests: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs`` (a, b) that link, by intersecting their sorted sets."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    e = stored(sets_of(docs, words, digests, nodes), "jaccard-sets")
+
     def exact(batches):
         for x in batches:
             keep = []
@@ -266,9 +260,7 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             ok = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([x.column("a").filter(ok), x.column("b").filter(ok)], ["a", "b"])
 
-    p = p.select("a", "b", "na", "nb", "ba", "bb").mapInArrow(by_bits, "a long, b long")
-    e = sets.select("node", "elements")
-    p = (p.join(e.withColumnsRenamed({"node": "a", "elements": "ea"}), "a")
+    p = (pairs.join(e.withColumnsRenamed({"node": "a", "elements": "ea"}), "a")
          .join(e.withColumnsRenamed({"node": "b", "elements": "eb"}), "b"))
     return p.select("a", "b", "ea", "eb").mapInArrow(exact, "a long, b long")
 
@@ -340,17 +332,16 @@ def link_nodes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, Da
     first = (shared.filter(f"node != centre and {percent} * greatest(n, cn) <= 100 * least(n, cn)")
              .groupBy(F.col("node").alias("b")).agg(F.min(F.struct(F.col("centre").alias("a"), F.col("cn").alias("na"))).alias("x"), F.first("n").alias("nb"))
              .select("x.a", F.col("x.na").cast("long").alias("na"), "b", F.col("nb").cast("long").alias("nb")))
-    first = stored(first, "jaccard-first")
-    nodes = first.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    forest = components(verify(first, stored(sets_of(docs, words, digests, nodes), "jaccard-sets"), percent))
-    forest = stored(forest, "jaccard-forest")
+    bits = stored(digests.filter("node is not null").groupBy("node").agg(F.first("bits").alias("bits")), "jaccard-bits")
+    first = stored(pass_bits(first, bits, percent), "jaccard-first")
+    forest = stored(components(pass_exact(first, docs, words, digests, percent)), "jaccard-forest")
 
     m = (shared.select("key", "node", "n").join(forest, "node", "left")
          .withColumn("component", F.coalesce("component", "node")))
     mixed = m.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("key")
     mixed = stored(m.join(mixed, "key", "left_semi"), "jaccard-mixed")
-    sets = stored(sets_of(docs, words, digests, mixed.select("node").distinct()), "jaccard-mixed-sets")
-    more = verify(stored(block_pairs(mixed, sets.select("node", "bits"), percent), "jaccard-pairs"), sets, percent)
+    pairs = stored(block_pairs(mixed, bits, percent).select("a", "b"), "jaccard-pairs")
+    more = pass_exact(pairs, docs, words, digests, percent)
 
     edges = forest.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
     return digests, stored(components(edges), "jaccard-components")

@@ -40,8 +40,8 @@ from tripforge.llm.components import components
 
 #: Documents whose elements are counted for the order, and elements put last.
 SAMPLE_DOCUMENTS, FREQUENT = 10_000, 500_000
-#: Bits of a signature, nodes of a block of a shared key.
-BITS, BLOCK = 1024, 2000
+#: Fewest bits of a signature, nodes of a block of a shared key.
+LEAST_BITS, BLOCK = 512, 2000
 #: Ids up to this number are broadcast (8 bytes each), more are joined.
 BROADCAST_IDS = 2_000_000
 
@@ -81,9 +81,37 @@ def band(size: int, percent: int) -> int:
 
 
 def bitmap(s: np.ndarray) -> bytes:
-    bits = np.zeros(BITS, np.uint8)
-    np.bitwise_xor.at(bits, (s % np.uint64(BITS)).astype(np.int64), 1)
-    return np.packbits(bits).tobytes()
+    """Parity of the elements of each bit; as many bits as elements, rounded up to a power of two."""
+    width = max(LEAST_BITS, 1 << (len(s) - 1).bit_length())
+    n = np.bincount((s % np.uint64(width)).astype(np.int64), minlength=width)
+    return np.packbits((n & 1).astype(np.uint8)).tobytes()
+
+
+def folded(bits: bytes, width: int) -> np.ndarray:
+    """The bitmap of ``width`` bytes of the same set: halves are added until it is as short."""
+    x = np.frombuffer(bits, np.uint8)
+    while len(x) > width:
+        x = x[: len(x) // 2] ^ x[len(x) // 2:]
+    return x.view(np.uint64)
+
+
+def bits_allow(bits: list[bytes], p: np.ndarray, q: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
+    """Whether the bit counts of sets ``p`` and ``q`` (rows of ``bits``) allow a link.
+
+    Half of the sizes less the bits that differ is the most that both can share."""
+    size = np.array([len(x) for x in bits])
+    width = np.minimum(size[p], size[q])
+    ok = np.zeros(len(p), bool)
+    for w in np.unique(width):
+        at = np.flatnonzero(width == w)
+        rows, place = np.unique(np.concatenate([p[at], q[at]]), return_inverse=True)
+        m = np.stack([folded(bits[i], w) for i in rows])
+        for lo in range(0, len(at), max(1, (1 << 22) // int(w))):
+            hi = min(len(at), lo + max(1, (1 << 22) // int(w)))
+            differ = np.bitwise_count(m[place[lo:hi]] ^ m[place[len(at) + lo: len(at) + hi]]).sum(1, dtype=np.int64)
+            na, nb = n[p[at[lo:hi]]], n[q[at[lo:hi]]]
+            ok[at[lo:hi]] = links(np.minimum((na + nb - differ) // 2, np.minimum(na, nb)), na, nb, percent)
+    return ok
 
 
 def links(inter, a, b, percent: int):
@@ -224,11 +252,6 @@ def sets_of(docs: DataFrame, words: int, digests: DataFrame, nodes: DataFrame) -
     return found.groupBy("node").agg(F.first("elements").alias("elements"))
 
 
-def overlap_bound(a: np.ndarray, b: np.ndarray, na, nb) -> np.ndarray:
-    """Most common elements that parity bitmaps allow: half of sizes less differing bits."""
-    return (na + nb - np.bitwise_count(a ^ b).sum(-1, dtype=np.int64)) // 2
-
-
 def pass_bits(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
     """Those of ``pairs`` (a, na, b, nb) whose bit counts allow a link."""
     p = (pairs.join(bits.withColumnsRenamed({"node": "a", "bits": "ba"}), "a")
@@ -238,10 +261,10 @@ def pass_bits(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
         for x in batches:
             if not x.num_rows:
                 continue
-            p, q = (np.frombuffer(b"".join(x.column(c).to_pylist()), np.uint64).reshape(x.num_rows, -1) for c in ("ba", "bb"))
-            na, nb = (x.column(c).to_numpy().astype(np.int64) for c in ("na", "nb"))
-            ok = links(np.minimum(overlap_bound(p, q, na, nb), np.minimum(na, nb)), na, nb, percent)
-            yield pa.RecordBatch.from_arrays([x.column("a").filter(pa.array(ok)), x.column("b").filter(pa.array(ok))], ["a", "b"])
+            n = np.concatenate([x.column(c).to_numpy().astype(np.int64) for c in ("na", "nb")])
+            rows = np.arange(x.num_rows)
+            ok = pa.array(bits_allow(x.column("ba").to_pylist() + x.column("bb").to_pylist(), rows, rows + x.num_rows, n, percent))
+            yield pa.RecordBatch.from_arrays([x.column("a").filter(ok), x.column("b").filter(ok)], ["a", "b"])
 
     return p.select("a", "b", "na", "nb", "ba", "bb").mapInArrow(by_bits, "a long, b long")
 
@@ -296,7 +319,7 @@ def block_pairs(mixed: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
         for x in tiles(batches):
             key, i, j, own, v, n, c = (x.column(k).to_numpy() for k in ("key", "i", "j", "own", "node", "n", "component"))
             n = n.astype(np.int64)
-            bits = np.frombuffer(b"".join(x.column("bits").to_pylist()), np.uint64).reshape(len(v), -1)
+            bits = x.column("bits").to_pylist()
             new = np.concatenate([[True], (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
             end = np.append(np.flatnonzero(new)[1:], len(v))[np.cumsum(new) - 1]
             todo = end - np.arange(len(v)) - 1  # partners of each row: the rest of its tile
@@ -309,9 +332,9 @@ def block_pairs(mixed: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
                 lo = hi
                 t = (c[p] != c[q]) & (percent * np.maximum(n[p], n[q]) <= 100 * np.minimum(n[p], n[q])) & ((i[p] == j[p]) | (own[p] != own[q]))
                 p, q = p[t], q[t]
-                bound = np.minimum(overlap_bound(bits[p], bits[q], n[p], n[q]), np.minimum(n[p], n[q]))
-                t = links(bound, n[p], n[q], percent)
-                p, q = p[t], q[t]
+                if len(p):
+                    t = bits_allow(bits, p, q, n, percent)
+                    p, q = p[t], q[t]
                 swap = v[p] > v[q]
                 p, q = np.where(swap, q, p), np.where(swap, p, q)
                 found = np.unique(np.stack([v[p], n[p], v[q], n[q]], 1), axis=0)

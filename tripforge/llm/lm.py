@@ -40,6 +40,8 @@ LEAST_PAIR = 2
 UNSEEN = (0.9, 0.5, 0.1, 0.02)
 #: Tokens counted together before a task hands on partial counts.
 FLUSH = 1_500_000
+#: Probed levels from REMEMBER_FROM on that a worker remembers (16 bytes each).
+REMEMBER, REMEMBER_FROM = 400_000, 3
 
 _START, _END = np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9E6C63D0876A9A47)
 _ONE = np.uint64(1)
@@ -172,8 +174,32 @@ def probe_levels(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return found
 
 
+class Levels:
+    """Levels by probing; a worker remembers those of keys that took many probes."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits = bits
+        self.keys, self.levels = np.empty(0, np.uint64), np.empty(0, np.int64)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        """``keys`` must be sorted and distinct."""
+        at = np.searchsorted(self.keys, keys)
+        known = np.zeros(len(keys), bool)
+        inside = at < len(self.keys)
+        known[inside] = self.keys[at[inside]] == keys[inside]
+        out = np.zeros(len(keys), np.int64)
+        out[known] = self.levels[at[known]]
+        out[~known] = fresh = probe_levels(keys[~known], self.bits)
+        new = np.flatnonzero(fresh >= REMEMBER_FROM)[: REMEMBER - len(self.keys)]
+        if len(new):
+            k = np.concatenate([self.keys, keys[~known][new]])
+            order = np.argsort(k)
+            self.keys, self.levels = k[order], np.concatenate([self.levels, fresh[new]])[order]
+        return out
+
+
 # ---------------------------------------------------------------- the scores
-def score_texts(texts: list[str | None], model: dict):
+def score_texts(texts: list[str | None], model: dict, levels: Levels):
     """Per text: tokens, score, partial base sums; and (text, key, n) of words that are not frequent."""
     cur, before, doc = tokens_of(texts)
     size = len(texts)
@@ -182,12 +208,12 @@ def score_texts(texts: list[str | None], model: dict):
         return np.bincount(doc, x, size)
 
     words, at = np.unique(cur, return_inverse=True)
-    level = probe_levels(words, model["bits"])
+    level = levels(words)
     middle = np.sqrt(lowest(level).astype(float) * highest(level))
     word_log = np.log10(middle + 1) - np.log10(model["n"] + model["v"] + 1)
     log1 = word_log[at]
     pairs, pat = np.unique(pair_keys(before, cur), return_inverse=True)
-    seen_level = probe_levels(pairs, model["bits"])[pat]
+    seen_level = levels(pairs)[pat]
     seen = seen_level > 0
     pair_count = np.where(seen, lowest(seen_level) + LEAST_PAIR - 1, 1).astype(float)
     context = np.concatenate([[0], highest(level)[at][:-1]])
@@ -247,10 +273,12 @@ def score(docs: DataFrame, model: dict, words: DataFrame) -> DataFrame:
     doc_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
+        model = shared.value
+        levels = model.setdefault("levels", Levels(model["bits"]))  # of this worker's copy
         for b in batches:
             t = b.column("text").to_pylist()
             for lo, hi in steps(t):
-                n_tokens, score_, base, n_known, rows = score_texts(t[lo:hi], shared.value)
+                n_tokens, score_, base, n_known, rows = score_texts(t[lo:hi], model, levels)
                 part = b.slice(lo, hi - lo)
                 rid = part.column("rid")
                 # a row's own key is even, so it meets no word
@@ -268,7 +296,7 @@ def score(docs: DataFrame, model: dict, words: DataFrame) -> DataFrame:
     names = ["rid", "key", "m", "doc_id", "held_out", "n_tokens", "known", "base", "score"]
     d = docs.select("doc_id", "text", "held_out").withColumn("rid", F.monotonically_increasing_id())
     rows = d.mapInArrow(run, f"rid long, key long, m long, doc_id {doc_type}, held_out boolean, n_tokens long, known long, base double, score double")
-    if model["more"]:
+    if model["more"]:  # words beyond the broadcast ones
         rows = rows.join(words, "key", "left")
     else:
         rows = rows.withColumn("c", F.lit(None).cast("long"))

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripforge.llm.common import mix64, place_factors, steps, stored, word_hashes
+from tripforge.llm.common import mix64, place_factors, stored, text_steps, word_hashes
 from tripforge.llm.components import components
 
 #: Documents whose elements are counted for the order, and elements put last.
@@ -46,17 +46,17 @@ LEAST_BITS, BLOCK = 512, 2000
 BROADCAST_IDS = 2_000_000
 
 
-def element_sets(texts: list[str | None], words: int) -> list[np.ndarray]:
+def element_sets(texts: pa.Array, words: int) -> list[np.ndarray]:
     """Sorted distinct n-gram hashes of each text."""
     out = []
-    for lo, hi in steps(texts):
-        h, bounds = word_hashes(texts[lo:hi])
+    for _, part in text_steps(texts):
+        h, bounds = word_hashes(part)
         grams = np.zeros(max(0, len(h) - words + 1), np.uint64)
         factors = place_factors(words)
         for k in range(words):
             grams += h[k: k + len(grams)] * factors[k]
         grams = mix64(grams)
-        for i in range(hi - lo):
+        for i in range(len(part)):
             a, b = bounds[i], bounds[i + 1]
             if b - a >= words:
                 out.append(np.unique(grams[a: b - words + 1]))
@@ -81,8 +81,8 @@ def band(size: int, percent: int) -> int:
 
 
 def bitmap(s: np.ndarray) -> bytes:
-    """Parity of the elements of each bit; as many bits as elements, rounded up to a power of two."""
-    width = max(LEAST_BITS, 1 << (len(s) - 1).bit_length())
+    """Parity of the elements of each bit; four bits for an element, rounded up to a power of two."""
+    width = max(LEAST_BITS, 1 << (4 * len(s) - 1).bit_length())
     n = np.bincount((s % np.uint64(width)).astype(np.int64), minlength=width)
     return np.packbits((n & 1).astype(np.uint8)).tobytes()
 
@@ -95,13 +95,11 @@ def folded(bits: bytes, width: int) -> np.ndarray:
     return x.view(np.uint64)
 
 
-def bits_allow(bits: list[bytes], p: np.ndarray, q: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
-    """Whether the bit counts of sets ``p`` and ``q`` (rows of ``bits``) allow a link.
-
-    Half of the sizes less the bits that differ is the most that both can share."""
+def most_shared(bits: list[bytes], p: np.ndarray, q: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The most elements that sets ``p`` and ``q`` (rows of ``bits``) can share: half of the sizes less the bits that differ."""
     size = np.array([len(x) for x in bits])
     width = np.minimum(size[p], size[q])
-    ok = np.zeros(len(p), bool)
+    out = np.zeros(len(p), np.int64)
     for w in np.unique(width):
         at = np.flatnonzero(width == w)
         rows, place = np.unique(np.concatenate([p[at], q[at]]), return_inverse=True)
@@ -110,8 +108,8 @@ def bits_allow(bits: list[bytes], p: np.ndarray, q: np.ndarray, n: np.ndarray, p
             hi = min(len(at), lo + max(1, (1 << 22) // int(w)))
             differ = np.bitwise_count(m[place[lo:hi]] ^ m[place[len(at) + lo: len(at) + hi]]).sum(1, dtype=np.int64)
             na, nb = n[p[at[lo:hi]]], n[q[at[lo:hi]]]
-            ok[at[lo:hi]] = links(np.minimum((na + nb - differ) // 2, np.minimum(na, nb)), na, nb, percent)
-    return ok
+            out[at[lo:hi]] = np.minimum((na + nb - differ) // 2, np.minimum(na, nb))
+    return out
 
 
 def links(inter, a, b, percent: int):
@@ -124,7 +122,7 @@ def digest_rows(docs: DataFrame, words: int) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            sets = element_sets(b.column("text").to_pylist(), words)
+            sets = element_sets(b.column("text"), words)
             yield pa.RecordBatch.from_pydict({
                 "doc_id": b.column("doc_id"), "n": pa.array([len(s) for s in sets], pa.int64()),
                 "node": pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()),
@@ -143,7 +141,7 @@ def frequent_elements(docs: DataFrame, words: int, rows: int) -> np.ndarray:
 
     def run(batches):
         for b in batches:
-            sets = element_sets(b.column("text").to_pylist(), words)
+            sets = element_sets(b.column("text"), words)
             v, n = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.empty(0, np.uint64), np.empty(0, int))
             yield pa.RecordBatch.from_pydict({"e": pa.array(v.view(np.int64)), "c": pa.array(n.astype(np.int64))})
 
@@ -161,7 +159,7 @@ def key_rows(docs: DataFrame, words: int, percent: int, frequent: np.ndarray) ->
         values, place = shared.value
         for b in batches:
             seen, keys, nodes, sizes = set(), [], [], []
-            for s in element_sets(b.column("text").to_pylist(), words):
+            for s in element_sets(b.column("text"), words):
                 n = len(s)
                 lead = n - (-(-percent * n // 100)) + 1
                 if not n or (100 * n // percent == n and lead == 1):  # links with none but equal sets
@@ -245,7 +243,7 @@ def sets_of(docs: DataFrame, words: int, digests: DataFrame, nodes: DataFrame) -
 
     def run(batches):
         for b in batches:
-            out = {node_of(s): s for s in element_sets(b.column("text").to_pylist(), words) if len(s)}
+            out = {node_of(s): s for s in element_sets(b.column("text"), words) if len(s)}
             yield pa.RecordBatch.from_pydict({"node": pa.array(list(out), pa.int64()), "elements": pa.array([s.tobytes() for s in out.values()], pa.binary())})
 
     found = d.mapInArrow(run, "node long, elements binary").join(nodes, "node", "left_semi")
@@ -263,7 +261,8 @@ def pass_bits(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
                 continue
             n = np.concatenate([x.column(c).to_numpy().astype(np.int64) for c in ("na", "nb")])
             rows = np.arange(x.num_rows)
-            ok = pa.array(bits_allow(x.column("ba").to_pylist() + x.column("bb").to_pylist(), rows, rows + x.num_rows, n, percent))
+            most = most_shared(x.column("ba").to_pylist() + x.column("bb").to_pylist(), rows, rows + x.num_rows, n)
+            ok = pa.array(links(most, n[: x.num_rows], n[x.num_rows:], percent))
             yield pa.RecordBatch.from_arrays([x.column("a").filter(ok), x.column("b").filter(ok)], ["a", "b"])
 
     return p.select("a", "b", "na", "nb", "ba", "bb").mapInArrow(by_bits, "a long, b long")
@@ -288,11 +287,12 @@ def pass_exact(pairs: DataFrame, docs: DataFrame, words: int, digests: DataFrame
     return p.select("a", "b", "ea", "eb").mapInArrow(exact, "a long, b long")
 
 
-def block_pairs(mixed: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, na, b, nb) of different components in one key that pass size and bit count.
+def block_pairs(mixed: DataFrame, bits: DataFrame, percent: int, best: bool) -> DataFrame:
+    """Pairs (a, b) of different components in one key that pass size and bit count.
 
     A key of more than BLOCK nodes is cut into blocks by node hash; every pair of
-    blocks is one tile of bounded size."""
+    blocks is one tile of bounded size. With ``best``, a tile gives only the
+    likeliest pair of each of its components, else all."""
     size = mixed.groupBy("key").agg(F.count("*").alias("g")).withColumn("blocks", F.ceil(F.col("g") / BLOCK).cast("int"))
     m = (mixed.join(size, "key").join(bits, "node")
          .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
@@ -321,7 +321,8 @@ def block_pairs(mixed: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
             n = n.astype(np.int64)
             bits = x.column("bits").to_pylist()
             new = np.concatenate([[True], (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
-            end = np.append(np.flatnonzero(new)[1:], len(v))[np.cumsum(new) - 1]
+            tile = np.cumsum(new) - 1
+            end = np.append(np.flatnonzero(new)[1:], len(v))[tile]
             todo = end - np.arange(len(v)) - 1  # partners of each row: the rest of its tile
             total = np.concatenate([[0], np.cumsum(todo)])
             lo = 0
@@ -332,16 +333,23 @@ def block_pairs(mixed: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
                 lo = hi
                 t = (c[p] != c[q]) & (percent * np.maximum(n[p], n[q]) <= 100 * np.minimum(n[p], n[q])) & ((i[p] == j[p]) | (own[p] != own[q]))
                 p, q = p[t], q[t]
-                if len(p):
-                    t = bits_allow(bits, p, q, n, percent)
-                    p, q = p[t], q[t]
-                swap = v[p] > v[q]
-                p, q = np.where(swap, q, p), np.where(swap, p, q)
-                found = np.unique(np.stack([v[p], n[p], v[q], n[q]], 1), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(found[:, k]) for k in range(4)], ["a", "na", "b", "nb"])
+                if not len(p):
+                    continue
+                most = most_shared(bits, p, q, n)
+                t = links(most, n[p], n[q], percent)
+                p, q, like = p[t], q[t], (most / (n[p] + n[q]))[t]
+                if best:
+                    side, edge = np.concatenate([p, q]), np.tile(np.arange(len(p)), 2)
+                    order = np.lexsort((v[q][edge], v[p][edge], -like[edge], c[side], tile[side]))
+                    x1, x2 = tile[side][order], c[side][order]
+                    first = np.concatenate([[True], (x1[1:] != x1[:-1]) | (x2[1:] != x2[:-1])])[: len(order)]
+                    edge = np.unique(edge[order][first])
+                    p, q = p[edge], q[edge]
+                found = np.unique(np.stack([np.minimum(v[p], v[q]), np.maximum(v[p], v[q])], 1), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(found[:, k]) for k in range(2)], ["a", "b"])
 
     return (m.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-            .mapInArrow(run, "a long, na long, b long, nb long").distinct())
+            .mapInArrow(run, "a long, b long").distinct())
 
 
 def link_nodes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -359,15 +367,29 @@ def link_nodes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, Da
     first = stored(pass_bits(first, bits, percent), "jaccard-first")
     forest = stored(components(pass_exact(first, docs, words, digests, percent)), "jaccard-forest")
 
-    m = (shared.select("key", "node", "n").join(forest, "node", "left")
+    rows = shared.select("key", "node", "n")
+    while True:  # the likeliest pairs, as long as they link
+        rows = still_mixed(rows, forest)
+        pairs = stored(block_pairs(rows, bits, percent, best=True), "jaccard-likely")
+        more = stored(pass_exact(pairs, docs, words, digests, percent), "jaccard-more")
+        if more.isEmpty():
+            break
+        forest = joined(forest, more)
+    pairs = stored(block_pairs(rows, bits, percent, best=False).join(pairs, ["a", "b"], "left_anti"), "jaccard-pairs")
+    return digests, joined(forest, pass_exact(pairs, docs, words, digests, percent))
+
+
+def still_mixed(rows: DataFrame, forest: DataFrame) -> DataFrame:
+    """key, node, n, component of keys whose nodes are in different components."""
+    m = (rows.select("key", "node", "n").join(forest, "node", "left")
          .withColumn("component", F.coalesce("component", "node")))
     mixed = m.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("key")
-    mixed = stored(m.join(mixed, "key", "left_semi"), "jaccard-mixed")
-    pairs = stored(block_pairs(mixed, bits, percent).select("a", "b"), "jaccard-pairs")
-    more = pass_exact(pairs, docs, words, digests, percent)
+    return stored(m.join(mixed, "key", "left_semi"), "jaccard-mixed")
+
 
-    edges = forest.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
-    return digests, stored(components(edges), "jaccard-components")
+def joined(forest: DataFrame, links_: DataFrame) -> DataFrame:
+    edges = forest.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links_)
+    return stored(components(edges), "jaccard-forest")
 
 
 def link_documents(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
@@ -394,7 +416,7 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
 
     @F.pandas_udf("long")
     def node(texts: pd.Series) -> pd.Series:
-        return pd.Series([node_of(s) if len(s) else None for s in element_sets(texts.tolist(), words)], dtype="Int64")
+        return pd.Series([node_of(s) if len(s) else None for s in element_sets(pa.array(texts, pa.string(), from_pandas=True), words)], dtype="Int64")
 
     d = docs.withColumn("_node", node(F.col("text")))
     blank = d.filter(F.col("_node").isNull()).select(*docs.columns)

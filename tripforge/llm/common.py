@@ -10,6 +10,8 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ from tripforge.session import checkpoint_dir
 
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 #: UTF-8 bytes handled in one numpy step; one longer text is a step of its own.
-STEP_BYTES = 1 << 21
+STEP_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -100,13 +102,11 @@ def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return h, bounds
 
 
-def steps(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    """Ranges of ``texts`` of about STEP_BYTES each."""
-    lo = size = 0
-    for i, t in enumerate(texts):
-        size += len(t or "") + 1
-        if size >= STEP_BYTES:
-            yield lo, i + 1
-            lo, size = i + 1, 0
-    if lo < len(texts):
-        yield lo, len(texts)
+def text_steps(texts: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
+    """Slices of ``texts`` of about STEP_BYTES each, with their first row."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+    lo = 0
+    while lo < len(ends):
+        hi = int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + STEP_BYTES, "left")) + 1
+        yield lo, texts.slice(lo, hi - lo).to_pylist()
+        lo = hi

@@ -28,10 +28,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripforge.llm.common import mix64, steps, stored, word_hashes
+from tripforge.llm.common import mix64, stored, text_steps, word_hashes
 
 #: Logarithmic scale of counts, bits of a region, bits of filter per event, probes per event.
-GROWTH, REGION_BITS, EVENT_BITS, PROBES = 1.25, 1 << 23, 10, 7
+GROWTH, REGION_BITS, EVENT_BITS, PROBES = 1.4, 1 << 23, 10, 7
 MAX_FILTER_MB = 128
 #: Most words whose exact counts are broadcast (16 bytes each).
 FREQUENT_WORDS = 200_000
@@ -39,7 +39,7 @@ FREQUENT_WORDS = 200_000
 LEAST_PAIR = 2
 UNSEEN = (0.9, 0.5, 0.1, 0.02)
 #: Tokens counted together before a task hands on partial counts.
-FLUSH = 1_500_000
+FLUSH = 1_000_000
 #: Probed levels from REMEMBER_FROM on that a worker remembers (16 bytes each).
 REMEMBER, REMEMBER_FROM = 400_000, 3
 
@@ -97,9 +97,8 @@ def count_rows(texts: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(c.astype(np.int64))], ["key", "c"])
 
         for b in batches:
-            t = b.column(0).to_pylist()
-            for lo, hi in steps(t):
-                cur, before, _ = tokens_of(t[lo:hi])
+            for _, t in text_steps(b.column(0)):
+                cur, before, _ = tokens_of(t)
                 held += [cur, pair_keys(before, cur)]
                 n += len(cur)
                 if n >= FLUSH:
@@ -276,9 +275,9 @@ def score(docs: DataFrame, model: dict, words: DataFrame) -> DataFrame:
         model = shared.value
         levels = model.setdefault("levels", Levels(model["bits"]))  # of this worker's copy
         for b in batches:
-            t = b.column("text").to_pylist()
-            for lo, hi in steps(t):
-                n_tokens, score_, base, n_known, rows = score_texts(t[lo:hi], model, levels)
+            for lo, t in text_steps(b.column("text")):
+                hi = lo + len(t)
+                n_tokens, score_, base, n_known, rows = score_texts(t, model, levels)
                 part = b.slice(lo, hi - lo)
                 rid = part.column("rid")
                 # a row's own key is even, so it meets no word

@@ -95,6 +95,13 @@ def folded(bits: bytes, width: int) -> np.ndarray:
     return x.view(np.uint64)
 
 
+def shortened(batches):
+    """Bitmaps folded to a quarter, for the tiles of frequent keys."""
+    for b in batches:
+        short = [folded(x, max(LEAST_BITS // 8, len(x) // 4)).tobytes() for x in b.column("bits").to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(short, pa.binary())], ["node", "bits"])
+
+
 def most_shared(bits: list[bytes], p: np.ndarray, q: np.ndarray, n: np.ndarray) -> np.ndarray:
     """The most elements that sets ``p`` and ``q`` (rows of ``bits``) can share: half of the sizes less the bits that differ."""
     size = np.array([len(x) for x in bits])
@@ -288,7 +295,7 @@ def pass_exact(pairs: DataFrame, docs: DataFrame, words: int, digests: DataFrame
 
 
 def block_pairs(mixed: DataFrame, bits: DataFrame, percent: int, best: bool) -> DataFrame:
-    """Pairs (a, b) of different components in one key that pass size and bit count.
+    """key, a, b: pairs of different components in one key that pass size and bit count.
 
     A key of more than BLOCK nodes is cut into blocks by node hash; every pair of
     blocks is one tile of bounded size. With ``best``, a tile gives only the
@@ -345,11 +352,10 @@ def block_pairs(mixed: DataFrame, bits: DataFrame, percent: int, best: bool) ->
                     first = np.concatenate([[True], (x1[1:] != x1[:-1]) | (x2[1:] != x2[:-1])])[: len(order)]
                     edge = np.unique(edge[order][first])
                     p, q = p[edge], q[edge]
-                found = np.unique(np.stack([np.minimum(v[p], v[q]), np.maximum(v[p], v[q])], 1), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(found[:, k]) for k in range(2)], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(key[p]), pa.array(np.minimum(v[p], v[q])), pa.array(np.maximum(v[p], v[q]))], ["key", "a", "b"])
 
     return (m.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-            .mapInArrow(run, "a long, b long").distinct())
+            .mapInArrow(run, "key long, a long, b long"))
 
 
 def link_nodes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -364,19 +370,31 @@ def link_nodes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, Da
              .groupBy(F.col("node").alias("b")).agg(F.min(F.struct(F.col("centre").alias("a"), F.col("cn").alias("na"))).alias("x"), F.first("n").alias("nb"))
              .select("x.a", F.col("x.na").cast("long").alias("na"), "b", F.col("nb").cast("long").alias("nb")))
     bits = stored(digests.filter("node is not null").groupBy("node").agg(F.first("bits").alias("bits")), "jaccard-bits")
+    short = stored(bits.mapInArrow(shortened, bits.schema), "jaccard-short-bits")
     first = stored(pass_bits(first, bits, percent), "jaccard-first")
     forest = stored(components(pass_exact(first, docs, words, digests, percent)), "jaccard-forest")
 
     rows = shared.select("key", "node", "n")
+    sizes = digests.filter("node is not null").groupBy("node").agg(F.first("n").alias("n"))
     while True:  # the likeliest pairs, as long as they link
         rows = still_mixed(rows, forest)
-        pairs = stored(block_pairs(rows, bits, percent, best=True), "jaccard-likely")
-        more = stored(pass_exact(pairs, docs, words, digests, percent), "jaccard-more")
+        found = stored(block_pairs(rows, short, percent, best=True), "jaccard-likely")
+        # a key without a pair has none later either
+        rows = rows.join(found.select("key").distinct(), "key", "left_semi")
+        more = stored(pass_all(found, sizes, bits, docs, words, digests, percent), "jaccard-more")
         if more.isEmpty():
             break
         forest = joined(forest, more)
-    pairs = stored(block_pairs(rows, bits, percent, best=False).join(pairs, ["a", "b"], "left_anti"), "jaccard-pairs")
-    return digests, joined(forest, pass_exact(pairs, docs, words, digests, percent))
+    rest = stored(block_pairs(rows, short, percent, best=False), "jaccard-pairs")
+    rest = rest.join(found.select("a", "b").distinct(), ["a", "b"], "left_anti")
+    return digests, joined(forest, pass_all(rest, sizes, bits, docs, words, digests, percent))
+
+
+def pass_all(pairs: DataFrame, sizes: DataFrame, bits: DataFrame, docs: DataFrame, words: int, digests: DataFrame, percent: int) -> DataFrame:
+    """The links among ``pairs`` (a, b): whole signatures, then sets."""
+    p = (pairs.select("a", "b").distinct().join(sizes.withColumnsRenamed({"node": "a", "n": "na"}), "a")
+         .join(sizes.withColumnsRenamed({"node": "b", "n": "nb"}), "b"))
+    return pass_exact(stored(pass_bits(p, bits, percent), "jaccard-passed"), docs, words, digests, percent)
 
 
 def still_mixed(rows: DataFrame, forest: DataFrame) -> DataFrame:

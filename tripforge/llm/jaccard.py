@@ -42,6 +42,8 @@ from tripforge.llm.components import components
 SAMPLE_DOCUMENTS, FREQUENT = 10_000, 500_000
 #: Fewest bits of a signature, nodes of a block of a shared key.
 LEAST_BITS, BLOCK = 512, 2000
+#: Rounds of likeliest pairs before all that are left are compared; only time depends on it.
+LIKELY_ROUNDS = 1
 #: Ids up to this number are broadcast (8 bytes each), more are joined.
 BROADCAST_IDS = 2_000_000
 
@@ -376,15 +378,14 @@ def link_nodes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, Da
 
     rows = shared.select("key", "node", "n")
     sizes = digests.filter("node is not null").groupBy("node").agg(F.first("n").alias("n"))
-    while True:  # the likeliest pairs, as long as they link
+    for _ in range(LIKELY_ROUNDS):
         rows = still_mixed(rows, forest)
         found = stored(block_pairs(rows, short, percent, best=True), "jaccard-likely")
         # a key without a pair has none later either
         rows = rows.join(found.select("key").distinct(), "key", "left_semi")
         more = stored(pass_all(found, sizes, bits, docs, words, digests, percent), "jaccard-more")
-        if more.isEmpty():
-            break
         forest = joined(forest, more)
+    rows = still_mixed(rows, forest)
     rest = stored(block_pairs(rows, short, percent, best=False), "jaccard-pairs")
     rest = rest.join(found.select("a", "b").distinct(), ["a", "b"], "left_anti")
     return digests, joined(forest, pass_all(rest, sizes, bits, docs, words, digests, percent))

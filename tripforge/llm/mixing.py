@@ -95,11 +95,11 @@ def mix(docs: DataFrame, share: float = 1.5, cap: float = 2.0, weights=WEIGHTS,
     parts = (d.filter("size > 0")
              .select("sid", "shard", "start", "stop",
                      F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("stop") - 1) / block))).alias("block")))
-    drawn = (parts.join(picked, ["sid", "shard", "block"], "left_semi")
+    drawn = (parts.join(picked.hint("merge"), ["sid", "shard", "block"], "left_semi")
              .withColumn("words", F.least("stop", (F.col("block") + 1) * block) - F.greatest("start", F.col("block") * block))
              .groupBy("sid", "shard", "start", "stop").agg(F.sum("words").alias("drawn")))
     out = (d.join(cells.select("sid", "shard", "rounds"), ["sid", "shard"], "left")
-           .join(drawn, ["sid", "shard", "start", "stop"], "left"))
+           .join(drawn.hint("merge"), ["sid", "shard", "start", "stop"], "left"))
     taken = F.when(F.col("size") > 0, F.col("rounds") * F.col("size") + F.coalesce("drawn", F.lit(0))).otherwise(0)
     return out.select("doc_id", "source", "size", "h", "source_size", "target", taken.cast("long").alias("taken"))
 

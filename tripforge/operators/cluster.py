@@ -149,30 +149,34 @@ def kmeans_sweep(catalog: DataFrame, k_values: Sequence[int] = rules.K_VALUES, n
         rows.append((k, round(model.summary.trainingCost, 4),
                      silhouette(pred.withColumn("arr", vector_to_array("features")), "arr", "prediction")))
     vec.unpersist()
-    return catalog.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette_score double")
+    return catalog.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette_sq_euclidean double")
 
 
 def clustered_catalog(catalog: DataFrame, k: int = 3, n_init: int = rules.N_INIT,
                       features: Sequence[str] = rules.MODEL_FEATURES) -> DataFrame:
     """Catalogue + cluster id (M7) + profile named by rule (M9)."""
-    scaled, _ = standard_scale(catalog, features)
-    vec = assemble(scaled, features)
-    model = fit_kmeans(vec.cache(), k, n_init=n_init)
+    # rows with a missing feature stay, with null cluster and profile
+    scaled, _ = standard_scale(catalog.dropna(subset=list(features)), features)
+    vec = assemble(scaled, features).cache()
+    model = fit_kmeans(vec, k, n_init=n_init)
+    vec.unpersist()
     assigned = model.transform(vec).select(*ID, F.col("prediction").cast("int").alias("cluster"))
-    out = catalog.drop("cluster", "cluster_profile").join(assigned, ID)
-    return out.join(F.broadcast(name_clusters(out)), "cluster", "left")
+    out = catalog.drop("cluster", "cluster_profile").join(assigned, ID, "left")
+    return out.join(F.broadcast(name_clusters(out.filter("cluster is not null"))), "cluster", "left")
 
 
 def pca_2d(catalog: DataFrame, features: Sequence[str] = rules.MODEL_FEATURES) -> tuple[DataFrame, list[float]]:
     """Two principal components of the standardised features, the sign
-    of each component fixed so that its largest-magnitude loading is positive."""
-    scaled, _ = standard_scale(catalog, features)
+    of each component fixed so that its largest-magnitude loading is positive.
+    Rows with a missing feature have null components."""
+    scaled, _ = standard_scale(catalog.dropna(subset=list(features)), features)
     vec = assemble(scaled, features)
     model = PCA(k=2, inputCol="features", outputCol="pcs").fit(vec)
     pc = model.pc.toArray()
     signs = [1.0 if pc[abs(pc[:, j]).argmax(), j] >= 0 else -1.0 for j in range(2)]
     tr = model.transform(vec).withColumn("__pcs", vector_to_array("pcs"))
     out = tr.select(*ID, (F.col("__pcs")[0] * signs[0]).alias("PC1"), (F.col("__pcs")[1] * signs[1]).alias("PC2"))
+    out = catalog.select(*ID).join(out, ID, "left")
     return out, [float(v) for v in model.explainedVariance.toArray()]
 
 
@@ -200,7 +204,7 @@ def compare_models(catalog: DataFrame, k_values: Sequence[int] = (2, 3, 4), n_in
     vec.unpersist()
     return catalog.sparkSession.createDataFrame(
         rows, "model string, cluster_count int, noise_count int, largest_cluster_size int, "
-              "silhouette_score double, notes string")
+              "silhouette_sq_euclidean double, notes string")
 
 
 __all__ = ["standard_scale", "scaling_summary", "fit_kmeans", "silhouette", "name_clusters", "kmeans_sweep",

@@ -63,13 +63,14 @@ def lookup_with_default(df: DataFrame, table: DataFrame, key: str, table_key: st
 def similar_in_group(df: DataFrame, group: str, name: str, order_col: str | None,
                      key: Sequence[str], k: int = 3) -> DataFrame:
     """Per row, the top ``k`` other members of its group by ``order_col``
-    desc (else by name). No self-join: take each group's top k+1 by a window,
-    collect that bounded list, then drop the row itself by name.
+    desc (else by name). No self-join: each group's first 2k rows, at most k of
+    one name, hold k others for every name; the row's own name is dropped.
     """
     order = [F.col(order_col).desc_nulls_last(), F.col(name)] if order_col else [F.col(name)]
     w = Window.partitionBy(group).orderBy(*order)
     top = (df.select(group, name, *([order_col] if order_col else []))
-           .withColumn("__rk", F.row_number().over(w)).where(F.col("__rk") <= k + 1)
+           .withColumn("__nk", F.row_number().over(Window.partitionBy(group, name).orderBy(*order))).where(F.col("__nk") <= k)
+           .withColumn("__rk", F.row_number().over(w)).where(F.col("__rk") <= 2 * k)
            .groupBy(group).agg(F.array_sort(F.collect_list(F.struct("__rk", F.col(name).alias("n")))).alias("__top")))
     out = df.join(top, group, "left")
     others = F.filter(F.col("__top"), lambda x: x["n"] != F.col(name))

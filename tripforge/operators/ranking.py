@@ -42,8 +42,14 @@ def _ranks_window(values: DataFrame) -> DataFrame:
 
 
 def _ranks_bucketed(values: DataFrame, n_buckets: int) -> DataFrame:
-    bucketed = (values.repartitionByRange(n_buckets, _S, _V)
-                .withColumn("__pr_bucket", F.spark_partition_id()))
+    # Bounds are data (one row per signal), so a value's bucket is the same
+    # every time the plan is executed.
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    bounds = values.groupBy(_S).agg((F.percentile_approx(_V, probs, 1000) if probs else F.array().cast("array<double>"))
+                                    .alias("__pr_bounds"))
+    bounds = values.sparkSession.createDataFrame(bounds.collect(), bounds.schema)
+    bucketed = (values.join(F.broadcast(bounds), _S)
+                .withColumn("__pr_bucket", F.size(F.filter("__pr_bounds", lambda b: b < F.col(_V)))).drop("__pr_bounds"))
     totals = bucketed.groupBy(_S, "__pr_bucket").agg(F.sum(_C).alias("__pr_btotal"))
     # At most n_buckets + signals rows.
     w_b = Window.partitionBy(_S).orderBy("__pr_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -114,14 +114,16 @@ def poi_counts(dest: DataFrame, pois: DataFrame, tag_rules: DataFrame | None = N
                  .withColumn("lon_cell", lon_cell_of(F.col("lon"), F.col("band"), cell_deg))
                  .withColumn("salt", F.pmod(F.xxhash64("lat", "lon", "feature"), F.lit(salt)).cast("int")))
 
-    dcells = destination_cells(dest.select(key, "latitude", "longitude", "search_radius_m"), cell_deg, salt)
+    dcells = destination_cells(dest.select(key, "latitude", "longitude", "search_radius_m").dropna(), cell_deg, salt)
     pairs = dcells.join(poi_cells, ["band", "lon_cell", "salt"])
     near = pairs.where(haversine_m("latitude", "longitude", "lat", "lon") <= F.col("search_radius_m"))
     counts = near.groupBy(key).agg(*[
         F.sum(F.when(F.col("feature") == f, F.col("n"))).alias(f) for f in features])
     out = dest.drop(*[f for f in features if f in dest.columns]).join(counts, key, "left")
+    # an unknown place has no counts, not zero places around it
+    known = F.col("latitude").isNotNull() & F.col("longitude").isNotNull() & F.col("search_radius_m").isNotNull()
     return out.select(*[c for c in out.columns if c not in features],
-                      *[F.coalesce(F.col(f), F.lit(0)).cast("long").alias(f) for f in features])
+                      *[F.when(known, F.coalesce(F.col(f), F.lit(0))).cast("long").alias(f) for f in features])
 
 
 def poi_counts_brute_force(dest: DataFrame, pois: DataFrame, tag_rules: DataFrame | None = None,

@@ -221,7 +221,7 @@ def q_embedding_silhouette(spark, sf):
     from tripforge.operators.cluster import silhouette
     emb = read_table(spark, sf, "embeddings")
     val = silhouette(emb, "embedding", "label")
-    return spark.createDataFrame([(val,)], "silhouette_score double")
+    return spark.createDataFrame([(val,)], "silhouette_sq_euclidean double")
 
 
 def o_embedding_silhouette():
@@ -238,7 +238,7 @@ pt AS (SELECT vec_id, max(CASE WHEN own = other THEN dd * n / (n - 1) END) AS a,
               min(CASE WHEN own <> other THEN dd END) AS b, max(CASE WHEN own = other THEN n END) AS own_n
        FROM dist GROUP BY vec_id)
 SELECT round_even(avg(CASE WHEN own_n <= 1 THEN 0.0 WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1 ELSE 0.0 END) * 10000.0, 0) / 10000.0
-       AS silhouette_score FROM pt"""
+       AS silhouette_sq_euclidean FROM pt"""
 
 
 def q_kmeans_sweep(spark, sf):
@@ -354,7 +354,7 @@ r AS (SELECT cluster_profile, destination_name,
       FROM catalog)
 SELECT c.destination_name, c.country, c.cluster_profile,
        coalesce(array_to_string(list(r.destination_name ORDER BY r.rk)[1:3], '|'), '') AS similar_destinations
-FROM catalog c LEFT JOIN r ON r.cluster_profile = c.cluster_profile AND r.rk <= 4
+FROM catalog c LEFT JOIN r ON r.cluster_profile = c.cluster_profile
      AND r.destination_name <> c.destination_name
 GROUP BY c.destination_name, c.country, c.cluster_profile"""
 

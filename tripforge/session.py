@@ -71,6 +71,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         app = spark.sparkContext.applicationId
         configured = _LOCAL_CKPT.get(app)
         if configured is None:
+            if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+                raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
             configured = spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="tripforge-ckpt-")
             _LOCAL_CKPT[app] = configured
     if not spark.sparkContext.getCheckpointDir():

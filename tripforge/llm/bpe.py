@@ -15,13 +15,17 @@ rows; other columns are kept, the new ones replace columns of the same name.
 from __future__ import annotations
 
 import base64
+import hashlib
 import struct
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripforge.llm.common import text_steps
+
 #: Pre-tokens remembered by a worker; when full, the memory starts anew.
 MEMO = 200_000
 #: A vocabulary is broadcast; larger files than this are refused.
@@ -159,9 +163,26 @@ def _broadcast(spark: SparkSession, vocabulary: str):
 
 
 def digests(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
-    """Per document: token count and digests of its ids and of the decoded bytes."""
-    d = decode(encode(docs.select("doc_id", "text"), vocabulary, pattern), vocabulary)
-    return d.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+    """Per document: token count and digests of its ids and of the bytes decoded
+    from them. One pass in steps of about a megabyte; ids never leave the task."""
+    tokens = _broadcast(docs.sparkSession, vocabulary)
+
+    def sha(raw: bytes) -> str:
+        return hashlib.sha256(raw).hexdigest()
+
+    def run(batches):
+        codec = _codec(tokens, pattern)
+        for b in batches:
+            for lo, texts in text_steps(b.column("text")):
+                n, ids_sha, text_sha = [], [], []
+                for t in texts:
+                    ids = codec.encode(t)
+                    n.append(len(ids))
+                    ids_sha.append(sha(" ".join(map(str, ids.tolist())).encode()))
+                    text_sha.append(sha(codec.decode(ids)))
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(lo, len(n)), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()),
+                                                  pa.array(text_sha, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    d = docs.select("doc_id", "text")
+    kind = d.schema["doc_id"].dataType.simpleString()
+    return d.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -55,7 +55,7 @@ def test_top_n_is_prefix(spark):
     assert by[4][:3] == by[3]
 
 
-def test_blocked_path_equals_broadcast(spark):
+def test_block_sizes_do_not_change_results(spark):
     from tripforge.plans.registry import catalog
     from tripforge.operators.recommend import recommend
     from tripforge.sources import standins
@@ -64,7 +64,7 @@ def test_blocked_path_equals_broadcast(spark):
     valid, _ = parse_requests(standins.requests(spark, sf))
     cols = ["request_id", "rank", "destination_name", "recommendation_score"]
     a = sorted(tuple(r) for r in recommend(valid, catalog(spark, sf), with_texts=False).select(*cols).collect())
-    b = sorted(tuple(r) for r in recommend(valid, catalog(spark, sf), max_broadcast_rows=10,
+    b = sorted(tuple(r) for r in recommend(valid, catalog(spark, sf), sig_block=7, dest_block=3,
                                            with_texts=False).select(*cols).collect())
     assert a == b and len(a) > 0
 

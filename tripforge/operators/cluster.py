@@ -22,7 +22,6 @@ from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
 
 from tripforge import rules
 from tripforge.functions.expr import round_half_even
@@ -200,7 +199,7 @@ def compare_models(catalog: DataFrame, k_values: Sequence[int] = (2, 3, 4), n_in
         sil = silhouette(pred.withColumn("arr", vector_to_array("features")), "arr", "label", noise=-1)
         rows.append((f"Hierarchical k={k}", int(summ.cluster_count), int(summ.noise_count),
                      int(summ.largest_cluster_size), sil,
-                     "Useful comparison model; creates nested distance-based groups."))
+                     "Useful comparison model; creates nested distance-based groups (over K-means micro-clusters)."))
     vec.unpersist()
     return catalog.sparkSession.createDataFrame(
         rows, "model string, cluster_count int, noise_count int, largest_cluster_size int, "
@@ -243,20 +242,12 @@ def _ward_merge(centroids, counts, k: int) -> list[int]:
 
 def ward_clusters(catalog: DataFrame, k: int = 3, features: Sequence[str] = rules.MODEL_FEATURES,
                   max_micro: int = 200, seed: int = rules.RANDOM_STATE) -> DataFrame:
-    """M11 re-aimed: Spark reduces the points to at most ``max_micro`` weighted
-    micro-clusters (the distinct points when there are few enough, which makes
-    the result exact Ward; else K-means centroids with their sizes). Ward runs
-    on that bounded summary and the labels are joined back (broadcast)."""
-    scaled, _ = standard_scale(catalog, features)
-    distinct = scaled.groupBy(*features).agg(F.count(F.lit(1)).alias("__n"))
-    n_distinct = distinct.count()
+    """M11 re-aimed: K-means reduces the points to at most ``max_micro`` weighted
+    micro-clusters at every size; Ward merges those and the labels are joined
+    back (broadcast, at most ``max_micro`` rows). Rows with a missing feature
+    have a null label."""
     spark = catalog.sparkSession
-    if n_distinct <= max_micro:
-        rows = distinct.orderBy(*features).collect()  # at most max_micro rows
-        labels = _ward_merge([[r[f] for f in features] for r in rows], [r["__n"] for r in rows], k)
-        mapping = spark.createDataFrame([(*[r[f] for f in features], lab) for r, lab in zip(rows, labels)],
-                                        scaled.select(*features).schema.add("ward_cluster", IntegerType()))
-        return scaled.select(*ID, *features).join(F.broadcast(mapping), list(features)).select(*ID, "ward_cluster")
+    scaled, _ = standard_scale(catalog.dropna(subset=list(features)), features)
     vec = assemble(scaled, features)
     model = KMeans(k=max_micro, seed=seed, featuresCol="features", predictionCol="micro").fit(vec)
     cents = [list(v) for v in model.clusterCenters()]
@@ -264,4 +255,5 @@ def ward_clusters(catalog: DataFrame, k: int = 3, features: Sequence[str] = rule
     keep = [i for i, s in enumerate(sizes) if s > 0]
     labels = _ward_merge([cents[i] for i in keep], [sizes[i] for i in keep], k)
     mapping = spark.createDataFrame([(i, lab) for i, lab in zip(keep, labels)], "micro int, ward_cluster int")
-    return model.transform(vec).join(F.broadcast(mapping), "micro").select(*ID, "ward_cluster")
+    labelled = model.transform(vec).join(F.broadcast(mapping), "micro").select(*ID, "ward_cluster")
+    return catalog.select(*ID).join(labelled, ID, "left")

@@ -6,13 +6,16 @@ the texts. Scoring a request means scoring the whole catalogue (that is the
 semantics), so the plan keeps that pass cheap:
 
 * requests are first reduced to distinct *signatures* (same preferences,
-  season, budget, weather choice, top_n -> same ranking) and broadcast after a
-  size check; the catalogue streams where it lies, it is never shuffled;
-* score expressions are plain column arithmetic (whole-stage codegen);
-* ``row_number() <= 20`` lets Spark insert a partial WindowGroupLimit *before*
-  the exchange, so at most 20 rows per signature and partition are shuffled;
-* when the signature batch is too large to broadcast, requests are split into
-  hash blocks and the catalogue is replicated per block (blocked join).
+  season, budget, weather choice, top_n -> same ranking), and the signature's
+  own columns are the key, so nothing has to be written to fix an id;
+* signatures and destinations meet in blocks of a constant size, an equi-join on
+  (season, signature block, destination block). The *number* of blocks and of
+  tasks comes from the data, so no task grows with either side;
+* score expressions are plain column arithmetic (whole-stage codegen), and only
+  key, score and the tie-break columns leave a pair. A cell keeps its best 20 per
+  signature without another exchange; the final top-N reads at most
+  20 x destination blocks rows per signature;
+* scores in detail and texts are built for those rows only.
 """
 
 from __future__ import annotations
@@ -24,7 +27,6 @@ from pyspark.sql import functions as F
 
 from tripforge import rules
 from tripforge.functions.expr import clamp, fmt1, join_fragments, round_half_even
-from tripforge.session import cut_lineage
 from tripforge.sources.requests import MAX_TOP_N, PREFS
 
 OUTPUT_COLUMNS = [
@@ -136,31 +138,6 @@ def must_have_penalty(profile: Column, prefs: Mapping[str, Column]) -> Column:
     return round_half_even(total, 2)
 
 
-def score_columns(prefs: Mapping[str, Column], season: Column, budget: Column,
-                  weather_pref: Column) -> dict[str, Column]:
-    """R2-R8 as named columns over a (request, destination) row."""
-    w = preference_weights(prefs)
-    pref_score = F.lit(0.0)
-    for p, sig in rules.PREFERENCE_COLUMNS.items():
-        pref_score = pref_score + F.col(sig) * w[p]
-    temp, rain = seasonal_value("temp", season), seasonal_value("rain", season)
-    weather = weather_score(temp, rain, weather_pref, prefs["beach"])
-    cost_level = F.col("cost_level")
-    budget_score = budget_match_score(budget, cost_level)
-    profile = F.col("cluster_profile")
-    bonus = cluster_bonus(profile, prefs)
-    penalty = must_have_penalty(profile, prefs)
-    sw = rules.SCORE_WEIGHTS
-    final = round_half_even(F.lit(sw["preference"]) * pref_score + F.lit(sw["weather"]) * weather
-                            + F.lit(sw["cost"]) * budget_score + bonus - penalty, 2)
-    final = F.when(final > 100, F.lit(100.0)).otherwise(final)
-    return {
-        "preference_score": pref_score, "weather_score": weather, "budget_match_score": budget_score,
-        "cost_score": budget_score, "cluster_bonus": bonus, "must_have_penalty": penalty,
-        "recommendation_score": final,
-    }
-
-
 # ------------------------------------------------------------------- R9-R11
 def explanation(prefs: Mapping[str, Column], season: Column) -> Column:
     frags = []
@@ -223,14 +200,16 @@ def _code(c: Column, values: list[str], default: int) -> Column:
 
 
 def canonical_requests(valid: DataFrame) -> DataFrame:
-    """Valid requests + canonical signature codes and their hash."""
+    """Valid requests + canonical signature codes."""
     mode = F.lower(F.trim(F.col("weather_preference")))
     mode_code = (F.when(mode == "warm", 0).when(mode == "mild", 1).when(mode == "cool", 2)
                  .when(F.col("beach") >= 7, 3).otherwise(4))
-    out = valid.select("*", _code(F.col("season"), rules.SEASONS, -1).alias("season_code"),
+    # adding 0.0 turns -0.0 into 0.0, so equal preferences hash alike
+    out = valid.select(*[(F.col(c) + F.lit(0.0)).alias(c) if c in PREFS else F.col(c) for c in valid.columns],
+                       _code(F.col("season"), rules.SEASONS, -1).alias("season_code"),
                        _code(F.col("budget"), BUDGETS, BUDGETS.index(rules.DEFAULT_BUDGET)).alias("budget_code"),
                        mode_code.alias("mode_code"))
-    return out.withColumn("sig_hash", F.xxhash64(*SIG_COLS))
+    return out
 
 
 def destination_seasons(catalog: DataFrame) -> DataFrame:
@@ -261,14 +240,16 @@ def destination_seasons(catalog: DataFrame) -> DataFrame:
                        rain.alias("rain"), *[v.alias(k) for k, v in cols.items()]).drop("__s")
 
 
-def request_side(canon: DataFrame) -> DataFrame:
-    """Distinct canonical signatures with weights and flags (r_ prefix)."""
-    sigs = canon.select("sig_hash", *SIG_COLS).distinct()
-    prefs = {p: F.col(p) for p in PREFS}
-    w = preference_weights(prefs)
-    urban_avg = (F.col("food") + F.col("culture") + F.col("nightlife")) / 3
-    return sigs.select(*[F.col(c).alias(f"r_{c}") for c in sigs.columns],
-                       *[w[p].alias(f"r_w_{p}") for p in PREFS], (urban_avg >= 7).alias("r_urban7"))
+def signatures(canon: DataFrame) -> DataFrame:
+    """Distinct canonical signatures (r_ prefix)."""
+    return canon.select(*[F.col(c).alias(f"r_{c}") for c in SIG_COLS]).distinct()
+
+
+def with_weights(sigs: DataFrame) -> DataFrame:
+    """Preference weights and flags, pure functions of the signature columns."""
+    w = preference_weights({p: _r(p) for p in PREFS})
+    urban_avg = (_r("food") + _r("culture") + _r("nightlife")) / 3
+    return sigs.select("*", *[w[p].alias(f"r_w_{p}") for p in PREFS], (urban_avg >= 7).alias("r_urban7"))
 
 
 def pair_scores() -> dict[str, Column]:
@@ -309,62 +290,63 @@ def final_score() -> Column:
     return F.when(final > 100, F.lit(100.0)).otherwise(final)
 
 
-def _pair(dest_seasons: DataFrame, sigs: DataFrame, max_broadcast_rows: int, blocks: int | None) -> DataFrame:
-    """Each signature meets the destination rows of its own season.
-
-    The smaller side within the broadcast limit is broadcast (both counts are
-    cheap: both inputs are written tables). Broadcasting the destination side
-    keeps the signatures hash-partitioned by id, so the top-N window that
-    follows needs no exchange at all.
+#: Signatures and destinations of a cell, and pairs a task is meant to score.
+SIG_BLOCK, DEST_BLOCK, PAIRS_PER_TASK = 512, 2048, 4_000_000
+SIG_KEY = [f"r_{c}" for c in SIG_COLS]
+TIE_BREAK = ["destination_name", "country", "destination_id"]
+
+
+def _blocked_top(sigs: DataFrame, dest_seasons: DataFrame, sig_block: int, dest_block: int) -> DataFrame:
+    """(signature, destination_id, rank): the best destinations of each signature's season."""
+    n_sigs, n_dest = sigs.count(), dest_seasons.count() // len(rules.SEASONS)
+    sig_blocks, dest_blocks = max(1, -(-n_sigs // sig_block)), max(1, -(-n_dest // dest_block))
+    tasks = max(sigs.sparkSession.sparkContext.defaultParallelism * 2, -(-n_sigs * n_dest // PAIRS_PER_TASK))
+    cell = ["season_code", "sig_block", "dest_block"]
+
+    def each(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+
+    left = (with_weights(sigs).withColumn("season_code", _r("season_code")).withColumn("sig_hash", F.xxhash64(*SIG_KEY))
+            .withColumn("sig_block", F.pmod("sig_hash", F.lit(sig_blocks).cast("long")))
+            .withColumn("dest_block", each(dest_blocks)).repartition(tasks, *cell))
+    right = (dest_seasons.withColumn("dest_block", F.pmod(F.xxhash64("destination_id"), F.lit(dest_blocks).cast("long")))
+             .withColumn("sig_block", each(sig_blocks)).repartition(tasks, *cell))
+    scored = (left.join(right.hint("shuffle_hash"), cell)
+              .select("*", *[v.alias(k) for k, v in pair_scores().items()])
+              .select("sig_hash", *cell, *SIG_KEY, *TIE_BREAK, final_score().alias("__score")))
+    order = [F.col("__score").desc_nulls_last(), *TIE_BREAK]
+    # the join's partitioning already keeps a cell together: no exchange here;
+    # the hash comes first so that most sort comparisons end at their prefix
+    best = scored.withColumn("rank", F.row_number().over(Window.partitionBy("sig_hash", *cell, *SIG_KEY).orderBy(*order)))
+    best = best.where(F.col("rank") <= MAX_TOP_N).drop("rank")
+    top = best.withColumn("rank", F.row_number().over(Window.partitionBy("sig_hash", *SIG_KEY).orderBy(*order)))
+    return top.where((F.col("rank") <= MAX_TOP_N) & (F.col("rank") <= _r("top_n"))).select(*SIG_KEY, "season_code", "destination_id", "rank")
+
+
+def recommend(valid_requests: DataFrame, catalog: DataFrame, dest_seasons: DataFrame | None = None,
+              with_texts: bool = True, sig_block: int = SIG_BLOCK, dest_block: int = DEST_BLOCK) -> DataFrame:
+    """Top ``top_n`` destinations per valid request with scores and texts.
+
+    ``dest_seasons`` is ``destination_seasons`` of the catalogue when the caller
+    has it already (a stream builds it once, not per batch).
     """
-    n_dest, n_sigs = dest_seasons.count(), sigs.count()
-    on_season = dest_seasons.season_code == sigs.r_season_code
-    if n_dest <= max_broadcast_rows and n_dest <= n_sigs:
-        n_parts = int(sigs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        return sigs.repartition(n_parts, "r_sig_id").join(F.broadcast(dest_seasons),
-                                                          sigs.r_season_code == dest_seasons.season_code)
-    if n_sigs <= max_broadcast_rows:
-        # Signatures are the bounded side: the catalogue streams where it lies.
-        return dest_seasons.join(F.broadcast(sigs), on_season)
-    # Neither side fits: hash-block the signatures and replicate the
-    # destination rows once per block (a blocked equi-join on season+block).
-    n_blocks = blocks or -(-n_sigs // max_broadcast_rows)
-    rb = sigs.withColumn("__block", F.pmod(F.col("r_sig_hash"), F.lit(n_blocks)))
-    cb = dest_seasons.withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    return cb.join(rb, (cb.season_code == rb.r_season_code) & (cb["__block"] == rb["__block"])).drop("__block")
-
-
-def recommend(valid_requests: DataFrame, catalog: DataFrame, max_broadcast_rows: int = 200_000,
-              blocks: int | None = None, with_texts: bool = True) -> DataFrame:
-    """Top ``top_n`` destinations per valid request with scores and texts."""
     canon = canonical_requests(valid_requests)
-    # Distinct signatures get a unique id, fixed by writing the table (an id
-    # recomputed after a lost executor could otherwise change).
-    sigs = cut_lineage(request_side(canon).withColumn("r_sig_id", F.monotonically_increasing_id()), "signatures")
-    dest_seasons = cut_lineage(destination_seasons(catalog.select(*SCORING_COLUMNS)), "destination_seasons")
-    pairs = _pair(dest_seasons, sigs, max_broadcast_rows, blocks)
-    scored = pairs.select("destination_id", "destination_name", "country", "temp", "rain",
-                          *rules.PREFERENCE_COLUMNS.values(), "r_sig_id", "r_season_code", "r_top_n", *[f"r_{p}" for p in PREFS],
-                          *[v.alias(k) for k, v in pair_scores().items()])
-    scored = scored.select("*", final_score().alias("recommendation_score"))
-    sig_cols = [f"r_{c}" for c in ["sig_hash", *SIG_COLS]]
-    w = Window.partitionBy("r_sig_id").orderBy(
-        F.col("recommendation_score").desc_nulls_last(), "destination_name", "country", "destination_id")
-    top = (scored.withColumn("rank", F.row_number().over(w))
-           .where((F.col("rank") <= MAX_TOP_N) & (F.col("rank") <= _r("top_n"))))
+    if dest_seasons is None:
+        dest_seasons = destination_seasons(catalog.select(*SCORING_COLUMNS))
+    top = _blocked_top(signatures(canon), dest_seasons, sig_block, dest_block)
+    # details of the kept rows only
+    top = with_weights(top).join(dest_seasons.drop("destination_name", "country"), ["destination_id", "season_code"])
+    top = top.select("*", *[v.alias(k) for k, v in pair_scores().items()])
+    top = top.select("*", final_score().alias("recommendation_score"), F.col("budget_match_score").alias("cost_score"),
+                     F.element_at(F.array(*[F.lit(s) for s in rules.SEASONS]), _r("season_code") + 1).alias("r_season"))
     extra = [c for c in OUTPUT_COLUMNS if c in catalog.columns and c not in top.columns]
     top = top.join(catalog.select("destination_id", *extra), "destination_id")
-    top = top.withColumn("cost_score", F.col("budget_match_score"))
-    top = top.withColumn("r_season", F.element_at(F.array(*[F.lit(s) for s in rules.SEASONS]),
-                                                  F.col("r_season_code") + 1))
     if with_texts:
         prefs = {p: _r(p) for p in PREFS}
         top = top.select("*", explanation(prefs, _r("season")).alias("explanation"),
                          natural_reason(prefs, _r("season")).alias("natural_reason"),
                          reason_struct().alias("reason"))
     keep = [c for c in OUTPUT_COLUMNS if c in top.columns]
-    top = top.select("r_sig_id", "rank", "cluster_bonus", "must_have_penalty", *keep)
-    # Exact signature match (hash plus every signature column) -> id -> rows.
-    req = (canon.select("request_id", *[F.col(c).alias(f"r_{c}") for c in ["sig_hash", *SIG_COLS]])
-           .join(sigs.select("r_sig_id", *sig_cols), sig_cols).select("request_id", "r_sig_id"))
-    return req.join(top, "r_sig_id").drop("r_sig_id")
+    top = top.select(*SIG_KEY, "rank", "cluster_bonus", "must_have_penalty", *keep)
+    requests = canon.select("request_id", *[F.col(c).alias(f"r_{c}") for c in SIG_COLS])
+    return requests.join(top, SIG_KEY).drop(*SIG_KEY)

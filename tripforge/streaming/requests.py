@@ -12,7 +12,6 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripforge.session import checkpoint_dir
@@ -21,12 +20,14 @@ from tripforge.session import checkpoint_dir
 def start_request_stream(stream: DataFrame, catalog: DataFrame, sink: str, checkpoint: str,
                          available_now: bool = True, with_texts: bool = True):
     """Start the scoring query. ``stream`` holds raw request columns."""
-    from tripforge.operators.recommend import recommend
+    from tripforge.operators.recommend import SCORING_COLUMNS, destination_seasons, recommend
     from tripforge.sources.requests import parse_requests
 
+    dest_seasons = destination_seasons(catalog.select(*SCORING_COLUMNS)).persist()  # once for all batches
+
     def process(batch: DataFrame, batch_id: int) -> None:
         valid, rejected = parse_requests(batch)
-        recs = recommend(valid, catalog, with_texts=with_texts)
+        recs = recommend(valid, catalog, dest_seasons, with_texts=with_texts)
         recs.write.mode("overwrite").parquet(os.path.join(sink, "recommendations", f"batch_id={batch_id}"))
         rejected.write.mode("overwrite").parquet(os.path.join(sink, "rejected", f"batch_id={batch_id}"))
 
@@ -61,4 +62,4 @@ def read_sink(spark: SparkSession, sink: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sink, "recommendations")).drop("batch_id")
 
 
-__all__ = ["start_request_stream", "customer_request_stream", "run_to_completion", "read_sink", "F"]
+__all__ = ["start_request_stream", "customer_request_stream", "run_to_completion", "read_sink"]

@@ -6,6 +6,7 @@ of that set is ASCII, so splitting UTF-8 bytes equals splitting code points.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -52,6 +53,38 @@ def hashed_sample(df: DataFrame, limit: int, key: str, seed: str):
     return df.orderBy("_h", key).limit(limit).drop("_h")
 
 
+# ------------------------------------------------------ memory of workers
+def release_memory() -> None:
+    """Freed memory goes back to the system; Spark keeps idle Python workers, which would hold it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # a C library without it
+        pass
+
+
+def released(run):
+    """``run`` for mapInArrow, with freed memory given back after each task."""
+
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return whole
+
+
+def pieces(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """Slices of ``batch`` with about 4 * STEP_BYTES of ``column`` each."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+    lo = 0
+    while lo < len(ends):
+        hi = int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + 4 * STEP_BYTES, "left")) + 1
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 # ------------------------------------------------------------- word hashing
 _RNG = np.random.default_rng(20240607)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

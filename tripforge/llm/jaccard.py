@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripforge.llm.common import mix64, place_factors, stored, text_steps, word_hashes
+from tripforge.llm.common import mix64, pieces, place_factors, release_memory, released, stored, text_steps, word_hashes
 from tripforge.llm.components import components
 
 #: Documents whose elements are counted for the order, and elements put last.
@@ -130,7 +130,7 @@ def digest_rows(docs: DataFrame, words: int) -> DataFrame:
     """doc_id, n (set size), node and bits (null for an empty set)."""
 
     def run(batches):
-        for b in batches:
+        for b in (x for whole in batches for x in pieces(whole)):
             sets = element_sets(b.column("text"), words)
             yield pa.RecordBatch.from_pydict({
                 "doc_id": b.column("doc_id"), "n": pa.array([len(s) for s in sets], pa.int64()),
@@ -138,7 +138,7 @@ def digest_rows(docs: DataFrame, words: int) -> DataFrame:
                 "bits": pa.array([bitmap(s) if len(s) else None for s in sets], pa.binary())})
 
     d = docs.select("doc_id", "text")
-    return d.mapInArrow(run, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, n long, node long, bits binary")
+    return d.mapInArrow(released(run), f"doc_id {d.schema['doc_id'].dataType.simpleString()}, n long, node long, bits binary")
 
 
 def frequent_elements(docs: DataFrame, words: int, rows: int) -> np.ndarray:
@@ -149,12 +149,12 @@ def frequent_elements(docs: DataFrame, words: int, rows: int) -> np.ndarray:
         d = d.filter(h < int(-(2**63) + SAMPLE_DOCUMENTS / rows * 2**64))
 
     def run(batches):
-        for b in batches:
+        for b in (x for whole in batches for x in pieces(whole)):
             sets = element_sets(b.column("text"), words)
             v, n = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.empty(0, np.uint64), np.empty(0, int))
             yield pa.RecordBatch.from_pydict({"e": pa.array(v.view(np.int64)), "c": pa.array(n.astype(np.int64))})
 
-    top = (d.mapInArrow(run, "e long, c long").groupBy("e").agg(F.sum("c").alias("c")).filter("c > 2")
+    top = (d.mapInArrow(released(run), "e long, c long").groupBy("e").agg(F.sum("c").alias("c")).filter("c > 2")
            .orderBy(F.desc("c"), "e").limit(FREQUENT).toPandas())
     return top["e"].to_numpy(np.int64).view(np.uint64)[::-1].copy()
 
@@ -167,31 +167,33 @@ def key_rows(docs: DataFrame, words: int, percent: int, frequent: np.ndarray) ->
     def run(batches):
         values, place = shared.value
         for b in batches:
-            seen, keys, nodes, sizes = set(), [], [], []
-            for s in element_sets(b.column("text"), words):
-                n = len(s)
-                lead = n - (-(-percent * n // 100)) + 1
-                if not n or (100 * n // percent == n and lead == 1):  # links with none but equal sets
-                    continue
-                node = node_of(s)
-                if node in seen:
-                    continue
-                seen.add(node)
-                if len(values):
-                    at = np.searchsorted(values, s)
-                    at[at == len(values)] = 0
-                    common = values[at] == s
-                    s = np.concatenate([s[~common], s[common][np.argsort(place[at[common]])]])
-                t = band(n, percent)
-                for tile in (t, t + 1):
-                    keys.append(mix64(s[:lead] ^ np.uint64(tile * 0xD6E8FEB86659FD93 % 2**64)))
-                nodes.append(np.full(2 * lead, node, np.int64))
-                sizes.append(np.full(2 * lead, n, np.int32))
-            if keys:
-                yield pa.RecordBatch.from_pydict({"key": pa.array(np.concatenate(keys).view(np.int64)), "node": pa.array(np.concatenate(nodes)),
-                                                  "n": pa.array(np.concatenate(sizes))})
-
-    return docs.select("text").filter("text is not null").mapInArrow(run, "key long, node long, n int")
+            seen = set()
+            for piece in pieces(b):
+                keys, nodes, sizes = [], [], []
+                for s in element_sets(piece.column("text"), words):
+                    n = len(s)
+                    lead = n - (-(-percent * n // 100)) + 1
+                    if not n or (100 * n // percent == n and lead == 1):  # links with none but equal sets
+                        continue
+                    node = node_of(s)
+                    if node in seen:
+                        continue
+                    seen.add(node)
+                    if len(values):
+                        at = np.searchsorted(values, s)
+                        at[at == len(values)] = 0
+                        common = values[at] == s
+                        s = np.concatenate([s[~common], s[common][np.argsort(place[at[common]])]])
+                    t = band(n, percent)
+                    for tile in (t, t + 1):
+                        keys.append(mix64(s[:lead] ^ np.uint64(tile * 0xD6E8FEB86659FD93 % 2**64)))
+                    nodes.append(np.full(2 * lead, node, np.int64))
+                    sizes.append(np.full(2 * lead, n, np.int32))
+                if keys:
+                    yield pa.RecordBatch.from_pydict({"key": pa.array(np.concatenate(keys).view(np.int64)), "node": pa.array(np.concatenate(nodes)),
+                                                      "n": pa.array(np.concatenate(sizes))})
+
+    return docs.select("text").filter("text is not null").mapInArrow(released(run), "key long, node long, n int")
 
 
 def shared_keys(rows: DataFrame, partitions: int) -> DataFrame:
@@ -238,7 +240,7 @@ def shared_keys(rows: DataFrame, partitions: int) -> DataFrame:
                                                   "centre": pa.array(centre[run_of][keep]), "cn": pa.array(size[run_of][keep])})
 
     return (rows.repartition(partitions, "key").sortWithinPartitions("key", "node")
-            .mapInArrow(run, "key long, node long, n int, centre long, cn int"))
+            .mapInArrow(released(run), "key long, node long, n int, centre long, cn int"))
 
 
 def sets_of(docs: DataFrame, words: int, digests: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -251,11 +253,11 @@ def sets_of(docs: DataFrame, words: int, digests: DataFrame, nodes: DataFrame) -
     d = d.join(some, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
 
     def run(batches):
-        for b in batches:
+        for b in (x for whole in batches for x in pieces(whole)):
             out = {node_of(s): s for s in element_sets(b.column("text"), words) if len(s)}
             yield pa.RecordBatch.from_pydict({"node": pa.array(list(out), pa.int64()), "elements": pa.array([s.tobytes() for s in out.values()], pa.binary())})
 
-    found = d.mapInArrow(run, "node long, elements binary").join(nodes, "node", "left_semi")
+    found = d.mapInArrow(released(run), "node long, elements binary").join(nodes, "node", "left_semi")
     return found.groupBy("node").agg(F.first("elements").alias("elements"))
 
 
@@ -274,7 +276,7 @@ def pass_bits(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
             ok = pa.array(links(most, n[: x.num_rows], n[x.num_rows:], percent))
             yield pa.RecordBatch.from_arrays([x.column("a").filter(ok), x.column("b").filter(ok)], ["a", "b"])
 
-    return p.select("a", "b", "na", "nb", "ba", "bb").mapInArrow(by_bits, "a long, b long")
+    return p.select("a", "b", "na", "nb", "ba", "bb").mapInArrow(released(by_bits), "a long, b long")
 
 
 def pass_exact(pairs: DataFrame, docs: DataFrame, words: int, digests: DataFrame, percent: int) -> DataFrame:
@@ -293,7 +295,7 @@ def pass_exact(pairs: DataFrame, docs: DataFrame, words: int, digests: DataFrame
 
     p = (pairs.join(e.withColumnsRenamed({"node": "a", "elements": "ea"}), "a")
          .join(e.withColumnsRenamed({"node": "b", "elements": "eb"}), "b"))
-    return p.select("a", "b", "ea", "eb").mapInArrow(exact, "a long, b long")
+    return p.select("a", "b", "ea", "eb").mapInArrow(released(exact), "a long, b long")
 
 
 def block_pairs(mixed: DataFrame, bits: DataFrame, percent: int, best: bool) -> DataFrame:
@@ -357,7 +359,7 @@ def block_pairs(mixed: DataFrame, bits: DataFrame, percent: int, best: bool) ->
                 yield pa.RecordBatch.from_arrays([pa.array(key[p]), pa.array(np.minimum(v[p], v[q])), pa.array(np.maximum(v[p], v[q]))], ["key", "a", "b"])
 
     return (m.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-            .mapInArrow(run, "key long, a long, b long"))
+            .mapInArrow(released(run), "key long, a long, b long"))
 
 
 def link_nodes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -372,7 +374,7 @@ def link_nodes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, Da
              .groupBy(F.col("node").alias("b")).agg(F.min(F.struct(F.col("centre").alias("a"), F.col("cn").alias("na"))).alias("x"), F.first("n").alias("nb"))
              .select("x.a", F.col("x.na").cast("long").alias("na"), "b", F.col("nb").cast("long").alias("nb")))
     bits = stored(digests.filter("node is not null").groupBy("node").agg(F.first("bits").alias("bits")), "jaccard-bits")
-    short = stored(bits.mapInArrow(shortened, bits.schema), "jaccard-short-bits")
+    short = stored(bits.mapInArrow(released(shortened), bits.schema), "jaccard-short-bits")
     first = stored(pass_bits(first, bits, percent), "jaccard-first")
     forest = stored(components(pass_exact(first, docs, words, digests, percent)), "jaccard-forest")
 
@@ -435,7 +437,10 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
 
     @F.pandas_udf("long")
     def node(texts: pd.Series) -> pd.Series:
-        return pd.Series([node_of(s) if len(s) else None for s in element_sets(pa.array(texts, pa.string(), from_pandas=True), words)], dtype="Int64")
+        column = pa.RecordBatch.from_arrays([pa.array(texts, pa.string(), from_pandas=True)], ["text"])
+        nodes = [node_of(s) if len(s) else None for x in pieces(column) for s in element_sets(x.column("text"), words)]
+        release_memory()
+        return pd.Series(nodes, dtype="Int64")
 
     d = docs.withColumn("_node", node(F.col("text")))
     blank = d.filter(F.col("_node").isNull()).select(*docs.columns)

@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripforge.llm.common import release_memory
+
 #: Bytes of a window, units per direction.
 WINDOW, UNITS = 64, 12
 #: The labelled sample: about so many documents of each language, so many
@@ -204,6 +206,7 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
         m = shared.value
         p = document_probabilities([t or "" for t in texts], m["net"], len(m["langs"]))
         best = p.argmax(1)
+        release_memory()
         return pd.DataFrame({"lang": [m["langs"][k] for k in best], "score": np.clip(p[np.arange(len(p)), best], 0, 1)})
 
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))

@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripforge.llm.common import release_memory
+
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
 # whole runs, so the least length can stand in the pattern
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
@@ -250,6 +252,7 @@ def redact(docs: DataFrame, model: dict, mark: str = "[SECRET]") -> DataFrame:
                     parts += [t[at:s], mark] if s >= at else []
                     at = e
             out.append("".join([*parts, t[at:]]) if at else t)
+        release_memory()
         return pd.Series(out, dtype=object)
 
     return docs.withColumn("text", run(F.col("text")))

@@ -159,6 +159,20 @@ def test_filter_levels():
     assert (lm.probe_levels(keys + np.uint64(1), bits) > 0).mean() < 0.02
 
 
+def test_filter_beyond_one_broadcast(spark):
+    from pyspark.sql import functions as F
+    from tripforge.llm import lm
+    texts = spark.range(20_000).select(F.expr("id doc_id"), F.expr("concat_ws(' ', transform(sequence(1, 100), k -> concat(id, 'x', k)))").alias("text"))
+    model, words = lm.train(texts.select("text"), max_filter_mb=1)
+    assert len(model["filter"]) > 2 and all(p.value.nbytes <= 1 << 20 for p in model["filter"])
+    absent = np.random.default_rng(0).integers(0, 2**63, 200_000).astype(np.uint64)
+    assert (lm.probe_pieces(absent, lm.piece_bits(model["filter"]), model["regions"]) > 0).mean() < 0.02
+    whole, _ = lm.train(texts.select("text"))
+    docs = texts.filter("doc_id < 50").withColumn("held_out", F.lit(False))
+    a, b = (sorted((r["doc_id"], r["score"]) for r in lm.score(docs, m, words).collect()) for m in (model, whole))
+    assert len(whole["filter"]) == 1 and len(a) == 50 and np.allclose(a, b, rtol=1e-12)
+
+
 @pytest.mark.parametrize("words,percent", [(4, 85), (5, 80)])
 def test_jaccard_equals_brute_force(docs, empty, words, percent):
     from tripforge.llm import jaccard

@@ -135,11 +135,11 @@ def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return h, bounds
 
 
-def text_steps(texts: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
-    """Slices of ``texts`` of about STEP_BYTES each, with their first row."""
+def text_steps(texts: pa.Array, size: int = STEP_BYTES) -> Iterator[tuple[int, list[str | None]]]:
+    """Slices of ``texts`` of about ``size`` bytes each, with their first row."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
     lo = 0
     while lo < len(ends):
-        hi = int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + STEP_BYTES, "left")) + 1
+        hi = int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + size, "left")) + 1
         yield lo, texts.slice(lo, hi - lo).to_pylist()
         lo = hi

@@ -4,8 +4,9 @@ Training counts of words and word pairs are gathered by one grouping over 64-bit
 keys. A count is quantised on a logarithmic scale; a key of level q puts the
 events (key, 1) ... (key, q) into a Bloom filter, so a reader finds the level by
 probing 1, 2, ... until a probe misses. The filter is built in regions of 1 MB by
-tasks, put together on the driver and broadcast; it never exceeds
-``max_filter_mb`` (a fuller filter errs more often, no count is left out).
+tasks; their number grows with the events, so the bits per event are the same at
+every size. Pieces of at most ``max_filter_mb`` are put together on the driver and
+broadcast one by one, and a worker probes them one after another, holding one.
 
 Score of a text: a mixture, per text, of a word model ``(c + 1) / (sum + V + 1)``
 and back-off pair models that differ in the mass kept for unseen pairs (pairs seen
@@ -28,11 +29,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripforge.llm.common import mix64, stored, text_steps, word_hashes
+from tripforge.llm.common import STEP_BYTES, mix64, stored, text_steps, word_hashes
 
 #: Logarithmic scale of counts, bits of a region, bits of filter per event, probes per event.
 GROWTH, REGION_BITS, EVENT_BITS, PROBES = 1.4, 1 << 23, 10, 7
+#: Most MB of the filter that are broadcast, and held by a worker, as one piece.
 MAX_FILTER_MB = 128
+#: UTF-8 bytes of text scored together when the filter has several pieces.
+PASS_BYTES = 8 << 20
 #: Most words whose exact counts are broadcast (16 bytes each).
 FREQUENT_WORDS = 200_000
 #: Least count of a pair that is kept, and mass kept for unseen pairs by each pair model.
@@ -124,8 +128,8 @@ def _region(keys: np.ndarray, regions: int) -> np.ndarray:
     return ((mix64(keys) >> np.uint64(24)) % np.uint64(regions)).astype(np.int64)
 
 
-def build_filter(counts: DataFrame, regions: int) -> np.ndarray:
-    """The whole filter: regions of REGION_BITS, each built by a task from its keys."""
+def build_filter(counts: DataFrame, regions: int) -> DataFrame:
+    """region, bits: the whole filter, each region of REGION_BITS built by a task from its keys."""
 
     def with_region(batches):
         for b in batches:
@@ -146,17 +150,32 @@ def build_filter(counts: DataFrame, regions: int) -> np.ndarray:
         return pa.table({"region": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([bits.tobytes()], pa.binary())})
 
     rows = counts.select("key", "c").mapInArrow(with_region, "region long, key long, c long")
-    out = np.zeros((regions, REGION_BITS >> 3), np.uint8)
-    for r in rows.groupBy("region").applyInArrow(build, "region long, bits binary").toLocalIterator():
-        out[r["region"]] = np.frombuffer(r["bits"], np.uint8)
+    return rows.groupBy("region").applyInArrow(build, "region long, bits binary")
+
+
+def broadcast_filter(built: DataFrame, regions: int, most: int) -> list:
+    """The filter as broadcast pieces of ``most`` regions; the driver holds one piece at a time."""
+    out = []
+    for lo in range(0, regions, most):
+        bits = np.zeros((min(most, regions - lo), REGION_BITS >> 3), np.uint8)
+        for r in built.filter(F.col("region").between(lo, lo + len(bits) - 1)).toLocalIterator():
+            bits[r["region"] - lo] = np.frombuffer(r["bits"], np.uint8)
+        out.append(built.sparkSession.sparkContext.broadcast(bits))
     return out
 
 
-def probe_levels(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    """Level of each key: probes 1, 2, ... until one misses."""
+def piece_bits(pieces: list):
+    """The bits of each piece; a single one stays in memory, of several only the one in use."""
+    for p in pieces:
+        path = getattr(p, "_path", None)
+        yield p.value if len(pieces) == 1 or path is None else p.load_from_path(path)
+
+
+def probe_levels(keys: np.ndarray, bits: np.ndarray, region: np.ndarray | None = None) -> np.ndarray:
+    """Level of each key: probes 1, 2, ... until one misses. ``region`` is the row of ``bits`` of each key."""
     found = np.zeros(len(keys), np.int64)
     alive = np.arange(len(keys))
-    base = _region(keys, len(bits)) * (REGION_BITS >> 3)
+    base = (_region(keys, len(bits)) if region is None else region) * (REGION_BITS >> 3)
     flat = bits.reshape(-1)
     level = 1
     while len(alive) and level <= len(SCALE):
@@ -173,11 +192,24 @@ def probe_levels(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return found
 
 
+def probe_pieces(keys: np.ndarray, pieces, regions: int) -> np.ndarray:
+    """As probe_levels, with the bits in ``pieces`` of consecutive regions."""
+    region, found, first = _region(keys, regions), np.zeros(len(keys), np.int64), 0
+    for bits in pieces:
+        at = np.flatnonzero((region >= first) & (region < first + len(bits)))
+        found[at] = probe_levels(keys[at], bits, region[at] - first)
+        first += len(bits)
+    return found
+
+
 class Levels:
-    """Levels by probing; a worker remembers those of keys that took many probes."""
+    """Levels by probing; a worker remembers those of keys that took many probes.
+
+    ``bits`` is the whole filter, or a function that gives its pieces."""
 
-    def __init__(self, bits: np.ndarray):
-        self.bits = bits
+    def __init__(self, bits, regions: int = 0):
+        self.pieces = bits if callable(bits) else lambda: [bits]
+        self.regions = regions or len(bits)
         self.keys, self.levels = np.empty(0, np.uint64), np.empty(0, np.int64)
 
     def __call__(self, keys: np.ndarray) -> np.ndarray:
@@ -188,7 +220,7 @@ class Levels:
         known[inside] = self.keys[at[inside]] == keys[inside]
         out = np.zeros(len(keys), np.int64)
         out[known] = self.levels[at[known]]
-        out[~known] = fresh = probe_levels(keys[~known], self.bits)
+        out[~known] = fresh = probe_pieces(keys[~known], self.pieces(), self.regions)
         new = np.flatnonzero(fresh >= REMEMBER_FROM)[: REMEMBER - len(self.keys)]
         if len(new):
             k = np.concatenate([self.keys, keys[~known][new]])
@@ -207,12 +239,16 @@ def score_texts(texts: list[str | None], model: dict, levels: Levels):
         return np.bincount(doc, x, size)
 
     words, at = np.unique(cur, return_inverse=True)
-    level = levels(words)
+    pairs, pat = np.unique(pair_keys(before, cur), return_inverse=True)
+    keys = np.concatenate([words, pairs])  # one pass over the filter for both
+    order = np.argsort(keys)
+    both = np.empty(len(keys), np.int64)
+    both[order] = levels(keys[order])
+    level = both[: len(words)]
     middle = np.sqrt(lowest(level).astype(float) * highest(level))
     word_log = np.log10(middle + 1) - np.log10(model["n"] + model["v"] + 1)
     log1 = word_log[at]
-    pairs, pat = np.unique(pair_keys(before, cur), return_inverse=True)
-    seen_level = levels(pairs)[pat]
+    seen_level = both[len(words):][pat]
     seen = seen_level > 0
     pair_count = np.where(seen, lowest(seen_level) + LEAST_PAIR - 1, 1).astype(float)
     context = np.concatenate([[0], highest(level)[at][:-1]])
@@ -242,14 +278,15 @@ def score_texts(texts: list[str | None], model: dict, levels: Levels):
 
 
 def train(texts: DataFrame, max_filter_mb: int = MAX_FILTER_MB) -> tuple[dict, DataFrame]:
-    """The broadcast part of the model, and the exact counts of all words."""
+    """The broadcast part of the model (the filter in pieces of ``max_filter_mb``), and the exact counts of all words."""
     counts = (count_rows(texts).groupBy("key").agg(F.sum("c").alias("c"))
               .filter((F.col("key").bitwiseAND(1) == 1) | (F.col("c") >= LEAST_PAIR)))
     counts = stored(counts, "lm-counts")
     is_word = F.col("key").bitwiseAND(1) == 1
     steps_ = F.when(F.col("c") <= 5, F.col("c")).otherwise(5 + F.log(F.col("c") / 5.0) / float(np.log(GROWTH)))
     n, v, events = counts.agg(F.sum(F.when(is_word, F.col("c"))), F.count_if(is_word), F.sum(steps_)).first()
-    regions = int(max(1, min(max_filter_mb, (events or 0) * EVENT_BITS // REGION_BITS + 1)))
+    regions = int((events or 0) * EVENT_BITS // REGION_BITS + 1)
+    most = max(1, max_filter_mb * (1 << 23) // REGION_BITS)
     words = counts.filter(is_word)
     # the least logarithmic step that leaves few enough words
     step = F.floor(F.log("c") / float(np.log(GROWTH)))
@@ -262,20 +299,27 @@ def train(texts: DataFrame, max_filter_mb: int = MAX_FILTER_MB) -> tuple[dict, D
     top = words.filter(F.col("c") >= least).toPandas()
     key = top["key"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(key)
-    return {"bits": build_filter(counts, regions), "n": int(n or 0), "v": int(v or 0), "texts": texts.count(),
+    built = build_filter(counts, regions)
+    if regions > most:  # read once per piece
+        built = stored(built, "lm-filter")
+    return {"filter": broadcast_filter(built, regions, most), "regions": regions, "n": int(n or 0), "v": int(v or 0), "texts": texts.count(),
             "words": key[order], "counts": top["c"].to_numpy(np.int64)[order], "more": int(v or 0) > len(key)}, words
 
 
 def score(docs: DataFrame, model: dict, words: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text, held_out) -> doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    pieces = model["filter"]
+    shared = docs.sparkSession.sparkContext.broadcast({k: v for k, v in model.items() if k != "filter"})
+    at_once = STEP_BYTES if len(pieces) == 1 else PASS_BYTES
     doc_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         model = shared.value
-        levels = model.setdefault("levels", Levels(model["bits"]))  # of this worker's copy
+        if "levels" not in model:  # of this worker's copy
+            model["levels"] = Levels(lambda: piece_bits(pieces), model["regions"])
+        levels = model["levels"]
         for b in batches:
-            for lo, t in text_steps(b.column("text")):
+            for lo, t in text_steps(b.column("text"), at_once):
                 hi = lo + len(t)
                 n_tokens, score_, base, n_known, rows = score_texts(t, model, levels)
                 part = b.slice(lo, hi - lo)

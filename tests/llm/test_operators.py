@@ -319,6 +319,21 @@ def test_toxicity(spark, empty):
     assert T.score(df, none).filter("score != 0").count() == 0
 
 
+def test_toxicity_of_long_runs():
+    from tripforge.llm import toxicity as T
+    rng = np.random.default_rng(0)
+    v = ["the", "and", "ther", "lying", "ed", "hand", "shore", "then", "ion", "read", "you", "are"]
+    texts = [" ".join(rng.choice(v, 40)) for _ in range(400)]
+    toxic = [int(i % 4 == 0) for i in range(400)]
+    m = T.learn([t + (" idiot. loser, you stupid" if y else "") for t, y in zip(texts, toxic)], toxic)
+    for t in ("idi" + "o" * 40 + "t", "the" + "-hand" * 20 + "-1d10t-" + "shore/" * 20, "\U0001f600".join(["hand"] * 12 + ["l0ser"] + ["read"] * 12),
+              "thehandandshorethen" * 4 + "l0ser" + "thehandandshorethen" * 4, "you are a s t u p i d fool", "i s t u p i d", "y o u s t u p i d l o s e r g o",
+              " ".join("theandhand" * 4 + "idiot" + "shore" * 4), "you (1di0+), and", "an id10+.", "such l0se" + "r" * 30 + "!!!", "l00000ser"):
+        assert T.text_score(t, m) >= 0.7, t
+    for t in ("the-hand-and/shore-" * 20, " ".join("thehandandshore"), "thehand0andshore" * 9, "*" * 5000 + "a" + "-" * 5000, "a b c d e f " * 50):
+        assert T.text_score(t, m) < 0.7, t
+
+
 def test_pipeline_stages(spark, docs, empty):
     import corpus_pipeline as C
     d = docs.select("doc_id", "text", "lang", "source", "n_chars")

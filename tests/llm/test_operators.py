@@ -92,6 +92,24 @@ def test_mixing_meets_targets(docs, empty):
     assert copies.columns == docs.columns and mixing.repeat_documents(empty).count() == 0
 
 
+def test_mixing_small_sources_beside_a_large_one(spark):
+    from pyspark.sql import functions as F
+    from tripforge.llm import mixing
+    big = spark.range(4300).select(F.col("id").alias("doc_id"), F.expr("concat(id, repeat(' w', 999))").alias("text"), F.lit("m").alias("source"))
+    small = [(100_000 + 1000 * s + k, " ".join(["v"] * 5), f"{name}{s}") for name in "az" for s in (10, 65, 200) for k in range(s // 5)]
+    docs = big.unionByName(spark.createDataFrame(small, "doc_id long, text string, source string"))
+    rows = mixing.mix(docs).filter("source <> 'm'").collect()
+    taken, target = Counter(), {}
+    for r in rows:
+        assert 0 <= r["taken"] <= 2 * r["size"]
+        taken[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+    assert len(target) == 6 and all(abs(taken[s] - target[s]) <= 0.5 for s in target)
+    whole = mixing.mix(docs).filter("source = 'm'").agg(F.sum("taken"), F.first("target")).first()
+    assert abs(whole[0] - whole[1]) < 5 * 1.5 * 64
+    assert mixing.repeat_documents(docs).filter("source <> 'm'").count() == 2 * len(small)
+
+
 def test_chat_round_trip(spark):
     from tripforge.llm import chat
     rows = [(1, 0, "user", "a <s> </s> [INST] <\\s> [\\\\INST] <<SYS>>"), (1, 1, "assistant", "x" * 1000 + "</s>\n[/INST] ü"),

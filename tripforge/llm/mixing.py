@@ -6,7 +6,8 @@ excess is shared again by weight until none is above.
 
 Blocks: each source is dealt into shards of about ``shard_words`` words by a
 seeded hash, a shard's documents are strung together in seeded order and cut
-into blocks of equal size. A block quota goes to every (source, shard) by highest
+into blocks that differ by at most a word. Their size comes from the source's own
+size, so every source has many, down to one word each. A block quota goes to every (source, shard) by highest
 quotients: each quotient ``target / (2k + 1)`` of at least half a block wins one
 block, which is the Sainte-Lague allocation of the house size those quotients
 make. A shard first takes whole rounds of all its blocks, then the rest of its
@@ -28,6 +29,8 @@ from pyspark.sql import functions as F
 from tripforge.llm.common import stored
 
 WEIGHTS = (3, 1, 2)
+#: A source has at least so many blocks, or one per word.
+SOURCE_BLOCKS = 1024
 
 
 def word_count(text: Column) -> Column:
@@ -62,26 +65,26 @@ def mix(docs: DataFrame, share: float = 1.5, cap: float = 2.0, weights=WEIGHTS,
     """``doc_id, source, size, h, source_size, target, taken`` for every row of
     ``docs``; ``h`` is the seeded hash of id and text.
 
-    ``block_words`` is the largest block; a table under 65,536 times that is cut
-    finer, down to one word, so small sources still meet their targets.
+    ``block_words`` is the largest block; a source under SOURCE_BLOCKS times that is
+    cut finer, down to one word, so small sources meet their targets beside large ones.
     """
     sized = stored(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"),
                                F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), F.col("text")).alias("h")), "mix-sized")
     t = stored(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), share, cap, weights), "mix-targets")
-    total = t.agg(F.sum("source_size")).first()[0] or 0
-    block = max(1, min(block_words, total // 65536))
+    block = F.greatest(F.lit(1), F.least(F.lit(block_words), F.floor(F.col("source_size") / SOURCE_BLOCKS)))
     shards = F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words))
     named = t.withColumnRenamed("source", "name")
     line = Window.partitionBy("sid", "shard").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
     d = (sized.join(named, F.col("source").eqNullSafe(F.col("name"))).drop("name")
          .withColumn("shard", F.pmod(F.xxhash64(F.lit("shard"), "h"), shards))
-         .withColumn("stop", F.sum("size").over(line)).withColumn("start", F.col("stop") - F.col("size")))
+         .withColumn("stop", F.sum("size").over(line)).withColumn("start", F.col("stop") - F.col("size"))
+         .withColumn("words", F.sum("size").over(Window.partitionBy("sid", "shard")))
+         .withColumn("blocks", F.ceil(F.col("words") / block)))
     d = stored(d, "mix-lines")
 
     cells = (d.filter("size > 0").groupBy("sid", "shard")
-             .agg(F.sum("size").alias("words"), F.first("target").alias("target"), F.first("source_size").alias("source_size"))
-             .withColumn("blocks", F.ceil(F.col("words") / block))
-             .withColumn("quota", F.least(F.floor(F.col("target") * F.col("words") / F.col("source_size") / block + 0.5),
+             .agg(F.first("blocks").alias("blocks"), F.first("target").alias("target"), F.first("source_size").alias("source_size"))
+             .withColumn("quota", F.least(F.floor(F.col("target") * F.col("blocks") / F.col("source_size") + 0.5),
                                           (F.col("blocks") * cap).cast("long")))
              .withColumn("rounds", F.floor(F.col("quota") / F.col("blocks")))
              .withColumn("extra", F.col("quota") - F.col("rounds") * F.col("blocks"))
@@ -93,11 +96,12 @@ def mix(docs: DataFrame, share: float = 1.5, cap: float = 2.0, weights=WEIGHTS,
               .withColumn("place", F.row_number().over(draw)).filter("place <= extra")
               .select("sid", "shard", "block"))
     parts = (d.filter("size > 0")
-             .select("sid", "shard", "start", "stop",
-                     F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("stop") - 1) / block))).alias("block")))
+             .select("sid", "shard", "start", "stop", "words", "blocks",
+                     F.explode(F.expr("sequence(start * blocks div words, (stop - 1) * blocks div words)")).alias("block")))
     drawn = (parts.join(picked.hint("merge"), ["sid", "shard", "block"], "left_semi")
-             .withColumn("words", F.least("stop", (F.col("block") + 1) * block) - F.greatest("start", F.col("block") * block))
-             .groupBy("sid", "shard", "start", "stop").agg(F.sum("words").alias("drawn")))
+             .withColumn("drawn", F.expr("""least(stop, ((block + 1) * words + blocks - 1) div blocks)
+                                            - greatest(start, (block * words + blocks - 1) div blocks)"""))
+             .groupBy("sid", "shard", "start", "stop").agg(F.sum("drawn").alias("drawn")))
     out = (d.join(cells.select("sid", "shard", "rounds"), ["sid", "shard"], "left")
            .join(drawn.hint("merge"), ["sid", "shard", "start", "stop"], "left"))
     taken = F.when(F.col("size") > 0, F.col("rounds") * F.col("size") + F.coalesce("drawn", F.lit(0))).otherwise(0)

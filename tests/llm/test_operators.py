@@ -273,6 +273,23 @@ def test_ann_recall(spark):
     assert hit >= 0.9 * total and ann.search(df.limit(0)).count() == 0
 
 
+def test_ann_ratio_decides():
+    from tripforge.llm import ann
+    rng = np.random.default_rng(0)
+    c = rng.normal(size=(2000, 32))
+    c /= np.linalg.norm(c, axis=1, keepdims=True)
+    q = np.concatenate([rng.normal(size=(30, 32)), c[:5] + 0.001])
+    q /= np.linalg.norm(q, axis=1, keepdims=True)
+    r, chosen, home = ann.lists_within(q, c, ann.neighbour_graph(c), 1.3)
+    d = np.sqrt(((q[:, None] - c[None]) ** 2).sum(2))
+    want = d <= 1.3 * d.min(1, keepdims=True)
+    got = np.zeros_like(want)
+    got[r, chosen] = True
+    more = want.sum(1) > ann.BEAM
+    assert more.sum() > 5 and (got[more] == want[more]).all() and len(r) == got.sum()
+    assert got[30:].sum() == 5 and (home[30:] == np.arange(5)).all()
+
+
 def test_language_held_out(spark, empty):
     from tripforge.llm import language
     rng = np.random.default_rng(0)

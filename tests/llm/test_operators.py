@@ -191,6 +191,16 @@ def test_filter_beyond_one_broadcast(spark):
     assert len(whole["filter"]) == 1 and len(a) == 50 and np.allclose(a, b, rtol=1e-12)
 
 
+def test_pairs_seen_once_reach_the_model(spark):
+    from tripforge.llm import lm
+    texts = [f"p{i} q{i}" for i in range(500)] + ["r s r s"]
+    model, _ = lm.train(spark.createDataFrame([(t,) for t in texts], "text string"))
+    cur, before, _ = lm.tokens_of(texts)
+    keys, c = np.unique(lm.pair_keys(before, cur), return_counts=True)
+    assert (c == 1).sum() > 900
+    assert (lm.probe_pieces(keys, lm.piece_bits(model["filter"]), model["regions"]) >= lm.level_of(c)).all()
+
+
 @pytest.mark.parametrize("words,percent", [(4, 85), (5, 80)])
 def test_jaccard_equals_brute_force(docs, empty, words, percent):
     from tripforge.llm import jaccard

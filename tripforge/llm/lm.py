@@ -9,8 +9,8 @@ every size. Pieces of at most ``max_filter_mb`` are put together on the driver a
 broadcast one by one, and a worker probes them one after another, holding one.
 
 Score of a text: a mixture, per text, of a word model ``(c + 1) / (sum + V + 1)``
-and back-off pair models that differ in the mass kept for unseen pairs (pairs seen
-once count as unseen). All counts in it come from probes; rounding is downwards
+and back-off pair models that differ in the mass kept for unseen pairs. Every pair of
+the training texts is in the filter. All counts in it come from probes; rounding is downwards
 for pairs and upwards for their contexts, so each model sums to at most one, but
 for false positives.
 
@@ -39,8 +39,7 @@ MAX_FILTER_MB = 128
 PASS_BYTES = 8 << 20
 #: Most words whose exact counts are broadcast (16 bytes each).
 FREQUENT_WORDS = 200_000
-#: Least count of a pair that is kept, and mass kept for unseen pairs by each pair model.
-LEAST_PAIR = 2
+#: Mass kept for unseen pairs by each pair model.
 UNSEEN = (0.9, 0.5, 0.1, 0.02)
 #: Tokens counted together before a task hands on partial counts.
 FLUSH = 1_000_000
@@ -140,7 +139,7 @@ def build_filter(counts: DataFrame, regions: int) -> DataFrame:
         bits = np.zeros(REGION_BITS >> 3, np.uint8)
         k = t.column("key").to_numpy().view(np.uint64)
         c = t.column("c").to_numpy()
-        q = level_of(np.where(k & _ONE, c, c - LEAST_PAIR + 1))
+        q = level_of(c)
         level = 1
         while len(k):
             for s in _slots(k, level):
@@ -250,7 +249,7 @@ def score_texts(texts: list[str | None], model: dict, levels: Levels):
     log1 = word_log[at]
     seen_level = both[len(words):][pat]
     seen = seen_level > 0
-    pair_count = np.where(seen, lowest(seen_level) + LEAST_PAIR - 1, 1).astype(float)
+    pair_count = np.where(seen, lowest(seen_level), 1).astype(float)
     context = np.concatenate([[0], highest(level)[at][:-1]])
     context[before == _START] = model["texts"]
     ratio = np.log10(np.minimum(1.0, pair_count / np.maximum(context, pair_count)))
@@ -279,15 +278,13 @@ def score_texts(texts: list[str | None], model: dict, levels: Levels):
 
 def train(texts: DataFrame, max_filter_mb: int = MAX_FILTER_MB) -> tuple[dict, DataFrame]:
     """The broadcast part of the model (the filter in pieces of ``max_filter_mb``), and the exact counts of all words."""
-    counts = (count_rows(texts).groupBy("key").agg(F.sum("c").alias("c"))
-              .filter((F.col("key").bitwiseAND(1) == 1) | (F.col("c") >= LEAST_PAIR)))
-    counts = stored(counts, "lm-counts")
+    counts = stored(count_rows(texts).groupBy("key").agg(F.sum("c").alias("c")), "lm-counts")
     is_word = F.col("key").bitwiseAND(1) == 1
     steps_ = F.when(F.col("c") <= 5, F.col("c")).otherwise(5 + F.log(F.col("c") / 5.0) / float(np.log(GROWTH)))
     n, v, events = counts.agg(F.sum(F.when(is_word, F.col("c"))), F.count_if(is_word), F.sum(steps_)).first()
     regions = int((events or 0) * EVENT_BITS // REGION_BITS + 1)
     most = max(1, max_filter_mb * (1 << 23) // REGION_BITS)
-    words = counts.filter(is_word)
+    words = stored(counts.filter(is_word), "lm-words")  # few beside the pairs, read several times
     # the least logarithmic step that leaves few enough words
     step = F.floor(F.log("c") / float(np.log(GROWTH)))
     least, total = 1 << 62, 0

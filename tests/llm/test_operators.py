@@ -346,6 +346,26 @@ def test_secret_spans(docs, empty):
     assert red.columns == docs.columns and red.filter("text = '[SECRET]'").count() == 1 and S.digests(empty, S.fit(empty)).count() == 0
 
 
+def test_secret_runs_around_base_spans():
+    from tripforge.llm import secret_scan as S
+    rng = np.random.default_rng(0)
+    keys = ["".join(rng.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789abcdefghijkxyz."), 48)) for _ in range(300)]
+    model = S.train({"assign": keys}, ["anthrererendanhe", "ofthtiontiontionta", "4952935900253052", "thanonontioniner", "the.and.then.other"] * 5
+                    + [c * 16 for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"] * 5)  # known letters, odd neighbours
+    h, a, b = "0123456789abcdef01234567", "QZ7XK2MVP9TRWJ4H", "YH3GQ8LNB5ZC6DUX"
+    for base, kind in ((h, 2), ("AKIA" + "ABCDEFGHIJKL7890", 1)):
+        text = f"see {a}/{base}-{b} end"
+        spans = S.all_spans(text, model)
+        assert any(x[1] == kind for x in spans)
+        covered = {i for s, _, e in spans for i in range(s, e)}
+        assert set(range(4, 20)) | set(range(len(text) - 20, len(text) - 4)) <= covered
+    whole = f"see {a}{h}{b} end"
+    assert (4, 3, len(whole) - 4) in S.all_spans(whole, model)
+    dotted = "see QZ7XK2.MVP9TR.WJ4HYH.3GQ8LN.B5ZC6D. the.and.then.other.the.and"
+    assert S.all_spans(dotted, model) == [(4, 3, 38)]
+    assert S.all_spans("h" + h, model) != [] and S.rest(0, 10, [(2, 0, 4, ""), (3, 2, 6, ""), (9, 2, 12, "")]) == [(0, 2), (6, 9)]
+
+
 def test_toxicity(spark, empty):
     from tripforge.llm import toxicity as T
     rng = np.random.default_rng(0)

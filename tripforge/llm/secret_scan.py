@@ -7,7 +7,9 @@ while a Hoeffding test finds their counts compatible. Every long run of
 credential characters in every text is then scored: log likelihood of its format
 under the best automaton against a character model of the runs no rule labels
 (long words, numbers). Runs
-that score high enough and touch no base span are added as kind ``grammar``.
+that score high enough are added whole as kind ``grammar``, also where a base span
+covers a part of them; base spans stay. A dotted run is judged whole first, then by
+the runs between its dots; of a run that is none, the rest beside base spans is judged.
 
 Defined results: a null text counts as empty; no labelled string in the sample
 means no added spans; positions are code points, end exclusive; texts are
@@ -31,6 +33,8 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+LEAST_RUN = 16
+DOTTED = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
 KINDS = ("assign", "access", "hex", "grammar")
 
 #: Expected number of documents whose labelled strings train the automata, and
@@ -181,17 +185,49 @@ def ratio(run: str, model: dict) -> float:
     return best - plain
 
 
+def runs_of(text: str):
+    """Per run of credential characters: its bounds if it is dotted, else None, and the bounds of the runs without dots."""
+    for m in DOTTED.finditer(text):
+        s, e = m.span()
+        plain = [x.span() for x in CANDIDATE.finditer(text, s, e)]
+        run = m.group()
+        s, e = s + len(run) - len(run.lstrip(".")), e - len(run) + len(run.rstrip("."))
+        yield (s, e) if e - s >= LEAST_RUN and "." in text[s:e] else None, plain
+
+
+def rest(s: int, e: int, base: list[tuple[int, int, int, str]]) -> list[tuple[int, int]]:
+    """The parts of [s, e) outside the base spans, which are in order of their starts."""
+    out = []
+    for a, _, b, _ in base:
+        if a < e and s < b:
+            if a > s:
+                out.append((s, a))
+            s = max(s, b)
+    return out + [(s, e)] if s < e else out
+
+
 def all_spans(text: str, model: dict) -> list[tuple[int, int, int]]:
     base = base_spans(text)
     out = [x[:3] for x in base]
     if model["automata"]:
-        for m in CANDIDATE.finditer(text):
-            s, e = m.span()
-            if any(a < e and s < b for a, _, b, _ in base):
+        def added(s, e):
+            """Whether [s, e) is a secret; then it is in ``out``, or base spans cover it."""
+            if not rest(s, e, base):
+                return True
+            r = ratio(text[s:e], model)
+            if r < LEAST_TOTAL or r < LEAST_PER_CHARACTER * (e - s):
+                return False
+            out.append((s, 3, e))
+            return True
+
+        for dotted, plain in runs_of(text):
+            if dotted and added(*dotted):
                 continue
-            r = ratio(m.group(), model)
-            if r >= LEAST_TOTAL and r >= LEAST_PER_CHARACTER * (e - s):
-                out.append((s, 3, e))
+            for s, e in plain:
+                if not added(s, e):
+                    for a, b in rest(s, e, base):
+                        if (a, b) != (s, e) and b - a >= LEAST_RUN:
+                            added(a, b)
         out.sort()
     return out
 
@@ -211,8 +247,8 @@ def fit(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> dict:
             for text in b["text"]:
                 base = base_spans(text)
                 rows += [(KINDS[k], s) for _, k, _, s in base]
-                rows += [("word", m.group()) for m in CANDIDATE.finditer(text)
-                         if not any(a < m.end() and m.start() < e for a, _, e, _ in base)]
+                rows += [("word", text[s:e]) for dotted, plain in runs_of(text) for s, e in ([dotted] if dotted else []) + plain
+                         if rest(s, e, base) == [(s, e)]]
             yield pd.DataFrame(rows, columns=["kind", "value"])
 
     found = d.select("text").mapInPandas(strings, "kind string, value string").distinct()

@@ -411,3 +411,86 @@ def test_pipeline_stages(spark, docs, empty):
     assert all(r["round_trip"] for r in rows)
     ids = [r["doc_id"] for r in d.collect()]
     assert hashlib.sha256(str(sorted(ids)).encode()) and 74 not in ids
+
+
+def shingle_groups(texts, words, percent):
+    """Number of each text's group, by all pairs; None for texts without a word."""
+    sets = []
+    for t in texts:
+        w = WORD.findall(low(t))
+        sets.append({tuple(w[i:i + words]) for i in range(len(w) - words + 1)} if len(w) >= words else ({tuple(w)} if w else set()))
+    group = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            k = len(sets[i] & sets[j])
+            if k and 100 * k >= percent * (len(sets[i]) + len(sets[j]) - k):
+                group = [group[j] if g == group[i] else g for g in group]
+    return [g if s else None for g, s in zip(group, sets)]
+
+
+def test_pipeline_stages_lose_nothing(spark, docs):
+    import corpus_pipeline as C
+    from tripforge.llm import language, secret_scan
+    from tripforge.llm.common import crc_mod
+    key = lambda r: (r["doc_id"], r["text"] or "")
+    d = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    stages, before = dict(C.STAGES), d.collect()
+
+    # a document stays if its prediction is kept; texts, sources and given languages are unchanged
+    p = language.predict(d, language.fit(d.filter(crc_mod("doc_id", 3) != 1))).collect()
+    want = sorted((*key(r), r["lang"] or r["lang_pred"], r["source"] or "") for r in p
+                  if r["lang_pred"] != "und" and r["score"] >= C.LEAST_LANGUAGE_SCORE)
+    rows = stages["language_id"](spark, d, "").collect()
+    assert len(want) > 40 and sorted((*key(r), r["lang"], r["source"] or "") for r in rows) == want
+
+    # one document of each group of the whole table, as it was
+    rows = stages["ngram_jaccard"](spark, d, "").collect()
+    groups = shingle_groups([r["text"] for r in before], 5, 80)
+    of = {key(r): g for r, g in zip(before, groups)}
+    assert sorted(of[key(r)] for r in rows if of[key(r)] is not None) == sorted({g for g in groups if g is not None})
+    assert sum(of[key(r)] is None for r in rows) == groups.count(None)
+
+    # every document, with the spans cut out of its text
+    model = secret_scan.fit(d)
+
+    def cut(t):
+        held = {i for s, _, e in secret_scan.all_spans(t, model) for i in range(s, e)}
+        return "".join("" if i in held and i - 1 in held else "[SECRET]" if i in held else c for i, c in enumerate(t))
+
+    rows = stages["secret_scan"](spark, d, "").collect()
+    want = sorted((r["doc_id"], cut(r["text"] or "")) for r in before)
+    assert sorted(map(key, rows)) == want and any("[SECRET]" in t for _, t in want)
+    assert all(r["n_chars"] == (None if r["text"] is None else len(r["text"])) for r in rows)
+
+    # whole copies, as many as the share taken allows; texts without words once a row
+    from tripforge.llm import mixing
+    rows = stages["source_mixing"](spark, d, "").collect()
+    got, least, most = Counter(map(key, rows)), Counter(), Counter()
+    for m in mixing.mix(d).collect():
+        least[m["doc_id"]] += m["taken"] // m["size"] if m["size"] else 1
+        most[m["doc_id"]] += -(-m["taken"] // m["size"]) if m["size"] else 1
+    assert set(got) <= set(of)
+    for i, n in Counter({k[0]: got[k] for k in of}).items():
+        assert least[i] <= n <= most[i]
+
+    # every document encoded and decoded
+    rows = stages["byte_bpe"](spark, d, "").collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(r["doc_id"] for r in before)
+    assert all(r["round_trip"] and r["n_tokens"] == len(r["ids"]) for r in rows)
+
+
+def test_queries_and_run_on_written_tables(spark, docs, tmp_path):
+    import corpus_pipeline as C
+    from tripforge.llm.queries import QUERIES
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    vectors(spark, 200)[1].write.parquet(f"{tmp_path}/embeddings.parquet")
+    docs.selectExpr("doc_id", "cast(doc_id % 4 = 0 as int) toxic").distinct().write.parquet(f"{tmp_path}/labels.parquet")
+    turns = [(c, t, ("user", "assistant")[t % 2], f"turn {t} of {c}") for c in range(6) for t in range(4)]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    n, n_rows = docs.count(), {}
+    for name, f in QUERIES.items():
+        n_rows[name.split("_")[0]] = f(spark, str(tmp_path)).count()
+    assert n_rows == {"op1": n, "op2": 7, "op3": n, "op4": 200, "op5": n, "op6": n, "op7": n, "op8": n, "op9": n, "op10": n_rows["op10"]}
+    assert n_rows["op10"] >= 200
+    out = C.run(spark, str(tmp_path)).collect()
+    assert len(out) > 40 and all(r["round_trip"] for r in out)

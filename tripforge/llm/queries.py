@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripforge.llm import ann, bpe, chat, jaccard, language, lm, mixing, secret_scan, toxicity, voronoi
+from tripforge.llm import ann, bpe, chat, importance, jaccard, language, lm, middle, mixing, secret_scan, sentencepieces, toxicity, voronoi
 from tripforge.llm.common import crc_mod, table
 
 
@@ -64,7 +64,78 @@ def op10_voronoi_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return voronoi.search(table(spark, sf_dir, "embeddings"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    drawn = importance.resample(docs, table(spark, sf_dir, "benchmark"), keep_text=False)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = middle.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    d = middle.restore(d.drop("text"))
+    return d.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                    F.sha2("restored", 256).alias("restored_sha256"))
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepieces.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_lm_scoring, op2_chat_formatting, op3_mixing_sources, op4_posting_list_ann, op5_byte_bpe,
-    op6_language_id, op7_secret_scan, op8_toxicity, op9_ngram_jaccard, op10_voronoi_topk)}
-ORACLE_SQL: dict[str, str] = {}
+    op6_language_id, op7_secret_scan, op8_toxicity, op9_ngram_jaccard, op10_voronoi_topk,
+    op11_importance_resampling, op12_fill_in_middle, op13_sentencepiece)}
+
+#: crc32 of UTF-8 text byte by byte; the table of 256 remainders is made by its rule.
+_CRC32_TABLE = """(SELECT list(c ORDER BY i) FROM (SELECT i, list_reduce([i::UBIGINT, 1, 2, 3, 4, 5, 6, 7, 8],
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384::UBIGINT) ELSE c // 2 END) AS c FROM range(256) r(i)))"""
+
+OP11_SQL = rf"""
+WITH words AS (SELECT doc_id, unnest(w) AS word FROM (SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM documents)),
+target AS (SELECT unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')) AS word FROM benchmark),
+crc AS (SELECT {_CRC32_TABLE} AS t),
+vocabulary AS (SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM words UNION SELECT word FROM target)),
+bucket_of AS (SELECT word, xor(list_reduce(list_concat([4294967295::UBIGINT], list_transform(range(1, length(h) + 1, 2),
+        lambda i: ((strpos('0123456789ABCDEF', h[i]) - 1) * 16 + strpos('0123456789ABCDEF', h[i + 1]) - 1)::UBIGINT)),
+        lambda c, b: xor(c // 256, t[(xor(c, b) % 256 + 1)::BIGINT])), 4294967295::UBIGINT) % 10000 AS bucket FROM vocabulary, crc),
+source_count AS (SELECT bucket, count(*) AS s FROM words JOIN bucket_of USING (word) GROUP BY bucket),
+target_count AS (SELECT bucket, count(*) AS t FROM target JOIN bucket_of USING (word) GROUP BY bucket),
+totals AS (SELECT (SELECT count(*) FROM words) AS s_all, (SELECT count(*) FROM target) AS t_all),
+gain AS (SELECT bucket, floor(1000 * ln(((coalesce(t, 0) + 1) * (s_all + 10000))::DOUBLE / ((s + 1) * (t_all + 10000))::DOUBLE))::BIGINT AS g
+    FROM source_count LEFT JOIN target_count USING (bucket), totals),
+sums AS (SELECT doc_id, count(*) AS n, sum(g)::BIGINT AS g FROM words JOIN bucket_of USING (word) JOIN gain USING (bucket) GROUP BY doc_id),
+weighed AS (SELECT d.doc_id, coalesce(n, 0) AS n_features, CASE WHEN n IS NULL THEN 0 ELSE (g - ((g % n) + n) % n) // n END AS weight,
+    ('0x' || left(sha256('2024:' || d.doc_id), 8))::BIGINT AS h FROM documents d LEFT JOIN sums USING (doc_id)),
+scored AS (SELECT doc_id, n_features, weight, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM weighed),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r FROM scored WHERE n_features >= 20)
+SELECT s.doc_id, s.n_features, s.weight, s.score,
+    CASE WHEN r <= (SELECT count(*) FROM ranked) * 10 // 100 THEN r END AS rank
+FROM scored s LEFT JOIN ranked USING (doc_id)
+"""
+
+OP12_SQL = r"""
+WITH cut AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+        sha256('42:' || doc_id) AS h FROM documents),
+drawn AS (SELECT *, len(u) AS n, ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS a, ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS b,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR ('0x' || h[17:24])::BIGINT % 100 >= 50 THEN 'plain'
+             WHEN ('0x' || h[25:32])::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM cut),
+parts AS (SELECT *, array_to_string(u[1:least(a, b)], '') AS p, array_to_string(u[least(a, b) + 1:greatest(a, b)], '') AS m,
+        array_to_string(u[greatest(a, b) + 1:], '') AS s FROM drawn)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+    sha256(text) AS restored_sha256
+FROM parts
+"""
+
+OP10_SQL = """
+WITH whole AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (SELECT q.vec_id AS query_id, d.vec_id, list_sum(list_transform(list_zip(q.v, d.v), lambda z: z[1] * z[2]))::BIGINT AS score
+    FROM whole q, whole d WHERE q.vec_id % 20 = 0 AND d.vec_id <> q.vec_id)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM scores
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
+"""
+
+ORACLE_SQL: dict[str, str] = {"op10_voronoi_topk": OP10_SQL, "op11_importance_resampling": OP11_SQL, "op12_fill_in_middle": OP12_SQL}

@@ -142,12 +142,15 @@ def weigh(docs: DataFrame, gain: np.ndarray, doc_id: str = "doc_id", text: str =
 
 # -------------------------------------------------------------------- selection
 #: Columns of a key: highest score first, then smallest id (null last), then fewest features.
-KEY = ("_down", "_last", "_id", "n_features")
+KEY = ("down", "last", "id", "features")
 
 
-def _with_key(scored: DataFrame, doc_id: str) -> DataFrame:
-    return scored.select("*", (-F.col("score")).alias("_down"), F.col(doc_id).isNull().cast("long").alias("_last"),
-                         F.coalesce(F.col(doc_id), F.lit(0)).cast("long").alias("_id"))
+def _with_key(scored: DataFrame, doc_id: str, least_words: int) -> DataFrame:
+    """The key beside each row, which is one struct so that no names clash, and whether it takes part."""
+    row = F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in scored.columns if c != "rank"])
+    return scored.select(row.alias("row"), (-F.col("score")).alias("down"), F.col(doc_id).isNull().cast("long").alias("last"),
+                         F.coalesce(F.col(doc_id), F.lit(0)).cast("long").alias("id"), F.col("n_features").alias("features"),
+                         (F.col("n_words") >= least_words).alias("fit"))
 
 
 def _before(pivot: tuple) -> F.Column:
@@ -240,30 +243,29 @@ def draw(scored: DataFrame, doc_id: str = "doc_id", percent: int = PERCENT, leas
     """``scored`` (a stored table with n_words, n_features, score) with ``rank``:
     1, 2, 3... of the floor(percent * N / 100) highest scores among the N rows with
     at least ``least_words`` words, null for all others."""
-    names = [c for c in scored.columns if c != "rank"]
-    d = _with_key(scored.select(*[f"`{c.replace('`', '``')}`" for c in names]), doc_id)
-    fit = F.col("n_words") >= least_words
-    eligible = d.filter(fit)
-    k = eligible.count() * percent // 100
-    pivot = cutoff(eligible.select(*KEY), k)
+    d = _with_key(scored, doc_id, least_words)
+    fit = d.filter("fit")
+    k = fit.count() * percent // 100
+    pivot = cutoff(fit.select(*KEY), k)
     if pivot is None:
-        return d.select(*names, F.lit(None).cast("long").alias("rank"))
-    wins = fit & (_before(pivot) | _same(pivot))
+        return d.select("row.*", F.lit(None).cast("long").alias("rank"))
+    wins = F.col("fit") & (_before(pivot) | _same(pivot))
     # equal keys are told apart by their place, so that they do not meet in one range
-    winners = d.filter(wins).withColumn("_place", F.monotonically_increasing_id())
+    winners = d.filter(wins).withColumn("place", F.monotonically_increasing_id())
     parts = max(1, math.ceil(k / 1_000_000), int(d.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    order = [*KEY, "_place"]
+    order = [*KEY, "place"]
     ranged = winners.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    ranged = stored(ranged.select(*names, F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("_at")),
+    ranged = stored(ranged.select("row", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("at")),
                     "importance-winners")
     run, offsets = 0, []
-    for p, n in sorted(tuple(r) for r in ranged.groupBy("_part").count().collect()):  # one row a partition
+    for p, n in sorted(tuple(r) for r in ranged.groupBy("part").count().collect()):  # one row a partition
         offsets.append((p, run))
         run += n
-    offset = d.sparkSession.createDataFrame(offsets, "_part int, _offset long")
-    rank = F.col("_offset") + F.col("_at") + 1
-    won = ranged.join(F.broadcast(offset), "_part").select(*names, F.when(rank <= k, rank).alias("rank"))
-    return won.unionByName(d.filter(~F.coalesce(wins, F.lit(False))).select(*names, F.lit(None).cast("long").alias("rank")))
+    offset = d.sparkSession.createDataFrame(offsets, "part int, offset long")
+    rank = F.col("offset") + F.col("at") + 1
+    won = ranged.join(F.broadcast(offset), "part").select("row", F.when(rank <= k, rank).alias("rank"))
+    rest = d.filter(~wins).select("row", F.lit(None).cast("long").alias("rank"))
+    return won.unionByName(rest).select("row.*", "rank")
 
 
 def resample(docs: DataFrame, target: DataFrame, doc_id: str = "doc_id", text: str = "text", target_text: str = "text",

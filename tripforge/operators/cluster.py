@@ -2,30 +2,31 @@
 
 * M2 standardisation uses the *population* std (ML ``StandardScaler`` uses the
   sample std), one aggregation for all features; zero std -> 0.0.
-* M4 K-means is Spark ML's distributed Lloyd (``initMode='random'``); the
-  ``n_init`` restarts are independent fits run concurrently from a thread pool
-  (like ML tuning's ``parallelism``), the lowest training cost wins.
+* M4 K-means restarts of every k advance together (``operators.lloyd``): a sweep
+  costs as many jobs as its slowest run has iterations. Starts are deterministic.
 * M6/M13 silhouette is the squared-Euclidean form computed from per-cluster
   sums (O(points x clusters), the same definition as Spark's
   ``ClusteringEvaluator``). The exact Euclidean silhouette needs every pair of
   points and is not built (see README).
 * M9 names clusters by a rule on their centroids, not by their arbitrary ids.
+* Rows with a missing feature take part in no model and get null labels;
+  ``rows_dropped`` tells how many there are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripforge import rules
 from tripforge.functions.expr import round_half_even
 from tripforge.operators.features import global_stats
+from tripforge.operators.lloyd import best_run, cluster_of, fit_runs, standard_points
 
 ID = ["destination_name", "country"]
 
@@ -59,18 +60,6 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> D
     return VectorAssembler(inputCols=list(features), outputCol=out).transform(df)
 
 
-# ------------------------------------------------------------------- M4, M5
-def fit_kmeans(vectors: DataFrame, k: int, n_init: int = rules.N_INIT, seed: int = rules.RANDOM_STATE,
-               max_iter: int = rules.MAX_ITER, parallelism: int = 8):
-    """Best of ``n_init`` random-start Lloyd fits (lowest inertia)."""
-    def fit(i):
-        return KMeans(k=k, seed=seed + i, initMode="random", maxIter=max_iter, tol=1e-6,
-                      featuresCol="features").fit(vectors)
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, n_init))) as pool:
-        models = list(pool.map(fit, range(n_init)))
-    return min(models, key=lambda m: (m.summary.trainingCost, models.index(m)))
-
-
 # ------------------------------------------------------------ M6, M13 (sq.)
 def silhouette(points: DataFrame, vec_col: str, label_col: str, noise: int | None = None,
                digits: int | None = 4) -> float | None:
@@ -116,6 +105,9 @@ def silhouette(points: DataFrame, vec_col: str, label_col: str, noise: int | Non
 
 
 # ------------------------------------------------------------------- M9
+NAMING_COLUMNS = ["restaurant_count", "cafe_count", "bar_count", "museum_count", "summer_avg_temp"]
+
+
 def name_clusters(assigned: DataFrame, cluster_col: str = "cluster") -> DataFrame:
     """(cluster, cluster_profile): most urban POIs -> Urban; of the rest the
     warmest summer -> Warm Coastal; the others -> Cool/Nature."""
@@ -135,33 +127,71 @@ def name_clusters(assigned: DataFrame, cluster_col: str = "cluster") -> DataFram
     return spark.createDataFrame(list(names.items()), f"{cluster_col} int, cluster_profile string")
 
 
-# ------------------------------------------------------------ M5, M7, M15
+# ------------------------------------------------------------ M4, M5, M7, M15
+def dropped_rows(df: DataFrame, features: Sequence[str]) -> int:
+    """Rows that lack a feature."""
+    missing = F.lit(False)
+    for c in features:
+        missing = missing | F.col(c).isNull()
+    return df.filter(missing).count()
+
+
 def kmeans_sweep(catalog: DataFrame, k_values: Sequence[int] = rules.K_VALUES, n_init: int = rules.N_INIT,
-                 features: Sequence[str] = rules.MODEL_FEATURES) -> DataFrame:
-    """k, inertia (round 4), squared-Euclidean silhouette (round 4)."""
-    scaled, _ = standard_scale(catalog, features)
-    vec = assemble(scaled, features).cache()
-    rows = []
+                 features: Sequence[str] = rules.MODEL_FEATURES, max_iter: int = rules.MAX_ITER,
+                 key: Sequence[str] = ID) -> DataFrame:
+    """k, inertia (round 4), squared-Euclidean silhouette (round 4), rows_dropped."""
+    points = standard_points(catalog, key, features)
+    runs = fit_runs(points, key, k_values, n_init, max_iter)
+    dropped, rows = dropped_rows(catalog, features), []
     for k in k_values:
-        model = fit_kmeans(vec, k, n_init=n_init)
-        pred = model.transform(vec)
-        rows.append((k, round(model.summary.trainingCost, 4),
-                     silhouette(pred.withColumn("arr", vector_to_array("features")), "arr", "prediction")))
-    vec.unpersist()
-    return catalog.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette_sq_euclidean double")
-
-
-def clustered_catalog(catalog: DataFrame, k: int = 3, n_init: int = rules.N_INIT,
-                      features: Sequence[str] = rules.MODEL_FEATURES) -> DataFrame:
-    """Catalogue + cluster id (M7) + profile named by rule (M9)."""
-    # rows with a missing feature stay, with null cluster and profile
-    scaled, _ = standard_scale(catalog.dropna(subset=list(features)), features)
-    vec = assemble(scaled, features).cache()
-    model = fit_kmeans(vec, k, n_init=n_init)
-    vec.unpersist()
-    assigned = model.transform(vec).select(*ID, F.col("prediction").cast("int").alias("cluster"))
-    out = catalog.drop("cluster", "cluster_profile").join(assigned, ID, "left")
-    return out.join(F.broadcast(name_clusters(out.filter("cluster is not null"))), "cluster", "left")
+        if (run := best_run(runs, k)) is not None:
+            labelled = points.withColumn("label", cluster_of(F.col("x"), run.centroids))
+            rows.append((k, round(run.inertia, 4), silhouette(labelled, "x", "label"), dropped))
+    return catalog.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette_sq_euclidean double, rows_dropped long")
+
+
+def cluster_labels(catalog: DataFrame, k_values: Sequence[int] = (3,), n_init: int = rules.N_INIT,
+                   features: Sequence[str] = rules.MODEL_FEATURES, max_iter: int = rules.MAX_ITER,
+                   key: Sequence[str] = ID) -> DataFrame:
+    """The label table (M7, M9): k, key, cluster, cluster_profile of every row
+    that has all features, from the best run of each k."""
+    points = standard_points(catalog, key, features)
+    runs = fit_runs(points, key, k_values, n_init, max_iter)
+    out = None
+    for k in k_values:
+        run = best_run(runs, k)
+        label = cluster_of(F.col("x"), run.centroids) if run else F.lit(None).cast("int")
+        one = points.select(F.lit(k).alias("k"), *key, label.alias("cluster"))
+        named = catalog.select(*key, *NAMING_COLUMNS).join(one, list(key))
+        one = one.join(F.broadcast(name_clusters(named)), "cluster").select("k", *key, "cluster", "cluster_profile")  # k rows
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def clustered_catalog(catalog: DataFrame, k: int = 3, n_init: int = rules.N_INIT, features: Sequence[str] = rules.MODEL_FEATURES,
+                      max_iter: int = rules.MAX_ITER, key: Sequence[str] = ID) -> DataFrame:
+    """Catalogue + cluster id (M7) + profile named by rule (M9); null where a feature is missing."""
+    labels = cluster_labels(catalog, [k], n_init, features, max_iter, key).drop("k")
+    return catalog.drop("cluster", "cluster_profile").join(labels, list(key), "left")
+
+
+ASSIGNMENT_COLUMNS = ["dominant_travel_style", "climate_category", "overall_score"]
+PROFILE_MEASURES = [*rules.MODEL_FEATURES, "food_score", "nightlife_score", "culture_score", "nature_score", "beach_score", "overall_score"]
+
+
+def cluster_assignments(catalog: DataFrame, labels: DataFrame, key: Sequence[str] = ID) -> DataFrame:
+    """M7: one row per k and labelled destination with its features, in the
+    order (k, cluster, key); ``row_number`` is that order."""
+    from tripforge.operators.ordering import ordered
+    rows = labels.select("k", "cluster", *key).join(catalog.select(*key, *ASSIGNMENT_COLUMNS, *rules.MODEL_FEATURES), list(key))
+    return ordered(rows.select("k", *key, "cluster", *ASSIGNMENT_COLUMNS, *rules.MODEL_FEATURES), [(c, True) for c in ("k", "cluster", *key)])
+
+
+def cluster_profiles(catalog: DataFrame, labels: DataFrame, key: Sequence[str] = ID) -> DataFrame:
+    """M8: means (round 2) of features and scores, and the size, per k and cluster."""
+    rows = labels.select("k", "cluster", *key).join(catalog.select(*key, *PROFILE_MEASURES), list(key))
+    return rows.groupBy("k", "cluster").agg(*[round_half_even(F.avg(c), 2).alias(c) for c in PROFILE_MEASURES],
+                                            F.count(F.lit(1)).alias("destination_count"))
 
 
 def pca_2d(catalog: DataFrame, features: Sequence[str] = rules.MODEL_FEATURES) -> tuple[DataFrame, list[float]]:
@@ -179,35 +209,35 @@ def pca_2d(catalog: DataFrame, features: Sequence[str] = rules.MODEL_FEATURES) -
     return out, [float(v) for v in model.explainedVariance.toArray()]
 
 
+NOTES = {
+    "K-Means": "Centroid-based clustering; works well with standardized numeric features.",
+    "Hierarchical": "Useful comparison model; creates nested distance-based groups (over K-means micro-clusters).",
+}
+
+
 def compare_models(catalog: DataFrame, k_values: Sequence[int] = (2, 3, 4), n_init: int = rules.N_INIT,
-                   features: Sequence[str] = rules.MODEL_FEATURES) -> DataFrame:
-    """Model, cluster_count, noise_count, largest_cluster_size, silhouette, notes."""
+                   features: Sequence[str] = rules.MODEL_FEATURES, max_iter: int = rules.MAX_ITER,
+                   key: Sequence[str] = ID) -> DataFrame:
+    """Model, cluster_count, noise_count, largest_cluster_size, silhouette, notes, rows_dropped."""
     from tripforge.operators.reports import label_summary
-    scaled, _ = standard_scale(catalog, features)
-    vec = assemble(scaled, features).cache()
-    rows = []
+    points = standard_points(catalog, key, features)
+    runs = fit_runs(points, key, k_values, n_init, max_iter)
+    dropped, rows = dropped_rows(catalog, features), []
+
+    def row(kind: str, parameter: str, labelled: DataFrame) -> None:
+        summ = label_summary(labelled).first()
+        rows.append((f"{kind} {parameter}", int(summ.cluster_count), int(summ.noise_count), int(summ.largest_cluster_size or 0),
+                     silhouette(labelled, "x", "label", noise=-1), NOTES[kind], dropped))
+
     for k in k_values:
-        pred = fit_kmeans(vec, k, n_init=n_init).transform(vec).withColumn("label", F.col("prediction").cast("int"))
-        summ = label_summary(pred).first()
-        sil = silhouette(pred.withColumn("arr", vector_to_array("features")), "arr", "label", noise=-1)
-        rows.append((f"K-Means k={k}", int(summ.cluster_count), int(summ.noise_count), int(summ.largest_cluster_size),
-                     sil, "Centroid-based clustering; works well with standardized numeric features."))
+        if (run := best_run(runs, k)) is not None:
+            row("K-Means", f"k={k}", points.withColumn("label", cluster_of(F.col("x"), run.centroids)))
     for k in k_values:
         labels = ward_clusters(catalog, k, features).withColumnRenamed("ward_cluster", "label")
-        pred = vec.join(labels, list(ID))
-        summ = label_summary(pred).first()
-        sil = silhouette(pred.withColumn("arr", vector_to_array("features")), "arr", "label", noise=-1)
-        rows.append((f"Hierarchical k={k}", int(summ.cluster_count), int(summ.noise_count),
-                     int(summ.largest_cluster_size), sil,
-                     "Useful comparison model; creates nested distance-based groups (over K-means micro-clusters)."))
-    vec.unpersist()
+        row("Hierarchical", f"k={k}", points.join(labels, list(key)))
     return catalog.sparkSession.createDataFrame(
         rows, "model string, cluster_count int, noise_count int, largest_cluster_size int, "
-              "silhouette_sq_euclidean double, notes string")
-
-
-__all__ = ["standard_scale", "scaling_summary", "fit_kmeans", "silhouette", "name_clusters", "kmeans_sweep",
-           "clustered_catalog", "pca_2d", "compare_models", "array_to_vector"]
+              "silhouette_sq_euclidean double, notes string, rows_dropped long")
 
 
 # ------------------------------------------------------------------- M11

@@ -8,20 +8,22 @@ per request). ``build_catalog`` works on the driver-table stand-ins;
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripforge import rules
-from tripforge.functions.expr import flag
+from tripforge.operators.cluster import cluster_labels
 from tripforge.operators.costs import add_cost_features
 from tripforge.operators.features import (
     add_climate_features, add_destination_type_features, add_experience_features,
     add_scores, resolve_destination_type, seasonal_features,
 )
 from tripforge.operators.ranking import pct_ranks
-from tripforge.session import cut_lineage
 from tripforge.operators.spatial import poi_counts
+from tripforge.session import checkpoint_dir, cut_lineage
 from tripforge.sources import standins
+from tripforge.sources.labels import publish_labels, read_labels
 
 
 def add_recommendation_signals(df: DataFrame, rank_method: str = "bucketed") -> DataFrame:
@@ -38,14 +40,6 @@ def add_recommendation_signals(df: DataFrame, rank_method: str = "bucketed") ->
     return pct_ranks(df, key, specs, method=rank_method)
 
 
-def profile_by_rule() -> Column:
-    """Catalogue profile without a model: warm coastal, else urban (upper
-    share of urban POIs), else cool/nature. Named like the cluster profiles."""
-    return (F.when(flag(F.col("coastal_destination") & F.col("warm_destination")), F.lit(rules.PROFILE_WARM_COASTAL))
-            .when(flag(F.col("city_destination")), F.lit(rules.PROFILE_URBAN))
-            .otherwise(F.lit(rules.PROFILE_COOL_NATURE)))
-
-
 def feature_chain(with_places: DataFrame, living_costs: DataFrame | None,
                   travel_costs: DataFrame | None = None, rank_method: str = "bucketed",
                   validate: bool = True) -> DataFrame:
@@ -71,13 +65,26 @@ def with_places(spark: SparkSession, sf_dir: str, salt: int = 8) -> DataFrame:
     return add_scores(cut_lineage(counted, "with_places"))
 
 
-def build_catalog(spark: SparkSession, sf_dir: str, rank_method: str = "bucketed",
-                  persist: bool = True, validate: bool = True) -> DataFrame:
+#: Clusters of the catalogue's profile, and most iterations of a restart.
+PROFILE_K, PROFILE_ITERATIONS = 3, 20
+
+
+def catalog_labels(features: DataFrame, version: int = 1, key: tuple[str, ...] = ("destination_name", "country")) -> DataFrame:
+    """Cluster the feature table, publish the labels as ``version``, read them back."""
+    path = f"{checkpoint_dir(features.sparkSession).rstrip('/')}/tables/labels-{uuid.uuid4().hex}"
+    labels = cluster_labels(features, [PROFILE_K], max_iter=PROFILE_ITERATIONS, key=key)
+    publish_labels(labels, path, version, key)
+    return read_labels(features.sparkSession, path, version)
+
+
+def build_catalog(spark: SparkSession, sf_dir: str, rank_method: str = "bucketed", persist: bool = True,
+                  validate: bool = True, labels: DataFrame | None = None) -> DataFrame:
+    """Features, cluster labels (``labels``, or those of a clustering of the
+    features) and recommendation signals of every destination."""
     places = with_places(spark, sf_dir)
     living = standins.living_costs(spark, sf_dir)
-    feats = feature_chain(places, living, None, rank_method=rank_method, validate=validate)
-    feats = add_recommendation_signals(feats, rank_method=rank_method)
-    cat = feats.withColumn("cluster_profile", profile_by_rule())
+    feats = cut_lineage(feature_chain(places, living, None, rank_method=rank_method, validate=validate), "features")
+    cat = assemble_catalog(feats, catalog_labels(feats) if labels is None else labels, rank_method=rank_method)
     if persist:
         cat = cut_lineage(cat, "catalog")
     return cat

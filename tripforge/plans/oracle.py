@@ -10,7 +10,9 @@ from __future__ import annotations
 
 from tripforge import rules
 from tripforge.functions.expr import sql_fmt1, sql_haversine_m, sql_round  # noqa: F401
+from tripforge.operators.lloyd import sql_lloyd
 from tripforge.operators.ranking import sql_pct_rank_avg
+from tripforge.plans.catalog import PROFILE_ITERATIONS, PROFILE_K
 from tripforge.sources import standins
 
 R = sql_round
@@ -127,10 +129,25 @@ feat2 AS (SELECT feat1.*, {mm_cols},
 living AS ({standins.LIVING_COSTS_SQL}),
 feat3 AS (SELECT feat2.*, living.cost_of_living_index, {col_level} AS cost_of_living_level, {col_level} AS cost_level
      FROM feat2 LEFT JOIN living USING (destination_name, country)),
-catalog AS (SELECT *, {sig_cols},
-       CASE WHEN coastal_destination AND warm_destination THEN '{rules.PROFILE_WARM_COASTAL}'
-            WHEN city_destination THEN '{rules.PROFILE_URBAN}' ELSE '{rules.PROFILE_COOL_NATURE}' END AS cluster_profile
-     FROM feat3)"""
+{label_ctes()},
+catalog AS (SELECT feat3.*, {sig_cols}, lab.cluster, lab.cluster_profile
+     FROM feat3 LEFT JOIN labels lab USING (destination_name, country))"""
+
+
+KEY = ["destination_name", "country"]
+
+
+def label_ctes(k_values=(PROFILE_K,), name: str = "labels", n_init: int = rules.N_INIT, max_iter: int = PROFILE_ITERATIONS) -> str:
+    """CTEs ending in ``name`` (k, key, cluster, cluster_profile, x, inertia): the K-means
+    runs over ``feat3`` and the names of their clusters."""
+    urban = "restaurant_count + cafe_count + bar_count + museum_count"
+    return f"""{sql_lloyd("feat3", KEY, rules.MODEL_FEATURES, k_values, n_init, max_iter, f"{name}_km")},
+{name}_mean AS (SELECT k, cluster, avg({urban}) AS u, avg(summer_avg_temp) AS t FROM {name}_km_labels JOIN feat3 USING (destination_name, country) GROUP BY k, cluster),
+{name}_urban AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY u DESC, cluster) AS ru FROM {name}_mean),
+{name}_names AS (SELECT k, cluster, CASE WHEN ru = 1 THEN '{rules.PROFILE_URBAN}'
+       WHEN row_number() OVER (PARTITION BY k, ru = 1 ORDER BY t DESC NULLS LAST, cluster) = 1 THEN '{rules.PROFILE_WARM_COASTAL}'
+       ELSE '{rules.PROFILE_COOL_NATURE}' END AS cluster_profile FROM {name}_urban),
+{name} AS (SELECT * FROM {name}_km_labels JOIN {name}_names USING (k, cluster))"""
 
 
 CATALOG_COLUMNS = [
@@ -142,7 +159,7 @@ CATALOG_COLUMNS = [
     "city_destination", "food_scene_intensity", "nightlife_intensity", "cultural_density",
     "nature_density", "overall_score", "score_balance_std", "balanced_destination",
     "dominant_travel_style", "cost_of_living_index", "cost_of_living_level", "cost_level",
-    *rules.PREFERENCE_COLUMNS.values(), "cluster_profile",
+    *rules.PREFERENCE_COLUMNS.values(), "cluster", "cluster_profile",
 ]
 
 

@@ -241,14 +241,85 @@ SELECT round_even(avg(CASE WHEN own_n <= 1 THEN 0.0 WHEN a < b THEN 1 - a / b WH
        AS silhouette_sq_euclidean FROM pt"""
 
 
+SWEEP_ITERATIONS, ASSIGNMENT_K = 20, (2, 3)
+
+
 def q_kmeans_sweep(spark, sf):
     from tripforge.operators.cluster import kmeans_sweep
-    return kmeans_sweep(_cat(spark, sf))
+    return kmeans_sweep(_cat(spark, sf), max_iter=SWEEP_ITERATIONS)
+
+
+def o_kmeans_sweep():
+    """Silhouette by all pairs of squared distances within the best run of each k."""
+    from tripforge import rules
+    from tripforge.plans import oracle
+    dist = " + ".join(f"(p.x[{i}] - q.x[{i}]) * (p.x[{i}] - q.x[{i}])" for i in range(1, len(rules.MODEL_FEATURES) + 1))
+    missing = " OR ".join(f"{c} IS NULL" for c in rules.MODEL_FEATURES)
+    return f"""WITH {oracle.catalog_ctes()},
+{oracle.label_ctes(rules.K_VALUES, "sweep", max_iter=SWEEP_ITERATIONS)},
+sizes AS (SELECT k, cluster, count(*) AS n FROM sweep GROUP BY k, cluster),
+pairs AS (SELECT p.k, p.destination_name, p.country, p.cluster AS own, q.cluster AS other, sum({dist}) AS total, count(*) AS n
+          FROM sweep p JOIN sweep q ON p.k = q.k GROUP BY ALL),
+pt AS (SELECT k, destination_name, country, max(CASE WHEN own = other THEN n END) AS own_n,
+              max(CASE WHEN own = other AND n > 1 THEN total / (n - 1) END) AS a, min(CASE WHEN own <> other THEN total / n END) AS b
+       FROM pairs GROUP BY k, destination_name, country),
+sil AS (SELECT k, avg(CASE WHEN own_n <= 1 THEN 0.0 WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1 ELSE 0.0 END) AS s FROM pt GROUP BY k)
+SELECT k, {oracle.R('max(inertia)', 4)} AS inertia, {oracle.R('max(s)', 4)} AS silhouette_sq_euclidean,
+       (SELECT count(*) FROM feat3 WHERE {missing}) AS rows_dropped
+FROM sweep JOIN sil USING (k) GROUP BY k"""
 
 
 def q_clustered_catalog(spark, sf):
+    """The full labels of k = 3 (the catalogue itself carries the published ones)."""
     from tripforge.operators.cluster import clustered_catalog
-    return clustered_catalog(_cat(spark, sf)).select(*KEY, "cluster", "cluster_profile")
+    return clustered_catalog(_cat(spark, sf), max_iter=SWEEP_ITERATIONS).select(*KEY, "cluster", "cluster_profile")
+
+
+def o_clustered_catalog():
+    from tripforge.plans import oracle
+    return f"WITH {oracle.catalog_ctes()}\nSELECT destination_name, country, cluster, cluster_profile FROM catalog"
+
+
+def _labels(spark, sf):
+    from tripforge.operators.cluster import cluster_labels
+    from tripforge.session import cut_lineage
+    return cut_lineage(cluster_labels(_cat(spark, sf), ASSIGNMENT_K, max_iter=SWEEP_ITERATIONS), "labels")
+
+
+def q_assignments(spark, sf):
+    """Assignments of k = 2 and 3 in the order k, cluster, destination."""
+    from tripforge import rules
+    from tripforge.operators.cluster import ASSIGNMENT_COLUMNS, cluster_assignments
+    out = cluster_assignments(_cat(spark, sf), _labels(spark, sf))
+    return out.select("row_number", "k", *KEY, "cluster", *ASSIGNMENT_COLUMNS, *rules.MODEL_FEATURES)
+
+
+def _assigned_ctes():
+    from tripforge.plans import oracle
+    return f"{oracle.catalog_ctes()},\n{oracle.label_ctes(ASSIGNMENT_K, 'assigned', max_iter=SWEEP_ITERATIONS)}"
+
+
+def o_assignments():
+    from tripforge import rules
+    from tripforge.operators.cluster import ASSIGNMENT_COLUMNS
+    cols = ", ".join([*ASSIGNMENT_COLUMNS, *rules.MODEL_FEATURES])
+    return f"""WITH {_assigned_ctes()}
+SELECT row_number() OVER (ORDER BY a.k, a.cluster, destination_name, country) AS row_number, a.k, destination_name, country, a.cluster, {cols}
+FROM assigned a JOIN catalog c USING (destination_name, country)"""
+
+
+def q_model_profiles(spark, sf):
+    """M8 on model clusters."""
+    from tripforge.operators.cluster import cluster_profiles
+    return cluster_profiles(_cat(spark, sf), _labels(spark, sf))
+
+
+def o_model_profiles():
+    from tripforge.operators.cluster import PROFILE_MEASURES
+    from tripforge.plans import oracle
+    cols = ", ".join(f"{oracle.R(f'avg({c})')} AS {c}" for c in PROFILE_MEASURES)
+    return f"""WITH {_assigned_ctes()}
+SELECT a.k, a.cluster, {cols}, count(*) AS destination_count FROM assigned a JOIN catalog c USING (destination_name, country) GROUP BY a.k, a.cluster"""
 
 
 def q_pca(spark, sf):
@@ -259,15 +330,17 @@ def q_pca(spark, sf):
 
 def q_compare_models(spark, sf):
     from tripforge.operators.cluster import compare_models
-    return compare_models(_cat(spark, sf))
+    return compare_models(_cat(spark, sf), max_iter=SWEEP_ITERATIONS)
 
 
 QUERIES.update({
     "ml_scaled_features": (q_scaled_features, o_scaled_features),
     "ml_scaling_summary": (q_scaling_summary, o_scaling_summary),
     "embedding_silhouette": (q_embedding_silhouette, o_embedding_silhouette),
-    "kmeans_k_sweep": (q_kmeans_sweep, None),
-    "clustered_catalog_k3": (q_clustered_catalog, None),
+    "kmeans_k_sweep": (q_kmeans_sweep, o_kmeans_sweep),
+    "clustered_catalog_k3": (q_clustered_catalog, o_clustered_catalog),
+    "kmeans_assignments": (q_assignments, o_assignments),
+    "kmeans_cluster_profiles": (q_model_profiles, o_model_profiles),
     "pca_2d": (q_pca, None),
     "clustering_comparison": (q_compare_models, None),
 })

@@ -19,8 +19,8 @@ dimensions) most vectors go to most groups; the groups' number grows with the
 queries, so the join then costs queries times vectors, in blocks.
 
 Defined results: vectors that are null, empty, hold null or non-finite components
-or have another length than most take no part (zero vectors do); rows with the
-query's vec_id are left out; fewer candidates than ``k`` are all returned.
+or have another length than most take no part (zero vectors do); repeated rows of a
+vec_id count once, of its different vectors the smallest; rows with the query's vec_id are left out; fewer candidates than ``k`` are all returned.
 """
 
 from __future__ import annotations

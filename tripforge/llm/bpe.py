@@ -4,12 +4,16 @@ A sentencepiece BPE model is serialised straight from a rank file: the bytes of
 each token become one printable character per byte, the piece's score is its
 negative rank, and normalisation is the identity. Merging the adjacent pair with
 the highest score is then the same as merging the pair of lowest rank. Texts are
-cut into pre-tokens by a pattern; each pre-token is encoded by itself, ids are
-decoded by the inverse byte mapping.
+cut into pre-tokens by a pattern; each pre-token is encoded by itself. Decoding
+strings the characters of the ids' pieces together and maps each back to its byte.
+
+Texts pass in steps of about a megabyte; a worker remembers the ids of pre-tokens
+in flat arrays, bounded in number and in characters.
 
 Defined results: a null text counts as empty, an empty text has no ids and
 decodes to no bytes. Texts are processed whole. Repeated rows give repeated
-rows; other columns are kept, the new ones replace columns of the same name.
+rows; other columns are kept, the new ones replace columns of the same name. Null
+ids decode to no bytes, ids outside the vocabulary are refused.
 """
 
 from __future__ import annotations
@@ -18,16 +22,20 @@ import base64
 import hashlib
 import struct
 
+from collections.abc import Callable
+
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
-from tripforge.llm.common import text_steps
+from tripforge.llm.common import Numbers, pieces, released, spread, text_steps
 
-#: Pre-tokens remembered by a worker; when full, the memory starts anew.
-MEMO = 200_000
+#: Pre-tokens that a worker remembers, and characters of them; beyond that the memory starts anew.
+MEMO, MEMO_CHARACTERS = 300_000, 8 << 20
+#: Ids decoded in one step.
+STEP_IDS = 1 << 20
 #: A vocabulary is broadcast; larger files than this are refused.
 MAX_VOCABULARY_BYTES = 64 << 20
 
@@ -92,97 +100,181 @@ class Codec:
         import regex
         import sentencepiece
 
-        self.tokens = tokens
         self.whole = {t: i for i, t in enumerate(tokens)}
         self.model = sentencepiece.SentencePieceProcessor(model_proto=serialise_model(tokens))
         self.split = regex.compile(pattern).findall
-        self.chars = dict(enumerate(byte_characters()))
-        self.memo: dict[str, list[int]] = {}
-
-    def pre_token(self, piece: str) -> list[int]:
-        raw = piece.encode("utf-8", "surrogatepass")
-        if raw in self.whole:
-            ids = [self.whole[raw]]
-        else:
-            ids = self.model.encode(raw.decode("latin-1").translate(self.chars))
-        if len(piece) <= 64:
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
-            self.memo[piece] = ids
-        return ids
+        chars = byte_characters()
+        self.to_char = dict(enumerate(chars))
+        # the inverse: characters of all pieces in a row, and the byte of each character
+        self.to_byte = np.zeros(max(map(ord, chars)) + 1, np.uint8)
+        self.to_byte[[ord(c) for c in chars]] = np.arange(256)
+        names = [self.model.id_to_piece(i) for i in range(len(tokens))]
+        self.chars = np.frombuffer("".join(names).encode("utf-16-le"), np.uint16)
+        self.size_of = np.array([len(p) for p in names], np.int64)
+        self.start_of = np.cumsum(self.size_of) - self.size_of
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known, self.characters = Numbers(), 0
+        self.ids, self.begin, self.count = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _learn(self) -> None:
+        """The ids of the new pre-tokens: a whole token is itself, the rest goes through the model."""
+        words, self.known.new = self.known.new, []
+        if not words:
+            return
+        self.characters += sum(map(len, words))
+        raw = [w.encode("utf-8", "surrogatepass") for w in words]
+        single = [self.whole.get(r, -1) for r in raw]
+        ids = [[i] for i in single]
+        rest = [k for k, i in enumerate(single) if i < 0]
+        for k, found in zip(rest, self.model.encode([raw[k].decode("latin-1").translate(self.to_char) for k in rest], num_threads=1)):
+            ids[k] = found
+        count = np.array([len(i) for i in ids], np.int64)
+        self.begin = np.concatenate([self.begin, len(self.ids) + np.cumsum(count) - count])
+        self.count = np.concatenate([self.count, count])
+        self.ids = np.concatenate([self.ids, np.array([i for found in ids for i in found], np.int32)])
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of ``texts``, and the bounds of each text's ids."""
+        if len(self.known) > MEMO or self.characters > MEMO_CHARACTERS:
+            self._forget()
+        numbers, ends, number = [], [0], self.known.__getitem__
+        for t in texts:
+            if t:
+                numbers += map(number, self.split(t))
+            ends.append(len(numbers))
+        self._learn()
+        n = np.array(numbers, np.int64)
+        count = self.count[n]
+        return self.ids[spread(self.begin[n], count)], np.concatenate([[0], np.cumsum(count)])[ends]
+
+    def decode(self, ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+        """The bytes of ``ids`` between ``bounds``."""
+        if len(ids) and not (0 <= ids.min() and ids.max() < len(self.size_of)):
+            raise ValueError("ids outside the vocabulary")
+        sizes = self.size_of[ids]
+        raw = self.to_byte[self.chars[spread(self.start_of[ids], sizes)]].tobytes()
+        ends = np.concatenate([[0], np.cumsum(sizes)])[bounds].tolist()
+        return [raw[a:b] for a, b in zip(ends, ends[1:])]
+
+
+_CODECS: dict[str, Codec] = {}
+
+
+def _shared(docs: DataFrame, vocabulary: str, pattern: str) -> Callable[[], Codec]:
+    """A function that gives a worker its codec; the driver reads and broadcasts the rank file."""
+    tokens = read_ranks(vocabulary)
+    key = hashlib.sha256(repr((pattern, tokens)).encode()).hexdigest()
+    shared = docs.sparkSession.sparkContext.broadcast(tokens)
+
+    def codec() -> Codec:
+        if key not in _CODECS:
+            _CODECS.clear()
+            _CODECS[key] = Codec(shared.value, pattern)
+        return _CODECS[key]
+
+    return codec
+
+
+def _lists(ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
+
+
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of a list column without nulls, and their bounds."""
+    lists = [[i for i in r or [] if i is not None] for r in column.to_pylist()]
+    return np.array([i for r in lists for i in r], np.int64), np.concatenate([[0], np.cumsum([len(r) for r in lists])]).astype(np.int64)
+
+
+def _mapped(docs: DataFrame, new: list[T.StructField], steps, make) -> DataFrame:
+    """``docs`` with the columns ``new``, which ``make(record batch)`` gives for a step."""
+    names = [f.name for f in new]
+    kept = [c for c in docs.columns if c not in names]
+    d = docs.select(*[f"`{c.replace('`', '``')}`" for c in kept])
 
-    def encode(self, text: str | None) -> np.ndarray:
-        out: list[int] = []
-        known, extend = self.memo.get, out.extend
-        for piece in self.split(text or ""):
-            extend(known(piece) or self.pre_token(piece))
-        return np.array(out, np.int32)
+    def run(batches):
+        for b in batches:
+            for s in steps(b.select(kept)):
+                yield pa.RecordBatch.from_arrays([*s.columns, *make(s)], [*kept, *names])
 
-    def decode(self, ids) -> bytes:
-        tokens = self.tokens
-        return b"".join([tokens[i] for i in ids.tolist()])
+    return d.mapInArrow(released(run), T.StructType([*d.schema.fields, *new]))
 
 
-_CODECS: dict[tuple, Codec] = {}
+def _text_slices(text: str):
+    def cut(batch):
+        for part in pieces(batch, text):
+            for lo, texts in text_steps(part.column(text)):
+                yield part.slice(lo, len(texts))
+    return cut
 
 
-def _codec(tokens, pattern: str) -> Codec:
-    key = (tokens.id if hasattr(tokens, "id") else id(tokens), pattern)
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = Codec(tokens.value, pattern)
-    return _CODECS[key]
+def _id_slices(ids: str):
+    def cut(batch):
+        sizes = pc.fill_null(pc.list_value_length(batch.column(ids)), 0).to_numpy(zero_copy_only=False)
+        ends, lo = np.cumsum(sizes + 1, dtype=np.int64), 0
+        while lo < len(ends):
+            hi = int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + STEP_IDS, "left")) + 1
+            yield batch.slice(lo, hi - lo)
+            lo = hi
+    return cut
 
 
 def encode(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """``docs`` with the token ids of ``text``. ``vocabulary`` is a rank file the driver reads."""
-    tokens = _broadcast(docs.sparkSession, vocabulary)
-
-    @F.pandas_udf("array<int>")
-    def run(texts: pd.Series) -> pd.Series:
-        codec = _codec(tokens, pattern)
-        return pd.Series([codec.encode(t) for t in texts])
-
-    return docs.withColumn(ids, run(F.col(text)))
+    if ids == text:
+        raise ValueError("the ids need a column of their own")
+    codec = _shared(docs, vocabulary, pattern)
+    return _mapped(docs, [T.StructField(ids, T.ArrayType(T.IntegerType()))], _text_slices(text),
+                   lambda s: [_lists(*codec().encode(s.column(text).to_pylist()))])
 
 
-def decode(docs: DataFrame, vocabulary: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
+def decode(docs: DataFrame, vocabulary: str, pattern: str = "", ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``docs`` with the bytes that ``ids`` stand for; null ids give no bytes."""
-    tokens = _broadcast(docs.sparkSession, vocabulary)
+    if ids == out:
+        raise ValueError("the bytes need a column of their own")
+    codec = _shared(docs, vocabulary, pattern)
+    return _mapped(docs, [T.StructField(out, T.BinaryType())], _id_slices(ids),
+                   lambda s: [pa.array(codec().decode(*_flat(s.column(ids))), pa.binary())])
 
-    @F.pandas_udf("binary")
-    def run(rows: pd.Series) -> pd.Series:
-        table = tokens.value
-        return pd.Series([b"" if r is None else b"".join([table[i] for i in r.tolist()]) for r in rows])
 
-    return docs.withColumn(out, run(F.col(ids)))
+def encode_checked(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text") -> DataFrame:
+    """``docs`` with ``ids``, ``n_tokens`` and whether the ids decode to the text
+    (``round_trip``), in one pass."""
+    codec = _shared(docs, vocabulary, pattern)
+    new = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType()), T.StructField("round_trip", T.BooleanType())]
+    if text in [f.name for f in new]:
+        raise ValueError("the text needs a column of its own")
 
+    def make(s):
+        texts = s.column(text).to_pylist()
+        ids, bounds = codec().encode(texts)
+        back = codec().decode(ids, bounds)
+        same = [b == (t or "").encode("utf-8", "surrogatepass") for b, t in zip(back, texts)]
+        return [_lists(ids, bounds), pa.array(np.diff(bounds), pa.int64()), pa.array(same, pa.bool_())]
 
-def _broadcast(spark: SparkSession, vocabulary: str):
-    return spark.sparkContext.broadcast(read_ranks(vocabulary))
+    return _mapped(docs, new, _text_slices(text), make)
 
 
 def digests(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     """Per document: token count and digests of its ids and of the bytes decoded
     from them. One pass in steps of about a megabyte; ids never leave the task."""
-    tokens = _broadcast(docs.sparkSession, vocabulary)
+    own_codec = _shared(docs, vocabulary, pattern)
 
     def sha(raw: bytes) -> str:
         return hashlib.sha256(raw).hexdigest()
 
     def run(batches):
-        codec = _codec(tokens, pattern)
+        codec = own_codec()
+        digits = [str(i) for i in range(len(codec.size_of))].__getitem__
         for b in batches:
             for lo, texts in text_steps(b.column("text")):
-                n, ids_sha, text_sha = [], [], []
-                for t in texts:
-                    ids = codec.encode(t)
-                    n.append(len(ids))
-                    ids_sha.append(sha(" ".join(map(str, ids.tolist())).encode()))
-                    text_sha.append(sha(codec.decode(ids)))
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(lo, len(n)), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()),
-                                                  pa.array(text_sha, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                ids, bounds = codec.encode(texts)
+                names, cuts = list(map(digits, ids.tolist())), bounds.tolist()
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc_id").slice(lo, len(texts)), pa.array(np.diff(bounds), pa.int64()),
+                     pa.array([sha(" ".join(names[x:y]).encode()) for x, y in zip(cuts, cuts[1:])], pa.string()),
+                     pa.array([sha(t) for t in codec.decode(ids, bounds)], pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     d = docs.select("doc_id", "text")
-    kind = d.schema["doc_id"].dataType.simpleString()
-    return d.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return d.mapInArrow(released(run), f"doc_id {d.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -85,6 +85,26 @@ def pieces(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBat
         lo = hi
 
 
+# --------------------------------------------------------- numbered strings
+class Numbers(dict):
+    """Numbers of strings in the order they are first asked for; ``new`` collects those not yet dealt with."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        self.new.append(word)
+        return n
+
+
+def spread(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The places ``begin[i] .. begin[i] + count[i] - 1`` for each i in turn."""
+    ends = np.cumsum(count)
+    return np.repeat(begin - ends + count, count) + np.arange(ends[-1] if len(ends) else 0)
+
+
 # ------------------------------------------------------------- word hashing
 _RNG = np.random.default_rng(20240607)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

@@ -34,8 +34,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tripforge.llm.common import Numbers, released, spread, text_steps
 from tripforge.llm.common import pieces as slices
-from tripforge.llm.common import released, text_steps
 
 SPACE = "▁"
 #: A vocabulary is broadcast; larger files than this are refused.
@@ -314,25 +314,6 @@ _EACH_BYTE = "sentencepieces_each_byte"
 codecs.register_error(_EACH_BYTE, lambda e: ("�", e.start + 1))
 
 
-class _Words(dict):
-    """Numbers of words; ``new`` collects those seen for the first time."""
-
-    def __init__(self):
-        super().__init__()
-        self.new: list[str] = []
-
-    def __missing__(self, word: str) -> int:
-        self[word] = n = len(self)
-        self.new.append(word)
-        return n
-
-
-def _spread(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """The places ``begin[i] .. begin[i] + count[i] - 1`` for each i in turn."""
-    ends = np.cumsum(count)
-    return np.repeat(begin - ends + count, count) + np.arange(ends[-1] if len(ends) else 0)
-
-
 class Coder:
     """Encoder and decoder of one worker. Words met before keep their ids in flat arrays."""
 
@@ -345,7 +326,7 @@ class Coder:
         self._forget()
 
     def _forget(self) -> None:
-        self.words = _Words()
+        self.words = Numbers()
         self.characters = 0
         self.ids, self.begin, self.count = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
@@ -365,7 +346,7 @@ class Coder:
             sizes[loose] = [len(r) for r in raw]
             begin = np.cumsum(sizes) - sizes
             sym, word = np.repeat(sym, sizes), np.repeat(word, sizes)
-            sym[_spread(begin[loose], sizes[loose])] = v.byte_id[np.frombuffer(b"".join(raw), np.uint8)]
+            sym[spread(begin[loose], sizes[loose])] = v.byte_id[np.frombuffer(b"".join(raw), np.uint8)]
         count = np.bincount(word, minlength=len(words))
         self.begin = np.concatenate([self.begin, len(self.ids) + np.cumsum(count) - count])
         self.count = np.concatenate([self.count, count])
@@ -384,14 +365,14 @@ class Coder:
         n = np.array(numbers, np.int64)
         count = self.count[n]
         total = np.concatenate([[0], np.cumsum(count)])
-        return self.ids[_spread(self.begin[n], count)], total[np.concatenate([[0], ends]).astype(np.int64)]
+        return self.ids[spread(self.begin[n], count)], total[np.concatenate([[0], ends]).astype(np.int64)]
 
     def decode(self, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
         """The texts of ``ids`` between ``bounds``; an invalid byte becomes U+FFFD."""
         if len(ids) and not (0 <= ids.min() and ids.max() < self.v.size):
             raise ValueError("ids outside the vocabulary")
         sizes = self.size_of[ids]
-        raw = self.bytes_of[_spread(self.start_of[ids], sizes)].tobytes()
+        raw = self.bytes_of[spread(self.start_of[ids], sizes)].tobytes()
         ends = np.concatenate([[0], np.cumsum(sizes)])[bounds].tolist()
         out = []
         for i, (a, b) in enumerate(zip(ends[:-1], ends[1:])):

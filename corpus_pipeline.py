@@ -2,7 +2,13 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
 each result as Parquet and rereads it for the next stage. All but the last
-return the columns of ``documents``.
+return the columns of ``documents``, with other columns beside them unchanged.
+
+Defined results: an empty table gives an empty one; a null or empty text, and one
+without a letter, has no recognised language and goes in the first stage; equal rows
+are copies of one document, of which the second stage keeps one; a null ``lang`` is
+filled, a null ``source`` is a source of its own. Extra columns of any name, also
+those that the operators use, pass through to the last stage.
 """
 
 from __future__ import annotations
@@ -21,10 +27,10 @@ LEAST_LANGUAGE_SCORE = 0.3
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a recognised language; a missing ``lang`` is filled with it."""
     model = language.fit(docs.filter(crc_mod("doc_id", 3) != 1))
-    p = language.predict(docs.withColumnRenamed("score", "_own_score"), model)
-    kept = p.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE))
-    return kept.select(*[F.coalesce("lang", "lang_pred").alias("lang") if c == "lang" else F.col("_own_score").alias(c) if c == "score" else F.col(c)
-                         for c in docs.columns])
+    # the row is one struct beside its text, so that no column name clashes with the prediction's
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
+    kept = language.predict(rows, model).filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE))
+    return kept.select(*[F.coalesce("row.lang", "lang_pred").alias("lang") if c == "lang" else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,11 +51,8 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, their number, and whether they decode to the text."""
-    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    d = bpe.encode(docs.select("doc_id", "lang", "source", "text"), path, public_tokenizers.PATTERN)
-    d = bpe.decode(d, path)
-    return d.select("doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"),
-                    (F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")).alias("round_trip"))
+    coded = bpe.encode_checked(docs.select("doc_id", "lang", "source", "text"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return coded.select("doc_id", "lang", "source", "ids", "n_tokens", "round_trip")
 
 
 STAGES = [("language_id", language_id), ("ngram_jaccard", ngram_jaccard), ("secret_scan", secret_redaction),

@@ -32,7 +32,7 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripforge.llm.common import mix64, pieces, place_factors, release_memory, released, stored, text_steps, word_hashes
@@ -427,13 +427,13 @@ def link_documents(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFr
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each component, that of the smallest doc_id
-    (null last, ties by digest, then any one of rows with equal words). Rows
-    without words are kept."""
+    (null last, ties by digest, then the smallest of rows with equal words). Rows
+    without words are kept. Columns keep their names and values, whatever they are."""
     digests, linked = link_nodes(docs, words, percent)
     rows = digests.filter("node is not null").groupBy("node", "doc_id").agg(F.count("*").alias("rows"))
     rows = rows.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
     best = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "node", "rows")).alias("x"))
-    best = best.select(F.col("x.node").alias("_node"), F.col("x.doc_id").alias("_id"), F.col("x.rows").alias("_rows"))
+    best = stored(best.select(F.col("x.node").alias("best_node"), F.col("x.doc_id").alias("best_id"), F.col("x.rows").alias("copies")), "jaccard-best")
 
     @F.pandas_udf("long")
     def node(texts: pd.Series) -> pd.Series:
@@ -442,9 +442,17 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
         release_memory()
         return pd.Series(nodes, dtype="Int64")
 
-    d = docs.withColumn("_node", node(F.col("text")))
-    blank = d.filter(F.col("_node").isNull()).select(*docs.columns)
-    kept = d.join(best, (d["_node"] == best["_node"]) & d["doc_id"].eqNullSafe(best["_id"])).drop(best["_node"])
-    one = (kept.filter("_rows > 1").withColumn("_r", F.row_number().over(Window.partitionBy("_node", "_id").orderBy("text")))
-           .filter("_r = 1").select(*docs.columns))
-    return blank.unionByName(kept.filter("_rows = 1").select(*docs.columns)).unionByName(one)
+    # declared not deterministic, so that a text is hashed once
+    digest = node.asNondeterministic()
+    row = F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns]).alias("row")
+    same = (F.col("node") == F.col("best_node")) & F.col("id").eqNullSafe(F.col("best_id"))
+
+    d = docs.select(row, F.col("doc_id").alias("id"), digest(F.col("text")).alias("node"))
+    one = d.join(best.filter("copies = 1"), same, "left").filter("node is null or best_node is not null").select("row.*")
+    # rows that repeat an id: only those with such an id are hashed again
+    repeated = best.filter("copies > 1")
+    again = docs.select(row, F.col("doc_id").alias("id"), F.col("text").alias("t"))
+    ids = repeated.select(F.col("best_id").alias("one_id")).distinct()
+    again = again.join(ids, F.col("id").eqNullSafe(F.col("one_id")), "left_semi").select("row", "id", digest(F.col("t")).alias("node"))
+    many = again.join(repeated, same).groupBy("best_node", "best_id").agg(F.min("row").alias("row")).select("row.*")
+    return one.unionByName(many)

@@ -196,10 +196,12 @@ def document_probabilities(texts: list[str], net: dict, classes: int, step: int
 
 
 def predict(docs: DataFrame, model: dict) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # fixed size per language
+    """``docs`` with ``lang_pred`` and ``score``, which replace columns of the same name."""
+    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    row = F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in kept])  # one struct, so that no names clash
     if not model["langs"]:
-        return docs.withColumn("lang_pred", F.lit("und")).withColumn("score", F.lit(0.0))
+        return docs.select(*[f"`{c}`" for c in kept], F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # fixed size per language
 
     @F.pandas_udf("struct<lang:string,score:double>")
     def run(texts: pd.Series) -> pd.DataFrame:
@@ -209,7 +211,9 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
         release_memory()
         return pd.DataFrame({"lang": [m["langs"][k] for k in best], "score": np.clip(p[np.arange(len(p)), best], 0, 1)})
 
+    # declared not deterministic, so that the optimiser neither repeats the network nor moves a filter on its result below it
+    once = run.asNondeterministic()
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    d = docs.withColumn("_p", run(F.col("text")))
-    return (d.withColumn("lang_pred", F.when(letters, F.col("_p.lang")).otherwise("und"))
-            .withColumn("score", F.when(letters, F.col("_p.score")).otherwise(0.0)).drop("_p"))
+    d = docs.select(row.alias("row"), letters.alias("letters"), once(F.col("text")).alias("p"))
+    return d.select("row.*", F.when(F.col("letters"), F.col("p.lang")).otherwise("und").alias("lang_pred"),
+                    F.when(F.col("letters"), F.col("p.score")).otherwise(0.0).alias("score"))

@@ -60,6 +60,10 @@ def targets(sources: DataFrame, share: float = 1.5, cap: float = 2.0, weights=WE
     return s.select("sid", "source", "source_size", "weight", F.least(F.col("most"), F.lit(level) * F.col("weight")).alias("target"))
 
 
+#: Equal rows that are numbered in one group.
+EQUAL_ROWS = 100_000
+
+
 def mix(docs: DataFrame, share: float = 1.5, cap: float = 2.0, weights=WEIGHTS, seed: int = 7,
         block_words: int = 64, shard_words: int = 1_000_000) -> DataFrame:
     """``doc_id, source, size, h, source_size, target, taken`` for every row of
@@ -111,14 +115,34 @@ def mix(docs: DataFrame, share: float = 1.5, cap: float = 2.0, weights=WEIGHTS,
 def repeat_documents(docs: DataFrame, seed: int = 7, **options) -> DataFrame:
     """``docs`` as the mix takes them, in whole documents: a document comes
     ``taken / size`` times, the fraction rounded up for that share of documents
-    by a seeded hash. Rows keep all columns; texts without words stay once."""
+    by a seeded hash. Rows keep all columns, of whatever names; texts without words
+    stay once. Rows of equal id and text share their copies: each gets as many whole
+    ones, the first ones one more until none is left."""
     m = mix(docs, seed=seed, **options)
     u = (F.pmod(F.xxhash64(F.lit("copies"), "h"), F.lit(1 << 30)) + 0.5) / float(1 << 30)
     copies = F.when(F.col("size") == 0, 1).otherwise(F.floor(F.col("taken") / F.col("size") + u))
-    # rows that agree in the key agree in text, so they may share one count
-    m = (m.withColumn("_copies", copies).groupBy(F.col("doc_id").alias("_id"), F.col("h").alias("_h"))
-         .agg(F.sum("_copies").alias("_copies"), F.count("*").alias("_rows")))
-    keyed = docs.withColumn("_key", F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), F.col("text")))
-    j = keyed.join(m, keyed["doc_id"].eqNullSafe(m["_id"]) & (keyed["_key"] == m["_h"]))
-    n = F.floor(F.col("_copies") / F.col("_rows")).cast("int")
-    return j.select(*docs.columns, F.explode(F.array_repeat(F.lit(1), n)).alias("_one")).drop("_one")
+    m = stored(m.withColumn("copies", copies).groupBy(F.col("doc_id").alias("its_id"), F.col("h").alias("its_h"))
+               .agg(F.sum("copies").alias("copies"), F.count("*").alias("rows")), "mix-copies")
+    row = F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns]).alias("row")
+    keyed = docs.select(row, F.col("doc_id").alias("id"), F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), F.col("text")).alias("h"))
+    same = F.col("id").eqNullSafe(F.col("its_id")) & (F.col("h") == F.col("its_h"))
+
+    def repeated(d, n):
+        return d.select("row", F.explode(F.array_repeat(F.lit(1), n.cast("int"))).alias("one")).select("row.*")
+
+    once = repeated(keyed.join(m.filter("rows = 1"), same), F.col("copies"))
+    # equal rows are numbered, in parts of bounded size
+    more = m.filter("rows > 1")
+    ids = more.select(F.col("its_id").alias("one_id")).distinct()
+    equal = keyed.join(ids, F.col("id").eqNullSafe(F.col("one_id")), "left_semi").join(more, same)
+    equal = stored(equal.withColumn("place", F.monotonically_increasing_id())
+                   .withColumn("part", F.pmod("place", F.ceil(F.col("rows") / EQUAL_ROWS))), "mix-equal")
+    key = ["its_id", "its_h"]
+    before = Window.partitionBy(*key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (equal.groupBy(*key, "part").agg(F.count("*").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+             .select(F.col("its_id").alias("p_id"), F.col("its_h").alias("p_h"), F.col("part").alias("p"), "before"))
+    line = Window.partitionBy(*key, "part").orderBy("place")
+    numbered = equal.withColumn("number", F.row_number().over(line)).join(
+        parts, F.col("its_id").eqNullSafe(F.col("p_id")) & (F.col("its_h") == F.col("p_h")) & (F.col("part") == F.col("p")))
+    n = F.expr("copies div rows + CASE WHEN before + number <= copies % rows THEN 1 ELSE 0 END")
+    return once.unionByName(repeated(numbered, n))

@@ -7,6 +7,7 @@ while a Hoeffding test finds their counts compatible. Every long run of
 credential characters in every text is then scored: log likelihood of its format
 under the best automaton against a character model of the runs no rule labels
 (long words, numbers). Runs
+(of 16 characters or more; shorter ones hold too little to judge a format by)
 that score high enough are added whole as kind ``grammar``, also where a base span
 covers a part of them; base spans stay. A dotted run is judged whole first, then by
 the runs between its dots; of a run that is none, the rest beside base spans is judged.
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
 
 import pandas as pd
@@ -42,6 +44,8 @@ KINDS = ("assign", "access", "hex", "grammar")
 SAMPLE_DOCUMENTS, SAMPLE_STRINGS = 20_000, 400
 #: Merging: significance of the compatibility test.
 ALPHA = 0.05
+#: Ends counted in every state, so that a length never seen is unlikely, not impossible.
+END_UNSEEN = 0.05
 #: A run is added from this log-likelihood ratio per character and in total.
 LEAST_PER_CHARACTER, LEAST_TOTAL = 0.5, 12.0
 
@@ -142,10 +146,15 @@ class Automaton:
         self.counts = [dict(self.counts[q]) for q in red]
         self.ends = [self.ends[q] for q in red]
 
-    def scorer(self) -> list[dict[str, tuple[float, int]]]:
-        """Per state and class: log probability of one character of it, next state."""
-        return [{c: (math.log(n / self.total(q) / CLASS_SIZE[c]), self.moves[q][c]) for c, n in self.counts[q].items() if c in self.moves[q]}
-                for q in range(len(self.moves))]
+    def scorer(self) -> list[tuple[dict[str, tuple[float, int]], float]]:
+        """Per state: by class the log probability of one character of it and the
+        next state; and the log probability of ending there, a little even if never seen."""
+        out = []
+        for q in range(len(self.moves)):
+            n = self.total(q) + END_UNSEEN
+            steps = {c: (math.log(k / n / CLASS_SIZE[c]), self.moves[q][c]) for c, k in self.counts[q].items() if c in self.moves[q]}
+            out.append((steps, math.log((self.ends[q] + END_UNSEEN) / n)))
+        return out
 
 
 def train(strings: dict[str, list[str]], words: list[str]) -> dict:
@@ -158,30 +167,29 @@ def train(strings: dict[str, list[str]], words: list[str]) -> dict:
             automata.append(a.scorer())
     pairs, firsts = defaultdict(int), defaultdict(int)
     for w in words:
-        for x, y in zip(" " + w, w):
+        for x, y in zip(" " + w, w + " "):
             pairs[x + y] += 1
             firsts[x] += 1
     return {"automata": automata, "pairs": dict(pairs), "firsts": dict(firsts)}
 
 
 def ratio(run: str, model: dict) -> float:
-    """Log likelihood of the best automaton less that of ordinary words."""
-    plain, before = 0.0, " "
-    for c in run:
-        plain += math.log((model["pairs"].get(before + c, 0) + 0.1) / (model["firsts"].get(before, 0) + 6.8))
-        before = c
+    """Log likelihood of the whole run, end included, under the best automaton less that of ordinary words."""
+    plain = 0.0
+    for before, c in zip(" " + run, run + " "):
+        plain += math.log((model["pairs"].get(before + c, 0) + 0.1) / (model["firsts"].get(before, 0) + 6.9))
     best = -math.inf
     classes = run.translate(_TO_CLASS)
     for states in model["automata"]:
         at, total = 0, 0.0
         for c in classes:
-            step = states[at].get(c)
+            step = states[at][0].get(c)
             if step is None:
-                total = -math.inf
                 break
             total += step[0]
             at = step[1]
-        best = max(best, total)
+        else:
+            best = max(best, total + states[at][1])
     return best - plain
 
 
@@ -195,24 +203,35 @@ def runs_of(text: str):
         yield (s, e) if e - s >= LEAST_RUN and "." in text[s:e] else None, plain
 
 
-def rest(s: int, e: int, base: list[tuple[int, int, int, str]]) -> list[tuple[int, int]]:
-    """The parts of [s, e) outside the base spans, which are in order of their starts."""
-    out = []
-    for a, _, b, _ in base:
-        if a < e and s < b:
-            if a > s:
-                out.append((s, a))
-            s = max(s, b)
-    return out + [(s, e)] if s < e else out
+class Base:
+    """The base spans of a text by place."""
+
+    def __init__(self, spans: list[tuple[int, int, int, str]]):
+        self.spans = spans  # in order of their starts
+        self.starts = [x[0] for x in spans]
+        self.reach: list[int] = []  # how far the spans up to this one reach
+        for x in spans:
+            self.reach.append(max(x[2], self.reach[-1] if self.reach else 0))
+
+    def rest(self, s: int, e: int) -> list[tuple[int, int]]:
+        """The parts of [s, e) outside the base spans."""
+        out = []
+        for k in range(bisect_right(self.reach, s), bisect_left(self.starts, e)):
+            a, _, b, _ = self.spans[k]
+            if s < b:
+                if a > s:
+                    out.append((s, a))
+                s = max(s, b)
+        return out + [(s, e)] if s < e else out
 
 
 def all_spans(text: str, model: dict) -> list[tuple[int, int, int]]:
-    base = base_spans(text)
-    out = [x[:3] for x in base]
+    base = Base(base_spans(text))
+    out = [x[:3] for x in base.spans]
     if model["automata"]:
         def added(s, e):
             """Whether [s, e) is a secret; then it is in ``out``, or base spans cover it."""
-            if not rest(s, e, base):
+            if not base.rest(s, e):
                 return True
             r = ratio(text[s:e], model)
             if r < LEAST_TOTAL or r < LEAST_PER_CHARACTER * (e - s):
@@ -225,7 +244,7 @@ def all_spans(text: str, model: dict) -> list[tuple[int, int, int]]:
                 continue
             for s, e in plain:
                 if not added(s, e):
-                    for a, b in rest(s, e, base):
+                    for a, b in base.rest(s, e):
                         if (a, b) != (s, e) and b - a >= LEAST_RUN:
                             added(a, b)
         out.sort()
@@ -245,10 +264,10 @@ def fit(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> dict:
         for b in batches:
             rows = []
             for text in b["text"]:
-                base = base_spans(text)
-                rows += [(KINDS[k], s) for _, k, _, s in base]
+                base = Base(base_spans(text))
+                rows += [(KINDS[k], s) for _, k, _, s in base.spans]
                 rows += [("word", text[s:e]) for dotted, plain in runs_of(text) for s, e in ([dotted] if dotted else []) + plain
-                         if rest(s, e, base) == [(s, e)]]
+                         if base.rest(s, e) == [(s, e)]]
             yield pd.DataFrame(rows, columns=["kind", "value"])
 
     found = d.select("text").mapInPandas(strings, "kind string, value string").distinct()

@@ -57,8 +57,15 @@ def test_bpe_equals_tiktoken(docs, empty):
         assert bytes(r["decoded"]) == (r["text"] or "").encode()
     codec = bpe.Codec(bpe.read_ranks(path), P.PATTERN)
     hard = "    \x1c a's I'LL\r\n\n 12³४५ ́e\U0001f600‍ " + "".join(map(chr, range(1, 1200)))
-    assert codec.encode(hard).tolist() == e.encode_ordinary(hard)
-    assert all(codec.model.encode(t.decode("latin-1").translate(codec.chars)) == [i] for i, t in enumerate(codec.tokens[:3000]))
+    ids, bounds = codec.encode([hard, None, hard[:7]])
+    assert ids.tolist() == e.encode_ordinary(hard) + e.encode_ordinary(hard[:7]) and bounds[1] == bounds[2] == len(e.encode_ordinary(hard))
+    assert codec.decode(ids, bounds) == [hard.encode(), b"", hard[:7].encode()]
+    # the model alone merges every token's bytes to that token, and every piece maps back to them
+    tokens = bpe.read_ranks(path)
+    assert all(codec.model.encode(t.decode("latin-1").translate(codec.to_char)) == [i] for i, t in enumerate(tokens[:3000]))
+    assert codec.decode(np.arange(len(tokens)), np.arange(len(tokens) + 1)) == tokens
+    with pytest.raises(ValueError):
+        codec.decode(np.array([len(tokens)]), np.array([0, 1]))
     assert bpe.digests(empty, path, P.PATTERN).count() == 0
 
 
@@ -399,7 +406,7 @@ def test_secret_runs_around_base_spans():
     assert (4, 3, len(whole) - 4) in S.all_spans(whole, model)
     dotted = "see QZ7XK2.MVP9TR.WJ4HYH.3GQ8LN.B5ZC6D. the.and.then.other.the.and"
     assert S.all_spans(dotted, model) == [(4, 3, 38)]
-    assert S.all_spans("h" + h, model) != [] and S.rest(0, 10, [(2, 0, 4, ""), (3, 2, 6, ""), (9, 2, 12, "")]) == [(0, 2), (6, 9)]
+    assert S.all_spans("h" + h, model) != [] and S.Base([(2, 0, 4, ""), (3, 2, 6, ""), (9, 2, 12, "")]).rest(0, 10) == [(0, 2), (6, 9)]
 
 
 def test_toxicity(spark, empty):

@@ -6,36 +6,23 @@ five preference weights and a weather choice, as Spark expressions:
 * base vector and deltas are literal map lookups (unknown keys -> rejected row);
 * the sequential update with a clamp after every step is ``aggregate`` over the
   ordered delta array ``[companion] + activities + [text]``;
-* text signals: whole-word matches of single-word terms come from one JVM regex
-  per text, multi-word terms from ``instr``; fuzzy matches (Ratcliff/Obershelp
-  ratio >= 0.84, single-word terms of length >= 4) are computed once per
-  distinct (token, term) pair that passes the cheap bound
-  ``2*min(len)/(len_a+len_b) >= 0.84`` in an Arrow-batched pandas UDF, then
-  joined back to the texts by token. Whole texts are scanned; nothing is cut.
+* text signals: rule terms meet the words of a text in joins (``operators.terms``):
+  whole words, substrings for terms of several words, and similar words. Whole
+  texts are read; nothing is cut.
 """
 
 from __future__ import annotations
 
-import difflib
-import re
 from collections.abc import Mapping
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tripforge import rules
+from tripforge.operators.terms import all_terms, exact_matches, fuzzy_matches, term_table
 from tripforge.sources.requests import PREFS
 
 
-# ----------------------------------------------------------------------- UD1
-@F.pandas_udf(T.DoubleType())
-def ratcliff_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Ratcliff/Obershelp similarity, argument order kept."""
-    return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)], dtype="float64")
-
-
 def _vec(d: Mapping[str, int]) -> Column:
     return F.struct(*[F.lit(int(d.get(p, 0))).alias(p) for p in PREFS])
 
@@ -47,19 +34,6 @@ def _vec_map(table: Mapping[str, Mapping[str, int]]) -> Column:
     return F.create_map(*pairs)
 
 
-def _terms(keywords: Mapping[str, Mapping], weather: Mapping[str, list]) -> list[str]:
-    out = []
-    for cfg in keywords.values():
-        out += cfg["terms"]
-    for terms in weather.values():
-        out += terms
-    return list(dict.fromkeys(out))
-
-
-def _fuzzy_terms(terms: list[str], min_len: int) -> list[str]:
-    return [t for t in terms if " " not in t and len(t) >= min_len]
-
-
 # ------------------------------------------------------------------ X4, X5
 def text_terms(texts: DataFrame, id_col: str, text_col: str,
                keywords: Mapping[str, Mapping] = rules.KEYWORD_WEIGHTS,
@@ -67,31 +41,15 @@ def text_terms(texts: DataFrame, id_col: str, text_col: str,
                fuzzy: bool = True, ratio: float = rules.FUZZY_RATIO,
                min_len: int = rules.FUZZY_MIN_TERM_LENGTH) -> DataFrame:
     """(id, matched_terms array<string>): every rule term found in the text,
-    exactly (whole word / substring for multi-word terms) or fuzzily."""
-    terms = _terms(keywords, weather)
-    single = [t for t in terms if " " not in t]
-    multi = [t for t in terms if " " in t]
-    low = F.lower(F.coalesce(F.col(text_col), F.lit("")))
-    pattern = r"(?U)\b(" + "|".join(re.escape(t) for t in sorted(single, key=len, reverse=True)) + r")\b"
-    exact = F.array_distinct(F.concat(
-        F.regexp_extract_all(low, F.lit(pattern), 1),
-        F.filter(F.array(*[F.when(F.instr(low, t) > 0, F.lit(t)) for t in multi]), lambda x: x.isNotNull())))
-    base = texts.select(F.col(id_col).alias("__id"), low.alias("__low"), exact.alias("__exact"))
-    if not fuzzy:
-        return base.select(F.col("__id").alias(id_col), F.col("__exact").alias("matched_terms"))
-    fterms = _fuzzy_terms(terms, min_len)
-    spark = texts.sparkSession
-    term_df = spark.createDataFrame([(t, len(t)) for t in fterms], "term string, term_len int")
-    toks = base.select("__id", F.explode(F.array_distinct(
-        F.regexp_extract_all("__low", F.lit("[a-zA-Z]+"), 0))).alias("token"))
-    vocab = toks.select("token").distinct().withColumn("tok_len", F.length("token"))
-    bound = (2.0 * F.least(F.col("tok_len"), F.col("term_len"))) / (F.col("tok_len") + F.col("term_len")) >= ratio
-    cand = vocab.join(F.broadcast(term_df), bound)  # bounded rule table, non-equi
-    matched = cand.where(ratcliff_ratio(F.col("token"), F.col("term")) >= ratio).select("token", "term")
-    fz = (toks.join(matched, "token").groupBy("__id").agg(F.collect_set("term").alias("__fz")))
-    out = base.join(fz, "__id", "left")
-    allm = F.array_distinct(F.concat(F.col("__exact"), F.coalesce(F.col("__fz"), F.array().cast("array<string>"))))
-    return out.select(F.col("__id").alias(id_col), allm.alias("matched_terms"))
+    exactly or fuzzily; an empty array where none is."""
+    terms = term_table(texts.sparkSession, all_terms(keywords, weather))
+    found = exact_matches(texts, id_col, text_col, terms)
+    if fuzzy:
+        found = found.unionByName(fuzzy_matches(texts, id_col, text_col, terms, ratio, min_len))
+    found = found.groupBy("id").agg(F.collect_set("term").alias("found"))  # at most one entry per rule term
+    ids = texts.select(F.col(id_col).alias("own")).distinct()
+    out = ids.join(found, F.col("own").eqNullSafe(F.col("id")), "left")
+    return out.select(F.col("own").alias(id_col), F.coalesce("found", F.array().cast("array<string>")).alias("matched_terms"))
 
 
 def text_signals(terms_df: DataFrame, keywords: Mapping[str, Mapping] = rules.KEYWORD_WEIGHTS,
@@ -119,10 +77,12 @@ def text_signals(terms_df: DataFrame, keywords: Mapping[str, Mapping] = rules.KE
 
 
 # --------------------------------------------------------------- X1-X3, X6
-def translate_answers(answers: DataFrame, id_col: str = "answer_id", fuzzy: bool = True) -> DataFrame:
+def translate_answers(answers: DataFrame, id_col: str = "answer_id", fuzzy: bool = True,
+                      keywords: Mapping[str, Mapping] = rules.KEYWORD_WEIGHTS,
+                      weather: Mapping[str, list] = rules.TEXT_WEATHER_KEYWORDS) -> DataFrame:
     """Answers -> five clamped preferences, weather choice, matched groups,
     and ``error`` (non-empty when a style/companion/activity is unknown)."""
-    sig = text_signals(text_terms(answers, id_col, "trip_description", fuzzy=fuzzy))
+    sig = text_signals(text_terms(answers, id_col, "trip_description", keywords, weather, fuzzy), keywords, weather)
     a = answers.join(sig.select(id_col, "text_weights", "matched_keywords", "text_weather"), id_col, "left")
     base = F.element_at(_vec_map(rules.TRIP_STYLES), F.col("trip_style"))
     comp = F.element_at(_vec_map(rules.TRAVEL_COMPANION_WEIGHTS), F.col("companion"))
@@ -143,10 +103,10 @@ def translate_answers(answers: DataFrame, id_col: str = "answer_id", fuzzy: bool
         F.when(F.size(unknown_acts) > 0, F.concat(F.lit("unknown activities: "), F.array_join(unknown_acts, ", "))),
     ), lambda x: x.isNotNull()), "; ")
     ok = error == ""
-    weather = F.when(F.col("climate_preference") != "Any", F.col("climate_preference")).otherwise(
+    chosen = F.when(F.col("climate_preference") != "Any", F.col("climate_preference")).otherwise(
         F.coalesce(F.col("text_weather"), F.col("climate_preference")))
     return a.select("*", *[F.when(ok, final[p]).cast("double").alias(p) for p in PREFS],
-                    weather.alias("weather_preference"), error.alias("error")).drop("text_weights")
+                    chosen.alias("weather_preference"), error.alias("error")).drop("text_weights")
 
 
 def answers_to_requests(translated: DataFrame, id_col: str = "answer_id", month: str = "month",

@@ -12,6 +12,7 @@ from tripforge import rules
 from tripforge.functions.expr import sql_fmt1, sql_haversine_m, sql_round  # noqa: F401
 from tripforge.operators.lloyd import sql_lloyd
 from tripforge.operators.ranking import sql_pct_rank_avg
+from tripforge.operators.terms import WORD, sql_close, sql_ratcliff
 from tripforge.plans.catalog import PROFILE_ITERATIONS, PROFILE_K
 from tripforge.sources import standins
 
@@ -164,14 +165,14 @@ CATALOG_COLUMNS = [
 
 
 # ------------------------------------------------------------------ requests
-def valid_requests_ctes() -> str:
+def valid_requests_ctes(requests_sql: str = standins.REQUESTS_SQL) -> str:
     months = ", ".join(m.title() for m in rules.MONTH_TO_SEASON)
     season = _case_map("lower(trim(month))", rules.MONTH_TO_SEASON)
     pref_err = " , ".join(
         f"CASE WHEN {p} IS NULL OR {p} < 0 OR {p} > 10 OR isnan({p}) THEN '{p} must be between 0 and 10' END"
         for p in ["food", "beach", "culture", "nature", "nightlife"])
     return f"""
-req0 AS ({standins.REQUESTS_SQL}),
+req0 AS ({requests_sql}),
 req1 AS (SELECT request_id, food, beach, culture, nature, nightlife, month,
        coalesce(budget, '{rules.DEFAULT_BUDGET}') AS budget,
        coalesce(weather_preference, '{rules.DEFAULT_WEATHER_PREFERENCE}') AS weather_preference,
@@ -207,7 +208,7 @@ def _budget_sql(budget: str, level: str) -> str:
     return f"CAST(CASE {' '.join(arms)} ELSE {rules.UNKNOWN_LEVEL_BUDGET_SCORE} END AS DOUBLE)"
 
 
-def scored_ctes() -> str:
+def scored_ctes(requests_sql: str = standins.REQUESTS_SQL) -> str:
     """Valid requests x catalogue with all R2-R8 columns (brute force)."""
     total = "(r.food + r.beach + r.culture + r.nature + r.nightlife)"
     w = {p: f"(CASE WHEN {total} = 0 THEN {1.0 / 5!r} ELSE r.{p} / {total} END)"
@@ -225,7 +226,7 @@ def scored_ctes() -> str:
     pen += f" + CASE WHEN r.nature >= 7 AND coalesce(c.cluster_profile = '{rules.PROFILE_URBAN}', false) THEN 6.0 ELSE 0.0 END"
     final = R('0.6 * preference_score + 0.2 * weather_score + 0.15 * budget_match_score + cluster_bonus - must_have_penalty')
     return f"""{catalog_ctes()},
-{valid_requests_ctes()},
+{valid_requests_ctes(requests_sql)},
 pairs AS (SELECT r.request_id, r.season, r.top_n, r.food AS p_food, r.beach AS p_beach, r.culture AS p_culture,
        r.nature AS p_nature, r.nightlife AS p_nightlife, c.*,
        {pref} AS preference_score,
@@ -271,3 +272,60 @@ def natural_reason_sql() -> str:
     st_text = f"CASE WHEN len({lst}) = 0 THEN 'a balanced profile across the selected criteria' ELSE array_to_string({lst}[1:3], ', ') END"
     return (f"printf('%s was recommended because it matches %s, with %s, and belongs to the %s profile for %s travel.', "
             f"destination_name, {main_text}, {st_text}, coalesce(cluster_profile, 'None'), season)")
+
+
+# ------------------------------------------------------------- text signals
+def text_signal_ctes(texts: str, keywords: dict, weather: dict, ratio: float = rules.FUZZY_RATIO,
+                     min_len: int = rules.FUZZY_MIN_TERM_LENGTH) -> str:
+    """CTEs (for WITH RECURSIVE) ending in ``signals`` (id, matched array of groups, w_*, vote)
+    of ``texts`` (id, text): every text against every term."""
+    groups = [(g, i, t) for i, (g, cfg) in enumerate(keywords.items()) for t in cfg["terms"]]
+    votes = [(g, i, t) for i, (g, ts) in enumerate(weather.items()) for t in ts]
+    values = ", ".join(f"('k', {_lit(g)}, {i}, {_lit(t)})" for g, i, t in groups) + ", " + ", ".join(f"('w', {_lit(g)}, {i}, {_lit(t)})" for g, i, t in votes)
+    weights = ", ".join(
+        f"coalesce(sum(CASE grp {' '.join(f'WHEN {_lit(g)} THEN {cfg['weights'].get(p, 0)}' for g, cfg in keywords.items())} END), 0) AS w_{p}"
+        for p in ("food", "beach", "culture", "nature", "nightlife"))
+    return f"""rule(kind, grp, place, term) AS (VALUES {values}),
+low AS (SELECT id, lower(coalesce(text, '')) AS t FROM {texts}),
+tokens AS (SELECT DISTINCT id, unnest(regexp_extract_all(t, '[a-zA-Z]+')) AS word FROM low),
+close AS (SELECT DISTINCT word, term FROM (SELECT DISTINCT word FROM tokens), (SELECT DISTINCT term FROM rule WHERE NOT contains(term, ' ') AND length(term) >= {min_len})
+     WHERE {sql_close(ratio)}),
+{sql_ratcliff("close")},
+matched AS (
+  SELECT DISTINCT id, term FROM low, (SELECT DISTINCT term FROM rule) WHERE CASE WHEN contains(term, ' ') THEN contains(t, term)
+         ELSE list_contains(regexp_extract_all(t, '[{WORD}]+'), term) END
+  UNION SELECT id, term FROM tokens JOIN ratcliff USING (word) WHERE ratio >= {ratio}),
+fired AS (SELECT DISTINCT id, grp, place FROM matched JOIN rule USING (term) WHERE kind = 'k'),
+weighed AS (SELECT id, list(grp ORDER BY place) AS matched, {weights} FROM fired GROUP BY id),
+voted AS (SELECT id, arg_min(grp, (-n, place)) AS vote FROM (SELECT id, grp, place, count(DISTINCT term) AS n FROM matched JOIN rule USING (term) WHERE kind = 'w'
+     GROUP BY id, grp, place) GROUP BY id),
+signals AS (SELECT low.id, coalesce(matched, []) AS matched, {', '.join(f'coalesce(w_{p}, 0) AS w_{p}' for p in ("food", "beach", "culture", "nature", "nightlife"))}, vote
+     FROM low LEFT JOIN weighed USING (id) LEFT JOIN voted USING (id))"""
+
+
+def translated_ctes() -> str:
+    """CTEs (for WITH RECURSIVE) ending in ``translated``: the stand-in answers as preferences."""
+    unknown = "list_filter(activities, lambda x: NOT list_contains([" + ", ".join(map(_lit, rules.ACTIVITY_WEIGHTS)) + "], x))"
+    prefs = []
+    for p in ("food", "beach", "culture", "nature", "nightlife"):
+        def pick(expr, table, p=p):
+            return "CASE " + expr + " " + " ".join(f"WHEN {_lit(k)} THEN {v.get(p, 0)}" for k, v in table.items()) + " END"
+        steps = f"list_concat([{pick('companion', rules.TRAVEL_COMPANION_WEIGHTS)}], list_transform(activities, lambda x: {pick('x', rules.ACTIVITY_WEIGHTS)}), [CAST(w_{p} AS INTEGER)])"
+        start = pick("trip_style", rules.TRIP_STYLES)
+        prefs.append(f"CASE WHEN error = '' THEN CAST(list_reduce(list_concat([{start}], {steps}), lambda x, d: least(greatest(x + d, {rules.PREFERENCE_MIN}), {rules.PREFERENCE_MAX})) AS DOUBLE) END AS {p}")
+    return f"""answers AS ({standins.ANSWERS_SQL}),
+{text_signal_ctes("(SELECT answer_id AS id, trip_description AS text FROM answers)", standins.STANDIN_KEYWORD_WEIGHTS, standins.STANDIN_WEATHER_KEYWORDS)},
+checked AS (SELECT a.*, s.*, array_to_string(list_filter([
+       CASE WHEN trip_style NOT IN ({', '.join(map(_lit, rules.TRIP_STYLES))}) THEN printf('unknown trip style ''%s''', trip_style) END,
+       CASE WHEN companion NOT IN ({', '.join(map(_lit, rules.TRAVEL_COMPANION_WEIGHTS))}) THEN printf('unknown companion ''%s''', companion) END,
+       CASE WHEN len({unknown}) > 0 THEN 'unknown activities: ' || array_to_string({unknown}, ', ') END], lambda x: x IS NOT NULL), '; ') AS error
+     FROM answers a JOIN signals s ON a.answer_id = s.id),
+translated AS (SELECT answer_id, {', '.join(prefs)}, CASE WHEN climate_preference <> 'Any' THEN climate_preference ELSE coalesce(vote, climate_preference) END AS weather_preference,
+       array_to_string(matched, ',') AS matched_keywords, error, month, budget, top_n
+     FROM checked JOIN (SELECT answer_id AS own_id, {_sql_answer_extras()} FROM ({standins.ANSWERS_SQL})) e ON e.own_id = answer_id)"""
+
+
+def _sql_answer_extras() -> str:
+    months = standins._sql_list(standins.MONTH_NAMES)
+    budgets = standins._sql_list(list(rules.BUDGET_MATCH_MATRIX))
+    return f"{months}[(answer_id % 12) + 1] AS month, {budgets}[(answer_id % 3) + 1] AS budget, 3 AS top_n"

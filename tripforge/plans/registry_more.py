@@ -1,10 +1,10 @@
-"""Registered queries without a SQL oracle (fuzzy text, models, streams) and
-the cost pipeline queries (with oracles)."""
+"""Registered queries of texts, costs, models, streams and collection, and their oracles."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tripforge import rules
 from tripforge.sources import standins
 from tripforge.sources.catalog_io import read_table
 
@@ -15,42 +15,91 @@ def _cat(spark, sf):
 
 
 # ------------------------------------------------------------ preferences
-def q_translate_answers(spark, sf):
+PREFS = ["food", "beach", "culture", "nature", "nightlife"]
+
+
+def _translated(spark, sf):
     from tripforge.operators.preferences import translate_answers
-    t = translate_answers(standins.answers(spark, sf))
-    return t.select("answer_id", "food", "beach", "culture", "nature", "nightlife", "weather_preference",
-                    F.array_join("matched_keywords", ",").alias("matched_keywords"), "error")
+    return translate_answers(standins.answers(spark, sf), keywords=standins.STANDIN_KEYWORD_WEIGHTS, weather=standins.STANDIN_WEATHER_KEYWORDS)
+
+
+def q_translate_answers(spark, sf):
+    """X1-X7 with rules whose terms occur in the texts: words, phrases, similar words."""
+    return _translated(spark, sf).select("answer_id", *PREFS, "weather_preference", F.array_join("matched_keywords", ",").alias("matched_keywords"), "error")
+
+
+def o_translate_answers():
+    from tripforge.plans import oracle
+    return f"WITH RECURSIVE {oracle.translated_ctes()}\nSELECT answer_id, {', '.join(PREFS)}, weather_preference, matched_keywords, error FROM translated"
+
+
+FACTS = ["summer_avg_temp", "summer_avg_daily_rain", "search_radius_m", "restaurant_count", "museum_count", "nearby_beach_count"]
 
 
 def q_planner_recommendations(spark, sf):
     """Answers -> preferences -> recommendations -> fact columns."""
     from tripforge.operators.joins import enrich_missing
-    from tripforge.operators.preferences import answers_to_requests, translate_answers
+    from tripforge.operators.preferences import answers_to_requests
     from tripforge.operators.recommend import recommend
     from tripforge.sources.requests import parse_requests
-    reqs = answers_to_requests(translate_answers(standins.answers(spark, sf)))
-    valid, _ = parse_requests(reqs)
+    valid, _ = parse_requests(answers_to_requests(_translated(spark, sf)))
     cat = _cat(spark, sf)
     recs = recommend(valid, cat).select("request_id", "rank", "destination_name", "country", "recommendation_score")
-    facts = ["summer_avg_temp", "summer_avg_daily_rain", "search_radius_m", "restaurant_count", "museum_count",
-             "nearby_beach_count"]
-    return enrich_missing(recs, cat, ["destination_name", "country"], facts)
+    return enrich_missing(recs, cat, ["destination_name", "country"], FACTS)
+
+
+def o_planner_recommendations():
+    from tripforge.plans import oracle
+    requests = f"SELECT answer_id AS request_id, {', '.join(PREFS)}, month, budget, weather_preference, top_n FROM translated WHERE error = ''"
+    return (f"WITH RECURSIVE {oracle.translated_ctes()},\n{oracle.scored_ctes(requests)}\n"
+            f"SELECT request_id, rank, destination_name, country, recommendation_score, {', '.join(FACTS)} FROM top")
 
 
 def q_conversation_signals(spark, sf):
-    """X4/X5 over whole conversation turns (rule terms rarely occur there)."""
+    """X4/X5 over whole conversation turns."""
     from tripforge.operators.preferences import text_signals, text_terms
-    conv = read_table(spark, sf, "conversations").select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("turn_id"), "text")
-    s = text_signals(text_terms(conv, "turn_id", "text"))
-    return s.select("turn_id", F.array_join("matched_keywords", ",").alias("matched_keywords"), "text_weather",
-                    *[F.col(f"text_weights.{p}").alias(f"w_{p}") for p in ["food", "beach", "culture", "nature", "nightlife"]])
+    conv = read_table(spark, sf, "conversations").select(F.struct("conv_id", "turn").alias("id"), "text")
+    rule = (standins.STANDIN_KEYWORD_WEIGHTS, standins.STANDIN_WEATHER_KEYWORDS)
+    s = text_signals(text_terms(conv, "id", "text", *rule), *rule)
+    return s.select("id.conv_id", "id.turn", F.array_join("matched_keywords", ",").alias("matched_keywords"), "text_weather",
+                    *[F.col(f"text_weights.{p}").alias(f"w_{p}") for p in PREFS])
+
+
+def o_conversation_signals():
+    from tripforge.plans import oracle
+    texts = "(SELECT {'conv_id': conv_id, 'turn': turn} AS id, any_value(text) AS text FROM conversations GROUP BY conv_id, turn)"
+    return f"""WITH RECURSIVE {oracle.text_signal_ctes(texts, standins.STANDIN_KEYWORD_WEIGHTS, standins.STANDIN_WEATHER_KEYWORDS)}
+SELECT id.conv_id AS conv_id, id.turn AS turn, array_to_string(matched, ',') AS matched_keywords, vote AS text_weather, {', '.join(f'w_{p}' for p in PREFS)} FROM signals"""
+
+
+def q_similar_terms(spark, sf):
+    """F4, UD1: words of all documents that a rule term resembles, with their ratio."""
+    from tripforge.operators import terms as tm
+    docs = read_table(spark, sf, "documents")
+    low = F.lower(F.coalesce(F.col("text"), F.lit("")))
+    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(low, F.lit("[a-zA-Z]+"), F.lit(0)))).alias("word")).distinct()
+    listed = tm.all_terms(standins.STANDIN_KEYWORD_WEIGHTS, standins.STANDIN_WEATHER_KEYWORDS)
+    table = tm.term_table(spark, listed).filter("pieces = 1 and length(term) >= 4").select("term")
+    pairs = tm.fuzzy_candidates(words, table).withColumn("ratio", tm.ratcliff_ratio("word", "term"))
+    return pairs.filter(F.col("ratio") >= rules.FUZZY_RATIO).select("word", "term", "ratio")
+
+
+def o_similar_terms():
+    from tripforge.operators import terms as tm
+    from tripforge.plans.oracle import _lit
+    listed = [t for t in tm.all_terms(standins.STANDIN_KEYWORD_WEIGHTS, standins.STANDIN_WEATHER_KEYWORDS) if " " not in t and len(t) >= 4]
+    return f"""WITH RECURSIVE words AS (SELECT DISTINCT unnest(regexp_extract_all(lower(coalesce(text, '')), '[a-zA-Z]+')) AS word FROM documents),
+close AS (SELECT word, term FROM words, (VALUES {', '.join(f'({_lit(t)})' for t in listed)}) t(term)
+  WHERE {tm.sql_close(rules.FUZZY_RATIO)}),
+{tm.sql_ratcliff("close")}
+SELECT word, term, ratio FROM ratcliff WHERE ratio >= {rules.FUZZY_RATIO}"""
 
 
 QUERIES = {
-    "translate_answers": (q_translate_answers, None),
-    "planner_recommendations": (q_planner_recommendations, None),
-    "conversation_text_signals": (q_conversation_signals, None),
+    "translate_answers": (q_translate_answers, o_translate_answers),
+    "planner_recommendations": (q_planner_recommendations, o_planner_recommendations),
+    "conversation_text_signals": (q_conversation_signals, o_conversation_signals),
+    "similar_rule_terms": (q_similar_terms, o_similar_terms),
 }
 
 

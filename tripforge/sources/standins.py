@@ -263,6 +263,23 @@ FROM part
 """
 
 
+# Text rules whose terms occur in the texts at hand (part names, conversation
+# turns): whole words, terms of several words, and words that only look alike.
+STANDIN_KEYWORD_WEIGHTS = {
+    "beach": {"terms": ["blue", "rings", "blue bolt", "there"], "weights": {"beach": 3}},
+    "food": {"terms": ["plates", "hot plate", "der"], "weights": {"food": 3}},
+    "culture": {"terms": ["old", "anvils", "that the", "mention"], "weights": {"culture": 3}},
+    "nature": {"terms": ["rod", "cold rod", "from"], "weights": {"nature": 3}},
+    "nightlife": {"terms": ["gizmos", "red", "with the"], "weights": {"nightlife": 3}},
+    "relax": {"terms": ["small", "new gear", "this is", "widgets"], "weights": {"beach": 1, "nature": 1}},
+}
+STANDIN_WEATHER_KEYWORDS = {
+    "Warm": ["hot", "red", "hot gear", "other"],
+    "Mild": ["new", "old bolt", "that", "la que"],
+    "Cool": ["cold", "blue", "cold ring", "and the"],
+}
+
+
 # ------------------------------------------------------- price / hotel payloads
 # Keyword rules for the stand-in items (part names), same shape as the
 # reference's price keyword table.

@@ -99,6 +99,45 @@ def test_mixing_meets_targets(docs, empty):
     assert copies.columns == docs.columns and mixing.repeat_documents(empty).count() == 0
 
 
+def highest_quotients(rows, house, cap):
+    """Block by block from a heap of quotients; ties by source and shard."""
+    import heapq
+    from fractions import Fraction as Q
+    quota = {(s, h): 0 for s, h, _, _ in rows}
+    most = {(s, h): int(cap * b) for s, h, _, b in rows}
+    heap = [(-Q(t), s, h, t) for s, h, t, _ in rows if t > 0]
+    heapq.heapify(heap)
+    while heap and house:
+        _, s, h, t = heapq.heappop(heap)
+        if quota[s, h] < most[s, h]:
+            quota[s, h] += 1
+            house -= 1
+            heapq.heappush(heap, (-Q(t) / (2 * quota[s, h] + 1), s, h, t))
+    return quota
+
+
+@pytest.mark.parametrize("case", range(6))
+def test_quotas_equal_a_heap_of_quotients(spark, case):
+    """Random targets; many equal ones; caps that bind; one huge row beside tiny ones; one row; a house of none."""
+    from tripforge.llm import mixing
+    rng = np.random.default_rng(case)
+    rows = {0: [(int(s), int(h), float(rng.uniform(1, 5000)), 90) for s in range(5) for h in range(7)],
+            1: [(s, h, 100.0, 50) for s in range(3) for h in range(11)],
+            2: [(s, 0, float(rng.uniform(500, 900)), int(rng.integers(1, 8))) for s in range(20)],
+            3: [(0, 0, 1e7, 10**6)] + [(1, h, 3.0, 1) for h in range(40)],
+            4: [(0, 0, 700.0, 9)], 5: [(0, 0, 20.0, 1), (1, 0, 30.0, 1)]}[case]
+    block = 64 if case != 1 else 7
+    d = spark.createDataFrame([(s, h, float(t), b) for s, h, t, b in rows], "sid int, shard long, target double, blocks long")
+    got = {(r["sid"], r["shard"]): r["quota"] for r in mixing.quotas(d, block).collect()}
+    house = int(sum(r[2] for r in rows) // block)
+    want = highest_quotients(rows, house, 2.0) if case != 3 else None
+    if want is None:  # too many blocks for a heap of fractions: the house is met and every row is at its rounded share
+        assert sum(got.values()) == house and all(v in (0, 1) for k, v in got.items() if k[0] == 1)
+    else:
+        assert got == want
+    assert mixing.quotas(d.limit(0), block).count() == 0
+
+
 def test_mixing_small_sources_beside_a_large_one(spark):
     from pyspark.sql import functions as F
     from tripforge.llm import mixing

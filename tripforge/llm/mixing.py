@@ -6,13 +6,15 @@ excess is shared again by weight until none is above.
 
 Blocks: each source is dealt into shards of about ``shard_words`` words by a
 seeded hash, a shard's documents are strung together in seeded order and cut
-into blocks that differ by at most a word. Their size comes from the source's own
-size, so every source has many, down to one word each. A block quota goes to every (source, shard) by highest
-quotients: each quotient ``target / (2k + 1)`` of at least half a block wins one
-block, which is the Sainte-Lague allocation of the house size those quotients
-make. A shard first takes whole rounds of all its blocks, then the rest of its
-quota by smallest seeded block hash. A document's ``taken`` is the sum of its
-words in taken blocks, so never above ``cap`` times its size.
+into blocks of ``block_words`` words, the last one shorter. The house has as many
+blocks as all targets together. It is allocated to the (source, shard) rows by
+highest quotients ``target / (2k + 1)``: the divisor at which every row gets its
+target over it, rounded, is found by bisection, 64 divisors a job; rows that tie for
+the last blocks get them in the order of source and shard. A shard first takes whole
+rounds of all its blocks, then the rest of its quota by smallest seeded block hash.
+Where a quota is under ``SMALL`` blocks half a block matters, so there the last block
+is settled in words: the drawn blocks go as far as the shard's target. A document's
+``taken`` is the sum of its words in taken blocks, so never above ``cap`` times its size.
 
 Only ids, sizes and hashes are shuffled, never texts. The hot source is many
 shards. The one unpartitioned window runs over one row per source.
@@ -29,8 +31,8 @@ from pyspark.sql import functions as F
 from tripforge.llm.common import stored
 
 WEIGHTS = (3, 1, 2)
-#: A source has at least so many blocks, or one per word.
-SOURCE_BLOCKS = 1024
+#: Below so many blocks a shard's target is met to the word; divisors counted in one job.
+SMALL, DIVISORS = 1024, 64
 
 
 def word_count(text: Column) -> Column:
@@ -64,48 +66,76 @@ def targets(sources: DataFrame, share: float = 1.5, cap: float = 2.0, weights=WE
 EQUAL_ROWS = 100_000
 
 
+def quotas(shards: DataFrame, block_words: int, cap: float = 2.0) -> DataFrame:
+    """``shards`` (sid, shard, target, blocks), a stored table, with the ``quota`` of each:
+    the Sainte-Lague allocation of ``floor(sum(target) / block_words)`` blocks, none
+    above ``cap`` times its blocks."""
+    most = F.floor(F.lit(cap) * F.col("blocks"))
+
+    def seats(divisor):
+        return F.least(F.floor(F.col("target") / F.lit(float(divisor)) + 0.5), most).cast("long")
+
+    rows, total, highest = shards.agg(F.count("*"), F.sum("target"), F.max("target")).first()
+    house = int(round(total or 0.0, 3) // block_words)  # rounded, as sums in another order differ in the last digits
+    if not rows or not house:
+        return shards.withColumn("quota", F.lit(0).cast("long"))
+    # at the upper end no row has a seat; at the lower one there are enough, or all that the caps allow
+    low, high = total / (house + rows + 1.0) / 2, 2.0 * highest + 1.0
+    met = low
+    while high - low > 1e-13 * high:
+        tried = [low + (high - low) * i / (DIVISORS + 1) for i in range(1, DIVISORS + 1)]
+        got = list(shards.agg(*[F.sum(seats(x)).alias(f"n{i}") for i, x in enumerate(tried)]).first())
+        enough = [x for x, n in zip(tried, got) if n >= house]
+        few = [x for x, n in zip(tried, got) if n < house]
+        low, high = max([low, *enough]), min([high, *few])
+        met = next((x for x, n in zip(tried, got) if n == house), None)
+        if met:
+            return shards.withColumn("quota", seats(met))
+    # several quotients are equal at the cut: those below it have theirs, the first of the tied rows one more
+    sure = shards.withColumn("quota", seats(high))
+    left = house - sure.agg(F.sum("quota")).first()[0]
+    tied = sure.filter(seats(low) > F.col("quota")).orderBy("sid", "shard").limit(left).select("sid", "shard", F.lit(1).cast("long").alias("more"))
+    return sure.join(tied, ["sid", "shard"], "left").withColumn("quota", F.col("quota") + F.coalesce("more", F.lit(0))).drop("more")
+
+
 def mix(docs: DataFrame, share: float = 1.5, cap: float = 2.0, weights=WEIGHTS, seed: int = 7,
         block_words: int = 64, shard_words: int = 1_000_000) -> DataFrame:
     """``doc_id, source, size, h, source_size, target, taken`` for every row of
-    ``docs``; ``h`` is the seeded hash of id and text.
-
-    ``block_words`` is the largest block; a source under SOURCE_BLOCKS times that is
-    cut finer, down to one word, so small sources meet their targets beside large ones.
-    """
+    ``docs``; ``h`` is the seeded hash of id and text."""
     sized = stored(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"),
                                F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), F.col("text")).alias("h")), "mix-sized")
     t = stored(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), share, cap, weights), "mix-targets")
-    block = F.greatest(F.lit(1), F.least(F.lit(block_words), F.floor(F.col("source_size") / SOURCE_BLOCKS)))
     shards = F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words))
     named = t.withColumnRenamed("source", "name")
     line = Window.partitionBy("sid", "shard").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
     d = (sized.join(named, F.col("source").eqNullSafe(F.col("name"))).drop("name")
          .withColumn("shard", F.pmod(F.xxhash64(F.lit("shard"), "h"), shards))
-         .withColumn("stop", F.sum("size").over(line)).withColumn("start", F.col("stop") - F.col("size"))
-         .withColumn("words", F.sum("size").over(Window.partitionBy("sid", "shard")))
-         .withColumn("blocks", F.ceil(F.col("words") / block)))
+         .withColumn("stop", F.sum("size").over(line)).withColumn("start", F.col("stop") - F.col("size")))
     d = stored(d, "mix-lines")
 
     cells = (d.filter("size > 0").groupBy("sid", "shard")
-             .agg(F.first("blocks").alias("blocks"), F.first("target").alias("target"), F.first("source_size").alias("source_size"))
-             .withColumn("quota", F.least(F.floor(F.col("target") * F.col("blocks") / F.col("source_size") + 0.5),
-                                          (F.col("blocks") * cap).cast("long")))
-             .withColumn("rounds", F.floor(F.col("quota") / F.col("blocks")))
-             .withColumn("extra", F.col("quota") - F.col("rounds") * F.col("blocks"))
-             .select("sid", "shard", "blocks", "rounds", "extra"))
+             .agg(F.sum("size").alias("words"), F.first("target").alias("source_target"), F.first("source_size").alias("source_size"))
+             .select("sid", "shard", "words", (F.col("source_target") * F.col("words") / F.col("source_size")).alias("target"),
+                     F.ceil(F.col("words") / F.lit(block_words)).alias("blocks")))
+    cells = quotas(stored(cells, "mix-shards"), block_words, cap)
+    # whole rounds of a shard, then so many blocks, or so many words where the quota is small
+    cells = cells.withColumn("small", F.col("quota") < SMALL).withColumn("unit", F.when(F.col("small"), F.col("words")).otherwise(F.col("blocks")))
+    goal = F.when(F.col("small"), F.least(F.round("target"), F.floor(F.lit(cap) * F.col("words")))).otherwise(F.col("quota")).cast("long")
+    cells = stored(cells.withColumn("goal", goal).selectExpr("sid", "shard", "words", "blocks", "small", "goal div unit AS rounds", "goal % unit AS extra"), "mix-quotas")
     draw = Window.partitionBy("sid", "shard").orderBy("draw", "block")
+    held = F.least(F.lit(block_words), F.col("words") - F.col("block") * block_words)
     picked = (cells.filter("extra > 0")
-              .select("sid", "shard", "extra", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
-              .withColumn("draw", F.xxhash64(F.lit(seed), "sid", "shard", "block"))
-              .withColumn("place", F.row_number().over(draw)).filter("place <= extra")
-              .select("sid", "shard", "block"))
-    parts = (d.filter("size > 0")
-             .select("sid", "shard", "start", "stop", "words", "blocks",
-                     F.explode(F.expr("sequence(start * blocks div words, (stop - 1) * blocks div words)")).alias("block")))
-    drawn = (parts.join(picked.hint("merge"), ["sid", "shard", "block"], "left_semi")
-             .withColumn("drawn", F.expr("""least(stop, ((block + 1) * words + blocks - 1) div blocks)
-                                            - greatest(start, (block * words + blocks - 1) div blocks)"""))
-             .groupBy("sid", "shard", "start", "stop").agg(F.sum("drawn").alias("drawn")))
+              .select("sid", "shard", "small", "extra", "words", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
+              .withColumn("draw", F.xxhash64(F.lit(seed), "sid", "shard", "block")).withColumn("held", held)
+              .withColumn("place", F.row_number().over(draw)).withColumn("upto", F.sum("held").over(draw.rowsBetween(Window.unboundedPreceding, 0)))
+              .withColumn("used", F.when(F.col("small"), F.least("held", F.col("extra") - F.col("upto") + F.col("held")))
+                          .otherwise(F.when(F.col("place") <= F.col("extra"), F.col("held"))))
+              .filter("used > 0").select("sid", "shard", "block", "used"))
+    parts = (d.filter("size > 0").select("sid", "shard", "start", "stop", F.explode(
+        F.expr(f"sequence(start div {block_words}, (stop - 1) div {block_words})")).alias("block")))
+    drawn = (parts.join(picked.hint("merge"), ["sid", "shard", "block"])
+             .withColumn("drawn", F.expr(f"least(stop, block * {block_words} + used) - greatest(start, block * {block_words})"))
+             .filter("drawn > 0").groupBy("sid", "shard", "start", "stop").agg(F.sum("drawn").alias("drawn")))
     out = (d.join(cells.select("sid", "shard", "rounds"), ["sid", "shard"], "left")
            .join(drawn.hint("merge"), ["sid", "shard", "start", "stop"], "left"))
     taken = F.when(F.col("size") > 0, F.col("rounds") * F.col("size") + F.coalesce("drawn", F.lit(0))).otherwise(0)

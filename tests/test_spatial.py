@@ -1,9 +1,27 @@
 import random
 
-from tripforge.operators.spatial import poi_counts, poi_counts_brute_force
+import pytest
+from pyspark.sql import functions as F
 
+from tripforge import rules
+from tripforge.functions.expr import haversine_m
+from tripforge.operators.spatial import candidate_pairs, poi_counts, poi_features, tag_rules_frame
 
-def test_grid_join_equals_brute_force(spark):
+
+def poi_counts_brute_force(dest, pois, key="destination_id"):
+    """All pairs, for small fixtures."""
+    features = list(rules.PLACE_FEATURES)
+    pf = poi_features(pois, tag_rules_frame(dest.sparkSession))
+    near = dest.select(key, "latitude", "longitude", "search_radius_m").crossJoin(pf).where(
+        haversine_m("latitude", "longitude", "lat", "lon") <= F.col("search_radius_m"))
+    counts = near.groupBy(key).agg(*[F.sum(F.when(F.col("feature") == f, 1)).alias(f) for f in features])
+    out = dest.join(counts, key, "left")
+    return out.select(*[c for c in out.columns if c not in features], *[F.coalesce(F.col(f), F.lit(0)).cast("long").alias(f) for f in features])
+
+
+@pytest.mark.parametrize("cell_rows", [50_000, 7])
+def test_grid_join_equals_brute_force(spark, cell_rows):
+    """Radii of every class from none to half the globe; with 7 rows a cell many are cut into parts."""
     rnd = random.Random(3)
     tags = [("amenity", "restaurant"), ("amenity", "cafe"), ("amenity", "bar"), ("tourism", "museum"),
             ("leisure", "park"), ("natural", "beach"), ("shop", "bakery")]
@@ -11,7 +29,7 @@ def test_grid_join_equals_brute_force(spark):
     for i in range(60):
         lat = rnd.choice([rnd.uniform(-89.9, 89.9), rnd.uniform(80, 89.99), rnd.uniform(-40, 40)])
         lon = rnd.choice([rnd.uniform(-180, 180), rnd.uniform(175, 180), rnd.uniform(-180, -175)])
-        dest.append((i, lat, lon, rnd.choice([50_000, 300_000, 1_500_000])))
+        dest.append((i, lat, lon, rnd.choice([0, 900, 1000, 1001, 50_000, 64_000, 300_000, 1_500_000, 9_000_000, 21_000_000])))
     pois = []
     for j in range(3000):
         lat = rnd.uniform(-90, 90) if j % 3 else dest[j % 60][1] + rnd.uniform(-2, 2)
@@ -24,7 +42,7 @@ def test_grid_join_equals_brute_force(spark):
     p = spark.createDataFrame(pois, "poi_id long, lat double, lon double, element string, tags map<string,string>")
     cols = ["destination_id", "restaurant_count", "cafe_count", "bar_count", "museum_count", "park_count",
             "nearby_beach_count"]
-    fast = sorted(tuple(r) for r in poi_counts(d, p, salt=3, cell_m=700_000).select(*cols).collect())
+    fast = sorted(tuple(r) for r in poi_counts(d, p, cell_rows=cell_rows).select(*cols).collect())
     slow = sorted(tuple(r) for r in poi_counts_brute_force(d, p).select(*cols).collect())
     assert fast == slow
     assert sum(sum(r[1:]) for r in fast) > 0
@@ -36,3 +54,33 @@ def test_destination_without_pois_counts_zero(spark):
                               "poi_id long, lat double, lon double, element string, tags map<string,string>")
     row = poi_counts(d, p).first()
     assert row.bar_count == 0 and row.restaurant_count == 0
+
+
+def test_classes_meet_fewer_candidates_than_one_grid(spark):
+    """Most radii are small and one is large: one grid as wide as the largest pairs many more."""
+    rnd = random.Random(5)
+    d = spark.createDataFrame([(i, rnd.uniform(40, 50), rnd.uniform(0, 10), 2000 if i else 200_000) for i in range(300)],
+                              "destination_id long, latitude double, longitude double, search_radius_m int")
+    p = spark.createDataFrame([(j, rnd.uniform(40, 50), rnd.uniform(0, 10), "node", {"amenity": "bar"}) for j in range(4000)],
+                              "poi_id long, lat double, lon double, element string, tags map<string,string>")
+    by_class, one = candidate_pairs(d, p), candidate_pairs(d, p, cell_m=200_000.0)
+    assert 20 * by_class.count() < one.count()
+
+    def near(c):
+        c = c.where(haversine_m("latitude", "longitude", "lat", "lon") <= F.col("search_radius_m"))
+        return sorted(tuple(r) for r in c.select("destination_id", "lat", "lon").collect())
+    assert near(by_class) == near(one) and near(one)
+    assert candidate_pairs(d.limit(0), p).count() == 0
+
+
+def test_a_crowded_cell_is_cut_alone(spark):
+    """A third of all points lies in one cell: it has parts, the others have one."""
+    rnd = random.Random(6)
+    pois = [(j, 45.0 + rnd.uniform(0, 0.001), 5.0 + rnd.uniform(0, 0.001), "node", {"amenity": "bar"}) for j in range(500)]
+    pois += [(1000 + j, rnd.uniform(40, 44), rnd.uniform(0, 10), "node", {"amenity": "bar"}) for j in range(1000)]
+    p = spark.createDataFrame(pois, "poi_id long, lat double, lon double, element string, tags map<string,string>")
+    d = spark.createDataFrame([(1, 45.0, 5.0, 1000), (2, 42.0, 5.0, 1000)], "destination_id long, latitude double, longitude double, search_radius_m int")
+    pairs = candidate_pairs(d, p, cell_rows=50)
+    parts = {r.destination_id: r.n for r in pairs.groupBy("destination_id").agg(F.countDistinct("part").alias("n")).collect()}
+    assert parts[1] >= 8 and parts.get(2, 1) == 1
+    assert poi_counts(d, p, cell_rows=50).filter("destination_id = 1").first().bar_count == 500

@@ -1,20 +1,24 @@
-"""Radius join with per-category counts, and the grid it runs on.
+"""Radius join with per-category counts, and the grids it runs on.
 
 For every destination, count the POIs of each tag rule within the
 destination's own radius (node, way and relation all count; no hit -> 0).
 
 Plan (no cross join, no all-pairs):
 
-1. POIs: explode the tag map, equi-join a small broadcast rule table
-   (one row per feature), pre-aggregate identical (location, feature) rows,
-   and give each its single grid cell ``(band, lon_cell)``.
-2. Destinations: explode only the cells their radius can touch (latitude band
-   range, exact spherical longitude extent, wrap across +-180, whole band
-   when the cap reaches a pole).
-3. Equi-join on ``(band, lon_cell, salt)``; the salt splits a hot cell
-   (a dense city) over several tasks. Each POI sits in one cell, so no pair
-   appears twice.
-4. Exact haversine filter, then one conditional aggregate per feature
+1. Radii fall into classes, one per power of two, and each class that occurs has
+   a grid of its own whose cells are about as wide as its radii. So a destination
+   with a small radius looks into small cells, whatever the largest radius is.
+2. POIs: explode the tag map, equi-join a small rule table (one row per feature),
+   pre-aggregate identical (location, feature) rows, and give each its single
+   cell ``(level, band, lon_cell)`` per class.
+3. Destinations: explode only the cells of their class that the radius can touch
+   (latitude band range, exact spherical longitude extent, wrap across +-180, whole
+   band when the cap reaches a pole).
+4. Cells are counted. A cell with more than ``cell_rows`` points (a dense city) is cut
+   into as many parts as it needs; only it is, and only its destinations are repeated.
+5. Equi-join on ``(level, band, lon_cell, part)``. Each POI sits in one cell of a
+   class, so no pair appears twice.
+6. Exact haversine filter, then one conditional aggregate per feature
    (partial aggregation before the shuffle), left-joined back, missing -> 0.
 """
 
@@ -38,26 +42,42 @@ def tag_rules_frame(spark: SparkSession,
     return spark.createDataFrame(rows, "feature string, tag_key string, tag_value string")
 
 
-def _n_bands(cell_deg: float) -> int:
-    return int(math.ceil(180.0 / cell_deg))
+#: Smallest radius class in metres; points of a cell that go to one part.
+LEAST_RADIUS_M, CELL_ROWS = 1000.0, 50_000
 
 
-def band_of(lat: Column, cell_deg: float) -> Column:
-    nb = _n_bands(cell_deg)
-    return F.least(F.floor((lat + F.lit(90.0)) / F.lit(cell_deg)), F.lit(nb - 1)).cast("int")
+def _col(x) -> Column:
+    return x if isinstance(x, Column) else F.lit(float(x))
 
 
-def lon_cells_in_band(band: Column, cell_deg: float) -> Column:
+def radius_level(radius_m) -> Column:
+    """The class of a radius: the least n with ``LEAST_RADIUS_M * 2**n`` at least as large."""
+    r = _col(radius_m)
+    return F.greatest(F.ceil(F.log2(r / F.lit(LEAST_RADIUS_M)) - F.lit(1e-9)), F.lit(0)).cast("int")
+
+
+def level_cell_deg(level) -> Column:
+    """Width in degrees of a class's cells."""
+    return F.least(F.lit(LEAST_RADIUS_M / M_PER_DEG) * F.pow(F.lit(2.0), level), F.lit(180.0))
+
+
+def band_of(lat: Column, cell_deg) -> Column:
+    c = _col(cell_deg)
+    return F.least(F.floor((lat + F.lit(90.0)) / c), F.ceil(F.lit(180.0) / c) - 1).cast("int")
+
+
+def lon_cells_in_band(band: Column, cell_deg) -> Column:
     """Number of longitude cells of a band: cells are at least ``cell_deg``
     wide at the band's pole-side edge."""
-    lo = band * F.lit(cell_deg) - F.lit(90.0)
-    hi = lo + F.lit(cell_deg)
+    c = _col(cell_deg)
+    lo = band * c - F.lit(90.0)
+    hi = lo + c
     max_abs = F.least(F.greatest(F.abs(lo), F.abs(hi)), F.lit(90.0))
-    n = F.floor(F.lit(360.0) * F.cos(F.radians(max_abs)) / F.lit(cell_deg))
+    n = F.floor(F.lit(360.0) * F.cos(F.radians(max_abs)) / c)
     return F.greatest(n, F.lit(1)).cast("int")
 
 
-def lon_cell_of(lon: Column, band: Column, cell_deg: float) -> Column:
+def lon_cell_of(lon: Column, band: Column, cell_deg) -> Column:
     n = lon_cells_in_band(band, cell_deg)
     width = F.lit(360.0) / n
     return F.least(F.floor((lon + F.lit(180.0)) / width), n - 1).cast("int")
@@ -66,14 +86,16 @@ def lon_cell_of(lon: Column, band: Column, cell_deg: float) -> Column:
 def poi_features(pois: DataFrame, tag_rules: DataFrame) -> DataFrame:
     """(poi_id, lat, lon, tags map) -> (lat, lon, feature) per matching tag."""
     exploded = pois.select("lat", "lon", F.explode("tags").alias("tag_key", "tag_value"))
-    return exploded.join(F.broadcast(tag_rules), ["tag_key", "tag_value"]).select("lat", "lon", "feature")
+    return exploded.join(tag_rules, ["tag_key", "tag_value"]).select("lat", "lon", "feature")
 
 
-def destination_cells(dest: DataFrame, cell_deg: float, salt: int,
-                      lat: str = "latitude", lon: str = "longitude",
-                      radius: str = "search_radius_m") -> DataFrame:
-    """Explode each destination into the (band, lon_cell, salt) keys it can reach."""
+CELL = ["level", "band", "lon_cell"]
+
+
+def destination_cells(dest: DataFrame, lat: str = "latitude", lon: str = "longitude", radius: str = "search_radius_m") -> DataFrame:
+    """Explode each destination (with its ``level`` and ``cell_deg``) into the (level, band, lon_cell) it can reach."""
     la, lo_, r = F.col(lat), F.col(lon), F.col(radius).cast("double")
+    cell_deg = F.col("cell_deg")
     dlat = r / F.lit(M_PER_DEG)
     b_lo = band_of(F.greatest(la - dlat, F.lit(-90.0)), cell_deg)
     b_hi = band_of(F.least(la + dlat, F.lit(90.0)), cell_deg)
@@ -88,34 +110,43 @@ def destination_cells(dest: DataFrame, cell_deg: float, salt: int,
     c_hi = F.floor((lo_ + F.col("__dlon") + F.lit(180.0)) / width).cast("int")
     cells = F.when(c_hi - c_lo + 1 >= n, F.sequence(F.lit(0), n - 1)).otherwise(
         F.transform(F.sequence(c_lo, c_hi), lambda c: F.pmod(c, n)))
-    out = banded.select("*", F.explode(F.array_distinct(cells)).alias("lon_cell")).drop("__dlon")
-    return out.select("*", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).alias("salt"))
+    return banded.select("*", F.explode(F.array_distinct(cells)).alias("lon_cell")).drop("__dlon")
+
+
+def candidate_pairs(dest: DataFrame, pois: DataFrame, tag_rules: DataFrame | None = None,
+                    place_features: Mapping[str, tuple[str, str]] = rules.PLACE_FEATURES,
+                    key: str = "destination_id", cell_rows: int = CELL_ROWS, cell_m: float | None = None) -> DataFrame:
+    """Destinations beside the points (lat, lon, feature, n) of the cells they reach.
+    ``cell_m``: one grid of that width for all radii instead of one per class."""
+    tag_rules = tag_rules if tag_rules is not None else tag_rules_frame(dest.sparkSession, place_features)
+    d = dest.select(key, "latitude", "longitude", "search_radius_m").dropna().filter("search_radius_m >= 0")
+    if cell_m is None:
+        d = d.withColumn("level", radius_level(F.greatest(F.col("search_radius_m"), F.lit(1)).cast("double"))).withColumn("cell_deg", level_cell_deg(F.col("level")))
+    else:
+        d = d.select("*", F.lit(0).alias("level"), F.lit(min(cell_m / M_PER_DEG, 180.0)).alias("cell_deg"))
+    levels = [(r["level"], r["cell_deg"]) for r in d.select("level", "cell_deg").distinct().collect()]  # a few classes: the globe has 25
+
+    # Identical points count together: exact, and shrinks dense duplicates early.
+    points = poi_features(pois, tag_rules).groupBy("lat", "lon", "feature").agg(F.count(F.lit(1)).alias("n"))
+    grids = F.array(*[F.struct(F.lit(lv).alias("level"), F.lit(deg).alias("cell_deg")) for lv, deg in sorted(levels)]) if levels else F.lit(None).cast("array<struct<level:int,cell_deg:double>>")
+    placed = points.select("*", F.explode(grids).alias("g")).select("lat", "lon", "feature", "n", "g.level", "g.cell_deg")
+    placed = placed.withColumn("band", band_of(F.col("lat"), F.col("cell_deg"))).withColumn("lon_cell", lon_cell_of(F.col("lon"), F.col("band"), F.col("cell_deg"))).drop("cell_deg")
+    crowded = placed.groupBy(*CELL).agg(F.count(F.lit(1)).alias("points")).filter(F.col("points") > cell_rows)
+    crowded = crowded.select(*CELL, F.ceil(F.col("points") / F.lit(cell_rows)).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("lat", "lon", "feature"), F.coalesce("parts", F.lit(1))).cast("int")
+    placed = placed.join(crowded, CELL, "left").withColumn("part", part).drop("parts")
+    reach = destination_cells(d).drop("cell_deg").join(crowded, CELL, "left")
+    reach = reach.withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+    return reach.join(placed, [*CELL, "part"])
 
 
 def poi_counts(dest: DataFrame, pois: DataFrame, tag_rules: DataFrame | None = None,
                place_features: Mapping[str, tuple[str, str]] = rules.PLACE_FEATURES,
-               key: str = "destination_id", cell_m: float | None = None,
-               salt: int = 8) -> DataFrame:
+               key: str = "destination_id", cell_rows: int = CELL_ROWS) -> DataFrame:
     """Add one count column per feature to ``dest`` (columns: key, latitude,
     longitude, search_radius_m)."""
-    spark = dest.sparkSession
-    tag_rules = tag_rules if tag_rules is not None else tag_rules_frame(spark, place_features)
     features = list(place_features)
-    if cell_m is None:
-        row = dest.agg(F.max("search_radius_m")).first()
-        cell_m = float(row[0]) if row and row[0] else float(rules.SEARCH_RADIUS_METERS)
-    cell_deg = min(cell_m / M_PER_DEG, 180.0)
-
-    pf = poi_features(pois, tag_rules)
-    band = band_of(F.col("lat"), cell_deg)
-    # Identical points count together: exact, and shrinks dense duplicates early.
-    poi_cells = (pf.groupBy("lat", "lon", "feature").agg(F.count(F.lit(1)).alias("n"))
-                 .select("lat", "lon", "feature", "n", band.alias("band"))
-                 .withColumn("lon_cell", lon_cell_of(F.col("lon"), F.col("band"), cell_deg))
-                 .withColumn("salt", F.pmod(F.xxhash64("lat", "lon", "feature"), F.lit(salt)).cast("int")))
-
-    dcells = destination_cells(dest.select(key, "latitude", "longitude", "search_radius_m").dropna(), cell_deg, salt)
-    pairs = dcells.join(poi_cells, ["band", "lon_cell", "salt"])
+    pairs = candidate_pairs(dest, pois, tag_rules, place_features, key, cell_rows)
     near = pairs.where(haversine_m("latitude", "longitude", "lat", "lon") <= F.col("search_radius_m"))
     counts = near.groupBy(key).agg(*[
         F.sum(F.when(F.col("feature") == f, F.col("n"))).alias(f) for f in features])
@@ -124,19 +155,3 @@ def poi_counts(dest: DataFrame, pois: DataFrame, tag_rules: DataFrame | None = N
     known = F.col("latitude").isNotNull() & F.col("longitude").isNotNull() & F.col("search_radius_m").isNotNull()
     return out.select(*[c for c in out.columns if c not in features],
                       *[F.when(known, F.coalesce(F.col(f), F.lit(0))).cast("long").alias(f) for f in features])
-
-
-def poi_counts_brute_force(dest: DataFrame, pois: DataFrame, tag_rules: DataFrame | None = None,
-                           place_features: Mapping[str, tuple[str, str]] = rules.PLACE_FEATURES,
-                           key: str = "destination_id") -> DataFrame:
-    """All-pairs reference for tests only (small fixtures)."""
-    spark = dest.sparkSession
-    tag_rules = tag_rules if tag_rules is not None else tag_rules_frame(spark, place_features)
-    features = list(place_features)
-    pf = poi_features(pois, tag_rules)
-    pairs = dest.select(key, "latitude", "longitude", "search_radius_m").crossJoin(pf)
-    near = pairs.where(haversine_m("latitude", "longitude", "lat", "lon") <= F.col("search_radius_m"))
-    counts = near.groupBy(key).agg(*[F.sum(F.when(F.col("feature") == f, 1)).alias(f) for f in features])
-    out = dest.join(counts, key, "left")
-    return out.select(*[c for c in out.columns if c not in features],
-                      *[F.coalesce(F.col(f), F.lit(0)).cast("long").alias(f) for f in features])

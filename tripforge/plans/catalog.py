@@ -50,7 +50,7 @@ def feature_chain(with_places: DataFrame, living_costs: DataFrame | None,
     return add_cost_features(out, living_costs, travel_costs, validate=validate)
 
 
-def with_places(spark: SparkSession, sf_dir: str, salt: int = 8) -> DataFrame:
+def with_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stand-in 'with places' table: coordinates, seasonal weather, radius,
     six POI counts and five scores."""
     dest = resolve_destination_type(standins.destinations(spark, sf_dir),
@@ -58,8 +58,7 @@ def with_places(spark: SparkSession, sf_dir: str, salt: int = 8) -> DataFrame:
                                     default_radius=standins.STANDIN_DEFAULT_RADIUS_M)
     weather = seasonal_features(standins.daily_weather(spark, sf_dir))
     dest = dest.join(weather, "destination_id", "left")
-    counted = poi_counts(dest, standins.pois(spark, sf_dir), salt=salt,
-                         cell_m=float(max(standins.STANDIN_TYPE_RADIUS_M.values())))
+    counted = poi_counts(dest, standins.pois(spark, sf_dir))
     # Reliable checkpoint: later global statistics and ranks re-read this
     # small table instead of re-running the radius join and weather scan.
     return add_scores(cut_lineage(counted, "with_places"))

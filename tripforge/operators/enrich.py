@@ -3,11 +3,14 @@ projections over recommendation rows or the catalogue."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripforge import rules
-from tripforge.functions.expr import clamp, fmt1, join_fragments, level_from_lower, map_lookup, round_half_even
+from tripforge.functions.expr import clamp, fmt1, level_from_lower, map_lookup, round_half_even
+from tripforge.operators.joins import JoinValidationError, duplicate_keys
 
 
 # ------------------------------------------------------------------------ P12
@@ -82,8 +85,26 @@ def best_for_text(profile: str = "cluster_profile") -> Column:
     return map_lookup(rules.BEST_FOR_TEXT, profile, rules.BEST_FOR_DEFAULT)
 
 
-def guide_stay(name: str = "destination_name") -> Column:
-    return map_lookup(rules.GUIDE_STAY, name, rules.GUIDE_STAY_DEFAULT)
+GUIDE_FIELDS = tuple(rules.GUIDE_DEFAULT)
+
+
+def guide_table(spark: SparkSession, guides: Mapping[str, Mapping] = rules.DESTINATION_GUIDES) -> DataFrame:
+    """(destination_name, six fields) of a dictionary of guides; a field may be missing."""
+    kinds = ["string" if isinstance(rules.GUIDE_DEFAULT[f], str) else "array<string>" for f in GUIDE_FIELDS]
+    schema = "destination_name string, " + ", ".join(f"{f} {k}" for f, k in zip(GUIDE_FIELDS, kinds))
+    return spark.createDataFrame([(name, *[g.get(f) for f in GUIDE_FIELDS]) for name, g in guides.items()], schema)
+
+
+def with_guide(df: DataFrame, guides: DataFrame, default: Mapping = rules.GUIDE_DEFAULT, name: str = "destination_name", out: str = "guide") -> DataFrame:
+    """``df`` with the struct ``out`` of six fields: the guide of that name, and
+    the default in every field that is missing. Duplicate names are refused."""
+    if dups := duplicate_keys(guides, ["destination_name"]):
+        raise JoinValidationError(f"duplicate guides: {dups}")
+    table = guides.select(F.col("destination_name").alias("__guide_name"), F.struct(*GUIDE_FIELDS).alias("__guide"))
+    fields = [F.coalesce(F.col(f"__guide.{f}"), F.lit(default[f]) if isinstance(default[f], str) else F.array(*map(F.lit, default[f]))).alias(f)
+              for f in GUIDE_FIELDS]
+    joined = df.join(table, F.col(name) == F.col("__guide_name"), "left")
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns if c != out], F.struct(*fields).alias(out))
 
 
 def travel_story(companion: Column, reason: str = "reason") -> Column:
@@ -95,7 +116,7 @@ def travel_story(companion: Column, reason: str = "reason") -> Column:
         F.col("destination_name"), F.lower(friendly_profile()),
         F.lower(beach_access_level(F.coalesce(F.col("nearby_beach_count"), F.lit(0)))),
         F.lower(score_level(F.coalesce(r.food, F.lit(0.0)))), F.lower(weather_level(F.coalesce(r.weather, F.lit(0.0)))),
-        F.lower(companion), guide_stay())
+        F.lower(companion), F.col("guide.stay"))
 
 
 # ------------------------------------------------------------------------- L4
@@ -107,9 +128,10 @@ def match_percent(score: str = "recommendation_score") -> Column:
     return F.rint(F.col(score)).cast("int")
 
 
-def enrich_recommendations(recs: DataFrame, companion: str | Column = "Solo") -> DataFrame:
-    """L1-L4 on recommendation rows (needs ``reason`` and the fact columns)."""
+def enrich_recommendations(recs: DataFrame, companion: str | Column = "Solo", guides: DataFrame | None = None) -> DataFrame:
+    """J6, L1-L4 on recommendation rows (needs ``reason`` and the fact columns)."""
     comp = F.lit(companion) if isinstance(companion, str) else companion
+    recs = with_guide(recs, guide_table(recs.sparkSession) if guides is None else guides)
     return recs.select("*", tags_from_reason().alias("tags"), recommendation_facts().alias("facts"),
                        travel_story(comp).alias("travel_story"), rating().alias("rating"),
                        match_percent().alias("match_percent"), friendly_profile().alias("friendly_profile"),

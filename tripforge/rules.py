@@ -172,20 +172,97 @@ BEST_FOR_TEXT = {
 }
 BEST_FOR_DEFAULT = "Balanced trips"
 
-# Recommended stay length per destination guide; default for others.
-GUIDE_STAY = {
-    "Mallorca": "5-7 days",
-    "Nice": "3-5 days",
-    "Split": "4-6 days",
-    "Lisbon": "4-6 days",
-    "Cinque Terre": "3-4 days",
-    "Kefalonia": "5-7 days",
-    "Sardinia": "7-10 days",
-    "Barcelona": "4-6 days",
-    "Paris": "4-7 days",
-    "Amsterdam": "3-5 days",
+# Guide of a destination, and the values where a guide or one of its fields is missing (fixed values).
+DESTINATION_GUIDES = {
+    "Mallorca": {
+        "airport": "Palma de Mallorca Airport",
+        "stay": "5-7 days",
+        "best_months": "May, June, September",
+        "dont_miss": ["Palma Cathedral", "Valldemossa", "Soller", "Cap de Formentor", "Cala d'Or"],
+        "highlights": ["Clear coastal coves", "Scenic villages", "Mediterranean food", "Easy day trips"],
+        "good_to_know": ["Budget: medium", "Crowds: high in August", "Driving: recommended"],
+    },
+    "Nice": {
+        "airport": "Nice Cote d'Azur Airport",
+        "stay": "3-5 days",
+        "best_months": "May, June, September",
+        "dont_miss": ["Promenade des Anglais", "Old Nice", "Castle Hill", "Cours Saleya", "Villefranche-sur-Mer"],
+        "highlights": ["Beach promenade", "Excellent food scene", "Easy Riviera day trips", "Warm weather"],
+        "good_to_know": ["Budget: medium-high", "Crowds: high in summer", "Transport: strong train links"],
+    },
+    "Split": {
+        "airport": "Split Airport",
+        "stay": "4-6 days",
+        "best_months": "May, June, September",
+        "dont_miss": ["Diocletian's Palace", "Marjan Hill", "Riva promenade", "Hvar day trip", "Trogir"],
+        "highlights": ["Historic old town", "Island day trips", "Coastal walks", "Lively food scene"],
+        "good_to_know": ["Budget: medium", "Crowds: high in July-August", "Ferries: very useful"],
+    },
+    "Lisbon": {
+        "airport": "Humberto Delgado Airport",
+        "stay": "4-6 days",
+        "best_months": "April, May, September",
+        "dont_miss": ["Alfama", "Belem Tower", "LX Factory", "Sintra day trip", "Time Out Market"],
+        "highlights": ["Food and cafes", "Viewpoints", "Historic neighborhoods", "Coastal day trips"],
+        "good_to_know": ["Budget: medium", "Hills: expect walking", "Transport: metro and trams"],
+    },
+    "Cinque Terre": {
+        "airport": "Pisa International Airport",
+        "stay": "3-4 days",
+        "best_months": "May, June, September",
+        "dont_miss": ["Monterosso", "Vernazza", "Manarola", "Corniglia", "Coastal hiking trails"],
+        "highlights": ["Colorful villages", "Coastal hiking", "Sea views", "Local seafood"],
+        "good_to_know": ["Budget: medium", "Crowds: high mid-summer", "Transport: use the train"],
+    },
+    "Kefalonia": {
+        "airport": "Kefalonia International Airport",
+        "stay": "5-7 days",
+        "best_months": "June, September",
+        "dont_miss": ["Myrtos Beach", "Assos", "Fiskardo", "Melissani Cave", "Antisamos Beach"],
+        "highlights": ["Relaxed beaches", "Scenic villages", "Clear water", "Nature drives"],
+        "good_to_know": ["Budget: medium", "Driving: recommended", "Pace: relaxed"],
+    },
+    "Sardinia": {
+        "airport": "Cagliari Elmas Airport",
+        "stay": "7-10 days",
+        "best_months": "June, September",
+        "dont_miss": ["Cagliari", "Costa Smeralda", "La Maddalena", "Alghero", "Cala Gonone"],
+        "highlights": ["Dramatic coastline", "Nature access", "Regional food", "Road trips"],
+        "good_to_know": ["Budget: medium-high", "Driving: recommended", "Distances: plan carefully"],
+    },
+    "Barcelona": {
+        "airport": "Barcelona-El Prat Airport",
+        "stay": "4-6 days",
+        "best_months": "April, May, September",
+        "dont_miss": ["Sagrada Familia", "Gothic Quarter", "Park Guell", "Barceloneta", "Casa Batllo"],
+        "highlights": ["Architecture", "Food and nightlife", "Urban beach", "Museums"],
+        "good_to_know": ["Budget: medium-high", "Crowds: high", "Transport: excellent metro"],
+    },
+    "Paris": {
+        "airport": "Charles de Gaulle Airport",
+        "stay": "4-7 days",
+        "best_months": "April, May, September",
+        "dont_miss": ["Louvre", "Eiffel Tower", "Montmartre", "Seine walk", "Le Marais"],
+        "highlights": ["Museums", "Food scene", "Iconic neighborhoods", "Walkability"],
+        "good_to_know": ["Budget: high", "Book museums ahead", "Transport: excellent metro"],
+    },
+    "Amsterdam": {
+        "airport": "Amsterdam Schiphol Airport",
+        "stay": "3-5 days",
+        "best_months": "April, May, September",
+        "dont_miss": ["Canal Ring", "Rijksmuseum", "Jordaan", "Anne Frank House", "Vondelpark"],
+        "highlights": ["Canals", "Museums", "Cycling", "Compact city center"],
+        "good_to_know": ["Budget: high", "Book popular museums ahead", "Transport: bike and tram"],
+    },
+}
+GUIDE_DEFAULT = {
+    "airport": "Main regional airport",
+    "stay": "3-5 days",
+    "best_months": "May, June, September",
+    "dont_miss": ["Old town", "Local viewpoints", "Food markets", "Day trips"],
+    "highlights": ["Good seasonal fit", "Balanced travel experience", "Local food", "Walkable areas"],
+    "good_to_know": ["Budget: varies", "Book ahead in peak season", "Check local transport"],
 }
-GUIDE_STAY_DEFAULT = "3-5 days"
 
 # Travel costs.
 PRICE_ITEM_KEYWORDS = {

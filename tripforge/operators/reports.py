@@ -197,7 +197,8 @@ def cohort_vs_population(df: DataFrame, cohort: Column, measures: Sequence[str],
 def feature_quality(df: DataFrame, flags: Sequence[str] = BOOLEAN_FLAGS,
                     counts: Sequence[str] = (), near_constant_share: float = 0.9) -> DataFrame:
     """Per flag: true/false counts, share of the majority value, near-constant
-    marker; per count column: number of zeros and nulls (suspicious zeros)."""
+    marker; per count column: number of zeros and nulls, and whether there are
+    zeros at all (suspicious in a count of places). What does not apply is null."""
     aggs = [F.count(F.lit(1)).alias("__n")]
     for f in flags:
         aggs += [F.count_if(F.col(f)).alias(f"{f}__t"), F.count_if(~F.col(f)).alias(f"{f}__f")]
@@ -212,13 +213,13 @@ def feature_quality(df: DataFrame, flags: Sequence[str] = BOOLEAN_FLAGS,
                               fl.alias("false_count"), F.lit(None).cast("long").alias("zero_count"),
                               F.lit(None).cast("long").alias("null_count"),
                               round_half_even(share, 4).alias("majority_share"),
-                              (share >= near_constant_share).alias("near_constant")))
+                              (share >= near_constant_share).alias("near_constant"), F.lit(None).cast("boolean").alias("has_zeros")))
     for c in counts:
         items.append(F.struct(F.lit(c).alias("column"), F.lit("count").alias("kind"),
                               F.lit(None).cast("long").alias("true_count"), F.lit(None).cast("long").alias("false_count"),
                               F.col(f"{c}__z").alias("zero_count"), F.col(f"{c}__null").alias("null_count"),
                               F.lit(None).cast("double").alias("majority_share"),
-                              (F.col(f"{c}__z") > 0).alias("near_constant")))
+                              F.lit(None).cast("boolean").alias("near_constant"), (F.col(f"{c}__z") > 0).alias("has_zeros")))
     return row.select(F.explode(F.array(*items)).alias("s")).select("s.*")
 
 
@@ -229,12 +230,6 @@ def top_k(df: DataFrame, metric: str, k: int = 10, ascending: bool = False,
     return df.orderBy(m, *tie_break).limit(k)
 
 
-def ranked_within(df: DataFrame, group: str, order: Sequence[Column], k: int, rank_col: str = "rank") -> DataFrame:
-    """Deterministic top-k inside each group."""
-    w = Window.partitionBy(group).orderBy(*order)
-    return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
-
-
 def limit_input(df: DataFrame, n: int | None, key: Sequence[str] = ("destination_name", "country")) -> DataFrame:
     """T4: the first ``n`` rows by key (row order is undefined in Spark, so
     'head' is made deterministic by an explicit order)."""

@@ -128,7 +128,8 @@ feat2 AS (SELECT feat1.*, {mm_cols},
        {style} AS dominant_travel_style
      FROM feat1, (SELECT {mm_stats} FROM feat1) mm),
 living AS ({standins.LIVING_COSTS_SQL}),
-feat3 AS (SELECT feat2.*, living.cost_of_living_index, {col_level} AS cost_of_living_level, {col_level} AS cost_level
+feat3 AS (SELECT feat2.*, living.cost_of_living_index, CASE WHEN living.country IS NOT NULL THEN 'stand-in from account balance' END AS cost_data_note,
+       {col_level} AS cost_of_living_level, {col_level} AS cost_level
      FROM feat2 LEFT JOIN living USING (destination_name, country)),
 {label_ctes()},
 catalog AS (SELECT feat3.*, {sig_cols}, lab.cluster, lab.cluster_profile

@@ -17,17 +17,25 @@ from tripforge.plans.catalog import build_catalog
 from tripforge.sources import standins
 from tripforge.sources.requests import parse_requests
 
-_CATALOGS: dict[tuple[str, str], DataFrame] = {}
+_CATALOGS: dict[tuple[str, str], tuple[tuple, DataFrame]] = {}
+#: The tables that a catalogue is built from.
+CATALOG_TABLES = ("supplier", "nation", "customer", "lineitem")
+
+
+def _state_of(spark: SparkSession, sf_dir: str) -> tuple:
+    """Number, size and last change of the input files, from their listing alone."""
+    files = spark.read.format("binaryFile").load([f"{sf_dir.rstrip('/')}/{t}.parquet" for t in CATALOG_TABLES])
+    return tuple(files.agg(F.count(F.lit(1)), F.sum("length"), F.max("modificationTime")).first())
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The catalogue is built once per session and input folder (checkpointed)."""
+    """The catalogue is built once per session and state of the input folder (checkpointed)."""
     from tripforge.session import apply_runtime_defaults
     apply_runtime_defaults(spark)
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _CATALOGS:
-        _CATALOGS[key] = build_catalog(spark, sf_dir)
-    return _CATALOGS[key]
+    key, state = (spark.sparkContext.applicationId, sf_dir), _state_of(spark, sf_dir)
+    if key not in _CATALOGS or _CATALOGS[key][0] != state:
+        _CATALOGS[key] = (state, build_catalog(spark, sf_dir))
+    return _CATALOGS[key][1]
 
 
 REC_COLUMNS = [
@@ -127,10 +135,11 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], Callable[[],
 
 
 def _all():
-    from tripforge.plans import registry_more, registry_reports
+    from tripforge.plans import registry_collect, registry_more, registry_reports
     out = dict(QUERIES)
     out.update(registry_reports.QUERIES)
     out.update(registry_more.QUERIES)
+    out.update(registry_collect.QUERIES)
     return out
 
 

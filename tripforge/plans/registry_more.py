@@ -440,9 +440,8 @@ def q_incremental_poi_counts(spark, sf):
     from tripforge.sources.incremental import pending, upsert
     base = standins.destinations(spark, sf)
     old_radius = dict(standins.STANDIN_TYPE_RADIUS_M, region=1_500_000)
-    cell = float(max(standins.STANDIN_TYPE_RADIUS_M.values()))
     prev_dest = resolve_destination_type(base, radius_by_type=old_radius)
-    prev = poi_counts(prev_dest, standins.pois(spark, sf), cell_m=cell)
+    prev = poi_counts(prev_dest, standins.pois(spark, sf))
     failed = F.col("destination_type") == "mountain"
     prev = prev.select("destination_id", "destination_type", "search_radius_m",
                        F.col("latitude").alias("place_latitude"), F.col("longitude").alias("place_longitude"),
@@ -450,7 +449,7 @@ def q_incremental_poi_counts(spark, sf):
                          for c in rules.PLACE_COUNT_COLUMNS], F.lit(1).alias("run_id"))
     cur = resolve_destination_type(base, radius_by_type=standins.STANDIN_TYPE_RADIUS_M)
     todo = pending(cur, prev)
-    fresh = poi_counts(todo, standins.pois(spark, sf), cell_m=cell).select(
+    fresh = poi_counts(todo, standins.pois(spark, sf)).select(
         "destination_id", "destination_type", "search_radius_m", F.col("latitude").alias("place_latitude"),
         F.col("longitude").alias("place_longitude"), *rules.PLACE_COUNT_COLUMNS, F.lit(2).alias("run_id"))
     return upsert(prev, fresh).select("destination_id", "search_radius_m", *rules.PLACE_COUNT_COLUMNS)
@@ -489,13 +488,19 @@ QUERIES.update({
 
 
 # -------------------------------------------------------------- L1-L4
+GUIDE_TEXTS, GUIDE_LISTS = ("airport", "stay", "best_months"), ("dont_miss", "highlights", "good_to_know")
+
+
 def q_enriched(spark, sf):
+    """Cards with all six guide fields."""
     from tripforge.operators.enrich import enrich_recommendations
     from tripforge.plans.registry import _recs
-    e = enrich_recommendations(_recs(spark, sf), "Solo")
+    e = enrich_recommendations(_recs(spark, sf), "Solo", standins.guides(spark, sf))
     facts = F.array_join(F.transform("facts", lambda f: F.concat_ws(":", f.level, f.label, f.detail)), "|")
     return e.select("request_id", "rank", F.array_join("tags", "|").alias("tags"), facts.alias("facts"),
-                    "travel_story", "rating", "match_percent", "friendly_profile", "best_for")
+                    "travel_story", "rating", "match_percent", "friendly_profile", "best_for",
+                    *[F.col(f"guide.{f}").alias(f"guide_{f}") for f in GUIDE_TEXTS],
+                    *[F.array_join(f"guide.{f}", "|").alias(f"guide_{f}") for f in GUIDE_LISTS])
 
 
 def _level_sql(x, levels, default):
@@ -532,14 +537,17 @@ def o_enriched():
              f"{oracle.sql_fmt1('summer_avg_temp')}, {oracle.sql_fmt1('summer_avg_daily_rain')})")
     friendly = "CASE " + " ".join(f"WHEN cluster_profile = '{k}' THEN '{v}'" for k, v in rules.FRIENDLY_CLUSTER_LABELS.items()) + " ELSE cluster_profile END"
     best_for = "CASE " + " ".join(f"WHEN cluster_profile = '{k}' THEN '{v}'" for k, v in rules.BEST_FOR_TEXT.items()) + f" ELSE '{rules.BEST_FOR_DEFAULT}' END"
-    stay = "CASE " + " ".join(f"WHEN destination_name = '{k}' THEN '{v}'" for k, v in rules.GUIDE_STAY.items()) + f" ELSE '{rules.GUIDE_STAY_DEFAULT}' END"
+    default = rules.GUIDE_DEFAULT
+    stay = f"coalesce(g.stay, {oracle._lit(default['stay'])})"
+    guide = ", ".join([f"coalesce(g.{f}, {oracle._lit(default[f])}) AS guide_{f}" for f in GUIDE_TEXTS]
+                      + [f"array_to_string(coalesce(g.{f}, {standins._sql_list(default[f])}), '|') AS guide_{f}" for f in GUIDE_LISTS])
     story = (f"printf('%s is a strong choice if you want a %s with %s beach access, a %s food scene, and %s seasonal weather. "
              f"It works especially well for %s travellers who want a trip that feels easy to plan but still has "
              f"enough variety for %s.', destination_name, lower({friendly}), lower({beach_lvl}), lower({food_lvl}), "
              f"lower({wx_lvl}), lower('Solo'), {stay})")
     return (f"WITH {oracle.scored_ctes()}\nSELECT request_id, rank, {tags} AS tags, {facts} AS facts, {story} AS travel_story, "
             f"4.0 + recommendation_score / 100.0 AS rating, CAST(round_even(recommendation_score, 0) AS INTEGER) AS match_percent, "
-            f"{friendly} AS friendly_profile, {best_for} AS best_for FROM top")
+            f"{friendly} AS friendly_profile, {best_for} AS best_for, {guide} FROM top LEFT JOIN ({standins.guides_sql()}) g USING (destination_name)")
 
 
 QUERIES.update({"recommendation_cards": (q_enriched, o_enriched)})

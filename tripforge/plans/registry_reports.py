@@ -173,12 +173,12 @@ def o_quality():
         parts.append(f"SELECT '{f}' AS column, 'flag' AS kind, CAST(count_if({f}) AS BIGINT) AS true_count, "
                      f"CAST(count_if(NOT {f}) AS BIGINT) AS false_count, CAST(NULL AS BIGINT) AS zero_count, "
                      f"CAST(NULL AS BIGINT) AS null_count, {R4(share)} AS majority_share, "
-                     f"{share} >= 0.9 AS near_constant FROM catalog")
+                     f"{share} >= 0.9 AS near_constant, CAST(NULL AS BOOLEAN) AS has_zeros FROM catalog")
     for c in rules.PLACE_COUNT_COLUMNS:
         parts.append(f"SELECT '{c}' AS column, 'count' AS kind, CAST(NULL AS BIGINT) AS true_count, "
                      f"CAST(NULL AS BIGINT) AS false_count, CAST(count_if({c} = 0) AS BIGINT) AS zero_count, "
                      f"CAST(count_if({c} IS NULL) AS BIGINT) AS null_count, CAST(NULL AS DOUBLE) AS majority_share, "
-                     f"count_if({c} = 0) > 0 AS near_constant FROM catalog")
+                     f"CAST(NULL AS BOOLEAN) AS near_constant, count_if({c} = 0) > 0 AS has_zeros FROM catalog")
     return _with(_union(parts))
 
 

@@ -65,12 +65,16 @@ WEATHER_PAYLOAD_SCHEMA = T.StructType([T.StructField("daily", T.StructType([
 
 def explode_daily(payloads: DataFrame, key: list[str], payload_col: str = "payload") -> DataFrame:
     """Weather payload JSON (parallel arrays) -> one row per day with date
-    and month. Each payload is exploded where it lies (no shuffle)."""
+    and month. Each payload is exploded where it lies (no shuffle). A missing or too
+    short array gives null measures, a payload without days no row."""
     from pyspark.sql import functions as F
     p = payloads.select(*key, F.from_json(F.col(payload_col), WEATHER_PAYLOAD_SCHEMA).alias("__p"))
-    z = p.select(*key, F.explode(F.arrays_zip(F.col("__p.daily.time").alias("time"),
-                                              F.col("__p.daily.temperature_2m_mean").alias("t"),
-                                              F.col("__p.daily.precipitation_sum").alias("r"))).alias("__d"))
-    day = F.to_date(F.col("__d.time"))
+
+    def measures(name):
+        return F.coalesce(F.col(f"__p.daily.{name}"), F.array().cast("array<double>"))
+
+    z = p.select(*key, F.inline(F.arrays_zip(F.col("__p.daily.time").alias("__time"), measures("temperature_2m_mean").alias("__t"),
+                                             measures("precipitation_sum").alias("__r")))).filter("__time IS NOT NULL")
+    day = F.to_date("__time")
     return z.select(*key, day.alias("day"), F.month(day).alias("month"),
-                    F.col("__d.t").alias("temperature_2m_mean"), F.col("__d.r").alias("precipitation_sum"))
+                    F.col("__t").alias("temperature_2m_mean"), F.col("__r").alias("precipitation_sum"))

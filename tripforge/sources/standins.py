@@ -129,9 +129,9 @@ FROM customer
 
 
 # -------------------------------------------------------------- daily weather
-def daily_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+def daily_weather(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> DataFrame:
     """One row per (destination, day): temperature_2m_mean, precipitation_sum."""
-    li = read_table(spark, sf_dir, "lineitem").select("l_suppkey", "l_shipdate", "l_quantity", "l_tax")
+    li = read_table(spark, sf_dir, "lineitem").select("l_suppkey", "l_shipdate", "l_quantity", "l_tax", *extra)
     k = F.col("l_suppkey")
     m = F.month("l_shipdate")
     return li.select(
@@ -139,7 +139,7 @@ def daily_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_date("l_shipdate").alias("day"),
         (F.col("l_quantity") - (k % 8)
          - F.when(m.isin(12, 1, 2), k % 30).otherwise(F.lit(0))).alias("temperature_2m_mean"),
-        (F.col("l_tax") * 100 * (k % 10) / 10).alias("precipitation_sum"),
+        (F.col("l_tax") * 100 * (k % 10) / 10).alias("precipitation_sum"), *extra,
     )
 
 
@@ -280,6 +280,47 @@ STANDIN_WEATHER_KEYWORDS = {
 }
 
 
+# ------------------------------------------------------------------------ guides
+BEST_MONTHS = ["May, June, September", "April, May, September", "June, September"]
+
+
+def guides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Guides of two thirds of the destinations; some lack a field."""
+    d = destinations(spark, sf_dir).select("destination_id", "destination_name", "country").filter("destination_id % 3 <> 0")
+    k = F.col("destination_id")
+    return d.select(
+        "destination_name", F.when(k % 5 != 0, F.concat("country", F.lit(" Airport"))).alias("airport"),
+        F.format_string("%d-%d days", k % 4 + 2, k % 4 + 5).alias("stay"), F.element_at(_arr(BEST_MONTHS), (k % 3 + 1).cast("int")).alias("best_months"),
+        F.array(F.concat("country", F.lit(" old town")), F.format_string("Viewpoint %d", k)).alias("dont_miss"),
+        F.when(k % 7 != 0, F.array(F.lit("Food"), F.lit("Walks"))).alias("highlights"),
+        F.array(F.format_string("Budget: %d", k % 3)).alias("good_to_know"))
+
+
+def guides_sql() -> str:
+    return f"""
+SELECT destination_name, CASE WHEN destination_id % 5 <> 0 THEN country || ' Airport' END AS airport,
+       printf('%d-%d days', destination_id % 4 + 2, destination_id % 4 + 5) AS stay, {_sql_list(BEST_MONTHS)}[(destination_id % 3) + 1] AS best_months,
+       [country || ' old town', 'Viewpoint ' || destination_id] AS dont_miss,
+       CASE WHEN destination_id % 7 <> 0 THEN ['Food', 'Walks'] END AS highlights, ['Budget: ' || (destination_id % 3)] AS good_to_know
+FROM ({DESTINATIONS_SQL}) WHERE destination_id % 3 <> 0
+"""
+
+
+# ----------------------------------------------------------------- daily payloads
+def weather_payloads(spark: SparkSession, sf_dir: str, shortened: bool = False) -> DataFrame:
+    """One JSON payload with parallel arrays per destination and month of the year;
+    ``shortened``: every seventh destination's payloads lack the last day's rain."""
+    days = daily_weather(spark, sf_dir, ("l_orderkey", "l_linenumber"))
+    rows = days.groupBy("destination_id", F.month("day").alias("m")).agg(F.array_sort(F.collect_list(
+        F.struct("day", "l_orderkey", "l_linenumber", "temperature_2m_mean", "precipitation_sum"))).alias("rows"))  # a month of a destination
+    t, r = F.transform("rows", lambda x: x["temperature_2m_mean"]), F.transform("rows", lambda x: x["precipitation_sum"])
+    if shortened:
+        r = F.when(F.col("destination_id") % 7 == 0, F.slice(r, 1, F.greatest(F.size("rows") - 1, F.lit(0)))).otherwise(r)
+    time = F.transform("rows", lambda x: x["day"].cast("string"))
+    return rows.select("destination_id", F.to_json(F.struct(F.struct(time.alias("time"), t.alias("temperature_2m_mean"),
+                                                                     r.alias("precipitation_sum")).alias("daily"))).alias("payload"))
+
+
 # ------------------------------------------------------- price / hotel payloads
 # Keyword rules for the stand-in items (part names), same shape as the
 # reference's price keyword table.

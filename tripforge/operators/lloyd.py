@@ -83,8 +83,8 @@ def _step(points: DataFrame, runs: list[np.ndarray], features: int) -> tuple[np.
                                          ["centroid", "n", "cost", *sums])
 
     parts = points.select("x").mapInArrow(assign, "centroid long, n double, cost double, " + ", ".join(f"{s} double" for s in sums))
-    rows = parts.groupBy("centroid").agg(F.sum("n"), F.sum("cost"), *[F.sum(s) for s in sums]).orderBy("centroid").collect()
-    table = np.array([list(r)[1:] for r in rows], float).reshape(-1, features + 2)
+    rows = parts.groupBy("centroid").agg(F.sum("n"), F.sum("cost"), *[F.sum(s) for s in sums]).collect()
+    table = np.array([list(r)[1:] for r in sorted(rows, key=lambda r: r.centroid)], float).reshape(-1, features + 2)
     return table[:, 0], table[:, 2:], table[:, 1]
 
 

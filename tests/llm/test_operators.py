@@ -204,6 +204,9 @@ def test_lm_base_is_exact(docs, empty, monkeypatch):
             assert r["n_tokens"] == len(t) and r["n_known"] == sum(w in c for w in t) and r["train_tokens"] == n
             assert abs(r["base_score"] - sum(math.log10((c[w] + 1) / (n + v + 1)) for w in t)) < 1e-6
             assert r["score"] < 0
+    # the word model sums to one over the vocabulary and the unknown word
+    shares = (lm.middle(lm.level_of(np.array(list(c.values())))) + 1) / (model["mass"] + model["v"] + 1)
+    assert abs(shares.sum() + 1 / (model["mass"] + model["v"] + 1) - 1) < 1e-9
     model, words = lm.train(empty.select("text"))
     assert lm.score(empty.select("doc_id", "text", F.lit(False).alias("held_out")), model, words).count() == 0
 

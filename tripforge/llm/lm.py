@@ -8,7 +8,8 @@ tasks; their number grows with the events, so the bits per event are the same at
 every size. Pieces of at most ``max_filter_mb`` are put together on the driver and
 broadcast one by one, and a worker probes them one after another, holding one.
 
-Score of a text: a mixture, per text, of a word model ``(c + 1) / (sum + V + 1)``
+Score of a text: a mixture, per text, of a word model ``(c + 1) / (sum + V + 1)``,
+``c`` and ``sum`` both of the quantised counts, so that it sums to one,
 and back-off pair models that differ in the mass kept for unseen pairs. Every pair of
 the training texts is in the filter. All counts in it come from probes; rounding is downwards
 for pairs and upwards for their contexts, so each model sums to at most one, but
@@ -229,6 +230,11 @@ class Levels:
 
 
 # ---------------------------------------------------------------- the scores
+def middle(level: np.ndarray) -> np.ndarray:
+    """The count that a word's level stands for; 0 for level 0."""
+    return np.sqrt(lowest(level).astype(float) * highest(level))
+
+
 def score_texts(texts: list[str | None], model: dict, levels: Levels):
     """Per text: tokens, score, partial base sums; and (text, key, n) of words that are not frequent."""
     cur, before, doc = tokens_of(texts)
@@ -244,8 +250,7 @@ def score_texts(texts: list[str | None], model: dict, levels: Levels):
     both = np.empty(len(keys), np.int64)
     both[order] = levels(keys[order])
     level = both[: len(words)]
-    middle = np.sqrt(lowest(level).astype(float) * highest(level))
-    word_log = np.log10(middle + 1) - np.log10(model["n"] + model["v"] + 1)
+    word_log = np.log10(middle(level) + 1) - np.log10(model["mass"] + model["v"] + 1)
     log1 = word_log[at]
     seen_level = both[len(words):][pat]
     seen = seen_level > 0
@@ -281,10 +286,15 @@ def train(texts: DataFrame, max_filter_mb: int = MAX_FILTER_MB) -> tuple[dict, D
     counts = stored(count_rows(texts).groupBy("key").agg(F.sum("c").alias("c")), "lm-counts")
     is_word = F.col("key").bitwiseAND(1) == 1
     steps_ = F.when(F.col("c") <= 5, F.col("c")).otherwise(5 + F.log(F.col("c") / 5.0) / float(np.log(GROWTH)))
+    # the counts of all words as a probe reads them: what the word model's shares add up to
+    scale = F.array(*[F.lit(int(x)) for x in SCALE])
+    level = F.size(F.filter(scale, lambda x: x <= F.col("c")))
     n, v, events = counts.agg(F.sum(F.when(is_word, F.col("c"))), F.count_if(is_word), F.sum(steps_)).first()
     regions = int((events or 0) * EVENT_BITS // REGION_BITS + 1)
     most = max(1, max_filter_mb * (1 << 23) // REGION_BITS)
     words = stored(counts.filter(is_word), "lm-words")  # few beside the pairs, read several times
+    mass = sum(r["words"] * float(middle(np.array([r["level"]]))[0])
+               for r in words.groupBy(level.alias("level")).agg(F.count("*").alias("words")).orderBy("level").collect())  # one row a level
     # the least logarithmic step that leaves few enough words
     step = F.floor(F.log("c") / float(np.log(GROWTH)))
     least, total = 1 << 62, 0
@@ -299,7 +309,7 @@ def train(texts: DataFrame, max_filter_mb: int = MAX_FILTER_MB) -> tuple[dict, D
     built = build_filter(counts, regions)
     if regions > most:  # read once per piece
         built = stored(built, "lm-filter")
-    return {"filter": broadcast_filter(built, regions, most), "regions": regions, "n": int(n or 0), "v": int(v or 0), "texts": texts.count(),
+    return {"filter": broadcast_filter(built, regions, most), "regions": regions, "n": int(n or 0), "v": int(v or 0), "mass": mass, "texts": texts.count(),
             "words": key[order], "counts": top["c"].to_numpy(np.int64)[order], "more": int(v or 0) > len(key)}, words
 
 

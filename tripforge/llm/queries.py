@@ -139,4 +139,29 @@ SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC,
 QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
 """
 
-ORACLE_SQL: dict[str, str] = {"op10_voronoi_topk": OP10_SQL, "op11_importance_resampling": OP11_SQL, "op12_fill_in_middle": OP12_SQL}
+OP2_SQL = r"""
+WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+sized AS (SELECT *, length(text) + len(regexp_extract_all(text, '<\\*(?:/?s>|</?SYS>>)')) + len(regexp_extract_all(text, '\[\\*/?INST\]')) AS n FROM turns)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+    sum(CASE WHEN role = 'assistant' THEN length('<s>') + n + length('</s>') ELSE length('<s>[INST]') + length(role) + 1 + n + length('[/INST]') END)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+OP9_SQL = r"""
+WITH RECURSIVE cut AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 4 THEN list_filter([array_to_string(w, ' ')], lambda x: x <> '')
+        ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS g FROM cut),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM sets a JOIN sets b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * k >= 85 * (p.n + q.n - k)),
+reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT reach.doc_id, links.y FROM reach JOIN links ON reach.other = links.x)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_chat_formatting": OP2_SQL, "op9_ngram_jaccard": OP9_SQL, "op10_voronoi_topk": OP10_SQL,
+    "op11_importance_resampling": OP11_SQL, "op12_fill_in_middle": OP12_SQL}

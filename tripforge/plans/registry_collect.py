@@ -225,7 +225,59 @@ SELECT request_id, rank, destination_name, country, recommendation_score, summer
 FROM top WHERE rank <= 3"""
 
 
+# ------------------------------------------------- S1-S3, P1, P2, T4, A11 stages
+STAGE = [*KEY, "latitude", "longitude", *rules.PLACE_COUNT_COLUMNS, "summer_avg_temp", "overall_score"]
+
+
+def q_stage_round_trip(spark, sf):
+    """The catalogue written as CSV under an older column name, read with
+    its schema, the name repaired, required columns checked; a missing cost table is no error."""
+    from pyspark.sql import types as T
+
+    from tripforge.operators.joins import coalesce_aliases, require_columns
+    from tripforge.session import checkpoint_dir
+    from tripforge.sources.catalog_io import read_catalog, read_optional, write_stage
+    base = f"{checkpoint_dir(spark).rstrip('/')}/tables/stage-{uuid.uuid4().hex}"
+    old = _cat(spark, sf).select(*STAGE).withColumnRenamed("nearby_beach_count", "beach_count")
+    path = write_stage(old, f"{base}/catalog.csv", "csv")
+    back = read_catalog(spark, path, T.StructType([T.StructField(f.name, f.dataType) for f in old.schema.fields]), "csv")
+    back = coalesce_aliases(back, {"nearby_beach_count": ["beach_count", "beach_count_x"]})
+    require_columns(back, STAGE)
+    costs = read_optional(spark, f"{base}/travel_costs.parquet", T.StructType([T.StructField("destination_name", T.StringType())]))
+    return back.select(*STAGE, F.lit(costs is not None).alias("has_travel_costs"))
+
+
+def o_stage_round_trip():
+    return f"WITH {oracle.catalog_ctes()}\nSELECT {', '.join(STAGE)}, false AS has_travel_costs FROM catalog"
+
+
+def q_limited(spark, sf):
+    """T4: the first 25 destinations by key."""
+    from tripforge.operators.reports import limit_input
+    return limit_input(_cat(spark, sf).select(*KEY, "overall_score"), 25)
+
+
+def o_limited():
+    return f"WITH {oracle.catalog_ctes()}\nSELECT destination_name, country, overall_score FROM catalog ORDER BY destination_name, country LIMIT 25"
+
+
+def q_label_summary(spark, sf):
+    """Clusters, noise and the largest cluster of the published labels; a missing label counts as noise."""
+    from tripforge.operators.reports import label_summary
+    return label_summary(_cat(spark, sf).select(F.coalesce("cluster", F.lit(-1)).alias("label")))
+
+
+def o_label_summary():
+    return f"""WITH {oracle.catalog_ctes()},
+l AS (SELECT coalesce(cluster, -1) AS label, count(*) AS n FROM catalog GROUP BY 1)
+SELECT count(*) FILTER (WHERE label <> -1) AS cluster_count, coalesce(sum(n) FILTER (WHERE label = -1), 0)::BIGINT AS noise_count,
+       max(n) AS largest_cluster_size, max(n) FILTER (WHERE label <> -1) AS largest_cluster_size_without_noise FROM l"""
+
+
 QUERIES = {
+    "catalog_stage_round_trip": (q_stage_round_trip, o_stage_round_trip),
+    "first_destinations": (q_limited, o_limited),
+    "label_summary": (q_label_summary, o_label_summary),
     "weather_from_payloads": (q_payload_weather, o_payload_weather),
     "payload_days_unequal": (q_payload_days, o_payload_days),
     "collection_runs": (q_collection_runs, o_collection_runs),

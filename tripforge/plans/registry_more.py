@@ -372,9 +372,37 @@ SELECT a.k, a.cluster, {cols}, count(*) AS destination_count FROM assigned a JOI
 
 
 def q_pca(spark, sf):
+    """M10 at six digits: two components of every destination and their shares of the variance."""
+    from tripforge.functions.expr import round_half_even
     from tripforge.operators.cluster import pca_2d
     out, ratio = pca_2d(_cat(spark, sf))
-    return out.select("*", F.lit(ratio[0]).alias("pc1_variance_ratio"), F.lit(ratio[1]).alias("pc2_variance_ratio"))
+    return out.select(*KEY, *[(round_half_even(F.col(c), 6) + F.lit(0.0)).alias(c) for c in ("PC1", "PC2")],
+                      *[round_half_even(F.lit(r), 6).alias(f"pc{i + 1}_variance_ratio") for i, r in enumerate(ratio)])
+
+
+def o_pca():
+    """The covariance matrix squared twelve times over, so that its first direction alone is left; then again without it."""
+    from tripforge.plans import oracle
+    n = len(rules.MODEL_FEATURES)
+    whole = " AND ".join(f"{c} IS NOT NULL" for c in rules.MODEL_FEATURES)
+    scaled = ", ".join(f"CASE WHEN stddev_pop(CAST({c} AS DOUBLE)) OVER () = 0 THEN 0.0::DOUBLE ELSE (CAST({c} AS DOUBLE) - avg(CAST({c} AS DOUBLE)) OVER ()) "
+                       f"/ stddev_pop(CAST({c} AS DOUBLE)) OVER () END" for c in rules.MODEL_FEATURES)
+    ctes = [oracle.catalog_ctes(), f"z AS MATERIALIZED (SELECT destination_name, country, [{scaled}] AS x FROM catalog WHERE {whole})",
+            f"m1_0 AS MATERIALIZED (SELECT i, j, sum(x[i] * x[j]) AS v FROM z, range(1, {n + 1}) a(i), range(1, {n + 1}) b(j) GROUP BY i, j)"]
+    for c in (1, 2):
+        for t in range(12):
+            ctes.append(f"m{c}_{t + 1} AS MATERIALIZED (SELECT a.i, b.j, sum(a.v * b.v) / (SELECT max(abs(v)) FROM m{c}_{t}) / (SELECT max(abs(v)) FROM m{c}_{t}) AS v "
+                        f"FROM m{c}_{t} a JOIN m{c}_{t} b ON a.j = b.i GROUP BY a.i, b.j)")
+        ctes.append(f"""d{c} AS MATERIALIZED (SELECT i, v / sqrt(sum(v * v) OVER ()) AS w FROM m{c}_12 WHERE j = (SELECT i FROM m{c}_12 WHERE i = j ORDER BY v DESC, i LIMIT 1))""")
+        ctes.append(f"p{c} AS MATERIALIZED (SELECT list(w * s ORDER BY i) AS w FROM d{c}, (SELECT CASE WHEN w >= 0 THEN 1 ELSE -1 END AS s FROM d{c} ORDER BY abs(w) DESC, i LIMIT 1))")
+        ctes.append(f"l{c} AS MATERIALIZED (SELECT sum(p.w[m.i] * m.v * p.w[m.j]) AS v FROM m1_0 m, p{c} p)")
+        if c == 1:
+            ctes.append("m2_0 AS MATERIALIZED (SELECT i, j, m.v - l.v * p.w[i] * p.w[j] AS v FROM m1_0 m, l1 l, p1 p)")
+    dots = [" + ".join(f"x[{i}] * p{c}.w[{i}]" for i in range(1, n + 1)) for c in (1, 2)]
+    ratios = ", ".join(f"(SELECT {oracle.R(f'l{c}.v / (SELECT sum(v) FROM m1_0 WHERE i = j)', 6)} FROM l{c}) AS pc{c}_variance_ratio" for c in (1, 2))
+    return f"""WITH {', '.join(ctes)}
+SELECT c.destination_name, c.country, {oracle.R(dots[0], 6)} + 0.0 AS PC1, {oracle.R(dots[1], 6)} + 0.0 AS PC2, {ratios}
+FROM catalog c LEFT JOIN z USING (destination_name, country), p1, p2"""
 
 
 def q_compare_models(spark, sf):
@@ -390,7 +418,7 @@ QUERIES.update({
     "clustered_catalog_k3": (q_clustered_catalog, o_clustered_catalog),
     "kmeans_assignments": (q_assignments, o_assignments),
     "kmeans_cluster_profiles": (q_model_profiles, o_model_profiles),
-    "pca_2d": (q_pca, None),
+    "pca_2d": (q_pca, o_pca),
     "clustering_comparison": (q_compare_models, None),
 })
 

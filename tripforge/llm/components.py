@@ -1,4 +1,9 @@
-"""Connected components of an edge table by alternating star contraction."""
+"""Connected components of an edge table by alternating star contraction.
+
+Defined results: an edge with a null end joins nothing and its nodes do not appear,
+as with an edge from a node to itself; repeated and reversed edges count once; an
+empty table gives no rows. Other columns are not read.
+"""
 
 from __future__ import annotations
 

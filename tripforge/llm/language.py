@@ -108,6 +108,19 @@ def position_probabilities(x: np.ndarray, p: dict, keep: bool = False):
     return (y, hf, hb, tf, tb, xt) if keep else y
 
 
+def gradients(x: np.ndarray, label: np.ndarray, p: dict) -> dict[str, np.ndarray]:
+    """Gradients of the mean cross entropy of all positions, by backpropagation through time."""
+    y, hf, hb, tf, tb, xt = position_probabilities(x, p, True)
+    real = (xt < 256)[:, :, None].astype(np.float32)
+    y[:, np.arange(len(x)), label] -= 1
+    d = y * real / max(1.0, real.sum())
+    db = d[::-1]
+    g = {"o": d.sum((0, 1)), "Of": np.tensordot(hf, d, ([0, 1], [0, 1])), "Ob": np.tensordot(hb, db, ([0, 1], [0, 1]))}
+    g["Ef"], g["Uf"] = _back(xt, tf, d @ p["Of"].T, p["Uf"])
+    g["Eb"], g["Ub"] = _back(xt[::-1], tb, db @ p["Ob"].T, p["Ub"])
+    return g
+
+
 def train(x: np.ndarray, label: np.ndarray, classes: int, epochs: int = EPOCHS, seed: int = 5) -> dict:
     """Adam on the mean cross entropy of all positions."""
     p = _start(classes, seed)
@@ -119,14 +132,7 @@ def train(x: np.ndarray, label: np.ndarray, classes: int, epochs: int = EPOCHS,
         order = rng.permutation(len(x))
         for at in range(0, len(x), BATCH):
             pick = order[at: at + BATCH]
-            y, hf, hb, tf, tb, xt = position_probabilities(x[pick], p, True)
-            real = (xt < 256)[:, :, None].astype(np.float32)
-            y[:, np.arange(len(pick)), label[pick]] -= 1
-            d = y * real / max(1.0, real.sum())
-            db = d[::-1]
-            g = {"o": d.sum((0, 1)), "Of": np.tensordot(hf, d, ([0, 1], [0, 1])), "Ob": np.tensordot(hb, db, ([0, 1], [0, 1]))}
-            g["Ef"], g["Uf"] = _back(xt, tf, d @ p["Of"].T, p["Uf"])
-            g["Eb"], g["Ub"] = _back(xt[::-1], tb, db @ p["Ob"].T, p["Ub"])
+            g = gradients(x[pick], label[pick], p)
             norm = np.sqrt(sum(float((v * v).sum()) for v in g.values()))
             step += 1
             rate = RATE * (1 - 0.9 * step / steps)

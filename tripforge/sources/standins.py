@@ -358,14 +358,15 @@ def hotel_offer_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders act as hotels (rank = 1-based order rank within the supplier), each
     lineitem an offer; line 7 carries no total (skipped like a missing price)."""
     from pyspark.sql import Window
-    li = _dest_key_lineitems(spark, sf_dir)
+    li = _dest_key_lineitems(spark, sf_dir).select("destination_name", "country", "l_orderkey", "l_linenumber", "l_extendedprice")
     total = F.when(F.col("l_linenumber") == 7, F.lit(None).cast("string")).otherwise(
         F.col("l_extendedprice").cast("string"))
     payload = F.to_json(F.struct(F.array(F.struct(F.array(F.struct(F.struct(total.alias("total")).alias("price")))
                                                   .alias("offers"))).alias("data")))
     w = Window.partitionBy("destination_name", "country").orderBy("l_orderkey")
-    return li.select("destination_name", "country", F.dense_rank().over(w).alias("hotel_rank"),
-                     payload.alias("payload"))
+    # ranked on narrow rows; the payload is written only for hotels that a reader keeps
+    ranked = li.withColumn("hotel_rank", F.dense_rank().over(w))
+    return ranked.select("destination_name", "country", "hotel_rank", payload.alias("payload"))
 
 
 PRICE_ITEMS_SQL = """

@@ -430,10 +430,17 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     (null last, ties by digest, then the smallest of rows with equal words). Rows
     without words are kept. Columns keep their names and values, whatever they are."""
     digests, linked = link_nodes(docs, words, percent)
-    rows = digests.filter("node is not null").groupBy("node", "doc_id").agg(F.count("*").alias("rows"))
+    rows = digests.filter("node is not null").select("node", "doc_id").distinct()
     rows = rows.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    best = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "node", "rows")).alias("x"))
-    best = stored(best.select(F.col("x.node").alias("best_node"), F.col("x.doc_id").alias("best_id"), F.col("x.rows").alias("copies")), "jaccard-best")
+    best = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "node")).alias("x"))
+    best = best.select(F.col("x.node").alias("best_node"), F.col("x.doc_id").alias("best_id"))
+    same = (F.col("node") == F.col("best_node")) & F.col("id").eqNullSafe(F.col("best_id"))
+    row = F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns]).alias("row")
+
+    # an id of one row says which row it is, so no text is read again
+    ids = stored(digests.groupBy(F.col("doc_id").alias("id")).agg(F.count("*").alias("rows"), F.first("node").alias("node")), "jaccard-ids")
+    kept = ids.filter("rows = 1").join(best, same, "left").filter("node is null or best_node is not null").select(F.col("id").alias("kept_id"))
+    one = docs.select(row, F.col("doc_id").alias("id")).join(kept, F.col("id").eqNullSafe(F.col("kept_id")), "left_semi").select("row.*")
 
     @F.pandas_udf("long")
     def node(texts: pd.Series) -> pd.Series:
@@ -442,17 +449,12 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
         release_memory()
         return pd.Series(nodes, dtype="Int64")
 
-    # declared not deterministic, so that a text is hashed once
-    digest = node.asNondeterministic()
-    row = F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns]).alias("row")
-    same = (F.col("node") == F.col("best_node")) & F.col("id").eqNullSafe(F.col("best_id"))
-
-    d = docs.select(row, F.col("doc_id").alias("id"), digest(F.col("text")).alias("node"))
-    one = d.join(best.filter("copies = 1"), same, "left").filter("node is null or best_node is not null").select("row.*")
-    # rows that repeat an id: only those with such an id are hashed again
-    repeated = best.filter("copies > 1")
-    again = docs.select(row, F.col("doc_id").alias("id"), F.col("text").alias("t"))
-    ids = repeated.select(F.col("best_id").alias("one_id")).distinct()
-    again = again.join(ids, F.col("id").eqNullSafe(F.col("one_id")), "left_semi").select("row", "id", digest(F.col("t")).alias("node"))
-    many = again.join(repeated, same).groupBy("best_node", "best_id").agg(F.min("row").alias("row")).select("row.*")
+    # rows that share an id are told apart by their digest, declared not deterministic so that a text is hashed once
+    several = docs.select(row, F.col("doc_id").alias("id"), F.col("text").alias("t")).join(
+        ids.filter("rows > 1").select(F.col("id").alias("one_id")), F.col("id").eqNullSafe(F.col("one_id")), "left_semi")
+    several = several.select("row", "id", node.asNondeterministic()(F.col("t")).alias("node"))
+    several = several.join(best, same, "left").filter("node is null or best_node is not null")
+    # blank rows stay as they are; of the others one of each id stays
+    place = F.when(F.col("node").isNull(), F.monotonically_increasing_id())
+    many = several.withColumn("place", place).groupBy("best_node", "best_id", "place").agg(F.min("row").alias("row")).select("row.*")
     return one.unionByName(many)

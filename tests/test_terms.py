@@ -3,6 +3,7 @@
 import difflib
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -90,3 +91,13 @@ def test_signals_by_rule_table(spark):
     assert list(got[5].matched_keywords) == ["sun"]
     assert text_signals(text_terms(df.limit(0), "id", "t", kw, wx), kw, wx).count() == 0
     assert df.select(F.lit(1)).count() == 5
+
+
+def test_a_long_text_takes_linear_work(spark):
+    """One row per word and per found term, none per place of a word with the words after it."""
+    n = 60_000
+    df = spark.createDataFrame([(1, "xhot " + "wordy hot " * n + "too"), (2, "not  too"), (3, "xnot too")], "id long, t string")
+    out = tm.exact_matches(df, "id", "t", tm.term_table(spark, ["hot", "hot too", "not too", "hot wordy hot wordy"]))
+    started = time.time()
+    assert {tuple(r) for r in out.collect()} == {(1, "hot"), (1, "hot too"), (1, "hot wordy hot wordy"), (3, "not too")}
+    assert time.time() - started < 30

@@ -84,3 +84,19 @@ def test_a_crowded_cell_is_cut_alone(spark):
     parts = {r.destination_id: r.n for r in pairs.groupBy("destination_id").agg(F.countDistinct("part").alias("n")).collect()}
     assert parts[1] >= 8 and parts.get(2, 1) == 1
     assert poi_counts(d, p, cell_rows=50).filter("destination_id = 1").first().bar_count == 500
+
+
+def test_pairs_are_dealt_by_their_number(spark):
+    """Many destinations and points in few bytes: as many tasks as the pairs ask for, no key with more
+    than a block of them; a place at the very edge counts as by the formula."""
+    rnd = random.Random(8)
+    near = [(i, 45.0 + rnd.uniform(0, 0.01), 5.0 + rnd.uniform(0, 0.01), 2000) for i in range(900)]
+    d = spark.createDataFrame(near, "destination_id long, latitude double, longitude double, search_radius_m int")
+    p = spark.createDataFrame([(j, 45.0 + rnd.uniform(0, 0.01), 5.0 + rnd.uniform(0, 0.01), "node", {"amenity": "bar"}) for j in range(700)],
+                              "poi_id long, lat double, lon double, element string, tags map<string,string>")
+    pairs = candidate_pairs(d, p, cell_rows=100, dest_rows=90)
+    assert max(r[-1] for r in pairs.groupBy("level", "band", "lon_cell", "part", "dest_part").count().collect()) < 4 * 100 * 90
+    used = {r[0] for r in pairs.select(F.spark_partition_id()).distinct().collect()}
+    assert len(used) >= 4
+    assert sorted(map(tuple, poi_counts(d, p, cell_rows=100, dest_rows=90).select("destination_id", "bar_count").collect())) == sorted(
+        map(tuple, poi_counts_brute_force(d, p).select("destination_id", "bar_count").collect()))

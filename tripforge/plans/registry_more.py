@@ -41,8 +41,10 @@ def q_planner_recommendations(spark, sf):
     from tripforge.operators.joins import enrich_missing
     from tripforge.operators.preferences import answers_to_requests
     from tripforge.operators.recommend import recommend
+    from tripforge.session import cut_lineage
     from tripforge.sources.requests import parse_requests
     valid, _ = parse_requests(answers_to_requests(_translated(spark, sf)))
+    valid = cut_lineage(valid, "planner_requests")  # read for the signatures and for the answers; translated once
     cat = _cat(spark, sf)
     recs = recommend(valid, cat).select("request_id", "rank", "destination_name", "country", "recommendation_score")
     return enrich_missing(recs, cat, ["destination_name", "country"], FACTS)

@@ -572,10 +572,12 @@ def test_queries_and_run_on_written_tables(spark, docs, tmp_path):
     docs.selectExpr("doc_id", "cast(doc_id % 4 = 0 as int) toxic").distinct().write.parquet(f"{tmp_path}/labels.parquet")
     turns = [(c, t, ("user", "assistant")[t % 2], f"turn {t} of {c}") for c in range(6) for t in range(4)]
     spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    spark.createDataFrame([(1, "some words of a benchmark"), (2, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     n, n_rows = docs.count(), {}
     for name, f in QUERIES.items():
         n_rows[name.split("_")[0]] = f(spark, str(tmp_path)).count()
-    assert n_rows == {"op1": n, "op2": 7, "op3": n, "op4": 200, "op5": n, "op6": n, "op7": n, "op8": n, "op9": n, "op10": n_rows["op10"]}
+    assert n_rows == {"op1": n, "op2": 7, "op3": n, "op4": 200, "op5": n, "op6": n, "op7": n, "op8": n, "op9": n, "op10": n_rows["op10"],
+                      "op11": n, "op12": n, "op13": n}
     assert n_rows["op10"] >= 200
     out = C.run(spark, str(tmp_path)).collect()
     assert len(out) > 40 and all(r["round_trip"] for r in out)

@@ -37,6 +37,28 @@ def test_gradients_equal_finite_differences():
             assert numeric == pytest.approx(grad[at], rel=0.05, abs=2e-5), (name, at)
 
 
+def test_window_sums_equal_position_probabilities(monkeypatch):
+    """Windows side by side give what the plain network gives; documents are read that way."""
+    from tripforge.llm import language as L
+    rng = np.random.default_rng(2)
+    net = L.train(rng.integers(0, 257, (200, L.WINDOW)).astype(np.int16), rng.integers(0, 5, 200), 5, epochs=1)
+    x = rng.integers(0, 256, (300, L.WINDOW)).astype(np.int16)
+    x[::7, 40:] = 256
+    x[3] = 256
+    y = L.position_probabilities(x, net) * (x.T < 256)[:, :, None]
+    sums, real = L.window_sums(x, net)
+    assert np.allclose(sums, y.sum(0), rtol=1e-5, atol=1e-6) and (real == (x < 256).sum(1)).all()
+    one, _ = L.window_sums(x[:1], net)
+    assert np.allclose(one, sums[:1], rtol=1e-5)
+    texts = ["", "é" * 500, "plain words " * 3000, "x"]
+    plain = []
+    for t in texts:
+        w = L.windows(t.encode())
+        plain.append((L.position_probabilities(w, net) * (w.T < 256)[:, :, None]).sum((0, 1)) / max(1, (w < 256).sum()))
+    monkeypatch.delattr(L, "position_probabilities")
+    assert np.allclose(L.document_probabilities(texts, net, 5, step=64), plain, rtol=1e-4, atol=1e-6)
+
+
 def every_reading(spelling, token):
     """(score, word) of every path through the lattice of a token."""
     from tripforge.llm import toxicity as X

@@ -175,19 +175,61 @@ def fit(labelled: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS, seed: int
     return {"langs": langs, "net": train(x, y, len(langs), seed=seed)}
 
 
-def document_probabilities(texts: list[str], net: dict, classes: int, step: int = 2048) -> np.ndarray:
+def _add_direction(x: np.ndarray, E: np.ndarray, U: np.ndarray, O: np.ndarray, y: np.ndarray, order) -> None:
+    """Adds one direction's outputs to ``y`` (position, language, window), positions in ``order``."""
+    n, k = x.shape[1], 2 * UNITS
+    UT, OT = np.ascontiguousarray(U.T), np.ascontiguousarray(O.T)
+    h, rows = np.zeros((UNITS, n), np.float32), np.empty((n, 3 * UNITS), np.float32)
+    g, a, out = np.empty((3 * UNITS, n), np.float32), np.empty((3 * UNITS, n), np.float32), np.empty(y.shape[1:], np.float32)
+    zr, c = g[:k], a[k:]
+    z, r = g[:UNITS], g[UNITS:k]
+    for t in order:
+        np.take(E, x[t], axis=0, out=rows, mode="clip")
+        np.copyto(g, rows.T)
+        np.matmul(UT, h, out=a)
+        zr += a[:k]
+        zr *= 0.5
+        np.tanh(zr, out=zr)
+        zr *= 0.5
+        zr += 0.5
+        c *= r
+        c += g[k:]
+        np.tanh(c, out=c)
+        h -= c
+        h *= z
+        h += c
+        np.matmul(OT, h, out=out)
+        y[t] += out
+
+
+def window_sums(x: np.ndarray, p: dict) -> tuple[np.ndarray, np.ndarray]:
+    """The sums of ``position_probabilities`` over each window's real positions, and how
+    many these are. The same arithmetic with windows side by side in memory: a step
+    runs along all windows instead of along the few units of each."""
+    xt = np.ascontiguousarray(x.T, np.intp)
+    y = np.zeros((xt.shape[0], len(p["o"]), xt.shape[1]), np.float32)
+    _add_direction(xt, p["Ef"], p["Uf"], p["Of"], y, range(len(xt)))
+    _add_direction(xt, p["Eb"], p["Ub"], p["Ob"], y, range(len(xt) - 1, -1, -1))
+    y += p["o"][:, None]
+    y -= y.max(1, keepdims=True)
+    np.exp(y, out=y)
+    y /= y.sum(1, keepdims=True)
+    real = xt < 256
+    y *= real[:, None, :]
+    return y.sum(0).T, real.sum(0)
+
+
+def document_probabilities(texts: list[str], net: dict, classes: int, step: int = 1024) -> np.ndarray:
     """Mean position probabilities per text, ``step`` windows at a time."""
     sums, sizes = np.zeros((len(texts), classes)), np.zeros(len(texts))
 
     def flush(parts, owners):
         x = np.concatenate(parts)
         for at in range(0, len(x), step):
-            w = x[at: at + step]
-            y = position_probabilities(w, net)
-            y *= (w.T < 256)[:, :, None]
+            y, real = window_sums(x[at: at + step], net)
             o = owners[at: at + step]
-            np.add.at(sums, o, y.sum(0))
-            np.add.at(sizes, o, (w < 256).sum(1))
+            np.add.at(sums, o, y)
+            np.add.at(sizes, o, real)
 
     parts, owners, n = [], [], 0
     for i, t in enumerate(texts):
@@ -195,7 +237,7 @@ def document_probabilities(texts: list[str], net: dict, classes: int, step: int
         parts.append(w)
         owners.append(np.full(len(w), i))
         n += len(w)
-        if n >= 8 * step or i == len(texts) - 1:
+        if n >= 16 * step or i == len(texts) - 1:
             flush(parts, np.concatenate(owners))
             parts, owners, n = [], [], 0
     return sums / np.maximum(sizes, 1)[:, None]

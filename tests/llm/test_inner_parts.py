@@ -54,7 +54,7 @@ def test_window_sums_equal_position_probabilities(monkeypatch):
     plain = []
     for t in texts:
         w = L.windows(t.encode())
-        plain.append((L.position_probabilities(w, net) * (w.T < 256)[:, :, None]).sum((0, 1)) / max(1, (w < 256).sum()))
+        plain.append((L.position_probabilities(w, net) * (w.T < 256)[:, :, None]).sum((0, 1), dtype=np.float64) / max(1, (w < 256).sum()))
     monkeypatch.delattr(L, "position_probabilities")
     assert np.allclose(L.document_probabilities(texts, net, 5, step=64), plain, rtol=1e-4, atol=1e-6)
 

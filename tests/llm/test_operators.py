@@ -469,6 +469,26 @@ def test_toxicity(spark, empty):
     assert T.score(df, none).filter("score != 0").count() == 0
 
 
+def test_toxicity_learns_from_all_labelled_rows(spark):
+    """``fit`` counts every labelled row: it equals the plain form, also with more documents of a class than once were learned from."""
+    from tripforge.llm import toxicity as T
+    rng = np.random.default_rng(1)
+    v = np.array(["the", "and", "hand", "shore", "then", "read"] + ["".join(rng.choice(list("aeinorst"), 5)) for _ in range(300)])
+    rows = []
+    for i, pick in enumerate(rng.integers(0, len(v), (9500, 9))):
+        y = int(i % 2 == 0)
+        own = ("1d10t" if i % 5 == 0 else "idiot" if i % 3 else "hand") + (" blarg" if i % 760 == 0 else "") if y else "read"
+        rows.append((i, " ".join(v[pick]) + " " + own, y))
+    rows += [(20000 + i, f"you idiot copy the hand and shore then read {i}", 1) for i in range(30)]  # near copies
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [rows[0][:2], (None, "x"), (30000, None), (30001, "idiot")], "doc_id long, text string")
+    marks = [(i, y) for i, _, y in rows] + [(rows[1][0], 0), (30000, 1), (30001, None), (None, 1), (30002, 1)]
+    m, plain = T.fit(docs, spark.createDataFrame(marks, "doc_id long, toxic long")), T.learn([t for _, t, _ in rows], [y for _, _, y in rows])
+    assert set(m["lexicon"]) == set(plain["lexicon"]) and "blarg" in m["lexicon"] and m["spelling"].known == plain["spelling"].known
+    assert m["lexicon"] == pytest.approx(plain["lexicon"], rel=1e-9)
+    assert (m["base"], m["slope"]) == pytest.approx((plain["base"], plain["slope"]), rel=1e-4)
+    assert m["spelling"].tri == pytest.approx(plain["spelling"].tri, rel=1e-6) and m["spelling"].bi == pytest.approx(plain["spelling"].bi, rel=1e-6)
+
+
 def test_toxicity_of_long_runs():
     from tripforge.llm import toxicity as T
     rng = np.random.default_rng(0)

@@ -385,6 +385,90 @@ def test_ann_ratio_decides():
     assert all(len(set(row)) == 64 for row in ids.tolist())
 
 
+def test_ann_work_follows_vectors_and_pairs(spark, monkeypatch, tmp_path):
+    """Each vector is stored once, however many chunks there are; a query that searches every list
+    meets each vector once; taking lists one by one instead changes no row."""
+    import pyarrow as pa
+    from tripforge.llm import ann
+    x, df = vectors(spark)
+    for name, value in (("LIST", 8), ("CHUNK_ROWS", 60), ("NEIGHBOURS", 6), ("BLOCK", 60)):
+        monkeypatch.setattr(ann, name, value)
+    written, kept = {}, ann.stored
+
+    def stored(frame, name):
+        out = kept(frame, name)
+        written[name] = written.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(ann, "stored", stored)
+    n = len(x)
+    found = neighbours_of(ann.search(df, search_ratio=100.0))
+    assert written["ann-lists"] == n and written["ann-queries"] == len(found)
+    assert recall(found, x.astype(np.float64), np.arange(n)) == 1.0
+    inverted = ann.inverted
+    monkeypatch.setattr(ann, "TURN", 1 << 60)
+    once = neighbours_of(ann.search(df, search_ratio=1.2))
+    monkeypatch.setattr(ann, "TURN", 0)
+    monkeypatch.setattr(ann, "inverted", lambda block, lists: inverted(block.set_column(4, "share", pa.array(np.zeros(block.num_rows))), lists))
+    assert neighbours_of(ann.search(df, search_ratio=1.2)) == once != found
+
+
+def test_ann_wide_walk_computes_few_distances(monkeypatch):
+    """However wide the beam, distances are taken by one product and a centroid is not visited again for each width."""
+    from tripforge.llm import ann
+    rng = np.random.default_rng(1)
+    c = rng.normal(size=(1500, 16))
+    q = rng.normal(size=(40, 16))
+    graph = ann.neighbour_graph(c)
+    pairs, kept = [], ann.distances
+    monkeypatch.setattr(ann, "distances", lambda q, c, r, ids: pairs.append(len(r)) or kept(q, c, r, ids))
+    held = np.full(len(c), 2)
+    for ratio in (1.0, 1.6, 3.0):
+        pairs.clear()
+        r, lists = ann.lists_within(q, c, graph, ratio, None, held, 7)
+        d = np.sqrt(((q[:, None] - c[None]) ** 2).sum(2))
+        want = (d <= ratio * d.min(1, keepdims=True)) | (d.argsort(1).argsort(1) < 4)
+        got = np.zeros_like(want)
+        got[r, lists] = True
+        assert (got & want).sum() >= 0.99 * want.sum() and (got & ~want).sum() <= 0.01 * want.sum() and (np.diff(r) >= 0).all()
+        assert sum(pairs) < 0.2 * want.size
+
+
+def test_best_pairs_are_exact():
+    """Rough products decide nothing: vectors of very different length, ties, rows given in several lists."""
+    from tripforge.llm import ann
+    rng = np.random.default_rng(2)
+    x = rng.integers(-3, 4, (500, 5)).astype(np.float64) * 10.0 ** rng.integers(-8, 4, (500, 1))
+    x = x[(x != 0).any(1)]
+    x[40] *= 1e9
+    ids = rng.permutation(len(x)) * 3
+    queries = np.arange(0, len(x), 7)
+    size = np.sqrt((x * x).sum(1).max())
+    lists = rng.integers(0, 6, (len(x), 2)).astype(np.uint16)
+    asks = rng.random((len(queries), 6)) < 0.5
+    bits = np.packbits(asks, 1)
+    share = asks[:, lists].any(2)
+    for listwise in (False, True):
+        best = ann.Best(ids[queries], x[queries], np.full(len(queries), -np.inf), bits, size, 4)
+        for lo in range(0, len(x), 90):
+            part = slice(lo, lo + 90)
+            best.hold(ids[part], x[part], lists[part].ravel(), np.full(len(x[part]), 2))
+            if not listwise:
+                best.compare(slice(0, len(queries)), slice(0, 90), False)
+            for l in range(6) if listwise else ():
+                rows = np.flatnonzero((lists[part] == l).any(1))
+                if len(rows):
+                    best.compare(np.flatnonzero(asks[:, l]), rows, True)
+            best.settle()
+        q, found, score = best.kept
+        for i, row in enumerate(queries):
+            s = np.zeros(len(x))
+            for d in range(x.shape[1]):
+                s += x[row, d] * x[:, d]
+            rows = [j for j in np.lexsort((ids, -s)) if share[i, j] and j != row][:4]
+            assert found[q == i].tolist() == ids[rows].tolist() and (score[q == i] == s[rows]).all()
+
+
 def test_language_held_out(spark, empty):
     from tripforge.llm import language
     rng = np.random.default_rng(0)

@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def usable(rows: DataFrame, nonzero: bool) -> DataFrame:
-    """vec_id, v (array of double): one row for each vec_id with a vector that is whole,
+def usable(rows: DataFrame, nonzero: bool, kind: str = "double") -> DataFrame:
+    """vec_id, v (array of ``kind``): one row for each vec_id with a vector that is whole,
     finite and of the table's most frequent length (ties: the smaller). So repeated
     rows are one candidate and one query; of different vectors of one vec_id the
     smallest in array order counts."""
-    x = rows.select("vec_id", F.col("embedding").cast("array<double>").alias("v")).filter("vec_id is not null and v is not null")
+    x = rows.select("vec_id", F.col("embedding").cast(f"array<{kind}>").alias("v")).filter("vec_id is not null and v is not null")
     x = x.filter(F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))) & (F.size("v") > 0))
     if nonzero:
         x = x.filter(F.exists("v", lambda c: c != 0))

@@ -395,8 +395,8 @@ def test_ann_work_follows_vectors_and_pairs(spark, monkeypatch, tmp_path):
         monkeypatch.setattr(ann, name, value)
     written, kept = {}, ann.stored
 
-    def stored(frame, name):
-        out = kept(frame, name)
+    def stored(frame, name, **options):
+        out = kept(frame, name, **options)
         written[name] = written.get(name, 0) + out.count()
         return out
 

@@ -32,11 +32,11 @@ def crc_mod(col: str, mod: int):
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")) % mod
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage: write under ``spark.checkpoint.dir`` and read back."""
+def stored(df: DataFrame, name: str, plain: bool = False) -> DataFrame:
+    """Cut lineage: write under ``spark.checkpoint.dir`` and read back. ``plain``: values hardly repeat, no dictionaries."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.option("parquet.enable.dictionary", "false") if plain else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
